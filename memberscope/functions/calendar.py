@@ -8,6 +8,7 @@ cut in the session time zone (UTC, see ``memberscope.session``).
 from __future__ import annotations
 
 import datetime as _dt
+import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -101,9 +102,36 @@ def day_text(c: Column | str) -> Column:
 
 # ---------------------------------------------------------------- D1 parsing
 
+_FIELD_SHAPES = (("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"),
+                 ("HH", r"\d{2}"), ("mm", r"\d{2}"), ("ss", r"\d{2}"))
+
+
+def pattern_shape(pattern: str) -> str:
+    """A regular expression for the texts ``pattern`` can parse: each field
+    becomes its digits, every other character stands for itself."""
+    out, i = [], 0
+    while i < len(pattern):
+        for field, shape in _FIELD_SHAPES:
+            if pattern.startswith(field, i):
+                out.append(shape)
+                i += len(field)
+                break
+        else:
+            out.append(re.escape(pattern[i]))
+            i += 1
+    return "^" + "".join(out) + "$"
+
+
 def parse_with(c: Column | str, pattern: str) -> Column:
-    """Strict parse with one pattern; NULL when the text does not fit."""
-    return F.try_to_timestamp(_col(c), F.lit(pattern))
+    """Strict parse with one pattern; NULL when the text does not fit.
+
+    The parser reports a mismatch by an exception, which is costly per row;
+    a regular-expression test of the text's shape runs first, so the parser
+    only sees texts that can fit (invalid calendar dates still go to NULL).
+    """
+    c = _col(c)
+    return F.when(c.rlike(pattern_shape(pattern)),
+                  F.try_to_timestamp(c, F.lit(pattern)))
 
 
 def parse_any(c: Column | str, patterns=DATE_PATTERNS) -> Column:
@@ -135,7 +163,9 @@ def weekday_number(c: Column | str) -> Column:
 
 def _weekday_name(c: Column | str, field: int) -> Column:
     names = F.array(*[F.lit(w[field]) for w in WEEKDAYS])
-    return F.element_at(names, weekday_number(c))
+    n = weekday_number(c)
+    # element_at with a NULL index does not give NULL: guard it.
+    return F.when(n.isNotNull(), F.element_at(names, n))
 
 
 def weekday_cn(c: Column | str) -> Column:
