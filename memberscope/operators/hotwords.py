@@ -19,9 +19,10 @@ def field_of(line_col: str, sep: str, field: int):
 
     Empty fields are kept, so a line of separators only gives the empty word
     and an empty line gives the empty word. A line with fewer fields gives
-    NULL (not counted).
+    NULL (not counted). The split stops after the wanted field (the rest of
+    the line stays one piece), so long lines are not cut up needlessly.
     """
-    parts = F.split(F.col(line_col), re.escape(sep), -1)
+    parts = F.split(F.col(line_col), re.escape(sep), field + 2)
     return F.get(parts, F.lit(field))
 
 
@@ -29,8 +30,10 @@ def word_counts(lines: DataFrame, sep: str = "\t", field: int = 0,
                 line_col: str = "line") -> DataFrame:
     """``word, count`` for every distinct word."""
     w = field_of(line_col, sep, field)
-    return (lines.select(w.alias("word")).where(F.col("word").isNotNull())
-            .groupBy("word").agg(F.count(F.lit(1)).alias("count")))
+    # Lines without the field form one NULL group, dropped after counting.
+    return (lines.select(w.alias("word"))
+            .groupBy("word").agg(F.count(F.lit(1)).alias("count"))
+            .where(F.col("word").isNotNull()))
 
 
 def hot_words(lines: DataFrame, sep: str = "\t", field: int = 0, k: int = 10,

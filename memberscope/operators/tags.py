@@ -141,6 +141,46 @@ def tag_charge_money(coupon_member: DataFrame, coupon: DataFrame,
             .agg(F.sum(amount).cast(CHARGE_MONEY).alias("chargeMoney")))
 
 
+# ---------------------------------------------------------------- A14–A16 in one pass
+
+def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
+                        free_id: int = 1, channel_pred: Column | None = None,
+                        share: float = 0.5) -> DataFrame:
+    """``memberId, freeCouponTime, couponTimes, chargeMoney`` from **one**
+    scan of the holdings – the same values as A14, A15 and A16 (default
+    forms), which would each read and parse the holdings table again.
+
+    Holdings are first reduced to one row per (member, coupon): the first
+    grant, the set of grant days and the number of holdings the charge
+    predicate keeps (partial aggregation map-side, so a member with a third of
+    all grants sends at most one row per coupon per task). That small frame
+    is priced against the coupon dimension and folded per member.
+    """
+    pred = channel_pred if channel_pred is not None else (F.col("coupon_channel") != 1)
+    per_coupon = (coupon_member
+                  .groupBy(F.col("member_id").alias("memberId"), "coupon_id")
+                  .agg(F.min("create_time").alias("first_time"),
+                       F.collect_set(day_text("create_time")).alias("days"),
+                       F.count_if(pred).alias("n")))
+    priced = per_coupon.join(coupon.select(F.col("id").alias("coupon_id"),
+                                           money("coupon_price").alias("price")),
+                             "coupon_id", "left")
+    is_free = F.col("coupon_id") == F.lit(free_id)
+    other_days = F.array_sort(F.array_distinct(F.flatten(
+        F.collect_list(F.when(~is_free, F.col("days"))))))
+    amount = F.when(F.col("n") > 0,
+                    (F.col("price") * F.col("n")).cast(MONEY_TOTAL)
+                    * F.lit(decimal.Decimal(str(share))))
+    return (priced.groupBy("memberId").agg(
+        day_text(F.min(F.when(is_free, F.col("first_time")))).alias("freeCouponTime"),
+        other_days.alias("couponTimes"),
+        F.sum(amount).cast(CHARGE_MONEY).alias("chargeMoney"))
+        .select("memberId", "freeCouponTime",
+                F.when(F.size("couponTimes") > 0, F.col("couponTimes"))
+                 .alias("couponTimes"),
+                "chargeMoney"))
+
+
 # ---------------------------------------------------------------- A17
 
 def tag_over_time(delivery: DataFrame, per_delivery: bool = False) -> DataFrame:
@@ -180,14 +220,18 @@ def member_tags(member: DataFrame, order: DataFrame, order_item: DataFrame,
     coupon twice appear twice).
     """
     base = tag_member_base(member)
-    features = [
-        tag_order_behavior(order, order_item, parity=parity),
-        tag_free_coupon(coupon_member, free_id, parity=parity),
-        tag_coupon_times(coupon_member, free_id),
-        tag_charge_money(coupon_member, coupon),
-        tag_over_time(delivery),
-        tag_feedback_latest(feedback),
-    ]
+    if parity:
+        coupon_parts = [
+            tag_free_coupon(coupon_member, free_id, parity=True),
+            tag_coupon_times(coupon_member, free_id),
+            tag_charge_money(coupon_member, coupon),
+        ]
+    else:
+        coupon_parts = [tag_coupon_features(coupon_member, coupon, free_id)]
+    features = [tag_order_behavior(order, order_item, parity=parity),
+                *coupon_parts,
+                tag_over_time(delivery),
+                tag_feedback_latest(feedback)]
     out = base
     for f in features:
         out = out.join(f, "memberId", "left")

@@ -236,3 +236,12 @@ def test_member_tags_one_row_per_member(spark, member, order, order_item,
     assert r[2]["feedBack"] == 3 and r[4]["orderCount"] is None
     tp = tags.member_tags(m, order, order_item, coupon_member, coupon, d, fb, parity=True)
     assert tp.count() == 5
+
+
+def test_coupon_features_one_pass_equals_separate_features(coupon_member, coupon):
+    one = tags.tag_coupon_features(coupon_member, coupon)
+    sep = (tags.tag_free_coupon(coupon_member)
+           .join(tags.tag_coupon_times(coupon_member), "memberId", "full")
+           .join(tags.tag_charge_money(coupon_member, coupon), "memberId", "full"))
+    cols = ["memberId", "freeCouponTime", "couponTimes", "chargeMoney"]
+    assert sorted(rows(one, *cols)) == sorted(rows(sep, *cols))
