@@ -150,11 +150,14 @@ def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
     scan of the holdings – the same values as A14, A15 and A16 (default
     forms), which would each read and parse the holdings table again.
 
-    Holdings are first reduced to one row per (member, coupon): the first
-    grant, the set of grant days and the number of holdings the charge
-    predicate keeps (partial aggregation map-side, so a member with a third of
-    all grants sends at most one row per coupon per task). That small frame
-    is priced against the coupon dimension and folded per member.
+    1. Holdings are reduced to one row per (member, coupon): first grant,
+       set of grant days, number of holdings the charge predicate keeps
+       (partial aggregation map-side: a member with a third of all grants
+       sends at most one row per coupon per task).
+    2. That frame is priced against the coupon dimension.
+    3. The day sets are exploded and folded per member with ``collect_set``,
+       which de-duplicates as it goes, so a member's buffer never exceeds the
+       number of distinct days; money is taken once per coupon (position 0).
     """
     pred = channel_pred if channel_pred is not None else (F.col("coupon_channel") != 1)
     per_coupon = (coupon_member
@@ -165,20 +168,20 @@ def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
     priced = per_coupon.join(coupon.select(F.col("id").alias("coupon_id"),
                                            money("coupon_price").alias("price")),
                              "coupon_id", "left")
+    flat = priced.select("memberId", "coupon_id", "first_time", "price", "n",
+                         F.posexplode("days").alias("pos", "day"))
     is_free = F.col("coupon_id") == F.lit(free_id)
-    other_days = F.array_sort(F.array_distinct(F.flatten(
-        F.collect_list(F.when(~is_free, F.col("days"))))))
-    amount = F.when(F.col("n") > 0,
+    amount = F.when((F.col("pos") == 0) & (F.col("n") > 0),
                     (F.col("price") * F.col("n")).cast(MONEY_TOTAL)
                     * F.lit(decimal.Decimal(str(share))))
-    return (priced.groupBy("memberId").agg(
+    folded = flat.groupBy("memberId").agg(
         day_text(F.min(F.when(is_free, F.col("first_time")))).alias("freeCouponTime"),
-        other_days.alias("couponTimes"),
+        F.sort_array(F.collect_set(F.when(~is_free, F.col("day")))).alias("couponTimes"),
         F.sum(amount).cast(CHARGE_MONEY).alias("chargeMoney"))
-        .select("memberId", "freeCouponTime",
-                F.when(F.size("couponTimes") > 0, F.col("couponTimes"))
-                 .alias("couponTimes"),
-                "chargeMoney"))
+    return folded.select(
+        "memberId", "freeCouponTime",
+        F.when(F.size("couponTimes") > 0, F.col("couponTimes")).alias("couponTimes"),
+        "chargeMoney")
 
 
 # ---------------------------------------------------------------- A17
