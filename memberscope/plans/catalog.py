@@ -16,11 +16,14 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from memberscope.functions.calendar import day_start
 from memberscope.functions.rules import Rule, standard_rules
 from memberscope.operators import (audience, calendar_jobs, distributions,
                                    funnel, growth, hotwords, tags)
+from memberscope.plans import sql
 from memberscope.sources.tables import Domain, Tables
 from memberscope.sources.text import text_lines
+from memberscope.sources.views import register_views
 
 AS_OF = "2024-01-30"
 FREE_COUPON_ID = 1
@@ -270,6 +273,24 @@ def interval_days(spark, sf):
         .select("memberId", "days")
 
 
+# ---------------------------------------------------------------- SQL surface
+
+def member_sex_sql(spark, sf):
+    register_views(spark, sf)
+    return sql.distribution(spark, "sex")
+
+
+def member_heat_orders_sql(spark, sf):
+    register_views(spark, sf)
+    return sql.heat_orders(spark)
+
+
+def reg_two_weeks_sql(spark, sf):
+    register_views(spark, sf)
+    return sql.daily_counts(spark, "t_registration", "id", "regCount",
+                            day_start(AS_OF, -14), AS_OF)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "member_sex": member_sex,
     "member_channel": member_channel,
@@ -304,4 +325,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "calendar_features": calendar_features,
     "shift_dates": shift_dates,
     "interval_days": interval_days,
+    "member_sex_sql": member_sex_sql,
+    "member_heat_orders_sql": member_heat_orders_sql,
+    "reg_two_weeks_sql": reg_two_weeks_sql,
 }

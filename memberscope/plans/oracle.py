@@ -298,7 +298,7 @@ def oracle_sql() -> dict[str, str]:
            f"WHERE coupon_id = {C.FREE_COUPON_ID} GROUP BY member_id"
     other = f"SELECT DISTINCT member_id AS m, CAST(create_time AS DATE) AS t FROM coupon_member " \
             f"WHERE coupon_id <> {C.FREE_COUPON_ID}"
-    return {
+    out = {
         "member_sex": """
 SELECT c_mktsegment AS memberSex, count(c_custkey) AS sexCount
 FROM customer GROUP BY c_mktsegment""",
@@ -390,3 +390,9 @@ SELECT o_custkey AS memberId,
        CAST(abs(date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE))) AS INTEGER) AS days
 FROM orders GROUP BY o_custkey""",
     }
+    out["member_sex_sql"] = out["member_sex"]
+    out["reg_two_weeks_sql"] = out["reg_two_weeks"]
+    out["member_heat_orders_sql"] = """
+SELECT count_if(n = 1) AS "order", count_if(n >= 2) AS orderAgain
+FROM (SELECT o_custkey, count(o_orderkey) AS n FROM orders GROUP BY o_custkey)"""
+    return out

@@ -27,6 +27,7 @@ DEFAULT_CONF = {
     "spark.sql.files.maxPartitionBytes": "128MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
+    "spark.ui.showConsoleProgress": "false",
 }
 
 
