@@ -33,3 +33,20 @@ def test_views_and_sql_match_the_dataframe_products(spark):
     b = growth.daily_counts(d.purchase, "create_time", "order_id",
                             "2024-01-10", "2024-01-20", "orderCount")
     assert sorted(rows(a)) == sorted(rows(b)) and len(rows(a)) == 10
+
+
+def test_jobs_write_every_product(spark, tmp_path):
+    from memberscope.plans import catalog, jobs
+    out = str(tmp_path / "out")
+    written = []
+    for name, job in jobs.JOBS.items():
+        written += job(spark, SF_SMALL, out, tag_path=str(tmp_path / "tags"))
+    assert len(written) == 13
+    tags_back = spark.read.parquet(str(tmp_path / "tags"))
+    assert tags_back.count() == 150
+    ov = spark.read.json(f"{out}/member_overview").collect()
+    assert len(ov) == 1 and ov[0]["memberHeat"]["complete"] == 150
+    assert spark.read.json(f"{out}/growth_daily").count() == 8
+    assert spark.read.json(f"{out}/hot_words").count() == 10
+    assert spark.read.json(f"{out}/tag_facets").count() == len(catalog.tag_rules())
+    assert spark.read.json(f"{out}/coupon_expiry").count() == 4
