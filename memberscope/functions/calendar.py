@@ -102,24 +102,47 @@ def day_text(c: Column | str) -> Column:
 
 # ---------------------------------------------------------------- D1 parsing
 
-_FIELD_SHAPES = (("yyyy", r"\d{4}"), ("MM", r"\d{2}"), ("dd", r"\d{2}"),
-                 ("HH", r"\d{2}"), ("mm", r"\d{2}"), ("ss", r"\d{2}"))
+_FIELD_WIDTHS = (("yyyy", 4), ("MM", 2), ("dd", 2), ("HH", 2), ("mm", 2), ("ss", 2))
 
 
-def pattern_shape(pattern: str) -> str:
-    """A regular expression for the texts ``pattern`` can parse: each field
-    becomes its digits, every other character stands for itself."""
+def _layout(pattern: str) -> list[tuple[str, int | None]]:
+    """The pattern as (token, width) pieces: fields with their digit count,
+    every other character as a literal (width None)."""
     out, i = [], 0
     while i < len(pattern):
-        for field, shape in _FIELD_SHAPES:
+        for field, width in _FIELD_WIDTHS:
             if pattern.startswith(field, i):
-                out.append(shape)
+                out.append((field, width))
                 i += len(field)
                 break
         else:
-            out.append(re.escape(pattern[i]))
+            out.append((pattern[i], None))
             i += 1
-    return "^" + "".join(out) + "$"
+    return out
+
+
+def pattern_shape(pattern: str) -> str:
+    """A regular expression for the texts ``pattern`` can parse: each field
+    becomes its digits, every other character stands for itself."""
+    return "^" + "".join(r"\d{%d}" % w if w else re.escape(t)
+                         for t, w in _layout(pattern)) + "$"
+
+
+def pattern_signature(pattern: str) -> str:
+    """The digit layout of the texts ``pattern`` can parse: every digit
+    written as 9 (``yyyy-MM-dd`` → ``9999-99-99``)."""
+    return "".join("9" * w if w else t for t, w in _layout(pattern))
+
+
+def text_signature(c: Column | str) -> Column:
+    """The digit layout of a text (every ASCII digit written as 9)."""
+    return F.translate(_col(c), "0123456789", "9999999999")
+
+
+def signatures_unique(patterns) -> bool:
+    sigs = [pattern_signature(p) for p in patterns]
+    return len(set(sigs)) == len(sigs) and not any(
+        ch.isdigit() and ch != "9" for s in sigs for ch in s)
 
 
 def parse_with(c: Column | str, pattern: str) -> Column:
@@ -134,15 +157,43 @@ def parse_with(c: Column | str, pattern: str) -> Column:
                   F.try_to_timestamp(c, F.lit(pattern)))
 
 
+def candidate_pattern(c: Column | str, patterns) -> Column:
+    """The one pattern whose digit layout equals the text's (NULL if none)."""
+    sig = text_signature(c)
+    out = None
+    for p in patterns:
+        hit = sig == F.lit(pattern_signature(p))
+        out = F.when(hit, F.lit(p)) if out is None else out.when(hit, F.lit(p))
+    return out
+
+
 def parse_any(c: Column | str, patterns=DATE_PATTERNS) -> Column:
-    """Timestamp from the first pattern that parses the whole text."""
-    return F.coalesce(*[parse_with(c, p) for p in patterns])
+    """Timestamp from the first pattern that parses the whole text.
+
+    When the patterns have distinct digit layouts (true of
+    ``DATE_PATTERNS``), at most one pattern can fit a text: the text's layout
+    selects it and a single strict parse runs. Otherwise every pattern is
+    tried in order.
+    """
+    patterns = tuple(patterns)
+    if not signatures_unique(patterns):
+        return F.coalesce(*[parse_with(c, p) for p in patterns])
+    sig = text_signature(c)
+    out = None
+    for p in patterns:
+        hit = sig == F.lit(pattern_signature(p))
+        val = F.try_to_timestamp(_col(c), F.lit(p))
+        out = F.when(hit, val) if out is None else out.when(hit, val)
+    return out
 
 
 def date_style(c: Column | str, patterns=DATE_PATTERNS) -> Column:
     """The first pattern that parses the whole text, or NULL."""
-    return F.coalesce(*[F.when(parse_with(c, p).isNotNull(), F.lit(p))
-                        for p in patterns])
+    patterns = tuple(patterns)
+    if not signatures_unique(patterns):
+        return F.coalesce(*[F.when(parse_with(c, p).isNotNull(), F.lit(p))
+                            for p in patterns])
+    return F.when(parse_any(c, patterns).isNotNull(), candidate_pattern(c, patterns))
 
 
 def is_date(c: Column | str, patterns=DATE_PATTERNS) -> Column:

@@ -17,10 +17,15 @@ def normalize_dates(df: DataFrame, col: str, patterns=cal.DATE_PATTERNS,
     pattern that parsed it) and ``<p>_valid``. Parsing is strict: the whole
     text must fit the pattern."""
     p = prefix or col
-    ts = cal.parse_any(col, patterns)
-    return (df.withColumn(f"{p}_ts", ts)
-              .withColumn(f"{p}_style", cal.date_style(col, patterns))
-              .withColumn(f"{p}_valid", F.col(f"{p}_ts").isNotNull()))
+    out = df.withColumn(f"{p}_ts", cal.parse_any(col, patterns))
+    if cal.signatures_unique(tuple(patterns)):
+        # The style is the layout's pattern wherever the parse succeeded:
+        # no second round of parsing.
+        style = F.when(F.col(f"{p}_ts").isNotNull(), cal.candidate_pattern(col, patterns))
+    else:
+        style = cal.date_style(col, patterns)
+    return (out.withColumn(f"{p}_style", style)
+               .withColumn(f"{p}_valid", F.col(f"{p}_ts").isNotNull()))
 
 
 def calendar_features(df: DataFrame, ts: str, prefix: str = "") -> DataFrame:

@@ -144,3 +144,14 @@ def test_sinks_round_trip(spark, tags_df, tmp_path):
     assert sorted(r[0] for r in spark.read.text(t).collect()) == ["2", "3"]
     js = sinks.json_rows(tags_df.select("memberId", "favGoods")).collect()
     assert js[0][0] == '{"memberId":1,"favGoods":[1,5]}'
+
+
+def test_pattern_layouts_are_distinct_and_fallback_agrees(spark):
+    assert cal.signatures_unique(cal.DATE_PATTERNS)
+    assert cal.pattern_signature("yyyy年MM月dd日 HH:mm") == "9999年99月99日 99:99"
+    # an overlapping list uses the ordered fallback: first pattern that parses
+    pats = ("yyyy-MM-dd", "yyyy-dd-MM")
+    assert not cal.signatures_unique(pats)
+    df = spark.createDataFrame([("2019-11-30",), ("2019-30-11",)], "s string")
+    r = rows(df.select(cal.date_style("s", pats)))
+    assert r == [("yyyy-MM-dd",), ("yyyy-dd-MM",)]
