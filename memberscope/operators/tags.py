@@ -6,10 +6,12 @@ left joins on that one key: with equal partition counts no feature side is
 shuffled again; only the member base is. Features are reduced to one row per
 member before they meet, so no join can fan out.
 
-Arrays (``favGoods``, ``couponTimes``) are built in two steps: first the
-distinct (member, value) pairs – a shuffle spread over both columns, so a
-member owning a third of all rows is split across tasks – then one
-``collect_list`` per member over at most one row per distinct value.
+Arrays (``favGoods``, ``couponTimes``) are ``collect_set`` aggregations with
+partial aggregation: every task sends, per member, the set of distinct values
+it saw, and the final merge keeps each value once. A member owning a third of
+all rows therefore costs at most one set per task in the shuffle, and its
+final list is bounded by the number of distinct values (goods, days), never
+by its row count.
 """
 
 from __future__ import annotations
@@ -32,10 +34,9 @@ CHARGE_MONEY = "decimal(38,3)"
 
 def _collect_distinct_sorted(pairs: DataFrame, key: str, value: str,
                              alias: str) -> DataFrame:
-    """Sorted array of the distinct ``value`` per ``key`` (two-step, see the
-    module note)."""
-    return (pairs.select(key, value).distinct()
-            .groupBy(key).agg(F.sort_array(F.collect_list(value)).alias(alias)))
+    """Sorted array of the distinct ``value`` per ``key`` (see the module
+    note)."""
+    return pairs.groupBy(key).agg(F.sort_array(F.collect_set(value)).alias(alias))
 
 
 # ---------------------------------------------------------------- A12
