@@ -88,6 +88,45 @@ def tag_order_behavior(order: DataFrame, order_item: DataFrame,
                     F.coalesce("favGoods", empty).alias("favGoods")))
 
 
+# ---------------------------------------------------------------- A13 + A17 in one pass
+
+def tag_order_features(order: DataFrame, order_line: DataFrame) -> DataFrame:
+    """``memberId, orderCount, orderTime, orderMoney, favGoods, overTime``:
+    A13 (default form) and A17 together, for deliveries made of order lines
+    (pick = order time, arrive = the line's arrival).
+
+    One scan of each table instead of two (lines) and three (orders):
+
+    1. lines → one row per order: distinct goods, last arrival, line count
+       (partial aggregation map-side, so an order with a third of all lines
+       sends one partial row per task);
+    2. orders ⟕ that, one row per order on each side (a 1:1 join);
+    3. one aggregation per member. Goods are exploded from the per-order sets
+       and gathered with ``collect_set``, bounded by the distinct goods.
+    """
+    per_order = (order_line.groupBy("order_id")
+                 .agg(F.collect_set("commodity_id").alias("goods"),
+                      F.max("arrive_time").alias("arrive"),
+                      F.count(F.lit(1)).alias("lines")))
+    o = order.select("order_id", "member_id", "pay_price", "create_time")
+    j = o.join(per_order, "order_id", "left")
+    has_lines = F.col("lines").isNotNull()
+    flat = j.select("order_id", "member_id", "pay_price", "create_time", "arrive",
+                    has_lines.alias("has_lines"),
+                    F.posexplode_outer("goods").alias("pos", "good"))
+    first = F.col("pos").isNull() | (F.col("pos") == 0)   # one row per order
+    agg = flat.groupBy(F.col("member_id").alias("memberId")).agg(
+        F.count(F.when(first, F.col("order_id"))).alias("orderCount"),
+        day_text(F.max("create_time")).alias("orderTime"),
+        F.sum(F.when(first, money("pay_price"))).cast(MONEY_TOTAL).alias("orderMoney"),
+        F.sort_array(F.collect_set("good")).alias("favGoods"),
+        F.max("arrive").alias("last_arrive"),
+        F.max(F.when(F.col("has_lines"), F.col("create_time"))).alias("last_pick"))
+    return agg.select(
+        "memberId", "orderCount", "orderTime", "orderMoney", "favGoods",
+        (F.unix_timestamp("last_arrive") - F.unix_timestamp("last_pick")).alias("overTime"))
+
+
 # ---------------------------------------------------------------- A14, A15
 
 def tag_free_coupon(coupon_member: DataFrame, free_id: int = 1,
@@ -216,14 +255,24 @@ def tag_feedback_latest(feedback: DataFrame) -> DataFrame:
 def member_tags(member: DataFrame, order: DataFrame, order_item: DataFrame,
                 coupon_member: DataFrame, coupon: DataFrame,
                 delivery: DataFrame, feedback: DataFrame, free_id: int = 1,
-                parity: bool = False) -> DataFrame:
+                parity: bool = False, order_line: DataFrame | None = None) -> DataFrame:
     """The 16-column tag table (``TAG_COLUMNS``).
 
     Default: one row per member. ``parity=True`` uses the reference's
     row-level order form and ungrouped free coupons (members granted the free
     coupon twice appear twice).
+
+    ``order_line`` (``order_id, commodity_id, arrive_time``): when deliveries
+    are the order lines themselves, pass them here and the order and delivery
+    tags come from one pass (``tag_order_features``); ``order_item`` and
+    ``delivery`` are then not read.
     """
     base = tag_member_base(member)
+    if order_line is not None and not parity:
+        order_parts = [tag_order_features(order, order_line)]
+    else:
+        order_parts = [tag_order_behavior(order, order_item, parity=parity),
+                       tag_over_time(delivery)]
     if parity:
         coupon_parts = [
             tag_free_coupon(coupon_member, free_id, parity=True),
@@ -232,10 +281,7 @@ def member_tags(member: DataFrame, order: DataFrame, order_item: DataFrame,
         ]
     else:
         coupon_parts = [tag_coupon_features(coupon_member, coupon, free_id)]
-    features = [tag_order_behavior(order, order_item, parity=parity),
-                *coupon_parts,
-                tag_over_time(delivery),
-                tag_feedback_latest(feedback)]
+    features = [*order_parts, *coupon_parts, tag_feedback_latest(feedback)]
     out = base
     for f in features:
         out = out.join(f, "memberId", "left")

@@ -71,7 +71,8 @@ def _tag_table(spark: SparkSession, sf: str, parity: bool = False) -> DataFrame:
     d = Domain(spark, sf)
     return tags.member_tags(d.member, d.order, d.order_item, d.coupon_member,
                             d.coupon, d.delivery, d.feedback,
-                            free_id=FREE_COUPON_ID, parity=parity)
+                            free_id=FREE_COUPON_ID, parity=parity,
+                            order_line=d.order_line)
 
 
 def tag_rules() -> list[Rule]:
@@ -169,6 +170,11 @@ def tag_order_behavior_parity(spark, sf):
     return _text_arrays(tags.tag_order_behavior(d.order, d.order_item, parity=True))
 
 
+def tag_order_features(spark, sf):
+    d = Domain(spark, sf)
+    return _text_arrays(tags.tag_order_features(d.order, d.order_line))
+
+
 def tag_free_coupon(spark, sf):
     return tags.tag_free_coupon(Domain(spark, sf).coupon_member, FREE_COUPON_ID)
 
@@ -308,6 +314,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_member_base": tag_member_base,
     "tag_order_behavior": tag_order_behavior,
     "tag_order_behavior_parity": tag_order_behavior_parity,
+    "tag_order_features": tag_order_features,
     "tag_free_coupon": tag_free_coupon,
     "tag_free_coupon_parity": tag_free_coupon_parity,
     "tag_coupon_times": tag_coupon_times,

@@ -355,6 +355,11 @@ FROM ob""",
 SELECT memberId, orderCount, orderTime, orderMoney,
        array_to_string(list_transform(favGoods, lambda x: CAST(x AS VARCHAR)), ',') AS favGoods
 FROM ob""",
+        "tag_order_features": tags_ + """
+SELECT ob.memberId, ob.orderCount, ob.orderTime, ob.orderMoney,
+       array_to_string(list_transform(ob.favGoods, lambda x: CAST(x AS VARCHAR)), ',') AS favGoods,
+       ot.overTime
+FROM ob LEFT JOIN ot ON ob.memberId = ot.memberId""",
         "tag_free_coupon": tags_ + "\nSELECT memberId, freeCouponTime FROM fc",
         "tag_free_coupon_parity": _tag_ctes(parity=True) + "\nSELECT memberId, freeCouponTime FROM fc",
         "tag_coupon_times": tags_ + "\nSELECT memberId, array_to_string(couponTimes, ',') AS couponTimes FROM ct",

@@ -130,6 +130,13 @@ def order_items(lineitem: DataFrame) -> DataFrame:
                            F.col("l_partkey").alias("commodity_id"))
 
 
+def order_lines(lineitem: DataFrame) -> DataFrame:
+    """Order lines with their arrival (the delivery of the line)."""
+    return lineitem.select(F.col("l_orderkey").alias("order_id"),
+                           F.col("l_partkey").alias("commodity_id"),
+                           F.col("l_shipdate").alias("arrive_time"))
+
+
 # ---------------------------------------------------------------- coupons
 
 def coupon_members(events: DataFrame) -> DataFrame:
@@ -204,6 +211,10 @@ class Domain:
     def order_item(self) -> DataFrame:
         return order_items(self.t.lineitem)
 
+    @property
+    def order_line(self) -> DataFrame:
+        return order_lines(self.t.lineitem)
+
     @property
     def coupon_member(self) -> DataFrame:
         return coupon_members(self.t.events)

@@ -245,3 +245,25 @@ def test_coupon_features_one_pass_equals_separate_features(coupon_member, coupon
            .join(tags.tag_charge_money(coupon_member, coupon), "memberId", "full"))
     cols = ["memberId", "freeCouponTime", "couponTimes", "chargeMoney"]
     assert sorted(rows(one, *cols)) == sorted(rows(sep, *cols))
+
+
+def test_order_features_one_pass_equals_separate_tags(spark):
+    o = spark.createDataFrame(
+        [(1, 7, 10.0, T(2024, 1, 1)), (2, 7, 20.0, T(2024, 1, 5)),   # 2 has no lines
+         (3, 8, 5.0, T(2024, 1, 2)), (4, 9, 1.0, T(2024, 1, 3))],
+        "order_id long, member_id long, pay_price double, create_time timestamp")
+    lines = spark.createDataFrame(
+        [(1, 100, T(2024, 1, 3)), (1, 100, T(2024, 1, 4)), (1, None, T(2024, 1, 2)),
+         (3, 200, None), (4, None, T(2024, 1, 6))],
+        "order_id long, commodity_id long, arrive_time timestamp")
+    one = tags.tag_order_features(o, lines)
+    items = lines.select("order_id", "commodity_id")
+    deliv = (lines.join(o, "order_id")
+             .select("member_id", F.col("create_time").alias("pick_time"), "arrive_time"))
+    sep = tags.tag_order_behavior(o, items).join(tags.tag_over_time(deliv), "memberId", "left")
+    cols = ["memberId", "orderCount", "orderTime", "orderMoney", "favGoods", "overTime"]
+    got = sorted(rows(one, *cols))
+    assert got == sorted(rows(sep, *cols))
+    # member 7: two orders, latest pick with lines is 01-01, last arrival 01-04
+    assert got[0] == (7, 2, "2024-01-05", Decimal("30.00"), [100], 3 * 86400)
+    assert got[1][4:] == ([200], None) and got[2][4:] == ([], 3 * 86400)
