@@ -53,40 +53,77 @@ def member_heat(member: DataFrame, order: DataFrame, coupon_member: DataFrame,
     - orderAgain: members with two or more orders;
     - coupon: distinct members holding any coupon.
 
-    Three one-row aggregates joined by a cross join of one-row frames (a
-    broadcast of a single row).
+    One aggregation over the members; the order and coupon parts are scalar
+    subqueries (each a one-row aggregate, computed once and used as a value,
+    so no join is needed to put them side by side).
     """
     p = F.col(phone)
     reg_complete = member.agg(F.count_if(p == F.lit(sentinel)).alias("reg"),
                               F.count_if(p != F.lit(sentinel)).alias("complete"))
+    oa = _order_again(order, member_id, order_id).scalar()
+    coupon = _coupon_holders(coupon_member, member_id).scalar()
+    return reg_complete.select("reg", "complete", oa["order"].alias("order"),
+                               oa["orderAgain"].alias("orderAgain"),
+                               coupon.alias("coupon"))
+
+
+def _order_again(order: DataFrame, member_id: str, order_id: str) -> DataFrame:
+    """One row, one struct: members with exactly one order, with two or more."""
     per_member = order.groupBy(member_id).agg(F.count(order_id).alias("n"))
-    order_again = per_member.agg(F.count_if(F.col("n") == 1).alias("order"),
-                                 F.count_if(F.col("n") >= 2).alias("orderAgain"))
-    coupon = coupon_member.agg(F.countDistinct(member_id).alias("coupon"))
-    return (F.broadcast(reg_complete).crossJoin(F.broadcast(order_again))
-            .crossJoin(F.broadcast(coupon))
-            .select("reg", "complete", "order", "orderAgain", "coupon"))
+    return per_member.select(F.struct(
+        F.count_if(F.col("n") == 1).alias("order"),
+        F.count_if(F.col("n") >= 2).alias("orderAgain")).alias("oa"))
+
+
+def _coupon_holders(coupon_member: DataFrame, member_id: str) -> DataFrame:
+    """One row: distinct members holding any coupon."""
+    return coupon_member.agg(F.countDistinct(member_id).alias("coupon"))
 
 
 def member_overview(member: DataFrame, order: DataFrame,
                     coupon_member: DataFrame, sub_col: str = "mp_open_id",
-                    sub_sentinel: str = "null", **heat_kw) -> DataFrame:
+                    sub_sentinel: str = "null", sex: str = "sex",
+                    channel: str = "member_channel", id_col: str = "id",
+                    phone: str = "phone", sentinel: str = "null",
+                    member_id: str = "member_id",
+                    order_id: str = "order_id") -> DataFrame:
     """A5: A1–A4 in one nested row.
 
     ``memberSexes`` and ``memberChannels`` are arrays of (code, count)
     structs, one per category (bounded by the number of codes, not by the
     number of members), sorted by code; ``memberMpSubs`` is a one-element
     array and ``memberHeat`` a struct.
+
+    The member table is read once: one aggregation over the grouping sets
+    (sex), (channel) and () gives the per-sex and per-channel counts and the
+    whole-table sentinel counts together (``grouping_id`` tells the sets
+    apart: 1 = by sex, 2 = by channel, 3 = all). Orders and coupon holdings
+    add their one-row parts.
     """
-    sexes = member_sex(member).agg(
-        F.sort_array(F.collect_list(F.struct("memberSex", "sexCount")))
-        .alias("memberSexes"))
-    channels = member_channel(member).agg(
-        F.sort_array(F.collect_list(F.struct("memberChannel", "channelCount")))
-        .alias("memberChannels"))
-    subs = sentinel_counts(member, sub_col, sub_sentinel).select(
-        F.array(F.struct("subCount", "unSubCount")).alias("memberMpSubs"))
-    heat = member_heat(member, order, coupon_member, **heat_kw).select(
-        F.struct("reg", "complete", "order", "orderAgain", "coupon").alias("memberHeat"))
-    return (F.broadcast(sexes).crossJoin(F.broadcast(channels))
-            .crossJoin(F.broadcast(subs)).crossJoin(F.broadcast(heat)))
+    s, c = F.col(sex), F.col(channel)
+    by_sets = member.groupingSets([[s], [c], []], s, c).agg(
+        F.grouping_id().alias("gid"),
+        F.count(id_col).alias("n"),
+        F.count_if(F.col(sub_col) != F.lit(sub_sentinel)).alias("subCount"),
+        F.count_if(F.col(sub_col) == F.lit(sub_sentinel)).alias("unSubCount"),
+        F.count_if(F.col(phone) == F.lit(sentinel)).alias("reg"),
+        F.count_if(F.col(phone) != F.lit(sentinel)).alias("complete"))
+    gid = F.col("gid")
+    totals = by_sets.agg(
+        F.sort_array(F.collect_list(F.when(gid == 1, F.struct(
+            F.col(sex).alias("memberSex"), F.col("n").alias("sexCount")))))
+        .alias("memberSexes"),
+        F.sort_array(F.collect_list(F.when(gid == 2, F.struct(
+            F.col(channel).alias("memberChannel"), F.col("n").alias("channelCount")))))
+        .alias("memberChannels"),
+        F.collect_list(F.when(gid == 3, F.struct("subCount", "unSubCount")))
+        .alias("memberMpSubs"),
+        F.max(F.when(gid == 3, F.col("reg"))).alias("reg"),
+        F.max(F.when(gid == 3, F.col("complete"))).alias("complete"))
+    oa = _order_again(order, member_id, order_id).scalar()
+    coupon = _coupon_holders(coupon_member, member_id).scalar()
+    return totals.select(
+        "memberSexes", "memberChannels", "memberMpSubs",
+        F.struct("reg", "complete", oa["order"].alias("order"),
+                 oa["orderAgain"].alias("orderAgain"),
+                 coupon.alias("coupon")).alias("memberHeat"))

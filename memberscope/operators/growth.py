@@ -69,12 +69,14 @@ def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
                    .groupBy(day_key(order_ts).alias("d"))
                    .agg(F.max(order_id).cast("bigint").alias("orderCount"),
                         F.sum(money(price)).alias("day_gmv")))
+        # GMV before the window: a one-row aggregate used as a scalar value.
         pre = (o.where(F.col(order_ts) < ts_literal(o, order_ts, start))
-               .agg(F.coalesce(F.sum(money(price)), F.lit(0)).alias("pre_gmv")))
-        joined = m_daily.join(o_daily, "d", "inner").crossJoin(pre)
+               .agg(F.coalesce(F.sum(money(price)), F.lit(0)).alias("pre_gmv"))
+               .scalar())
+        joined = m_daily.join(o_daily, "d", "inner")
         return (joined.select(
             day_text("d").alias("day"), "regCount", "memberCount", "orderCount",
-            (F.col("pre_gmv") + F.sum("day_gmv").over(_running()))
+            (pre + F.sum("day_gmv").over(_running()))
             .cast(MONEY_TOTAL).alias("gmv"))
             .orderBy("day"))
 
