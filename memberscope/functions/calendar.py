@@ -90,6 +90,13 @@ def ts_literal(df: DataFrame, col: str, value: _dt.datetime) -> Column:
     return F.lit(value.strftime("%Y-%m-%d %H:%M:%S")).cast(df.schema[col].dataType)
 
 
+def sorted_days(df: DataFrame, *cols: str) -> DataFrame:
+    """Order a result that has one row per day (or per bucket): a handful of
+    rows, so they are gathered into one partition (a narrow step) and sorted
+    there, instead of a range shuffle for a global sort."""
+    return df.coalesce(1).sortWithinPartitions(*cols)
+
+
 def day_key(ts: Column | str) -> Column:
     """The calendar day of a timestamp, as DATE (cheap to group and sort)."""
     return F.to_date(_col(ts))

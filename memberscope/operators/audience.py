@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memberscope.functions.calendar import as_date
+from memberscope.functions.calendar import as_date, sorted_days
 from memberscope.functions.rules import (COUPON_EXPIRY_DAYS, COUPON_VALID_DAYS,
                                          RECENT_DAYS, as_rule, compile_rule,
                                          compile_rules)
@@ -40,44 +40,50 @@ def tag_facets(tags: DataFrame, rules, keep_null: bool = True) -> DataFrame:
 
 def coupon_day_buckets(df: DataFrame, member_col: str, day_col: str, as_of,
                        valid_days: int = COUPON_VALID_DAYS,
-                       ks=RECENT_DAYS) -> DataFrame:
+                       ks=RECENT_DAYS, unique_member_days: bool = False) -> DataFrame:
     """Distinct members per bucket ``k``, where bucket k holds the grants
     made exactly ``valid_days + k`` days before ``as_of``.
 
     ``day_col`` is a day (DATE or yyyy-MM-dd text). Columns: ``k``, ``day``
     (the grant day of the bucket), ``members``. Every k in ``ks`` is present.
+
+    A bucket is one day, so when the input has at most one row per (member,
+    day) – ``unique_member_days=True`` – a plain count is the distinct count
+    and the extra shuffle of a distinct aggregation is skipped.
     """
     ks = list(ks)
     as_of = as_date(as_of)
     k = F.datediff(F.lit(as_of), F.to_date(F.col(day_col))) - F.lit(valid_days)
     counted = (df.select(k.alias("k"), F.col(member_col).alias("m"))
                .where(F.col("k").isin(ks) & F.col("m").isNotNull())
-               .groupBy("k").agg(F.countDistinct("m").alias("members")))
-    spine = df.sparkSession.range(1).select(
+               .groupBy("k").agg((F.count("m") if unique_member_days
+                                  else F.countDistinct("m")).alias("members")))
+    spine = df.sparkSession.range(0, 1, 1, 1).select(
         F.explode(F.array(*[F.lit(x) for x in ks])).alias("k"))
     # Both sides have at most len(ks) rows: the broadcast is bounded.
-    return (spine.join(F.broadcast(counted), "k", "left")
-            .select(F.col("k").cast("int").alias("k"),
-                    F.date_format(F.date_sub(F.lit(as_of),
-                                             F.col("k") + F.lit(valid_days)),
-                                  "yyyy-MM-dd").alias("day"),
-                    F.coalesce("members", F.lit(0)).cast("bigint").alias("members"))
-            .orderBy("k"))
+    return sorted_days(
+        spine.join(F.broadcast(counted), "k", "left")
+        .select(F.col("k").cast("int").alias("k"),
+                F.date_format(F.date_sub(F.lit(as_of),
+                                         F.col("k") + F.lit(valid_days)),
+                              "yyyy-MM-dd").alias("day"),
+                F.coalesce("members", F.lit(0)).cast("bigint").alias("members")), "k")
 
 
 def free_coupon_reminder(free_coupon: DataFrame, as_of,
                          valid_days: int = COUPON_VALID_DAYS,
                          ks=RECENT_DAYS) -> DataFrame:
-    """A22 over the ``freeCouponTime`` tag."""
+    """A22 over the ``freeCouponTime`` tag (one row per member)."""
     return coupon_day_buckets(free_coupon, "memberId", "freeCouponTime", as_of,
-                              valid_days, ks)
+                              valid_days, ks, unique_member_days=True)
 
 
 def coupon_expiry(coupon_times: DataFrame, as_of,
                   valid_days: int = COUPON_VALID_DAYS,
                   ks=COUPON_EXPIRY_DAYS) -> DataFrame:
-    """The same buckets over every day of the ``couponTimes`` tag."""
+    """The same buckets over every day of the ``couponTimes`` tag (one
+    row per member, each day listed once)."""
     days = coupon_times.select("memberId",
                                F.explode("couponTimes").alias("couponDay"))
     return coupon_day_buckets(days, "memberId", "couponDay", as_of,
-                              valid_days, ks)
+                              valid_days, ks, unique_member_days=True)

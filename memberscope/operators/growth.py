@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from memberscope.functions.calendar import (as_date, day_key, day_start,
-                                            day_text, ts_literal)
+                                            day_text, sorted_days, ts_literal)
 from memberscope.functions.money import MONEY_TOTAL, money
 
 
@@ -74,11 +74,10 @@ def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
                .agg(F.coalesce(F.sum(money(price)), F.lit(0)).alias("pre_gmv"))
                .scalar())
         joined = m_daily.join(o_daily, "d", "inner")
-        return (joined.select(
+        return sorted_days(joined.select(
             day_text("d").alias("day"), "regCount", "memberCount", "orderCount",
             (pre + F.sum("day_gmv").over(_running()))
-            .cast(MONEY_TOTAL).alias("gmv"))
-            .orderBy("day"))
+            .cast(MONEY_TOTAL).alias("gmv")), "day")
 
     m_daily = (m.groupBy(_bucketed_day(m, member_ts, start).alias("d"))
                .agg(F.count(id_col).alias("regCount")))
@@ -92,11 +91,11 @@ def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
         "d",
         F.sum("n").over(_running()).cast("bigint").alias("orderCount"),
         F.sum("g").over(_running()).cast(MONEY_TOTAL).alias("gmv"))
-    return (m_run.where(F.col("d") >= F.lit(start_day))
-            .join(o_run.where(F.col("d") >= F.lit(start_day)), "d", "inner")
-            .select(day_text("d").alias("day"), "regCount", "memberCount",
-                    "orderCount", "gmv")
-            .orderBy("day"))
+    return sorted_days(
+        m_run.where(F.col("d") >= F.lit(start_day))
+        .join(o_run.where(F.col("d") >= F.lit(start_day)), "d", "inner")
+        .select(day_text("d").alias("day"), "regCount", "memberCount",
+                "orderCount", "gmv"), "day")
 
 
 def daily_counts(df: DataFrame, ts: str, id_col: str, start, end,
@@ -147,15 +146,14 @@ def week_on_week(df: DataFrame, ts: str, id_col: str, as_of,
                .agg(F.count_if(in_cur).alias("count"),
                     F.count_if(~in_cur).alias("prevCount")))
     spark = df.sparkSession
-    spine = spark.range(period_days).select(
+    spine = spark.range(0, period_days, 1, 1).select(
         F.date_add(F.lit(cur_start.date()), F.col("id").cast("int")).alias("d"))
     # Both sides have at most ``period_days`` rows: a broadcast is bounded.
     joined = spine.join(F.broadcast(counted), "d", "left")
     cnt = F.coalesce(F.col("count"), F.lit(0)).cast("bigint")
     prev = F.coalesce(F.col("prevCount"), F.lit(0)).cast("bigint")
-    return (joined.select(
+    return sorted_days(joined.select(
         day_text("d").alias("day"), cnt.alias("count"),
         day_text(F.date_sub("d", period_days)).alias("prevDay"),
         prev.alias("prevCount"),
-        F.when(prev > 0, (cnt - prev) / prev).alias("growth"))
-        .orderBy("day"))
+        F.when(prev > 0, (cnt - prev) / prev).alias("growth")), "day")

@@ -24,7 +24,9 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "64MB",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.files.maxPartitionBytes": "128MB",
+    # Scans read only the pruned columns of each split, so a larger split
+    # keeps the task count of a 100 TB scan manageable.
+    "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
@@ -51,9 +53,24 @@ def build_session(master: str | None = None, app: str = "memberscope",
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_dir(spark)
+    _cluster_shuffle_defaults(spark)
     return spark
 
 
+def _cluster_shuffle_defaults(spark: SparkSession) -> None:
+    """On a cluster whose configuration does not size shuffles, start AQE
+    with many small shuffle partitions and let it coalesce them to the
+    advisory size: big shuffles (order lines) get enough partitions to stay
+    in memory, small ones (per-day rows) collapse to a few tasks."""
+    sc = spark.sparkContext
+    if sc.master.startswith("local"):
+        return
+    conf = sc.getConf()
+    if not conf.contains("spark.sql.shuffle.partitions") and \
+            not conf.contains("spark.sql.adaptive.coalescePartitions.initialPartitionNum"):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.initialPartitionNum", "8192")
+
+
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
