@@ -42,10 +42,13 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One shared table. A directory name or a catalog table both work."""
-    path = os.path.join(sf_dir, f"{name}.parquet")
-    return spark.read.parquet(path)
+def read_table(spark: SparkSession, source: str, name: str) -> DataFrame:
+    """One table, from a folder of ``<name>.parquet`` files or from the
+    catalog (metastore) when ``source`` is a database name, e.g. ``"shop"``
+    reads ``shop.<name>`` with ``spark.table``."""
+    if "/" in source or "://" in source or os.path.isdir(source):
+        return spark.read.parquet(os.path.join(source, f"{name}.parquet"))
+    return spark.table(f"{source}.{name}")
 
 
 class Tables:

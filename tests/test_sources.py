@@ -50,3 +50,17 @@ def test_jobs_write_every_product(spark, tmp_path):
     assert spark.read.json(f"{out}/hot_words").count() == 10
     assert spark.read.json(f"{out}/tag_facets").count() == len(catalog.tag_rules())
     assert spark.read.json(f"{out}/coupon_expiry").count() == 4
+
+
+def test_tables_from_the_catalog(spark):
+    from memberscope.sources.tables import read_table
+    # a folder or a catalog database name: both give the same table
+    db = "memberscope_test_db"
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
+    try:
+        spark.sql(f"CREATE OR REPLACE VIEW {db}.customer AS SELECT * FROM parquet.`{SF_SMALL}/customer.parquet`")
+        a = read_table(spark, db, "customer")
+        b = read_table(spark, SF_SMALL, "customer")
+        assert sorted(rows(a)) == sorted(rows(b))
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
