@@ -250,6 +250,24 @@ def shift(c: Column | str, unit: str, amount: int | Column) -> Column:
     return F.timestamp_add(unit, n, _col(c))
 
 
+def shift_text(c: Column | str, unit: str, amount: int,
+               patterns=DATE_PATTERNS) -> Column:
+    """A date written as text, shifted by ``amount`` units and written back
+    in its own pattern (``2019-11-30`` + 1 day → ``2019-12-01``;
+    ``2019/11/30 10:00`` stays slash-and-minutes). NULL if the text is not a
+    date. Each pattern is rendered by a literal format, chosen per row."""
+    patterns = tuple(patterns)
+    moved = shift(parse_any(c, patterns), unit, amount)
+    style = date_style(c, patterns)
+    out = None
+    for p in patterns:
+        hit = style == F.lit(p)
+        val = F.date_format(moved, p)
+        out = F.when(hit, val) if out is None else out.when(hit, val)
+    return out
+
+
 def interval_days(a: Column | str, b: Column | str) -> Column:
-    """Whole days between the calendar days of ``a`` and ``b`` (absolute)."""
+    """Whole days between the calendar days of ``a`` and ``b`` (absolute).
+    For dates written as text, pass ``parse_any(text)`` columns."""
     return F.abs(F.datediff(F.to_date(_col(a)), F.to_date(_col(b))))

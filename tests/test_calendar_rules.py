@@ -155,3 +155,12 @@ def test_pattern_layouts_are_distinct_and_fallback_agrees(spark):
     df = spark.createDataFrame([("2019-11-30",), ("2019-30-11",)], "s string")
     r = rows(df.select(cal.date_style("s", pats)))
     assert r == [("yyyy-MM-dd",), ("yyyy-dd-MM",)]
+
+
+def test_shift_text_keeps_the_pattern(spark):
+    df = spark.createDataFrame([("2019-11-30",), ("2019/11/30 10:05",), ("2019年01月31日",),
+                                ("junk",), (None,)], "s string")
+    got = [r[0] for r in rows(df.select(cal.shift_text("s", "DAY", 1)))]
+    assert got == ["2019-12-01", "2019/12/01 10:05", "2019年02月01日", None, None]
+    got = [r[0] for r in rows(df.select(cal.shift_text("s", "MONTH", 1)))]
+    assert got[2] == "2019年02月28日"  # month end clamps
