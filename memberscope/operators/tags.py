@@ -197,7 +197,8 @@ def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
     2. That frame is priced against the coupon dimension.
     3. The day sets are exploded and folded per member with ``collect_set``,
        which de-duplicates as it goes, so a member's buffer never exceeds the
-       number of distinct days; money is taken once per coupon (position 0).
+       number of distinct days; money is taken once per coupon (position 0,
+       or the single row of a coupon whose grants have no time).
     """
     pred = channel_pred if channel_pred is not None else (F.col("coupon_channel") != 1)
     per_coupon = (coupon_member
@@ -209,18 +210,22 @@ def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
                                            money("coupon_price").alias("price")),
                              "coupon_id", "left")
     flat = priced.select("memberId", "coupon_id", "first_time", "price", "n",
-                         F.posexplode("days").alias("pos", "day"))
+                         F.posexplode_outer("days").alias("pos", "day"))
     is_free = F.col("coupon_id") == F.lit(free_id)
-    amount = F.when((F.col("pos") == 0) & (F.col("n") > 0),
+    first = F.col("pos").isNull() | (F.col("pos") == 0)  # one row per coupon
+    amount = F.when(first & (F.col("n") > 0),
                     (F.col("price") * F.col("n")).cast(MONEY_TOTAL)
                     * F.lit(decimal.Decimal(str(share))))
     folded = flat.groupBy("memberId").agg(
         day_text(F.min(F.when(is_free, F.col("first_time")))).alias("freeCouponTime"),
-        F.sort_array(F.collect_set(F.when(~is_free, F.col("day")))).alias("couponTimes"),
+        F.sort_array(F.collect_set(F.when(~is_free, F.col("day")))).alias("days"),
+        F.max(F.when(~is_free, F.lit(True))).alias("has_other"),
         F.sum(amount).cast(CHARGE_MONEY).alias("chargeMoney"))
+    # couponTimes exists (possibly empty) exactly for members holding another
+    # coupon, as a per-member list over those holdings would.
     return folded.select(
         "memberId", "freeCouponTime",
-        F.when(F.size("couponTimes") > 0, F.col("couponTimes")).alias("couponTimes"),
+        F.when(F.col("has_other"), F.col("days")).alias("couponTimes"),
         "chargeMoney")
 
 

@@ -267,3 +267,17 @@ def test_order_features_one_pass_equals_separate_tags(spark):
     # member 7: two orders, latest pick with lines is 01-01, last arrival 01-04
     assert got[0] == (7, 2, "2024-01-05", Decimal("30.00"), [100], 3 * 86400)
     assert got[1][4:] == ([200], None) and got[2][4:] == ([], 3 * 86400)
+
+
+def test_coupon_features_keep_grants_without_time(spark, coupon):
+    cm = spark.createDataFrame(
+        [(5, 6, 2, None), (5, 6, 2, None), (6, 7, 2, T(2024, 1, 1)), (6, 1, 2, None)],
+        "member_id long, coupon_id int, coupon_channel int, create_time timestamp")
+    one = tags.tag_coupon_features(cm, coupon)
+    sep = (tags.tag_free_coupon(cm)
+           .join(tags.tag_coupon_times(cm), "memberId", "full")
+           .join(tags.tag_charge_money(cm, coupon), "memberId", "full"))
+    cols = ["memberId", "freeCouponTime", "couponTimes", "chargeMoney"]
+    got = sorted(rows(one, *cols))
+    assert got == sorted(rows(sep, *cols), key=lambda r: r[0])
+    assert got[0] == (5, None, [], Decimal("3.000"))
