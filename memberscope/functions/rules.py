@@ -81,6 +81,12 @@ def compile_rule(rule, schema: StructType, keep_null: bool = True) -> Column:
 
     ``keep_null``: whether ``notMatch`` keeps rows where the tag is missing
     (a search index "must not" does keep them).
+
+    A missing tag makes ``match`` / ``rangeGte`` / ``rangeBoth`` NULL, which a
+    filter and ``count_if`` treat as false; rules are only combined with AND
+    and OR, so that is the same as false throughout. The leaves stay plain
+    comparisons, which Parquet scans of a written tag table can use to skip
+    row groups. Only ``notMatch`` negates, so it settles NULL explicitly.
     """
     r = as_rule(rule)
     c = F.col(r.name)
@@ -92,21 +98,22 @@ def compile_rule(rule, schema: StructType, keep_null: bool = True) -> Column:
     if r.type in ("match", "notMatch"):
         v = _typed(r.value, elem)
         hit = F.array_contains(c, v) if is_array else (c == v)
-        hit = F.coalesce(hit, F.lit(False))
         if r.type == "match":
             return hit
-        miss = ~hit
+        # not-equal, with an unknown comparison (missing tag, or a value the
+        # column type cannot hold) counted as "does not match"
+        miss = ~F.coalesce(hit, F.lit(False))
         return miss if keep_null else (miss & c.isNotNull())
     if r.type == "rangeGte":
         v = _typed(r.value, elem)
         if is_array:
             return F.exists(c, lambda x: x >= v)
-        return F.coalesce(c >= v, F.lit(False))
+        return c >= v
     lo, hi = r.value.split("-", 1)
     vlo, vhi = _typed(lo.strip(), elem), _typed(hi.strip(), elem)
     if is_array:
         return F.exists(c, lambda x: (x >= vlo) & (x <= vhi))
-    return F.coalesce((c >= vlo) & (c <= vhi), F.lit(False))
+    return (c >= vlo) & (c <= vhi)
 
 
 def compile_rules(rules, schema: StructType, keep_null: bool = True) -> Column:

@@ -164,3 +164,9 @@ def test_shift_text_keeps_the_pattern(spark):
     assert got == ["2019-12-01", "2019/12/01 10:05", "2019年02月01日", None, None]
     got = [r[0] for r in rows(df.select(cal.shift_text("s", "MONTH", 1)))]
     assert got[2] == "2019年02月28日"  # month end clamps
+
+
+def test_not_match_with_a_value_the_column_cannot_hold(tags_df):
+    # "sex is not 'abc'" holds for every member (the value is no sex code)
+    assert _ids(audience.audience_select(tags_df, [Rule("", "sex", "abc", "notMatch")])) == [1, 2, 3]
+    assert _ids(audience.audience_select(tags_df, [Rule("", "sex", "abc", "match")])) == []
