@@ -219,14 +219,17 @@ def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
     folded = flat.groupBy("memberId").agg(
         day_text(F.min(F.when(is_free, F.col("first_time")))).alias("freeCouponTime"),
         F.sort_array(F.collect_set(F.when(~is_free, F.col("day")))).alias("days"),
+        F.max(F.when(is_free, F.lit(True))).alias("has_free"),
         F.max(F.when(~is_free, F.lit(True))).alias("has_other"),
+        F.max(F.when(F.col("n") > 0, F.lit(True))).alias("has_charge"),
         F.sum(amount).cast(CHARGE_MONEY).alias("chargeMoney"))
-    # couponTimes exists (possibly empty) exactly for members holding another
-    # coupon, as a per-member list over those holdings would.
-    return folded.select(
-        "memberId", "freeCouponTime",
-        F.when(F.col("has_other"), F.col("days")).alias("couponTimes"),
-        "chargeMoney")
+    # A member appears when it has a holding of one of the three kinds (as in
+    # the three separate tags); couponTimes exists, possibly empty, exactly
+    # for members holding another coupon.
+    return (folded.where(F.col("has_free") | F.col("has_other") | F.col("has_charge"))
+            .select("memberId", "freeCouponTime",
+                    F.when(F.col("has_other"), F.col("days")).alias("couponTimes"),
+                    "chargeMoney"))
 
 
 # ---------------------------------------------------------------- A17
