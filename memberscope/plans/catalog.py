@@ -21,6 +21,7 @@ from memberscope.functions.rules import Rule, standard_rules
 from memberscope.operators import (audience, calendar_jobs, distributions,
                                    funnel, growth, hotwords, tags)
 from memberscope.plans import sql
+from memberscope.sources import sinks
 from memberscope.sources.tables import Domain, Tables
 from memberscope.sources.text import text_lines
 from memberscope.sources.views import register_views
@@ -109,6 +110,11 @@ def member_overview(spark, sf):
                                          d.coupon_member, sentinel=PHONE_SENTINEL)
 
 
+def member_overview_json(spark, sf):
+    """A5 exported as one JSON document (B7), as the overview is handed on."""
+    return sinks.json_rows(member_overview(spark, sf), ignore_nulls=False)
+
+
 def conversion_funnel(spark, sf):
     d = Domain(spark, sf)
     return funnel.conversion_funnel(d.order, d.coupon_member,
@@ -303,6 +309,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "member_subscription": member_subscription,
     "member_heat": member_heat,
     "member_overview": member_overview,
+    "member_overview_json": member_overview_json,
     "conversion_funnel": conversion_funnel,
     "growth_daily": growth_daily,
     "growth_daily_parity": growth_daily_parity,

@@ -395,6 +395,24 @@ SELECT o_custkey AS memberId,
        CAST(abs(date_diff('day', CAST(min(o_orderdate) AS DATE), CAST(max(o_orderdate) AS DATE))) AS INTEGER) AS days
 FROM orders GROUP BY o_custkey""",
     }
+    out["member_overview_json"] = f"""
+WITH {MEMBER}, {COUPON_MEMBER},
+sx AS (SELECT list(struct_pack(memberSex := sex, sexCount := n) ORDER BY sex, n) AS l
+       FROM (SELECT sex, count(id) AS n FROM member GROUP BY sex)),
+ch AS (SELECT list(struct_pack(memberChannel := member_channel, channelCount := n)
+                   ORDER BY member_channel, n) AS l
+       FROM (SELECT member_channel, count(id) AS n FROM member GROUP BY member_channel)),
+sb AS (SELECT [struct_pack(subCount := count_if(mp_open_id <> 'null'),
+                           unSubCount := count_if(mp_open_id = 'null'))] AS l FROM member),
+rc AS (SELECT count_if(phone = 'null') AS reg, count_if(phone <> 'null') AS complete FROM member),
+oa AS (SELECT count_if(n = 1) AS o1, count_if(n >= 2) AS o2
+       FROM (SELECT o_custkey, count(o_orderkey) AS n FROM orders GROUP BY o_custkey)),
+cp AS (SELECT count(DISTINCT member_id) AS c FROM coupon_member)
+SELECT CAST(to_json(struct_pack(
+         memberSexes := sx.l, memberChannels := ch.l, memberMpSubs := sb.l,
+         memberHeat := struct_pack(reg := rc.reg, complete := rc.complete, "order" := oa.o1,
+                                   orderAgain := oa.o2, coupon := cp.c))) AS VARCHAR) AS value
+FROM sx, ch, sb, rc, oa, cp"""
     out["member_sex_sql"] = out["member_sex"]
     out["reg_two_weeks_sql"] = out["reg_two_weeks"]
     out["member_heat_orders_sql"] = """

@@ -41,10 +41,12 @@ def write_tag_index(tags: DataFrame, resource: str, fmt: str,
     tags.write.format(fmt).mode("append").options(**opts).save()
 
 
-def json_rows(df: DataFrame) -> DataFrame:
+def json_rows(df: DataFrame, ignore_nulls: bool = True) -> DataFrame:
     """Each row as one JSON text ``value`` (for export; keep columns
-    everywhere else)."""
-    return df.select(F.to_json(F.struct(*df.columns)).alias("value"))
+    everywhere else). NULL fields are left out unless ``ignore_nulls`` is
+    false, then they are written as ``null``."""
+    opts = {"ignoreNullFields": "true" if ignore_nulls else "false"}
+    return df.select(F.to_json(F.struct(*df.columns), opts).alias("value"))
 
 
 def write_member_text(selected: DataFrame, path: str, col: str = "memberId") -> None:
