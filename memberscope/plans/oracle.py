@@ -250,7 +250,7 @@ def _facets() -> str:
     for r in C.tag_rules():
         esc = [x.replace("'", "''") for x in (r.label, r.name, r.value, r.type)]
         parts.append(f"SELECT '{esc[0]}' AS label, '{esc[1]}' AS name, '{esc[2]}' AS value, "
-                     f"'{esc[3]}' AS type, count_if({rule_sql(r)}) AS members FROM tags")
+                     f"'{esc[3]}' AS type, CAST(count_if({rule_sql(r)}) AS BIGINT) AS members FROM tags")
     return _tag_ctes() + "\n" + "\nUNION ALL\n".join(parts)
 
 
@@ -306,13 +306,15 @@ FROM customer GROUP BY c_mktsegment""",
 SELECT c_nationkey AS memberChannel, count(c_custkey) AS channelCount
 FROM customer GROUP BY c_nationkey""",
         "member_subscription": f"""
-SELECT count_if(o_orderpriority <> '{C.PRIORITY_SENTINEL}') AS subCount,
-       count_if(o_orderpriority = '{C.PRIORITY_SENTINEL}') AS unSubCount
+SELECT CAST(count_if(o_orderpriority <> '{C.PRIORITY_SENTINEL}') AS BIGINT) AS subCount,
+       CAST(count_if(o_orderpriority = '{C.PRIORITY_SENTINEL}') AS BIGINT) AS unSubCount
 FROM orders""",
         "member_heat": f"""
 WITH {COUPON_MEMBER},
-rc AS (SELECT count_if(c_name = 'null') AS reg, count_if(c_name <> 'null') AS complete FROM customer),
-oa AS (SELECT count_if(n = 1) AS "order", count_if(n >= 2) AS orderAgain
+rc AS (SELECT CAST(count_if(c_name = 'null') AS BIGINT) AS reg,
+              CAST(count_if(c_name <> 'null') AS BIGINT) AS complete FROM customer),
+oa AS (SELECT CAST(count_if(n = 1) AS BIGINT) AS "order",
+              CAST(count_if(n >= 2) AS BIGINT) AS orderAgain
        FROM (SELECT o_custkey, count(o_orderkey) AS n FROM orders GROUP BY o_custkey)),
 cp AS (SELECT count(DISTINCT member_id) AS coupon FROM coupon_member)
 SELECT reg, complete, "order", orderAgain, coupon FROM rc, oa, cp""",
@@ -416,6 +418,6 @@ FROM sx, ch, sb, rc, oa, cp"""
     out["member_sex_sql"] = out["member_sex"]
     out["reg_two_weeks_sql"] = out["reg_two_weeks"]
     out["member_heat_orders_sql"] = """
-SELECT count_if(n = 1) AS "order", count_if(n >= 2) AS orderAgain
+SELECT CAST(count_if(n = 1) AS BIGINT) AS "order", CAST(count_if(n >= 2) AS BIGINT) AS orderAgain
 FROM (SELECT o_custkey, count(o_orderkey) AS n FROM orders GROUP BY o_custkey)"""
     return out

@@ -56,6 +56,19 @@ def test_query_matches_oracle(spark, duck, key):
     assert _bag(df.columns, s_rows) == _bag(d_cols, d_rows)
 
 
+DUCK_TO_SPARK = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int",
+                 "DOUBLE": "double", "BOOLEAN": "boolean"}
+
+
+@pytest.mark.parametrize("key", sorted(SQL))
+def test_query_types_match_oracle(spark, duck, key):
+    """Same column types in both engines (counts BIGINT, money DECIMAL(p,s))."""
+    s = {f.name: f.dataType.simpleString() for f in QUERIES[key](spark, SF_SMALL).schema.fields}
+    rel = duck.sql(SQL[key])
+    d = {n: DUCK_TO_SPARK.get(str(t), str(t).lower()) for n, t in zip(rel.columns, rel.types)}
+    assert s == d
+
+
 def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["day", "regCount", "memberCount", "orderCount", "gmv"]
