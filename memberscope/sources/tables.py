@@ -51,6 +51,22 @@ def read_table(spark: SparkSession, source: str, name: str) -> DataFrame:
     return spark.table(f"{source}.{name}")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Spread rows over all task slots when the input is too coarse.
+
+    A scan has as many tasks as its file splits. When that is fewer than the
+    cluster's task slots (a few large files, or a single row group), the
+    CPU-heavy per-row work that follows would run on a few cores; a
+    round-robin repartition spreads it. On a large input (many splits) this
+    is a no-op, so no shuffle is added at scale. Decided at planning time
+    from the scan's partition count; nothing is executed.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < slots:
+        return df.repartition(slots)
+    return df
+
+
 class Tables:
     """Lazy accessor for the shared tables of one data folder."""
 
