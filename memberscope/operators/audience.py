@@ -40,12 +40,20 @@ def tag_facets(tags: DataFrame, rules, keep_null: bool = True) -> DataFrame:
 
 def coupon_day_buckets(df: DataFrame, member_col: str, day_col: str, as_of,
                        valid_days: int = COUPON_VALID_DAYS,
-                       ks=RECENT_DAYS, unique_member_days: bool = False) -> DataFrame:
-    """Distinct members per bucket ``k``, where bucket k holds the grants
-    made exactly ``valid_days + k`` days before ``as_of``.
+                       ks=RECENT_DAYS, unique_member_days: bool = False,
+                       expiring: bool = False) -> DataFrame:
+    """Distinct members per bucket ``k`` of coupon grants.
+
+    A coupon granted on day g expires on g + ``valid_days``. Bucket k holds
+    the grants that expired k days before ``as_of`` (granted on
+    ``as_of - valid_days - k``), or with ``expiring=True`` the grants that
+    expire k days after it (granted on ``as_of - valid_days + k``): the two
+    readings of the coupon-reminder pages, in one place.
 
     ``day_col`` is a day (DATE or yyyy-MM-dd text). Columns: ``k``, ``day``
-    (the grant day of the bucket), ``members``. Every k in ``ks`` is present.
+    (the grant day of the bucket), ``days_from_expiry`` (``as_of`` minus the
+    expiry day: k, or -k when expiring), ``members``. Every k in ``ks`` is
+    present.
 
     A bucket is one day, so when the input has at most one row per (member,
     day) – ``unique_member_days=True`` – a plain count is the distinct count
@@ -53,37 +61,42 @@ def coupon_day_buckets(df: DataFrame, member_col: str, day_col: str, as_of,
     """
     ks = list(ks)
     as_of = as_date(as_of)
-    k = F.datediff(F.lit(as_of), F.to_date(F.col(day_col))) - F.lit(valid_days)
+    sign = -1 if expiring else 1
+    since_expiry = F.datediff(F.lit(as_of), F.to_date(F.col(day_col))) - F.lit(valid_days)
+    k = since_expiry * F.lit(sign)
     counted = (df.select(k.alias("k"), F.col(member_col).alias("m"))
                .where(F.col("k").isin(ks) & F.col("m").isNotNull())
                .groupBy("k").agg((F.count("m") if unique_member_days
                                   else F.countDistinct("m")).alias("members")))
     spine = df.sparkSession.range(0, 1, 1, 1).select(
         F.explode(F.array(*[F.lit(x) for x in ks])).alias("k"))
+    offset = F.col("k") * F.lit(sign)
     # Both sides have at most len(ks) rows: the broadcast is bounded.
     return sorted_days(
         spine.join(F.broadcast(counted), "k", "left")
         .select(F.col("k").cast("int").alias("k"),
-                F.date_format(F.date_sub(F.lit(as_of),
-                                         F.col("k") + F.lit(valid_days)),
+                F.date_format(F.date_sub(F.lit(as_of), offset + F.lit(valid_days)),
                               "yyyy-MM-dd").alias("day"),
+                offset.cast("int").alias("days_from_expiry"),
                 F.coalesce("members", F.lit(0)).cast("bigint").alias("members")), "k")
 
 
 def free_coupon_reminder(free_coupon: DataFrame, as_of,
                          valid_days: int = COUPON_VALID_DAYS,
-                         ks=RECENT_DAYS) -> DataFrame:
+                         ks=RECENT_DAYS, expiring: bool = False) -> DataFrame:
     """A22 over the ``freeCouponTime`` tag (one row per member)."""
     return coupon_day_buckets(free_coupon, "memberId", "freeCouponTime", as_of,
-                              valid_days, ks, unique_member_days=True)
+                              valid_days, ks, unique_member_days=True,
+                              expiring=expiring)
 
 
 def coupon_expiry(coupon_times: DataFrame, as_of,
                   valid_days: int = COUPON_VALID_DAYS,
-                  ks=COUPON_EXPIRY_DAYS) -> DataFrame:
+                  ks=COUPON_EXPIRY_DAYS, expiring: bool = False) -> DataFrame:
     """The same buckets over every day of the ``couponTimes`` tag (one
     row per member, each day listed once)."""
     days = coupon_times.select("memberId",
                                F.explode("couponTimes").alias("couponDay"))
     return coupon_day_buckets(days, "memberId", "couponDay", as_of,
-                              valid_days, ks, unique_member_days=True)
+                              valid_days, ks, unique_member_days=True,
+                              expiring=expiring)

@@ -240,7 +240,7 @@ WITH {COUPON_MEMBER},
 src AS ({source}),
 b AS (SELECT CAST(date_diff('day', CAST({day_expr} AS DATE), {_d(0)}) - 8 AS INTEGER) AS k, m FROM src)
 SELECT ks.k, strftime(CAST({_d(0)} - INTERVAL (ks.k + 8) DAY AS DATE), '%Y-%m-%d') AS day,
-       CAST(count(DISTINCT b.m) AS BIGINT) AS members
+       ks.k AS days_from_expiry, CAST(count(DISTINCT b.m) AS BIGINT) AS members
 FROM (VALUES {ks_sql}) ks(k) LEFT JOIN b ON b.k = ks.k
 GROUP BY ks.k"""
 

@@ -124,11 +124,18 @@ def test_coupon_buckets(tags_df):
     # as_of 2024-01-30, valid 8 days: k=1 is 2024-01-21, k=7 is 2024-01-15
     r = rows(audience.free_coupon_reminder(tags_df.select("memberId", "freeCouponTime"),
                                            "2024-01-30"))
-    assert r[0] == (1, "2024-01-21", 1) and r[6] == (7, "2024-01-15", 1)
-    assert [x[2] for x in r[1:6]] == [0] * 5
+    assert r[0] == (1, "2024-01-21", 1, 1) and r[6] == (7, "2024-01-15", 7, 1)
+    assert [x[3] for x in r[1:6]] == [0] * 5
     e = rows(audience.coupon_expiry(tags_df.select("memberId", "couponTimes"), "2024-01-30"))
-    assert e == [(1, "2024-01-21", 0), (3, "2024-01-19", 1), (5, "2024-01-17", 0),
-                 (7, "2024-01-15", 0)]
+    assert e == [(1, "2024-01-21", 1, 0), (3, "2024-01-19", 3, 1), (5, "2024-01-17", 5, 0),
+                 (7, "2024-01-15", 7, 0)]
+    # the other reading: coupons that expire k days after as_of (trap 23)
+    x = rows(audience.coupon_expiry(tags_df.select("memberId", "couponTimes"), "2024-01-24",
+                                    expiring=True))
+    assert x[2] == (5, "2024-01-21", -5, 0) and x[0] == (1, "2024-01-17", -1, 0)
+    y = rows(audience.free_coupon_reminder(tags_df.select("memberId", "freeCouponTime"),
+                                           "2024-01-20", expiring=True))
+    assert (y[0][0], y[0][1], y[0][3]) == (1, "2024-01-13", 0) and y[6][1:] == ("2024-01-19", -7, 0)
 
 
 # ---------------------------------------------------------------- sinks
