@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from memberscope.functions.rules import Rule, as_rule
+from memberscope.functions.rules import as_rule
 from memberscope.plans import catalog as C
 
 AS_OF = _dt.date.fromisoformat(C.AS_OF)

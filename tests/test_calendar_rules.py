@@ -2,11 +2,9 @@
 (A20–A23) and sinks."""
 
 import datetime as dt
-import os
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import rows
 from memberscope.functions import calendar as cal
