@@ -75,10 +75,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder for checkpoints and intermediate tables.
 
     Read from ``spark.checkpoint.dir``, which the cluster sets to a shared
-    file system. Only when it is unset (local tests) a fresh folder is made.
+    file system. Only in local mode, when it is unset (tests), a fresh folder
+    is made; on a cluster a machine-local folder would not survive the loss
+    of that machine, so an unset value is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir is not set: point it at a "
+                             "shared folder (HDFS, object store) for this cluster")
         path = tempfile.mkdtemp(prefix="memberscope-ckpt-")
         spark.conf.set("spark.checkpoint.dir", path)
     spark.sparkContext.setCheckpointDir(path)

@@ -64,3 +64,9 @@ def test_tables_from_the_catalog(spark):
         assert sorted(rows(a)) == sorted(rows(b))
     finally:
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
+def test_checkpoint_dir_comes_from_the_session(spark):
+    from memberscope.session import checkpoint_dir, scratch_path
+    assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+    assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
