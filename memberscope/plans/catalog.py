@@ -121,6 +121,13 @@ def conversion_funnel(spark, sf):
                                     behaviour=d.t.events)
 
 
+def conversion_funnel_constants(spark, sf):
+    """A6 as the reference reports it: no behaviour table, so the first three
+    stages are its constants; the last three are computed."""
+    d = Domain(spark, sf)
+    return funnel.conversion_funnel(d.order, d.coupon_member)
+
+
 # ---------------------------------------------------------------- A7–A10
 
 def growth_daily(spark, sf):
@@ -204,6 +211,10 @@ def tag_over_time(spark, sf):
     return tags.tag_over_time(Domain(spark, sf).delivery)
 
 
+def tag_over_time_per_delivery(spark, sf):
+    return tags.tag_over_time(Domain(spark, sf).delivery, per_delivery=True)
+
+
 def tag_feedback_latest(spark, sf):
     return tags.tag_feedback_latest(Domain(spark, sf).feedback)
 
@@ -311,6 +322,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "member_overview": member_overview,
     "member_overview_json": member_overview_json,
     "conversion_funnel": conversion_funnel,
+    "conversion_funnel_constants": conversion_funnel_constants,
     "growth_daily": growth_daily,
     "growth_daily_parity": growth_daily_parity,
     "reg_two_weeks": reg_two_weeks,
@@ -327,6 +339,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_coupon_times": tag_coupon_times,
     "tag_charge_money": tag_charge_money,
     "tag_over_time": tag_over_time,
+    "tag_over_time_per_delivery": tag_over_time_per_delivery,
     "tag_feedback_latest": tag_feedback_latest,
     "member_tags": member_tags,
     "member_tags_parity": member_tags_parity,

@@ -415,6 +415,24 @@ SELECT CAST(to_json(struct_pack(
          memberHeat := struct_pack(reg := rc.reg, complete := rc.complete, "order" := oa.o1,
                                    orderAgain := oa.o2, coupon := cp.c))) AS VARCHAR) AS value
 FROM sx, ch, sb, rc, oa, cp"""
+    out["conversion_funnel_constants"] = f"""
+WITH {COUPON_MEMBER},
+done AS (SELECT o_custkey AS m, count(o_orderkey) AS n FROM orders
+         WHERE o_orderstatus = 'F' GROUP BY o_custkey),
+buy AS (SELECT DISTINCT member_id AS m FROM coupon_member WHERE coupon_channel = 1)
+SELECT CAST(1000 AS BIGINT) AS present, CAST(800 AS BIGINT) AS click,
+       CAST(600 AS BIGINT) AS addCart,
+       (SELECT count(*) FROM done) AS "order",
+       (SELECT count(*) FROM done WHERE n > 1) AS orderAgain,
+       (SELECT count(*) FROM done JOIN buy ON done.m = buy.m WHERE done.n > 1) AS chargeCoupon"""
+    out["tag_over_time_per_delivery"] = """
+WITH per_order AS (
+  SELECT o.o_custkey AS memberId, o.o_orderdate AS pick, max(l.l_shipdate) AS arrive
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  GROUP BY o.o_orderkey, o.o_custkey, o.o_orderdate)
+SELECT memberId,
+       max(CAST(floor(epoch(arrive)) AS BIGINT) - CAST(floor(epoch(pick)) AS BIGINT)) AS overTime
+FROM per_order GROUP BY memberId"""
     out["member_sex_sql"] = out["member_sex"]
     out["reg_two_weeks_sql"] = out["reg_two_weeks"]
     out["member_heat_orders_sql"] = """
