@@ -1,15 +1,21 @@
-"""Property tests: on random small inputs (NULLs, duplicates, orders without
-lines, lines of unknown orders, grants without a time) the one-pass tag
-computations equal the feature-by-feature forms."""
+"""Property tests on random small inputs.
+
+- With NULLs, duplicates, orders without lines, lines of unknown orders and
+  grants without a time, the one-pass tag computations equal the
+  feature-by-feature forms.
+- An audience selection equals a direct evaluation of the rules on each row.
+"""
 
 import datetime as dt
+from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from conftest import rows
-from memberscope.operators import tags
+from memberscope.functions.rules import Rule
+from memberscope.operators import audience, tags
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=list(HealthCheck))
@@ -69,3 +75,69 @@ def test_coupon_features_equal_separate_tags(spark, hold):
            .join(tags.tag_charge_money(cm, coupon), "memberId", "full"))
     cols = ["memberId", "freeCouponTime", "couponTimes", "chargeMoney"]
     assert _non_null(one, cols) == _non_null(sep, cols)
+
+
+# ---------------------------------------------------------------- rules
+
+TAG_SCHEMA = ("memberId long, sex int, subOpenId string, orderCount long, "
+              "orderMoney decimal(38,2), favGoods array<long>, regTime string")
+
+tag_row = st.tuples(
+    st.one_of(st.none(), st.sampled_from([-1, 1, 2])),
+    st.one_of(st.none(), st.sampled_from(["null", "o1", "o2"])),
+    st.one_of(st.none(), st.integers(0, 4)),
+    st.one_of(st.none(), st.integers(0, 30000).map(lambda c: Decimal(c) / 100)),
+    st.one_of(st.none(), st.lists(st.integers(1, 6), max_size=3, unique=True)),
+    st.one_of(st.none(), st.sampled_from(["2024-01-01", "2024-01-15", "2024-01-29"])))
+
+rule = st.one_of(
+    st.builds(lambda v: Rule("", "sex", str(v), "match"), st.sampled_from([-1, 1, 2, 7])),
+    st.builds(lambda v: Rule("", "subOpenId", v, "notMatch"), st.sampled_from(["null", "o1"])),
+    st.builds(lambda v: Rule("", "subOpenId", v, "match"), st.sampled_from(["null", "o2"])),
+    st.builds(lambda v: Rule("", "orderCount", str(v), "rangeGte"), st.integers(0, 4)),
+    st.builds(lambda v: Rule("", "orderCount", str(v), "match"), st.integers(0, 4)),
+    st.builds(lambda a, b: Rule("", "orderMoney", f"{a}-{a + b}", "rangeBoth"),
+              st.integers(0, 200), st.integers(0, 100)),
+    st.builds(lambda v: Rule("", "favGoods", str(v), "match"), st.integers(1, 6)),
+    st.just(Rule("", "favGoods", "", "exists")),
+    st.just(Rule("", "regTime", "", "exists")),
+    st.builds(lambda v: Rule("", "regTime", v, "rangeGte"),
+              st.sampled_from(["2024-01-10", "2024-01-20"])))
+
+COLS = ["sex", "subOpenId", "orderCount", "orderMoney", "favGoods", "regTime"]
+
+
+def _holds(r, row, keep_null):
+    v = row[COLS.index(r.name)]
+    if r.type == "exists":
+        return v is not None and (not isinstance(v, list) or len(v) > 0)
+    if r.type == "rangeBoth":
+        lo, hi = (Decimal(x) for x in r.value.split("-"))
+        return v is not None and lo <= v <= hi
+    if isinstance(v, list):
+        hit = int(r.value) in v
+    elif v is None:
+        hit = None
+    else:
+        hit = v == type(v)(r.value)
+    if r.type == "match":
+        return bool(hit)
+    if r.type == "notMatch":
+        return (not hit) if v is not None else keep_null
+    return v is not None and v >= type(v)(r.value)  # rangeGte
+
+
+@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@given(tag_rows=st.lists(tag_row, max_size=12), rules=st.lists(rule, max_size=4),
+       keep_null=st.booleans())
+def test_rule_selection_equals_direct_evaluation(spark, tag_rows, rules, keep_null):
+    data = [(i, *r) for i, r in enumerate(tag_rows)]
+    df = spark.createDataFrame(data, TAG_SCHEMA)
+    got = sorted(r[0] for r in audience.audience_select(df, rules, keep_null)
+                 .select("memberId").collect())
+    by_field = {}
+    for r in rules:
+        by_field.setdefault(r.name, []).append(r)
+    want = sorted(i for i, *row in data
+                  if all(any(_holds(r, row, keep_null) for r in rs) for rs in by_field.values()))
+    assert got == want
