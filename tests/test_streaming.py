@@ -46,3 +46,22 @@ def test_stream_checkpoint_is_under_shared_folder(spark):
         q.stop()
     assert n == events.where(F.col("event_type") == "purchase").count()
     assert ckpt
+
+
+def test_stream_hot_words_match_batch(spark, tmp_path):
+    from memberscope.operators.hotwords import hot_words
+    from memberscope.sources.text import read_lines
+    from memberscope.streaming.hotwords import read_line_stream, start_hot_words
+    d = tmp_path / "log"
+    d.mkdir()
+    (d / "a.txt").write_text("apple\tx\npear\tq\napple\n\t\t\n", encoding="utf-8")
+    (d / "b.txt").write_text("kiwi\tz\napple\tz\npear\n", encoding="utf-8")
+    name = f"hot_{uuid.uuid4().hex[:8]}"
+    q = start_hot_words(read_line_stream(spark, str(d), max_files_per_trigger=1), name, k=3)
+    try:
+        q.processAllAvailable()
+        got = rows(spark.table(name))
+    finally:
+        q.stop()
+    want = rows(hot_words(read_lines(spark, str(d)), k=3))
+    assert got == want == [("apple", 3), ("pear", 2), ("", 1)]
