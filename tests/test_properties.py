@@ -4,6 +4,8 @@
   grants without a time, the one-pass tag computations equal the
   feature-by-feature forms.
 - An audience selection equals a direct evaluation of the rules on each row.
+- The growth line and the week comparison equal a direct count over the
+  events.
 """
 
 import datetime as dt
@@ -15,7 +17,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from memberscope.functions.rules import Rule
-from memberscope.operators import audience, tags
+from memberscope.operators import audience, growth, tags
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=list(HealthCheck))
@@ -141,3 +143,42 @@ def test_rule_selection_equals_direct_evaluation(spark, tag_rows, rules, keep_nu
     want = sorted(i for i, *row in data
                   if all(any(_holds(r, row, keep_null) for r in rs) for rs in by_field.values()))
     assert got == want
+
+
+# ---------------------------------------------------------------- growth
+
+event_time = st.integers(0, 24 * 30 - 1).map(
+    lambda h: dt.datetime(2024, 1, 1) + dt.timedelta(hours=h, minutes=h % 60))
+
+
+@SETTINGS
+@given(regs=st.lists(st.one_of(st.none(), event_time), max_size=30),
+       buys=st.lists(st.tuples(st.one_of(st.none(), event_time),
+                               st.integers(0, 99999).map(lambda c: c / 100)), max_size=30))
+def test_growth_equals_python_model(spark, regs, buys):
+    as_of = dt.date(2024, 1, 20)
+    start = dt.datetime(2024, 1, 13)
+    m = spark.createDataFrame([(i, t) for i, t in enumerate(regs)],
+                              "id long, create_time timestamp")
+    o = spark.createDataFrame([(i, p, t) for i, (t, p) in enumerate(buys)],
+                              "order_id long, origin_price double, create_time timestamp")
+    got = rows(growth.growth_daily(m, o, as_of))
+    reg_days = sorted({t.date() for t in regs if t and t >= start})
+    buy_days = {t.date() for t, _ in buys if t and t >= start}
+    want = []
+    for d in reg_days:
+        if d not in buy_days:
+            continue
+        new = sum(1 for t in regs if t and t.date() == d)
+        members = sum(1 for t in regs if t and t.date() <= d)
+        orders = sum(1 for t, _ in buys if t and t.date() <= d)
+        gmv = sum(Decimal(str(p)).quantize(Decimal("0.01")) for t, p in buys if t and t.date() <= d)
+        want.append((d.isoformat(), new, members, orders, gmv))
+    assert got == want
+    wow = {r[0]: r for r in rows(growth.week_on_week(m, "create_time", "id", as_of))}
+    assert len(wow) == 7
+    for day, cnt, prev_day, prev, g in wow.values():
+        d = dt.date.fromisoformat(day)
+        assert cnt == sum(1 for t in regs if t and t.date() == d)
+        assert prev == sum(1 for t in regs if t and t.date() == d - dt.timedelta(days=7))
+        assert g == ((cnt - prev) / prev if prev else None)
