@@ -39,15 +39,21 @@ def stream_daily_counts(records: DataFrame, ts: str, id_col: str,
     """Streaming ``day, count_name``: ``count(id)`` per calendar day of
     ``ts``. ``lateness`` bounds how late a record may arrive and how long a
     day's state is kept."""
-    # Event time must be TIMESTAMP for a watermark; a wall-clock
-    # TIMESTAMP_NTZ column is read in the session zone (UTC).
+    # Event time must be TIMESTAMP for a watermark. A wall-clock
+    # TIMESTAMP_NTZ is taken as UTC (whatever the session zone), windows are
+    # UTC days, and each is labelled with its UTC date: the same days as the
+    # batch products.
     if records.schema[ts].dataType.typeName() == "timestamp_ntz":
-        records = records.withColumn(ts, F.col(ts).cast("timestamp"))
+        zone = records.sparkSession.conf.get("spark.sql.session.timeZone")
+        records = records.withColumn(
+            ts, F.from_utc_timestamp(F.col(ts).cast("timestamp"), zone))
     w = F.window(F.col(ts), "1 day")
+    day = F.date_format(F.convert_timezone(None, F.lit("UTC"), F.col("w.start")),
+                        "yyyy-MM-dd")
     return (records.withWatermark(ts, lateness)
             .groupBy(w.alias("w"))
             .agg(F.count(id_col).alias(count_name))
-            .select(F.date_format("w.start", "yyyy-MM-dd").alias("day"), count_name))
+            .select(day.alias("day"), count_name))
 
 
 def start_daily_counts(counts: DataFrame, name: str, sink: str = "memory",
