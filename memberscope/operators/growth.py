@@ -1,6 +1,11 @@
 """Growth products: daily growth line (A7), daily counts in a window
 and week-on-week comparison (A10).
 
+The growth line is built from a per-day rollup (``daily_rollup``): one row per
+day with activity. Computed on the fly it costs one scan of each input; kept
+as a table and refreshed day by day, it removes even that scan of the raw
+history (``growth_from_rollup`` reads only the rollup).
+
 Plan shape, at any scale: one scan of each input, a partial aggregation per
 day inside the scan stage, one small shuffle of (day, partial counts), then a
 window over the per-day rows. The per-day frame has one row per calendar day,
@@ -10,9 +15,7 @@ most, however many members and orders there are.
 
 from __future__ import annotations
 
-import datetime as _dt
-
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from memberscope.functions.calendar import (as_date, day_key, day_start,
@@ -25,14 +28,6 @@ def _running():
     return Window.orderBy("d").rowsBetween(Window.unboundedPreceding, 0)
 
 
-def _bucketed_day(df: DataFrame, ts: str, start: _dt.datetime) -> Column:
-    """Day of ``ts``; everything before ``start`` falls into the day before
-    it, so one running sum yields "total before the window plus the days so
-    far" from a single scan."""
-    return F.when(F.col(ts) >= ts_literal(df, ts, start), day_key(ts)) \
-            .otherwise(F.lit(start.date() - _dt.timedelta(days=1)))
-
-
 def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
                  id_col: str = "id", member_ts: str = "create_time",
                  order_id: str = "order_id", order_ts: str = "create_time",
@@ -54,8 +49,6 @@ def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
     one side lose their GMV.
     """
     start = day_start(as_of, -days)
-    start_day = start.date()
-
     m = member.where(F.col(member_ts).isNotNull())
     o = order.where(F.col(order_ts).isNotNull())
     if parity:
@@ -79,23 +72,66 @@ def growth_daily(member: DataFrame, order: DataFrame, as_of, days: int = 7,
             (pre + F.sum("day_gmv").over(_running()))
             .cast(MONEY_TOTAL).alias("gmv")), "day")
 
-    m_daily = (m.groupBy(_bucketed_day(m, member_ts, start).alias("d"))
-               .agg(F.count(id_col).alias("regCount")))
-    m_run = m_daily.select(
-        "d", "regCount",
-        F.sum("regCount").over(_running()).cast("bigint").alias("memberCount"))
-    o_daily = (o.groupBy(_bucketed_day(o, order_ts, start).alias("d"))
-               .agg(F.count(order_id).alias("n"),
-                    F.sum(money(price)).alias("g")))
-    o_run = o_daily.select(
+    rollup = daily_rollup(member, order, id_col=id_col, member_ts=member_ts,
+                          order_id=order_id, order_ts=order_ts, price=price)
+    return growth_from_rollup(rollup, as_of, days)
+
+
+def daily_rollup(member: DataFrame, order: DataFrame, id_col: str = "id",
+                 member_ts: str = "create_time", order_id: str = "order_id",
+                 order_ts: str = "create_time", price: str = "origin_price",
+                 since=None, until=None) -> DataFrame:
+    """One row per calendar day with registrations or orders: ``d`` (DATE),
+    ``reg_rows``, ``regCount``, ``order_rows``, ``orders``, ``gmv_day``.
+
+    This is all the growth line needs from the history, a few thousand rows
+    for ten years. At scale, keep it as a table partitioned by day and
+    refresh only new days (``since``/``until`` bound the time columns and are
+    pushed into the scans); ``growth_from_rollup`` then never rereads the raw
+    history. Each input is one aggregation by day (partial aggregation
+    map-side, so a busy day sends one row per task).
+    """
+    def bounded(df: DataFrame, ts: str) -> DataFrame:
+        df = df.where(F.col(ts).isNotNull())
+        if since is not None:
+            df = df.where(F.col(ts) >= ts_literal(df, ts, day_start(since)))
+        if until is not None:
+            df = df.where(F.col(ts) < ts_literal(df, ts, day_start(until)))
+        return df
+
+    m = (bounded(member, member_ts).groupBy(day_key(member_ts).alias("d"))
+         .agg(F.count(F.lit(1)).alias("reg_rows"), F.count(id_col).alias("regCount")))
+    o = (bounded(order, order_ts).groupBy(day_key(order_ts).alias("d"))
+         .agg(F.count(F.lit(1)).alias("order_rows"), F.count(order_id).alias("orders"),
+              F.sum(money(price)).alias("gmv_day")))
+    zero = F.lit(0).cast("bigint")
+    return m.join(o, "d", "full").select(
         "d",
-        F.sum("n").over(_running()).cast("bigint").alias("orderCount"),
-        F.sum("g").over(_running()).cast(MONEY_TOTAL).alias("gmv"))
-    return sorted_days(
-        m_run.where(F.col("d") >= F.lit(start_day))
-        .join(o_run.where(F.col("d") >= F.lit(start_day)), "d", "inner")
-        .select(day_text("d").alias("day"), "regCount", "memberCount",
-                "orderCount", "gmv"), "day")
+        F.coalesce("reg_rows", zero).alias("reg_rows"),
+        F.coalesce("regCount", zero).alias("regCount"),
+        F.coalesce("order_rows", zero).alias("order_rows"),
+        F.coalesce("orders", zero).alias("orders"),
+        "gmv_day")
+
+
+def growth_from_rollup(rollup: DataFrame, as_of, days: int = 7) -> DataFrame:
+    """The growth line (see ``growth_daily``) from a per-day rollup.
+
+    Running sums over all days up to each day give the to-date numbers; the
+    days shown are those from ``as_of - days`` with both registrations and
+    orders (the day join of the two sides). Works on the rollup's day rows
+    only, so its cost does not grow with the raw history.
+    """
+    start_day = day_start(as_of, -days).date()
+    run = rollup.select(
+        "d", "regCount", "reg_rows", "order_rows",
+        F.sum("regCount").over(_running()).cast("bigint").alias("memberCount"),
+        F.sum("orders").over(_running()).cast("bigint").alias("orderCount"),
+        F.sum("gmv_day").over(_running()).cast(MONEY_TOTAL).alias("gmv"))
+    shown = run.where((F.col("d") >= F.lit(start_day)) &
+                      (F.col("reg_rows") > 0) & (F.col("order_rows") > 0))
+    return sorted_days(shown.select(day_text("d").alias("day"), "regCount",
+                                    "memberCount", "orderCount", "gmv"), "day")
 
 
 def daily_counts(df: DataFrame, ts: str, id_col: str, start, end,

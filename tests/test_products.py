@@ -281,3 +281,13 @@ def test_coupon_features_keep_grants_without_time(spark, coupon):
     got = sorted(rows(one, *cols))
     assert got == sorted(rows(sep, *cols), key=lambda r: r[0])
     assert got[0] == (5, None, [], Decimal("3.000"))
+
+
+def test_growth_from_a_persisted_incremental_rollup(spark, reg_events, buy_events, tmp_path):
+    # The rollup built in two parts (history, then new days) and written to a
+    # table gives the same growth line as the one-shot product.
+    p = str(tmp_path / "rollup")
+    growth.daily_rollup(reg_events, buy_events, until="2024-01-04").write.parquet(p)
+    growth.daily_rollup(reg_events, buy_events, since="2024-01-04").write.mode("append").parquet(p)
+    from_table = growth.growth_from_rollup(spark.read.parquet(p), "2024-01-10")
+    assert rows(from_table) == rows(growth.growth_daily(reg_events, buy_events, "2024-01-10"))
