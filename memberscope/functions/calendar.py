@@ -152,16 +152,71 @@ def signatures_unique(patterns) -> bool:
         ch.isdigit() and ch != "9" for s in sigs for ch in s)
 
 
+def _fixed_width(pattern: str) -> bool:
+    """True when every letter of the pattern belongs to a known field, so
+    the pattern is a fixed-width digit layout."""
+    return all(w or not t.isascii() or not t.isalpha() for t, w in _layout(pattern))
+
+
+def _from_fields(c: Column, pattern: str) -> Column:
+    """The wall-clock value of a text laid out as ``pattern``, read field by
+    field at its fixed positions: a TIMESTAMP_NTZ, so the result does not
+    depend on the session time zone. Impossible values (month 13, Feb 30,
+    hour 24, second 60) give NULL. Missing fields default like a date parser:
+    year 1970, month and day 1, time 00:00:00."""
+    fields, pos = {}, 1
+    for tok, width in _layout(pattern):
+        if width:
+            fields[tok] = F.substring(c, pos, width).cast("int")
+            pos += width
+        else:
+            pos += 1
+    y, mo, d = (fields.get("yyyy", F.lit(1970)), fields.get("MM", F.lit(1)),
+                fields.get("dd", F.lit(1)))
+    h, mi, sec = (fields.get("HH", F.lit(0)), fields.get("mm", F.lit(0)),
+                  fields.get("ss", F.lit(0)))
+    ok = (h < 24) & (mi < 60) & (sec < 60)
+    return F.when(ok, F.try_make_timestamp_ntz(y, mo, d, h, mi, sec))
+
+
+def _parse_fitting(c: Column, pattern: str) -> Column:
+    """Parse a text already known to have the pattern's layout."""
+    if _fixed_width(pattern):
+        return _from_fields(c, pattern)
+    # other pattern letters: the formatter, read in the session zone
+    return F.try_to_timestamp(c, F.lit(pattern)).cast("timestamp_ntz")
+
+
+_FIELD_GETTERS = {"yyyy": F.year, "MM": F.month, "dd": F.dayofmonth,
+                  "HH": F.hour, "mm": F.minute, "ss": F.second}
+
+
+def wall_clock_text(c: Column | str, pattern: str) -> Column:
+    """A wall-clock timestamp rendered with ``pattern`` without passing
+    through the session time zone (``date_format`` does, and shows a time in
+    a daylight-saving gap, such as midnight on a day the clocks jump at
+    midnight, an hour off). Fixed-width patterns are built from the fields;
+    others fall back to ``date_format``."""
+    c = _col(c)
+    if not _fixed_width(pattern):
+        return F.date_format(c, pattern)
+    parts = []
+    for tok, width in _layout(pattern):
+        if width:
+            parts.append(F.lpad(_FIELD_GETTERS[tok](c).cast("string"), width, "0"))
+        else:
+            parts.append(F.lit(tok))
+    return F.concat(*parts)
+
+
 def parse_with(c: Column | str, pattern: str) -> Column:
     """Strict parse with one pattern; NULL when the text does not fit.
 
-    The parser reports a mismatch by an exception, which is costly per row;
-    a regular-expression test of the text's shape runs first, so the parser
-    only sees texts that can fit (invalid calendar dates still go to NULL).
-    """
+    The text's shape is tested with a regular expression first; a fitting
+    text is then read at its fixed positions (no exception per mismatch, no
+    dependence on the session time zone)."""
     c = _col(c)
-    return F.when(c.rlike(pattern_shape(pattern)),
-                  F.try_to_timestamp(c, F.lit(pattern)))
+    return F.when(c.rlike(pattern_shape(pattern)), _parse_fitting(c, pattern))
 
 
 def candidate_pattern(c: Column | str, patterns) -> Column:
@@ -175,12 +230,13 @@ def candidate_pattern(c: Column | str, patterns) -> Column:
 
 
 def parse_any(c: Column | str, patterns=DATE_PATTERNS) -> Column:
-    """Timestamp from the first pattern that parses the whole text.
+    """Wall-clock timestamp (TIMESTAMP_NTZ) from the first pattern that
+    parses the whole text.
 
     When the patterns have distinct digit layouts (true of
     ``DATE_PATTERNS``), at most one pattern can fit a text: the text's layout
-    selects it and a single strict parse runs. Otherwise every pattern is
-    tried in order.
+    selects it and its fields are read once. Otherwise every pattern is tried
+    in order.
     """
     patterns = tuple(patterns)
     if not signatures_unique(patterns):
@@ -189,7 +245,7 @@ def parse_any(c: Column | str, patterns=DATE_PATTERNS) -> Column:
     out = None
     for p in patterns:
         hit = sig == F.lit(pattern_signature(p))
-        val = F.try_to_timestamp(_col(c), F.lit(p))
+        val = _parse_fitting(_col(c), p)
         out = F.when(hit, val) if out is None else out.when(hit, val)
     return out
 
@@ -209,7 +265,7 @@ def is_date(c: Column | str, patterns=DATE_PATTERNS) -> Column:
 
 def reformat(c: Column | str, new_pattern: str, patterns=DATE_PATTERNS) -> Column:
     """Text in any known pattern re-rendered with ``new_pattern``."""
-    return F.date_format(parse_any(c, patterns), new_pattern)
+    return wall_clock_text(parse_any(c, patterns), new_pattern)
 
 
 # ---------------------------------------------------------------- D2 getters
@@ -262,7 +318,7 @@ def shift_text(c: Column | str, unit: str, amount: int,
     out = None
     for p in patterns:
         hit = style == F.lit(p)
-        val = F.date_format(moved, p)
+        val = wall_clock_text(moved, p)
         out = F.when(hit, val) if out is None else out.when(hit, val)
     return out
 

@@ -43,8 +43,8 @@ def calendar_features(df: DataFrame, ts: str, prefix: str = "") -> DataFrame:
         F.hour(c).alias(f"{prefix}hour"),
         F.minute(c).alias(f"{prefix}minute"),
         F.second(c).alias(f"{prefix}second"),
-        F.date_format(c, "yyyy-MM-dd").alias(f"{prefix}date"),
-        F.date_format(c, "HH:mm:ss").alias(f"{prefix}time"),
+        cal.wall_clock_text(c, "yyyy-MM-dd").alias(f"{prefix}date"),
+        cal.wall_clock_text(c, "HH:mm:ss").alias(f"{prefix}time"),
         cal.weekday_number(c).alias(f"{prefix}weekday"),
         cal.weekday_cn(c).alias(f"{prefix}weekday_cn"),
         cal.weekday_en(c).alias(f"{prefix}weekday_en"),

@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberscope.functions.calendar import day_start
+from memberscope.functions.calendar import day_start, wall_clock_text
 from memberscope.functions.rules import Rule, standard_rules
 from memberscope.operators import (audience, calendar_jobs, distributions,
                                    funnel, growth, hotwords, tags)
@@ -260,9 +260,9 @@ def mixed_date_text(orders: DataFrame) -> DataFrame:
     chosen by the order key – the input of the date normaliser."""
     k = F.pmod(F.col("o_orderkey"), F.lit(4))
     d = F.col("o_orderdate")
-    txt = (F.when(k == 0, F.date_format(d, "yyyy-MM-dd"))
-           .when(k == 1, F.date_format(d, "yyyy/MM/dd HH:mm"))
-           .when(k == 2, F.date_format(d, "yyyy年MM月dd日"))
+    txt = (F.when(k == 0, wall_clock_text(d, "yyyy-MM-dd"))
+           .when(k == 1, wall_clock_text(d, "yyyy/MM/dd HH:mm"))
+           .when(k == 2, wall_clock_text(d, "yyyy年MM月dd日"))
            .otherwise(F.concat(F.lit("#"), F.col("o_orderkey").cast("string"))))
     return orders.select("o_orderkey", txt.alias("txt"))
 
@@ -271,7 +271,7 @@ def normalize_dates(spark, sf):
     mixed = mixed_date_text(Tables(spark, sf).orders)
     out = calendar_jobs.normalize_dates(mixed, "txt", prefix="d")
     return out.select("o_orderkey", "txt", "d_style", "d_valid",
-                      F.date_format("d_ts", "yyyy-MM-dd HH:mm:ss").alias("d_text"))
+                      wall_clock_text("d_ts", "yyyy-MM-dd HH:mm:ss").alias("d_text"))
 
 
 def calendar_features(spark, sf):
@@ -285,7 +285,7 @@ def shift_dates(spark, sf):
         o, "o_orderdate", [("YEAR", 1), ("MONTH", 1), ("DAY", 3), ("HOUR", 5)],
         "shifted")
     return out.select("o_orderkey",
-                      F.date_format("shifted", "yyyy-MM-dd HH:mm:ss").alias("shifted"))
+                      wall_clock_text("shifted", "yyyy-MM-dd HH:mm:ss").alias("shifted"))
 
 
 def interval_days(spark, sf):

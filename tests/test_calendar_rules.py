@@ -175,3 +175,17 @@ def test_not_match_with_a_value_the_column_cannot_hold(tags_df):
     # "sex is not 'abc'" holds for every member (the value is no sex code)
     assert _ids(audience.audience_select(tags_df, [Rule("", "sex", "abc", "notMatch")])) == [1, 2, 3]
     assert _ids(audience.audience_select(tags_df, [Rule("", "sex", "abc", "match")])) == []
+
+
+def test_parse_is_wall_clock_and_rejects_impossible_values(spark):
+    texts = ["2019-11-30 24:00", "2019-11-30 10:05:60", "2019-02-29", "2020-02-29",
+             "02-29", "12-31 23:59:59", "2019/13/01", "00:00"]
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    out = calendar_jobs.normalize_dates(df, "s")
+    assert out.schema["s_ts"].dataType.typeName() == "timestamp_ntz"
+    got = {r[0]: r[1] for r in rows(out, "s", "s_ts")}
+    assert got["2019-11-30 24:00"] is None and got["2019-11-30 10:05:60"] is None
+    assert got["2019-02-29"] is None and got["2020-02-29"] == T(2020, 2, 29)
+    assert got["02-29"] is None                      # year defaults to 1970
+    assert got["12-31 23:59:59"] == T(1970, 12, 31, 23, 59, 59)
+    assert got["2019/13/01"] is None and got["00:00"] == T(1970, 1, 1)
