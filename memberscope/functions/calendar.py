@@ -264,8 +264,19 @@ def is_date(c: Column | str, patterns=DATE_PATTERNS) -> Column:
 
 
 def reformat(c: Column | str, new_pattern: str, patterns=DATE_PATTERNS) -> Column:
-    """Text in any known pattern re-rendered with ``new_pattern``."""
-    return wall_clock_text(parse_any(c, patterns), new_pattern)
+    """Text in any known pattern re-rendered with ``new_pattern`` (each
+    layout branch renders its own parse, keeping the expression small)."""
+    patterns = tuple(patterns)
+    c = _col(c)
+    if not signatures_unique(patterns):
+        return wall_clock_text(parse_any(c, patterns), new_pattern)
+    sig = text_signature(c)
+    out = None
+    for p in patterns:
+        hit = sig == F.lit(pattern_signature(p))
+        val = wall_clock_text(_parse_fitting(c, p), new_pattern)
+        out = F.when(hit, val) if out is None else out.when(hit, val)
+    return out
 
 
 # ---------------------------------------------------------------- D2 getters
@@ -311,8 +322,21 @@ def shift_text(c: Column | str, unit: str, amount: int,
     """A date written as text, shifted by ``amount`` units and written back
     in its own pattern (``2019-11-30`` + 1 day → ``2019-12-01``;
     ``2019/11/30 10:00`` stays slash-and-minutes). NULL if the text is not a
-    date. Each pattern is rendered by a literal format, chosen per row."""
+    date.
+
+    With distinct layouts, the text's layout picks one branch, and that
+    branch reads, shifts and renders its own fields only; the expression
+    stays small however many patterns there are."""
     patterns = tuple(patterns)
+    c = _col(c)
+    if signatures_unique(patterns):
+        sig = text_signature(c)
+        out = None
+        for p in patterns:
+            hit = sig == F.lit(pattern_signature(p))
+            val = wall_clock_text(shift(_parse_fitting(c, p), unit, amount), p)
+            out = F.when(hit, val) if out is None else out.when(hit, val)
+        return out
     moved = shift(parse_any(c, patterns), unit, amount)
     style = date_style(c, patterns)
     out = None

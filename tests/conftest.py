@@ -14,7 +14,8 @@ SF_MID = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = build_session("local[4]", app="memberscope-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="memberscope-tests", shuffle_partitions=4,
+                      extra={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 

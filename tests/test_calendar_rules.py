@@ -189,3 +189,9 @@ def test_parse_is_wall_clock_and_rejects_impossible_values(spark):
     assert got["02-29"] is None                      # year defaults to 1970
     assert got["12-31 23:59:59"] == T(1970, 12, 31, 23, 59, 59)
     assert got["2019/13/01"] is None and got["00:00"] == T(1970, 1, 1)
+
+
+def test_reformat_any_known_pattern(spark):
+    df = spark.createDataFrame([("2019/11/30 10:05",), ("11月30日",), ("bad",)], "s string")
+    got = [r[0] for r in rows(df.select(cal.reformat("s", "yyyy-MM-dd HH:mm:ss")))]
+    assert got == ["2019-11-30 10:05:00", "1970-11-30 00:00:00", None]
