@@ -61,6 +61,8 @@ def spread(df: DataFrame) -> DataFrame:
     is a no-op, so no shuffle is added at scale. Decided at planning time
     from the scan's partition count; nothing is executed.
     """
+    if df.isStreaming:  # a stream's micro-batches are planned per trigger
+        return df
     slots = df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < slots:
         return df.repartition(slots)

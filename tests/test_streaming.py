@@ -65,3 +65,21 @@ def test_stream_hot_words_match_batch(spark, tmp_path):
         q.stop()
     want = rows(hot_words(read_lines(spark, str(d)), k=3))
     assert got == want == [("apple", 3), ("pear", 2), ("", 1)]
+
+
+def test_date_normalisation_on_a_stream(spark, tmp_path):
+    from memberscope.operators.calendar_jobs import normalize_dates
+    from memberscope.streaming.hotwords import read_line_stream
+    d = tmp_path / "dates"
+    d.mkdir()
+    (d / "a.txt").write_text("2019-11-30\n2019/11/30 10:05\nnope\n", encoding="utf-8")
+    name = f"dates_{uuid.uuid4().hex[:8]}"
+    out = normalize_dates(read_line_stream(spark, str(d)), "line", prefix="d")
+    q = (out.writeStream.format("memory").queryName(name).outputMode("append").start())
+    try:
+        q.processAllAvailable()
+        got = sorted(rows(spark.table(name), "line", "d_style"), key=repr)
+    finally:
+        q.stop()
+    assert got == sorted([("2019-11-30", "yyyy-MM-dd"), ("2019/11/30 10:05", "yyyy/MM/dd HH:mm"),
+                          ("nope", None)], key=repr)
