@@ -88,7 +88,8 @@ def usertag_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
     """Publish the tag table (B6), then the audience products built on it."""
     d = Domain(spark, sf)
     t = tags.member_tags(d.member, d.order, d.order_item, d.coupon_member,
-                         d.coupon, d.delivery, d.feedback, free_id=C.FREE_COUPON_ID)
+                         d.coupon, d.delivery, d.feedback, free_id=C.FREE_COUPON_ID,
+                         order_line=d.order_line)
     tag_path = tag_path or scratch_path(spark, "member_tags")
     sinks.write_table(t, tag_path, fmt=tag_format)
     published = spark.read.format(tag_format).load(tag_path)
@@ -126,11 +127,26 @@ def main(argv=None) -> None:
     p.add_argument("--lines-path")
     p.add_argument("--tag-path")
     p.add_argument("--master")
+    p.add_argument("--show", action="store_true",
+                   help="print the first rows of every output (B9)")
     a = p.parse_args(argv)
     spark = build_session(a.master)
     for path in JOBS[a.job](spark, a.sf_dir, a.out, as_of=a.as_of,
                             lines_path=a.lines_path, tag_path=a.tag_path):
         print(path)
+        if a.show:
+            _show(spark, path)
+
+
+def _show(spark: SparkSession, path: str, n: int = 20) -> None:
+    """Print the first rows of a written output, whatever its format."""
+    # parquet first: a parquet folder read as JSON gives corrupt-record rows
+    for fmt in ("parquet", "json", "text"):
+        try:
+            spark.read.format(fmt).load(path).show(n, truncate=False)
+            return
+        except Exception:  # not this format
+            continue
 
 
 if __name__ == "__main__":
