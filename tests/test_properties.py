@@ -6,6 +6,8 @@
 - An audience selection equals a direct evaluation of the rules on each row.
 - The growth line and the week comparison equal a direct count over the
   events.
+- Heat and funnel counts (with NULL members and NULL order ids) equal a
+  direct count.
 """
 
 import datetime as dt
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from memberscope.functions.rules import Rule
-from memberscope.operators import audience, growth, tags
+from memberscope.operators import audience, distributions, funnel, growth, tags
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=list(HealthCheck))
@@ -182,3 +184,36 @@ def test_growth_equals_python_model(spark, regs, buys):
         assert cnt == sum(1 for t in regs if t and t.date() == d)
         assert prev == sum(1 for t in regs if t and t.date() == d - dt.timedelta(days=7))
         assert g == ((cnt - prev) / prev if prev else None)
+
+
+# ---------------------------------------------------------------- counts
+
+
+@SETTINGS
+@given(members=st.lists(st.tuples(st.one_of(st.none(), st.sampled_from(["null", "p"]))),
+                        max_size=10),
+       orders=st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 9)), member,
+                                 st.sampled_from(["F", "O", "P"])), max_size=20),
+       hold=holdings())
+def test_heat_and_funnel_equal_python_model(spark, members, orders, hold):
+    m = spark.createDataFrame([(i, ph) for i, (ph,) in enumerate(members)], "id long, phone string")
+    o = spark.createDataFrame(orders, "order_id long, member_id long, order_status string")
+    cm = spark.createDataFrame(hold, "member_id long, coupon_id int, coupon_channel int, "
+                                     "create_time timestamp")
+    heat = rows(distributions.member_heat(m, o, cm))[0]
+    per = {}
+    for oid, mid, _ in orders:
+        per[mid] = per.get(mid, 0) + (oid is not None)
+    want_heat = (sum(ph == "null" for (ph,) in members), sum(ph == "p" for (ph,) in members),
+                 sum(n == 1 for n in per.values()), sum(n >= 2 for n in per.values()),
+                 len({h[0] for h in hold if h[0] is not None}))
+    assert heat == want_heat
+    f = rows(funnel.conversion_funnel(o, cm))[0]
+    done, done_rows = {}, set()
+    for oid, mid, st_ in orders:
+        if st_ == "F":
+            done_rows.add(mid)
+            done[mid] = done.get(mid, 0) + (oid is not None)
+    again = {k for k, n in done.items() if n > 1}
+    buyers = {h[0] for h in hold if h[2] == 1 and h[0] is not None}
+    assert f == (1000, 800, 600, len(done_rows), len(again), len(again & buyers))
