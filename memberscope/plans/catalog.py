@@ -30,6 +30,8 @@ AS_OF = "2024-01-30"
 FREE_COUPON_ID = 1
 PRIORITY_SENTINEL = "4-NOT SPECIFIED"
 PHONE_SENTINEL = "null"
+# The shared tables' codes for the tag catalogue (sex = market segment,
+# channel = nation key).
 SEGMENTS = ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
 NATIONS = tuple(range(25))
 
@@ -43,8 +45,8 @@ AUDIENCE_RULES = (
     Rule("free coupon granted", "freeCouponTime", "", "exists"),
 )
 
-# A20, second selection: two or more orders and goods 1 or 2 bought, not
-# subscribed excluded (notMatch keeps members without the tag).
+# A20, second selection: two or more orders, goods 1 or 2 bought, and
+# subscribed (the notMatch rule also keeps members without the tag).
 AUDIENCE_GOODS_RULES = (
     Rule("ordered again", "orderCount", "2", "rangeGte"),
     Rule("coffee 1", "favGoods", "1", "match"),
