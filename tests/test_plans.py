@@ -53,3 +53,24 @@ def test_scans_read_only_used_columns(spark, key, columns):
     read = {f.split(":")[0] for s in schemas
             for f in s.removeprefix("struct<").removesuffix(">").split(",")}
     assert read == columns
+
+
+def test_tag_chain_has_no_redundant_shuffle(spark):
+    """With every join forced to sort-merge and AQE off (the plan of large
+    tables), the tag table needs exactly one exchange per aggregation or
+    dimension join, and the member-keyed left-join chain adds none."""
+    from memberscope.plans import catalog
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        plan = _plan(catalog._tag_table(spark, SF_SMALL))
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    # customer, first signup, per-order lines, orders, per-member order tags,
+    # per-(member, coupon) holdings, by coupon for pricing, coupons,
+    # per-member coupon tags, per-member feedback
+    assert plan.count("Exchange hashpartitioning") == 10
+    assert plan.count("SortMergeJoin") == 6
