@@ -12,9 +12,11 @@ import tempfile
 
 from pyspark.sql import SparkSession
 
-# Settings every product relies on. AQE re-plans joins at runtime from real
-# shuffle sizes: a join side under the broadcast threshold becomes a broadcast
-# join, bigger sides stay sort-merge, and skewed partitions are split.
+# Settings every product relies on, applied to the session only where the
+# cluster's configuration does not set them. AQE re-plans joins at runtime
+# from real shuffle sizes: a join side under the broadcast threshold becomes a
+# broadcast join, bigger sides stay sort-merge, and skewed partitions are
+# split.
 DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -28,6 +30,10 @@ DEFAULT_CONF = {
     # keeps the task count of a 100 TB scan manageable.
     "spark.sql.files.maxPartitionBytes": "256MB",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+}
+
+# Fixed at launch: no web UI (no server port), no console progress bars.
+LAUNCH_CONF = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }
@@ -39,19 +45,23 @@ def build_session(master: str | None = None, app: str = "memberscope",
     """Create (or reuse) a session with the defaults above.
 
     ``master`` and ``shuffle_partitions`` are for local runs and tests; leave
-    them ``None`` under a cluster manager.
+    them ``None`` under a cluster manager. ``extra`` settings are applied as
+    given (launch-time ones such as driver memory only take effect when this
+    call starts the JVM).
     """
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)
-    conf = dict(DEFAULT_CONF)
-    if shuffle_partitions:
-        conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.update(extra or {})
-    for k, v in conf.items():
+    for k, v in {**LAUNCH_CONF, **(extra or {})}.items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    cluster = spark.sparkContext.getConf()
+    for k, v in DEFAULT_CONF.items():
+        if not cluster.contains(k) and k not in (extra or {}):
+            spark.conf.set(k, v)
+    if shuffle_partitions:
+        spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
     checkpoint_dir(spark)
     _cluster_shuffle_defaults(spark)
     return spark
