@@ -42,13 +42,35 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-def read_table(spark: SparkSession, source: str, name: str) -> DataFrame:
+# Loaded tables, per session: loading lists the files and reads a footer on
+# the driver (slow on object stores), so a table is loaded once per session
+# and its DataFrame reused. Only metadata is kept, never data.
+_LOADED: dict[tuple, DataFrame] = {}
+
+
+def read_table(spark: SparkSession, source: str, name: str,
+               reuse: bool = True) -> DataFrame:
     """One table, from a folder of ``<name>.parquet`` files or from the
     catalog (metastore) when ``source`` is a database name, e.g. ``"shop"``
-    reads ``shop.<name>`` with ``spark.table``."""
+    reads ``shop.<name>`` with ``spark.table``.
+
+    With ``reuse`` the loaded DataFrame is kept for the session; call
+    ``forget_tables()`` after the files change."""
+    key = (spark.sparkContext.applicationId, id(spark), source, name)
+    if reuse and key in _LOADED:
+        return _LOADED[key]
     if "/" in source or "://" in source or os.path.isdir(source):
-        return spark.read.parquet(os.path.join(source, f"{name}.parquet"))
-    return spark.table(f"{source}.{name}")
+        df = spark.read.parquet(os.path.join(source, f"{name}.parquet"))
+    else:
+        df = spark.table(f"{source}.{name}")
+    if reuse:
+        _LOADED[key] = df
+    return df
+
+
+def forget_tables() -> None:
+    """Drop the loaded-table cache (the next read lists the files again)."""
+    _LOADED.clear()
 
 
 def spread(df: DataFrame) -> DataFrame:
