@@ -25,17 +25,18 @@ def audience_select(tags: DataFrame, rules, keep_null: bool = True) -> DataFrame
 
 def tag_facets(tags: DataFrame, rules, keep_null: bool = True) -> DataFrame:
     """Members carrying each rule's tag: ``label, name, value, type,
-    members``. One aggregation of conditional counts, then one row per rule."""
+    members``. One aggregation of conditional counts, then ``stack`` turns
+    the one wide row into one row per rule."""
     rules = [as_rule(r) for r in rules]
+    schema = tags.schema
     counts = tags.agg(*[
-        F.count_if(compile_rule(r, tags.schema, keep_null)).alias(f"c{i}")
+        F.count_if(compile_rule(r, schema, keep_null)).alias(f"c{i}")
         for i, r in enumerate(rules)])
-    rows = F.array(*[
-        F.struct(F.lit(r.label).alias("label"), F.lit(r.name).alias("name"),
-                 F.lit(r.value).alias("value"), F.lit(r.type).alias("type"),
-                 F.col(f"c{i}").alias("members"))
-        for i, r in enumerate(rules)])
-    return counts.select(F.inline(rows))
+    args = [a for i, r in enumerate(rules)
+            for a in (F.lit(r.label), F.lit(r.name), F.lit(r.value), F.lit(r.type),
+                      F.col(f"c{i}"))]
+    return counts.select(F.stack(F.lit(len(rules)), *args)
+                         .alias("label", "name", "value", "type", "members"))
 
 
 def coupon_day_buckets(df: DataFrame, member_col: str, day_col: str, as_of,
