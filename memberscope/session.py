@@ -62,8 +62,9 @@ def build_session(master: str | None = None, app: str = "memberscope",
             spark.conf.set(k, v)
     if shuffle_partitions:
         spark.conf.set("spark.sql.shuffle.partitions", str(shuffle_partitions))
-    checkpoint_dir(spark)
     _cluster_shuffle_defaults(spark)
+    # The checkpoint folder is resolved where it is used (written
+    # intermediates, streaming state), so jobs that need none run without it.
     return spark
 
 
