@@ -20,6 +20,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from memberscope.functions.calendar import day_start
 from memberscope.operators import (audience, distributions, funnel, growth,
                                    hotwords, tags)
 from memberscope.plans import catalog as C
@@ -48,9 +49,41 @@ def conversion_job(spark: SparkSession, sf: str, out: str, **_) -> list[str]:
     return [_write(f, out, "conversion_funnel")]
 
 
+def refresh_rollup(spark: SparkSession, member: DataFrame, order: DataFrame,
+                   path: str, since=None, **cols) -> DataFrame:
+    """Keep the per-day growth rollup as a table partitioned by day.
+
+    Days from ``since`` on are recomputed from the raw tables (their scans
+    are bounded by ``since``) and replace their own partitions only (dynamic
+    partition overwrite); older days are kept. Without ``since``, or when the
+    table does not exist yet, every day is computed. Re-running a refresh
+    gives the same table. Returns the stored rollup."""
+    exists = _exists(spark, path)
+    part = growth.daily_rollup(member, order, since=since if exists else None, **cols)
+    (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .partitionBy("d").parquet(path))
+    return spark.read.parquet(path)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.parquet(path).schema
+        return True
+    except Exception:  # no table there yet
+        return False
+
+
 def growth_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
-               **_) -> list[str]:
+               rollup_path: str | None = None, days: int = 7, **_) -> list[str]:
+    """The growth line. With ``rollup_path`` the per-day rollup is kept
+    there: only the days of the window are recomputed, and the line is read
+    from the stored rollup instead of the raw history."""
     d = Domain(spark, sf)
+    if rollup_path:
+        since = day_start(as_of, -days).date()
+        rollup = refresh_rollup(spark, d.registration, d.purchase, rollup_path, since)
+        line = growth.growth_from_rollup(rollup, as_of, days)
+        return [rollup_path, _write(line, out, "growth_daily")]
     return [_write(growth.growth_daily(d.registration, d.purchase, as_of), out,
                    "growth_daily")]
 
@@ -126,13 +159,16 @@ def main(argv=None) -> None:
     p.add_argument("--as-of", default=C.AS_OF)
     p.add_argument("--lines-path")
     p.add_argument("--tag-path")
+    p.add_argument("--rollup-path",
+                   help="growth: keep the per-day rollup there, refreshed by day")
     p.add_argument("--master")
     p.add_argument("--show", action="store_true",
                    help="print the first rows of every output (B9)")
     a = p.parse_args(argv)
     spark = build_session(a.master)
     for path in JOBS[a.job](spark, a.sf_dir, a.out, as_of=a.as_of,
-                            lines_path=a.lines_path, tag_path=a.tag_path):
+                            lines_path=a.lines_path, tag_path=a.tag_path,
+                            rollup_path=a.rollup_path):
         print(path)
         if a.show:
             _show(spark, path)

@@ -70,3 +70,25 @@ def test_checkpoint_dir_comes_from_the_session(spark):
     from memberscope.session import checkpoint_dir, scratch_path
     assert checkpoint_dir(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scratch_path(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_growth_job_keeps_a_rollup_refreshed_by_day(spark, tmp_path):
+    from memberscope.plans import jobs
+    from memberscope.sources.tables import Domain
+    d = Domain(spark, SF_SMALL)
+    path = str(tmp_path / "rollup")
+    # history up to 2024-01-20 first, then refresh from 2024-01-15 twice
+    jobs.refresh_rollup(spark, d.registration.where("create_time < '2024-01-20'"),
+                        d.purchase.where("create_time < '2024-01-20'"), path)
+    jobs.refresh_rollup(spark, d.registration, d.purchase, path, since="2024-01-15")
+    stored = jobs.refresh_rollup(spark, d.registration, d.purchase, path, since="2024-01-15")
+    full = growth.daily_rollup(d.registration, d.purchase)
+    cols = ["d", "reg_rows", "regCount", "order_rows", "orders", "gmv_day"]
+    assert sorted(rows(stored, *cols)) == sorted(rows(full, *cols))
+    out = jobs.growth_job(spark, SF_SMALL, str(tmp_path / "out"),
+                          rollup_path=str(tmp_path / "rollup2"))
+    got = sorted(tuple(r) for r in spark.read.json(out[1]).select(
+        "day", "regCount", "memberCount", "orderCount").collect())
+    want = sorted(rows(growth.growth_daily(d.registration, d.purchase, "2024-01-30"),
+                       "day", "regCount", "memberCount", "orderCount"))
+    assert got == want
