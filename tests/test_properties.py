@@ -8,9 +8,13 @@
   events.
 - Heat and funnel counts (with NULL members and NULL order ids) equal a
   direct count.
+- Hot words over random texts (every kind of line break, trailing breaks,
+  empty and separator-only lines) and date parsing over random texts
+  (including impossible dates) equal a direct Python computation.
 """
 
 import datetime as dt
+import re as _re
 from decimal import Decimal
 
 from hypothesis import HealthCheck, given, settings
@@ -19,7 +23,9 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from memberscope.functions.rules import Rule
-from memberscope.operators import audience, distributions, funnel, growth, tags
+from memberscope.operators import (audience, calendar_jobs, distributions, funnel,
+                                   growth, hotwords, tags)
+from memberscope.sources.text import text_lines
 
 SETTINGS = settings(max_examples=12, deadline=None,
                     suppress_health_check=list(HealthCheck))
@@ -217,3 +223,58 @@ def test_heat_and_funnel_equal_python_model(spark, members, orders, hold):
     again = {k for k, n in done.items() if n > 1}
     buyers = {h[0] for h in hold if h[2] == 1 and h[0] is not None}
     assert f == (1000, 800, 600, len(done_rows), len(again), len(again & buyers))
+
+
+# ---------------------------------------------------------------- text
+
+token = st.sampled_from(["a", "b", "ab", "", " ", "\t"])
+text = st.lists(st.tuples(st.lists(token, max_size=4).map("".join),
+                          st.sampled_from(["\n", "\r\n", "\r"])), max_size=6).map(
+    lambda parts: "".join(w + br for w, br in parts)) | st.text("ab \t\n\r", max_size=20)
+
+
+def _model_lines(t):
+    body = _re.sub(r"(\r\n|\n|\r)\Z", "", t)
+    return _re.split(r"\r\n|\n|\r", body)
+
+
+@SETTINGS
+@given(texts=st.lists(st.one_of(st.none(), text), max_size=5),
+       sep=st.sampled_from([" ", "\t"]), field=st.sampled_from([0, 1]))
+def test_hot_words_equal_python_model(spark, texts, sep, field):
+    df = spark.createDataFrame([(t,) for t in texts], "text string")
+    got = rows(hotwords.hot_words(text_lines(df), sep=sep, field=field, k=1000))
+    counts = {}
+    for t in texts:
+        if t is None:
+            continue
+        for line in _model_lines(t):
+            parts = line.split(sep)
+            if field < len(parts):
+                counts[parts[field]] = counts.get(parts[field], 0) + 1
+    want = sorted(counts.items(), key=lambda kv: (-kv[1], kv[0].encode()))
+    assert got == want
+
+
+layout = st.sampled_from(["%Y-%m-%d", "%Y/%m/%d %H:%M", "%m-%d", "%H:%M:%S", "%Y年%m月%d日"])
+
+
+@SETTINGS
+@given(items=st.lists(st.tuples(layout, st.integers(1999, 2001), st.integers(0, 13),
+                                st.integers(0, 32), st.integers(0, 24), st.integers(0, 60),
+                                st.integers(0, 60)), max_size=15))
+def test_date_parsing_equals_python_model(spark, items):
+    texts = []
+    for fmt, y, mo, d, h, mi, s in items:
+        texts.append(fmt.replace("%Y", f"{y:04d}").replace("%m", f"{mo:02d}")
+                     .replace("%d", f"{d:02d}").replace("%H", f"{h:02d}")
+                     .replace("%M", f"{mi:02d}").replace("%S", f"{s:02d}"))
+    df = spark.createDataFrame([(t,) for t in texts], "s string")
+    got = {r[0]: r[1] for r in rows(calendar_jobs.normalize_dates(df, "s"), "s", "s_ts")}
+    for (fmt, *_), t in zip(items, texts):
+        try:  # a text without a year is read in 1970, as Spark does
+            want = (dt.datetime.strptime(t, fmt) if "%Y" in fmt
+                    else dt.datetime.strptime("1970|" + t, "%Y|" + fmt))
+        except ValueError:
+            want = None
+        assert got[t] == want, t
