@@ -1,8 +1,10 @@
 """Registered queries: every data product over the shared tables.
 
 Each entry takes ``(spark, sf_dir)`` and returns a lazy DataFrame over the
-whole tables of that folder. Arrays leave as sorted comma-joined text so that
-two engines can be compared value by value; everything else keeps its type.
+whole tables of that folder. So that two engines can be compared value by
+value, whichever way the values are fetched, arrays leave as sorted
+comma-joined text and money as DOUBLE converted from the exact DECIMAL sum
+(the products themselves return DECIMAL); everything else keeps its type.
 
 Parameters that the reference hard-coded (its "today", the free-coupon id,
 the text sentinel) are the constants below, chosen for the shared tables:
@@ -60,11 +62,14 @@ def _ints_text(c: str):
 
 
 def _text_arrays(df: DataFrame) -> DataFrame:
-    """Array columns as comma-joined text (elements already sorted)."""
+    """Array columns as comma-joined text (elements already sorted), money
+    (DECIMAL) as DOUBLE."""
     out = []
     for f in df.schema.fields:
         if f.dataType.typeName() == "array":
             out.append(_ints_text(f.name).alias(f.name))
+        elif f.dataType.typeName() == "decimal":
+            out.append(F.col(f.name).cast("double").alias(f.name))
         else:
             out.append(F.col(f.name))
     return df.select(*out)
@@ -134,12 +139,12 @@ def conversion_funnel_constants(spark, sf):
 
 def growth_daily(spark, sf):
     d = Domain(spark, sf)
-    return growth.growth_daily(d.registration, d.purchase, AS_OF)
+    return _text_arrays(growth.growth_daily(d.registration, d.purchase, AS_OF))
 
 
 def growth_daily_parity(spark, sf):
     d = Domain(spark, sf)
-    return growth.growth_daily(d.registration, d.purchase, AS_OF, parity=True)
+    return _text_arrays(growth.growth_daily(d.registration, d.purchase, AS_OF, parity=True))
 
 
 def reg_two_weeks(spark, sf):
@@ -206,7 +211,7 @@ def tag_coupon_times(spark, sf):
 
 def tag_charge_money(spark, sf):
     d = Domain(spark, sf)
-    return tags.tag_charge_money(d.coupon_member, d.coupon)
+    return _text_arrays(tags.tag_charge_money(d.coupon_member, d.coupon))
 
 
 def tag_over_time(spark, sf):

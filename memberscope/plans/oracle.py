@@ -117,10 +117,10 @@ tags AS (
 
 
 TAG_TEXT_COLS = """memberId, phone, sex, channel, subOpenId, address, regTime,
-  orderCount, orderTime, orderMoney,
+  orderCount, orderTime, CAST(orderMoney AS DOUBLE) AS orderMoney,
   array_to_string(list_transform(favGoods, lambda x: CAST(x AS VARCHAR)), ',') AS favGoods,
   freeCouponTime, array_to_string(couponTimes, ',') AS couponTimes,
-  chargeMoney, overTime, feedBack"""
+  CAST(chargeMoney AS DOUBLE) AS chargeMoney, overTime, feedBack"""
 
 # Column types of the tag table, for typing rule literals like the Spark side.
 TAG_TYPES = {
@@ -179,8 +179,8 @@ pre AS (
   SELECT coalesce(sum(CAST(value AS DECIMAL(18,2))), 0) AS p
   FROM events WHERE event_type = 'purchase' AND ts < {start})
 SELECT strftime(m.d, '%Y-%m-%d') AS day, m.regCount, m.memberCount, o.orderCount,
-       CAST(pre.p + sum(o.g) OVER (ORDER BY m.d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
-            AS DECIMAL(38,2)) AS gmv
+       CAST(CAST(pre.p + sum(o.g) OVER (ORDER BY m.d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW)
+            AS DECIMAL(38,2)) AS DOUBLE) AS gmv
 FROM m JOIN o ON m.d = o.d CROSS JOIN pre"""
     return f"""
 WITH m AS (
@@ -200,7 +200,8 @@ oc AS (
          CAST(sum(n) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS BIGINT) AS orderCount,
          CAST(sum(g) OVER (ORDER BY d ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS DECIMAL(38,2)) AS gmv
   FROM o)
-SELECT strftime(mc.d, '%Y-%m-%d') AS day, mc.regCount, mc.memberCount, oc.orderCount, oc.gmv
+SELECT strftime(mc.d, '%Y-%m-%d') AS day, mc.regCount, mc.memberCount, oc.orderCount,
+       CAST(oc.gmv AS DOUBLE) AS gmv
 FROM mc JOIN oc ON mc.d = oc.d
 WHERE mc.d >= CAST({start} AS DATE)"""
 
@@ -350,22 +351,22 @@ SELECT id AS memberId, phone, sex, member_channel AS channel, mp_open_id AS subO
        address_default_id AS address, strftime(create_time, '%Y-%m-%d') AS regTime
 FROM member""",
         "tag_order_behavior": tags_ + """
-SELECT memberId, orderCount, orderTime, orderMoney,
+SELECT memberId, orderCount, orderTime, CAST(orderMoney AS DOUBLE) AS orderMoney,
        array_to_string(list_transform(favGoods, lambda x: CAST(x AS VARCHAR)), ',') AS favGoods
 FROM ob""",
         "tag_order_behavior_parity": _tag_ctes(parity=True) + """
-SELECT memberId, orderCount, orderTime, orderMoney,
+SELECT memberId, orderCount, orderTime, CAST(orderMoney AS DOUBLE) AS orderMoney,
        array_to_string(list_transform(favGoods, lambda x: CAST(x AS VARCHAR)), ',') AS favGoods
 FROM ob""",
         "tag_order_features": tags_ + """
-SELECT ob.memberId, ob.orderCount, ob.orderTime, ob.orderMoney,
+SELECT ob.memberId, ob.orderCount, ob.orderTime, CAST(ob.orderMoney AS DOUBLE) AS orderMoney,
        array_to_string(list_transform(ob.favGoods, lambda x: CAST(x AS VARCHAR)), ',') AS favGoods,
        ot.overTime
 FROM ob LEFT JOIN ot ON ob.memberId = ot.memberId""",
         "tag_free_coupon": tags_ + "\nSELECT memberId, freeCouponTime FROM fc",
         "tag_free_coupon_parity": _tag_ctes(parity=True) + "\nSELECT memberId, freeCouponTime FROM fc",
         "tag_coupon_times": tags_ + "\nSELECT memberId, array_to_string(couponTimes, ',') AS couponTimes FROM ct",
-        "tag_charge_money": tags_ + "\nSELECT memberId, chargeMoney FROM cm",
+        "tag_charge_money": tags_ + "\nSELECT memberId, CAST(chargeMoney AS DOUBLE) AS chargeMoney FROM cm",
         "tag_over_time": tags_ + "\nSELECT memberId, overTime FROM ot",
         "tag_feedback_latest": tags_ + "\nSELECT memberId, feedBack FROM fb",
         "member_tags": tags_ + f"\nSELECT {TAG_TEXT_COLS} FROM tags",
