@@ -92,3 +92,22 @@ def test_growth_job_keeps_a_rollup_refreshed_by_day(spark, tmp_path):
     want = sorted(rows(growth.growth_daily(d.registration, d.purchase, "2024-01-30"),
                        "day", "regCount", "memberCount", "orderCount"))
     assert got == want
+
+
+def test_write_table_to_catalog_and_partitioned(spark, tmp_path):
+    from memberscope.sources import sinks
+    df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")],
+                               "memberId long, d string")
+    name = "memberscope_sink_test"
+    try:
+        sinks.write_table(df, table=name)
+        sinks.write_table(df, table=name)  # overwrite, not append
+        assert spark.table(name).count() == 3
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    p = str(tmp_path / "by_day")
+    sinks.write_table(df, p, partition_by=["d"])
+    back = spark.read.parquet(p)  # partition values are read back as dates
+    assert back.count() == 3
+    assert sorted(str(r[0]) for r in back.select("d").distinct().collect()) == \
+        ["2024-01-01", "2024-01-02"]
