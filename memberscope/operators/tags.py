@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from memberscope.functions.calendar import day_text
 from memberscope.functions.money import MONEY_TOTAL, money
+from memberscope.operators.joins import lookup_join
 
 TAG_COLUMNS = ("memberId", "phone", "sex", "channel", "subOpenId", "address",
                "regTime", "orderCount", "orderTime", "orderMoney", "favGoods",
@@ -77,9 +78,14 @@ def tag_order_behavior(order: DataFrame, order_item: DataFrame,
                   .agg(F.count("order_id").alias("orderCount"),
                        day_text(F.max("create_time")).alias("orderTime"),
                        F.sum(money("pay_price")).cast(MONEY_TOTAL).alias("orderMoney")))
-    lines = (order_item.where(F.col("commodity_id").isNotNull())
-             .join(order.select("order_id", F.col("member_id").alias("memberId")),
-                   "order_id", "inner"))
+    # Lines are first reduced to one row per order (its distinct goods, a
+    # map-side partial set), so the join with orders is one row to one row:
+    # an order holding a third of all lines cannot skew it.
+    per_order = (order_item.where(F.col("commodity_id").isNotNull())
+                 .groupBy("order_id").agg(F.collect_set("commodity_id").alias("goods")))
+    lines = (per_order.join(order.select("order_id", F.col("member_id").alias("memberId")),
+                            "order_id", "inner")
+             .select("memberId", F.explode("goods").alias("commodity_id")))
     goods = _collect_distinct_sorted(lines, "memberId", "commodity_id", "favGoods")
     empty = F.array().cast("array<%s>" % order_item.schema["commodity_id"]
                            .dataType.simpleString())
@@ -159,7 +165,7 @@ def tag_coupon_times(coupon_member: DataFrame, free_id: int = 1) -> DataFrame:
 
 def tag_charge_money(coupon_member: DataFrame, coupon: DataFrame,
                      channel_pred: Column | None = None,
-                     share: float = 0.5) -> DataFrame:
+                     share: float = 0.5, salt_buckets: int = 0) -> DataFrame:
     """``memberId, chargeMoney``: sum of ``coupon_price * share`` over the
     member's coupons with ``coupon_channel != 1`` (default predicate).
 
@@ -167,14 +173,16 @@ def tag_charge_money(coupon_member: DataFrame, coupon: DataFrame,
     join with the coupon dimension sees one row per distinct holding. The
     coupon side is a dimension: AQE broadcasts it when its measured size is
     under the broadcast threshold and keeps a sort-merge join (with skewed
-    partitions split) when it is not.
+    partitions split) when it is not; ``salt_buckets`` salts the join
+    instead (``operators.joins.lookup_join``) for a coupon held by very many
+    members.
     """
     pred = channel_pred if channel_pred is not None else (F.col("coupon_channel") != 1)
     held = (coupon_member.where(pred)
             .groupBy("member_id", "coupon_id").agg(F.count(F.lit(1)).alias("n")))
-    priced = held.join(coupon.select(F.col("id").alias("coupon_id"),
-                                     money("coupon_price").alias("price")),
-                       "coupon_id", "left")
+    priced = lookup_join(held, coupon.select(F.col("id").alias("coupon_id"),
+                                             money("coupon_price").alias("price")),
+                         "coupon_id", salt_by="member_id", salt_buckets=salt_buckets)
     amount = ((F.col("price") * F.col("n")).cast(MONEY_TOTAL)
               * F.lit(decimal.Decimal(str(share))))
     return (priced.groupBy(F.col("member_id").alias("memberId"))
@@ -185,7 +193,7 @@ def tag_charge_money(coupon_member: DataFrame, coupon: DataFrame,
 
 def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
                         free_id: int = 1, channel_pred: Column | None = None,
-                        share: float = 0.5) -> DataFrame:
+                        share: float = 0.5, salt_buckets: int = 0) -> DataFrame:
     """``memberId, freeCouponTime, couponTimes, chargeMoney`` from **one**
     scan of the holdings – the same values as A14, A15 and A16 (default
     forms), which would each read and parse the holdings table again.
@@ -194,7 +202,8 @@ def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
        set of grant days, number of holdings the charge predicate keeps
        (partial aggregation map-side: a member with a third of all grants
        sends at most one row per coupon per task).
-    2. That frame is priced against the coupon dimension.
+    2. That frame is priced against the coupon dimension (salted with
+       ``salt_buckets``, see ``tag_charge_money``).
     3. The day sets are exploded and folded per member with ``collect_set``,
        which de-duplicates as it goes, so a member's buffer never exceeds the
        number of distinct days; money is taken once per coupon (position 0,
@@ -206,9 +215,9 @@ def tag_coupon_features(coupon_member: DataFrame, coupon: DataFrame,
                   .agg(F.min("create_time").alias("first_time"),
                        F.collect_set(day_text("create_time")).alias("days"),
                        F.count_if(pred).alias("n")))
-    priced = per_coupon.join(coupon.select(F.col("id").alias("coupon_id"),
-                                           money("coupon_price").alias("price")),
-                             "coupon_id", "left")
+    priced = lookup_join(per_coupon, coupon.select(F.col("id").alias("coupon_id"),
+                                                   money("coupon_price").alias("price")),
+                         "coupon_id", salt_by="memberId", salt_buckets=salt_buckets)
     flat = priced.select("memberId", "coupon_id", "first_time", "price", "n",
                          F.posexplode_outer("days").alias("pos", "day"))
     is_free = F.col("coupon_id") == F.lit(free_id)
@@ -263,7 +272,8 @@ def tag_feedback_latest(feedback: DataFrame) -> DataFrame:
 def member_tags(member: DataFrame, order: DataFrame, order_item: DataFrame,
                 coupon_member: DataFrame, coupon: DataFrame,
                 delivery: DataFrame, feedback: DataFrame, free_id: int = 1,
-                parity: bool = False, order_line: DataFrame | None = None) -> DataFrame:
+                parity: bool = False, order_line: DataFrame | None = None,
+                salt_buckets: int = 0) -> DataFrame:
     """The 16-column tag table (``TAG_COLUMNS``).
 
     Default: one row per member. ``parity=True`` uses the reference's
@@ -273,7 +283,8 @@ def member_tags(member: DataFrame, order: DataFrame, order_item: DataFrame,
     ``order_line`` (``order_id, commodity_id, arrive_time``): when deliveries
     are the order lines themselves, pass them here and the order and delivery
     tags come from one pass (``tag_order_features``); ``order_item`` and
-    ``delivery`` are then not read.
+    ``delivery`` are then not read. ``salt_buckets`` salts the coupon
+    pricing join (see ``tag_charge_money``).
     """
     base = tag_member_base(member)
     if order_line is not None and not parity:
@@ -285,10 +296,11 @@ def member_tags(member: DataFrame, order: DataFrame, order_item: DataFrame,
         coupon_parts = [
             tag_free_coupon(coupon_member, free_id, parity=True),
             tag_coupon_times(coupon_member, free_id),
-            tag_charge_money(coupon_member, coupon),
+            tag_charge_money(coupon_member, coupon, salt_buckets=salt_buckets),
         ]
     else:
-        coupon_parts = [tag_coupon_features(coupon_member, coupon, free_id)]
+        coupon_parts = [tag_coupon_features(coupon_member, coupon, free_id,
+                                            salt_buckets=salt_buckets)]
     features = [*order_parts, *coupon_parts, tag_feedback_latest(feedback)]
     out = base
     for f in features:

@@ -133,3 +133,28 @@ def test_aqe_splits_the_hot_join_partition(spark, skewed):
                 spark.conf.set(k, v)
     assert "isFinalPlan=true" in plan
     assert "SortMergeJoin(skew=true)" in plan
+
+
+def test_salted_coupon_pricing_equals_plain_join(spark, skewed):
+    _, _, hold, coupon = skewed
+    cols = ["memberId", "freeCouponTime", "couponTimes", "chargeMoney"]
+    plain = sorted(tuple(r) for r in tags.tag_coupon_features(hold, coupon).select(*cols).collect())
+    salted_df = tags.tag_coupon_features(hold, coupon, salt_buckets=8)
+    assert sorted(tuple(r) for r in salted_df.select(*cols).collect()) == plain
+    a = sorted(tuple(r) for r in tags.tag_charge_money(hold, coupon).collect())
+    b = sorted(tuple(r) for r in tags.tag_charge_money(hold, coupon, salt_buckets=8).collect())
+    assert a == b
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        salted_df.explain()
+    assert "_salt" in buf.getvalue()
+
+
+def test_salting_spreads_the_hot_coupon(spark, skewed):
+    from memberscope.operators.joins import lookup_join
+    _, _, hold, coupon = skewed
+    facts = hold.select("member_id", F.col("coupon_id").cast("long").alias("id"))
+    joined = lookup_join(facts, coupon, "id", salt_by="member_id", salt_buckets=8)
+    hot = (facts.withColumn("_salt", F.pmod(F.xxhash64("member_id"), F.lit(8)))
+           .where(F.col("id") == 3).select("_salt").distinct().count())
+    assert hot > 1 and joined.count() == facts.count()
