@@ -73,3 +73,27 @@ def test_entry_smoke(spark):
     df = entry.entry(spark)
     assert df.columns == ["day", "regCount", "memberCount", "orderCount", "gmv"]
     assert df.count() >= 0
+
+
+JOIN_HEAVY = ["member_tags", "member_tags_parity", "tag_order_behavior", "tag_order_features",
+              "tag_charge_money", "audience_select", "growth_daily", "tag_member_base"]
+
+
+@pytest.mark.parametrize("key", JOIN_HEAVY)
+def test_join_heavy_queries_without_broadcast(spark, duck, key):
+    """The plans of large tables (every join sort-merge) give the same
+    answer as the oracle."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+            "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1"}
+    old = {k: spark.conf.get(k, None) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        df = QUERIES[key](spark, SF_SMALL)
+        s_rows = [tuple(r) for r in df.collect()]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    cur = duck.execute(SQL[key])
+    d_cols = [c[0] for c in cur.description]
+    assert _bag(df.columns, s_rows) == _bag(d_cols, cur.fetchall())
