@@ -103,8 +103,9 @@ def day_key(ts: Column | str) -> Column:
 
 
 def day_text(c: Column | str) -> Column:
-    """A date or timestamp rendered as ``yyyy-MM-dd`` text."""
-    return F.date_format(_col(c), DAY_FORMAT)
+    """A date or wall-clock timestamp rendered as ``yyyy-MM-dd`` text, from
+    its fields (no session time zone involved, see ``wall_clock_text``)."""
+    return wall_clock_text(c, DAY_FORMAT)
 
 
 # ---------------------------------------------------------------- D1 parsing
