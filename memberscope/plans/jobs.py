@@ -154,11 +154,13 @@ JOBS = {
 def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="memberscope.plans.jobs")
     p.add_argument("job", choices=sorted(JOBS))
-    p.add_argument("--sf-dir", required=True)
-    p.add_argument("--out", required=True)
-    p.add_argument("--as-of", default=C.AS_OF)
-    p.add_argument("--lines-path")
-    p.add_argument("--tag-path")
+    p.add_argument("--sf-dir", required=True,
+                   help="folder of <table>.parquet files, or a catalog database name")
+    p.add_argument("--out", required=True, help="folder for the outputs (overwritten)")
+    p.add_argument("--as-of", default=C.AS_OF, help="the report day, yyyy-MM-dd")
+    p.add_argument("--lines-path", help="hotword: text files of tab-separated lines")
+    p.add_argument("--tag-path", help="usertag: where to publish the tag table "
+                   "(default: below spark.checkpoint.dir)")
     p.add_argument("--rollup-path",
                    help="growth: keep the per-day rollup there, refreshed by day")
     p.add_argument("--master")
