@@ -27,7 +27,7 @@ from memberscope.operators import (audience, calendar_jobs, distributions, funne
                                    growth, hotwords, tags)
 from memberscope.sources.text import text_lines
 
-SETTINGS = settings(max_examples=12, deadline=None,
+SETTINGS = settings(max_examples=8, deadline=None,
                     suppress_health_check=list(HealthCheck))
 
 day = st.one_of(st.none(), st.integers(0, 40).map(
@@ -137,7 +137,7 @@ def _holds(r, row, keep_null):
     return v is not None and v >= type(v)(r.value)  # rangeGte
 
 
-@settings(max_examples=30, deadline=None, suppress_health_check=list(HealthCheck))
+@settings(max_examples=20, deadline=None, suppress_health_check=list(HealthCheck))
 @given(tag_rows=st.lists(tag_row, max_size=12), rules=st.lists(rule, max_size=4),
        keep_null=st.booleans())
 def test_rule_selection_equals_direct_evaluation(spark, tag_rows, rules, keep_null):
