@@ -19,12 +19,15 @@ order              orders: order_id, member_id, order_status (F done, O open,
                    create_time=o_orderdate
 purchase           events where event_type='purchase': order_id=event_id,
                    origin_price=value, create_time=ts (growth and weeks)
-order line         lineitem: order_id=l_orderkey, commodity_id=l_partkey
+order item         lineitem: order_id=l_orderkey, commodity_id=l_partkey
+order line         the same with arrive_time=l_shipdate (deliveries are the
+                   lines, so order and delivery tags can share one pass)
 coupon holding     events: member_id=user_id, coupon_id=props.k,
                    coupon_channel=1 for purchase events else 2, create_time=ts
 coupon             part: id=p_partkey, coupon_price=p_retailprice
-delivery           lineitem joined to orders: member_id=o_custkey,
-                   pick_time=o_orderdate, arrive_time=l_shipdate
+delivery           lineitem joined to orders, one row per order:
+                   member_id=o_custkey, pick_time=o_orderdate,
+                   arrive_time=last l_shipdate
 feedback           events where event_type='error': id=event_id,
                    member_id=user_id, feedback_type=props.k % 4 + 1
 search lines       documents.text split into lines
