@@ -147,6 +147,13 @@ def growth_daily_parity(spark, sf):
     return _text_arrays(growth.growth_daily(d.registration, d.purchase, AS_OF, parity=True))
 
 
+def growth_rollup(spark, sf):
+    """The per-day rollup behind the growth line (what the growth job keeps
+    as a day-partitioned table)."""
+    d = Domain(spark, sf)
+    return _text_arrays(growth.daily_rollup(d.registration, d.purchase))
+
+
 def reg_two_weeks(spark, sf):
     return growth.last_weeks_counts(Domain(spark, sf).registration,
                                     "create_time", "id", AS_OF, 2, "regCount")
@@ -332,6 +339,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conversion_funnel_constants": conversion_funnel_constants,
     "growth_daily": growth_daily,
     "growth_daily_parity": growth_daily_parity,
+    "growth_rollup": growth_rollup,
     "reg_two_weeks": reg_two_weeks,
     "order_two_weeks": order_two_weeks,
     "week_on_week": week_on_week,

@@ -434,6 +434,21 @@ WITH per_order AS (
 SELECT memberId,
        max(CAST(floor(epoch(arrive)) AS BIGINT) - CAST(floor(epoch(pick)) AS BIGINT)) AS overTime
 FROM per_order GROUP BY memberId"""
+    out["growth_rollup"] = """
+WITH m AS (
+  SELECT CAST(ts AS DATE) AS d, count(*) AS reg_rows, count(event_id) AS regCount
+  FROM events WHERE event_type = 'signup' AND ts IS NOT NULL GROUP BY 1),
+o AS (
+  SELECT CAST(ts AS DATE) AS d, count(*) AS order_rows, count(event_id) AS orders,
+         sum(CAST(value AS DECIMAL(18,2))) AS gmv_day
+  FROM events WHERE event_type = 'purchase' AND ts IS NOT NULL GROUP BY 1)
+SELECT coalesce(m.d, o.d) AS d,
+       CAST(coalesce(m.reg_rows, 0) AS BIGINT) AS reg_rows,
+       CAST(coalesce(m.regCount, 0) AS BIGINT) AS regCount,
+       CAST(coalesce(o.order_rows, 0) AS BIGINT) AS order_rows,
+       CAST(coalesce(o.orders, 0) AS BIGINT) AS orders,
+       CAST(o.gmv_day AS DOUBLE) AS gmv_day
+FROM m FULL JOIN o ON m.d = o.d"""
     out["member_sex_sql"] = out["member_sex"]
     out["reg_two_weeks_sql"] = out["reg_two_weeks"]
     out["member_heat_orders_sql"] = """
