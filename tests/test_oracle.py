@@ -19,7 +19,7 @@ def _norm(v):
     if v is None:
         return "NULL"
     if isinstance(v, float):
-        return "NaN" if math.isnan(v) else repr(round(v, 9))
+        return "NaN" if math.isnan(v) else repr(v)  # exact: no rounding
     if isinstance(v, decimal.Decimal):
         return str(v.normalize())
     return str(v)
