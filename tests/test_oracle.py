@@ -76,7 +76,8 @@ def test_entry_smoke(spark):
 
 
 JOIN_HEAVY = ["member_tags", "member_tags_parity", "tag_order_behavior", "tag_order_features",
-              "tag_charge_money", "audience_select", "growth_daily", "tag_member_base"]
+              "tag_charge_money", "audience_select", "growth_daily", "growth_rollup",
+              "tag_member_base"]
 
 
 @pytest.mark.parametrize("key", JOIN_HEAVY)
