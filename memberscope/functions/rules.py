@@ -13,6 +13,7 @@ scan.
 from __future__ import annotations
 
 import datetime as _dt
+import json
 from collections import OrderedDict
 from dataclasses import dataclass
 
@@ -69,6 +70,15 @@ def as_rule(r) -> Rule:
     return Rule(*r)
 
 
+def rules_from_json(text: str) -> list[Rule]:
+    """Rules from a tag page selection: ``{"selectedTags": [{"label": …,
+    "name": …, "value": …, "type": …}, …]}`` or a bare list of such objects
+    (other keys, such as display state, are ignored)."""
+    doc = json.loads(text)
+    items = doc.get("selectedTags", []) if isinstance(doc, dict) else doc
+    return [as_rule(item) for item in items]
+
+
 def _typed(value: str, dt: DataType) -> Column:
     """``value`` as a literal of the column's type (NULL if it cannot be)."""
     if isinstance(dt, StringType):

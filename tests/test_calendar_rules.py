@@ -195,3 +195,14 @@ def test_reformat_any_known_pattern(spark):
     df = spark.createDataFrame([("2019/11/30 10:05",), ("11月30日",), ("bad",)], "s string")
     got = [r[0] for r in rows(df.select(cal.reformat("s", "yyyy-MM-dd HH:mm:ss")))]
     assert got == ["2019-11-30 10:05:00", "1970-11-30 00:00:00", None]
+
+
+def test_rules_from_a_page_selection(tags_df):
+    from memberscope.functions.rules import rules_from_json
+    body = ('{"selectedTags": [{"effect": "dark", "label": "x", "name": "sex", "value": "2", '
+            '"type": "match"}, {"effect": "dark", "label": "y", "name": "orderCount", '
+            '"value": "2", "type": "rangeGte"}]}')
+    rules = rules_from_json(body)
+    assert [r.type for r in rules] == ["match", "rangeGte"]
+    assert _ids(audience.audience_select(tags_df, rules)) == [2]
+    assert rules_from_json("[]") == []
