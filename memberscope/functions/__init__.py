@@ -1,0 +1,2 @@
+"""Column-level helpers: money (``money``), calendar (``calendar``) and
+audience rules (``rules``)."""

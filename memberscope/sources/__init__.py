@@ -1,0 +1,2 @@
+"""Inputs and outputs: table loading and domain views (``tables``), text
+lines (``text``), SQL views (``views``) and sinks (``sinks``)."""
