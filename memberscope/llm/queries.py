@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberscope.llm import (packing, token_counts, token_files, topk_search, url_reputation,
-                             word_bpe)
+from memberscope.llm import (line_quality, packing, token_counts, token_files, topk_search,
+                             url_reputation, word_bpe)
 from memberscope.llm.common import read
 
 
@@ -50,6 +50,11 @@ def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      page_outcomes(read(spark, sf_dir, "labels")), page_key())
 
 
+def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base rules and line frequency of all documents."""
+    return line_quality.line_quality(read(spark, sf_dir, "documents"))
+
+
 def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All texts encoded and decoded, as digests."""
     return word_bpe.encode_digest(read(spark, sf_dir, "documents"))
@@ -57,7 +62,7 @@ def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pack_ffd, op2_topk_inner, op3_token_counts, op4_token_files, op5_url_reputation,
-    op8_word_bpe)}
+    op7_line_frequency, op8_word_bpe)}
 
 #: DuckDB SQL of the operators that SQL expresses.
 URL_SQL = r"""
@@ -142,4 +147,51 @@ SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM (
 WHERE r <= 5
 """
 
-ORACLE_SQL = {"op2_topk_inner": TOPK_SQL, "op5_url_reputation": URL_SQL}
+LINES_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS t, coalesce(source, '') AS host
+  FROM documents),
+w AS (SELECT rid, regexp_extract_all(t, '[^\x20\x09-\x0D]+') AS ws FROM d),
+pos AS (SELECT rid, unnest(ws) AS word, generate_subscripts(ws, 1) AS i FROM w),
+win AS (
+  SELECT rid, i, [word, lead(word, 1) OVER o, lead(word, 2) OVER o, lead(word, 3) OVER o,
+                  lead(word, 4) OVER o] AS five, lead(i, 4) OVER o AS last
+  FROM pos WINDOW o AS (PARTITION BY rid ORDER BY i)),
+twice AS (
+  SELECT rid, five FROM win WHERE last IS NOT NULL GROUP BY ALL HAVING count(*) > 1),
+rep AS (
+  SELECT rid, count(DISTINCT j) AS n FROM (
+    SELECT rid, unnest(range(i, i + 5)) AS j FROM win JOIN twice USING (rid, five)
+    WHERE last IS NOT NULL)
+  GROUP BY rid),
+ln AS (SELECT rid, doc_id, host, unnest(string_split(t, chr(10))) AS line FROM d),
+lw AS (
+  SELECT rid, doc_id, host, line, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS words,
+         lower(regexp_replace(line, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g')) AS norm
+  FROM ln WHERE regexp_matches(line, '[^\x20\x09-\x0D]')),
+dup AS (SELECT rid, count(*) - count(DISTINCT line) AS n FROM lw GROUP BY rid),
+hosts AS (SELECT host, count(*) AS docs FROM d GROUP BY host),
+freq AS (
+  SELECT host, norm, first FROM (
+    SELECT host, norm, count(DISTINCT rid) AS n, min(doc_id) AS first FROM lw GROUP BY host, norm)
+  JOIN hosts USING (host) WHERE n > 20 AND n > 0.02 * docs),
+gone AS (
+  SELECT rid, sum(words) AS n FROM lw JOIN freq USING (host, norm)
+  WHERE doc_id IS DISTINCT FROM first GROUP BY rid),
+base AS (
+  SELECT d.rid, d.doc_id, CAST(len(ws) AS BIGINT) AS n_words,
+         CAST(length(array_to_string(ws, '')) AS BIGINT) AS word_chars,
+         CAST(len(regexp_extract_all(t, '[#*$%&|<>]')) AS BIGINT) AS n_symbols,
+         CAST(coalesce(dup.n, 0) AS BIGINT) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(gone.n, 0) AS gone
+  FROM d JOIN w USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN rep USING (rid)
+  LEFT JOIN gone USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+       NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words)
+         AND NOT (gone > 0 AND (gone > 0.5 * n_words OR n_words - gone < 10)) AS kept
+FROM base
+"""
+
+ORACLE_SQL = {"op2_topk_inner": TOPK_SQL, "op5_url_reputation": URL_SQL,
+              "op7_line_frequency": LINES_SQL}
