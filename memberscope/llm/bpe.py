@@ -112,6 +112,11 @@ class ChunkedPieces:
         self.chunks = Memo(self._chunk, limit)
 
     def _chunk(self, chunk: str):
+        word = chunk.rstrip(",.;:!?")
+        if word.isalpha():  # the pattern's commonest case: a word, then marks
+            if len(word) == len(chunk):
+                return self.pieces[" " + chunk]
+            return self.combine((self.pieces[" " + word], self.pieces[chunk[len(word):]]))
         if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Spacing
         return self._plain(" " + chunk)

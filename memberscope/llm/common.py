@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from memberscope.session import scratch_path
 
+ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -25,8 +26,11 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, as
     ``--py-files`` would, so that Python workers can import it wherever they
-    start."""
+    start; and keep Arrow batches of long texts small, unless the cluster's
+    configuration sizes them."""
     sc = spark.sparkContext
+    if not sc.getConf().contains(ARROW_ROWS):
+        spark.conf.set(ARROW_ROWS, "1000")
     if getattr(sc, "_memberscope_shipped", False):
         return
     path = os.path.join(tempfile.mkdtemp(prefix="memberscope-py-"), "memberscope_src.zip")

@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberscope.llm import (line_quality, packing, token_counts, token_files, topk_search,
-                             url_reputation, word_bpe)
+from memberscope.llm import (line_quality, packing, secret_scan, token_counts, token_files,
+                             topk_search, url_reputation, word_bpe)
 from memberscope.llm.common import read
 
 
@@ -60,9 +60,14 @@ def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_digest(read(spark, sf_dir, "documents"))
 
 
+def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Findings in all texts, with the forest's judgement."""
+    return secret_scan.scan(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pack_ffd, op2_topk_inner, op3_token_counts, op4_token_files, op5_url_reputation,
-    op7_line_frequency, op8_word_bpe)}
+    op7_line_frequency, op8_word_bpe, op10_secret_scan)}
 
 #: DuckDB SQL of the operators that SQL expresses.
 URL_SQL = r"""

@@ -1,8 +1,8 @@
 """Token ids of whole texts by the ``tokenizers`` library, chunk by chunk.
 
-The library encodes each distinct piece once per worker; a document's ids
-are the concatenation of its chunks' packed ids (two bytes each where the
-vocabulary allows), which keeps caches and files small.
+The library's model encodes each distinct piece while it is in the worker's
+cache; a document's ids are the concatenation of its chunks' packed ids (two
+bytes each where the vocabulary allows), which keeps caches and files small.
 """
 
 from __future__ import annotations
@@ -25,11 +25,11 @@ def id_dtype(path: str) -> str:
 @cache
 def encoder(path: str):
     """``text -> packed ids (bytes)`` for this worker."""
-    vocab, library = bpe.vocabulary(path), Tokenizer.from_file(path)
+    vocab, library = bpe.vocabulary(path), Tokenizer.from_file(path).model
     code = "H" if id_dtype(path) == "<u2" else "I"
 
     def ids_of(piece: str) -> bytes:
-        return array(code, library.encode(piece, add_special_tokens=False).ids).tobytes()
+        return array(code, [t.id for t in library.tokenize(bpe.symbols(piece))]).tobytes()
 
     return bpe.ChunkedPieces(vocab, ids_of, b"".join,
                              lambda s: array(code, [vocab.specials[s]]).tobytes())
