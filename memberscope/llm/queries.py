@@ -6,8 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberscope.llm import (line_quality, packing, secret_scan, token_counts, token_files,
-                             topk_search, url_reputation, word_bpe)
+from memberscope.llm import (jaccard_join, line_quality, packing, secret_scan, token_counts,
+                             token_files, topk_search, toxicity, url_reputation, word_bpe)
 from memberscope.llm.common import read
 
 
@@ -50,6 +50,11 @@ def op5_url_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      page_outcomes(read(spark, sf_dir, "labels")), page_key())
 
 
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all texts."""
+    return toxicity.toxicity(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op7_line_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base rules and line frequency of all documents."""
     return line_quality.line_quality(read(spark, sf_dir, "documents"))
@@ -60,6 +65,11 @@ def op8_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return word_bpe.encode_digest(read(spark, sf_dir, "documents"))
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate components of all documents."""
+    return jaccard_join.component_ids(read(spark, sf_dir, "documents"))
+
+
 def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Findings in all texts, with the forest's judgement."""
     return secret_scan.scan(read(spark, sf_dir, "documents"))
@@ -67,7 +77,7 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (
     op1_pack_ffd, op2_topk_inner, op3_token_counts, op4_token_files, op5_url_reputation,
-    op7_line_frequency, op8_word_bpe, op10_secret_scan)}
+    op6_toxicity, op7_line_frequency, op8_word_bpe, op9_jaccard_join, op10_secret_scan)}
 
 #: DuckDB SQL of the operators that SQL expresses.
 URL_SQL = r"""

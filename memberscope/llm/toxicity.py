@@ -31,6 +31,7 @@ both kinds) the fixed lexicons alone vote; an empty table gives no rows; only
 from __future__ import annotations
 
 import zlib
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -125,7 +126,7 @@ def mine_stems(sample: DataFrame, size: int = STEMS) -> list[str]:
     n = counted.where("stem = ''").first()
     if n is None or not n.clean:
         return []
-    found = counted.where((F.col("stem") != "") & (F.col("toxic") >= max(2, SUPPORT * n.toxic)))
+    found = counted.where((F.col("stem") != "") & (F.col("toxic") >= max(3, SUPPORT * n.toxic)))
     p, q = (F.col("toxic") + 0.5) / (n.toxic + 1.0), (F.col("clean") + 0.5) / (n.clean + 1.0)
     # weight of evidence times how many toxic texts it explains
     strength = F.log(p / q) * F.col("toxic")
@@ -154,49 +155,53 @@ def group_stems(sample: DataFrame, stems: list[str]) -> list[int]:
     return voter + [-1] * (len(stems) - len(top))
 
 
-def votes(docs: DataFrame, stems: list[str], mined: list[int]) -> DataFrame:
-    """doc_id, hits (feature numbers), pattern (bits of the voters) per row.
+class Voting:
+    """Hits and votes of single texts. Features: the mined stems, then the
+    fixed words, then the patterns."""
+
+    def __init__(self, stems: list[str], mined: list[int]):
+        fixed = [w for words in LEXICONS for w in words]
+        self.stem_no = {s: i for i, s in enumerate(stems)}
+        self.word_no = {w: len(stems) + i for i, w in enumerate(fixed)}
+        self.voter = [len(LEXICONS) + g if g >= 0 else -1 for g in mined]
+        self.voter += [k for k, words in enumerate(LEXICONS) for _ in words]
+        self.size = len(self.voter) + PATTERNS
+        self.memo = Memo(self._features)
+
+    def _features(self, chunk: str) -> tuple[int, ...]:
+        found = [self.stem_no[s] for s in stems_of(chunk) if s in self.stem_no]
+        return tuple(found + [self.word_no[w] for w in LETTERS.findall(chunk.lower())
+                              if w in self.word_no])
+
+    def __call__(self, text: str) -> tuple[list[int], int]:
+        words = text.split()
+        chunks = set(words)
+        found = set().union(*map(self.memo.__getitem__, chunks))
+        bits, strong = 0, 0
+        for f in found:
+            if self.voter[f] >= 0:
+                bits |= 1 << self.voter[f]
+                strong += 1
+        for k, fires in enumerate((strong >= 2, strong * 100 > len(words),
+                                   not SECOND_PERSON.isdisjoint(chunks),
+                                   text.count("!!") * 50 > len(words))):
+            if fires:
+                bits |= 1 << (VOTERS - PATTERNS + k)
+                found.add(len(self.voter) + k)
+        return sorted(found), bits
+
 
-    Features: the mined stems, then the fixed words, then the patterns."""
+def votes(docs: DataFrame, stems: list[str], mined: list[int]) -> DataFrame:
+    """doc_id, hits (feature numbers), pattern (bits of the voters) per row."""
     ship(docs.sparkSession)
-    fixed = [w for words in LEXICONS for w in words]
-    base_patterns = len(stems) + len(fixed)
 
     def run(batches):
-        stem_no = {s: i for i, s in enumerate(stems)}
-        word_no = {w: len(stems) + i for i, w in enumerate(fixed)}
-        voter = [len(LEXICONS) + g if g >= 0 else -1 for g in mined]
-        voter += [k for k, words in enumerate(LEXICONS) for _ in words]
-
-        def features(chunk: str) -> tuple[int, ...]:
-            found = [stem_no[s] for s in stems_of(chunk) if s in stem_no]
-            return tuple(found + [word_no[w] for w in LETTERS.findall(chunk.lower()) if w in word_no])
-
-        memo = Memo(features)
+        vote = Voting(stems, mined)
         for batch in batches:
-            hits, patterns = [], []
-            for text in batch.column(1).to_pylist():
-                words = text.split()
-                chunks = set(words)
-                found = set()
-                found.update(*map(memo.__getitem__, chunks))
-                bits, strong = 0, 0
-                for f in found:
-                    if voter[f] >= 0:
-                        bits |= 1 << voter[f]
-                        strong += 1
-                first = len(LEXICONS) + MINED_VOTERS
-                for k, fires in enumerate((strong >= 2, strong * 100 > len(words),
-                                           not SECOND_PERSON.isdisjoint(chunks),
-                                           text.count("!!") * 50 > len(words))):
-                    if fires:
-                        bits |= 1 << (first + k)
-                        found.add(base_patterns + k)
-                hits.append(sorted(found))
-                patterns.append(bits)
+            pairs = [vote(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(hits, pa.list_(pa.int32())), pa.array(patterns, pa.int32())],
-                names=["doc_id", "hits", "pattern"])
+                [batch.column(0), pa.array([p[0] for p in pairs], pa.list_(pa.int32())),
+                 pa.array([p[1] for p in pairs], pa.int32())], names=["doc_id", "hits", "pattern"])
 
     return docs.mapInArrow(run, "doc_id long, hits array<int>, pattern int")
 
@@ -303,8 +308,25 @@ def fit_linear(hits: list[list[int]], target: np.ndarray, size: int, rounds: int
     return w[:size], float(w[size])
 
 
-def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
-    """doc_id, held_out, score, predicted per row of docs."""
+@dataclass(frozen=True)
+class Classifier:
+    """What scoring needs: the mined stems, their voters, the weights."""
+
+    stems: list[str]
+    mined: list[int]
+    weights: np.ndarray
+    base: float
+
+    def scores(self, hits: pa.ListArray) -> np.ndarray:
+        sizes = np.diff(hits.offsets.to_numpy())
+        rows = np.repeat(np.arange(len(sizes)), sizes)
+        z = np.bincount(rows, weights=self.weights[hits.flatten().to_numpy()],
+                        minlength=len(sizes)) + self.base
+        return 1 / (1 + np.exp(-np.clip(z, -40, 40)))
+
+
+def train(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[Classifier, DataFrame]:
+    """The classifier, and the votes of every row of docs (a written table)."""
     spark = docs.sparkSession
     ship(spark)
     docs = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
@@ -312,16 +334,15 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         F.max("toxic").alias("toxic"))
     sample = labelled_sample(docs, labels, sample_rows)
     stems = mine_stems(sample)
-    size = len(stems) + sum(map(len, LEXICONS)) + PATTERNS
-    voted = scratch_table(spark, votes(docs, stems, group_stems(sample, stems)),
-                          "toxicity-votes")
+    mined = group_stems(sample, stems)
+    voted = scratch_table(spark, votes(docs, stems, mined), "toxicity-votes")
     known = labels.where(~held_out()).select("doc_id", F.col("toxic").cast("int").alias("annotator"))
     marked = voted.join(known, "doc_id", "left").withColumn(
         "annotator", F.coalesce("annotator", F.lit(-1)))
     patterns = marked.groupBy("pattern", "annotator").count().collect()  # at most 3 * 2**VOTERS rows
+    size = Voting(stems, mined).size
     if not patterns:
-        return voted.select("doc_id", held_out().alias("held_out"), F.lit(0.0).alias("score"),
-                            F.lit(0).alias("predicted"))
+        return Classifier(stems, mined, np.zeros(size), 0.0), voted
     keys = [(r.pattern, r.annotator) for r in patterns]
     bits = np.array([[p >> j & 1 for j in range(VOTERS)] for p, _ in keys])
     model = LabelModel(bits, np.array([a for _, a in keys]), np.array([r["count"] for r in patterns]))
@@ -332,17 +353,35 @@ def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         sample_rows).select("hits", "pattern", "annotator").collect()
     weights, base = fit_linear([r.hits for r in rows], np.array(
         [posterior[r.pattern, r.annotator] for r in rows]), size)
+    return Classifier(stems, mined, weights, base), voted
+
+
+def toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """doc_id, held_out, score, predicted per row of docs."""
+    model, voted = train(docs, labels, sample_rows)
 
     def run(batches):
         for batch in batches:
-            column = batch.column(1)
-            at = np.diff(column.offsets.to_numpy())
-            rows = np.repeat(np.arange(len(at)), at)
-            z = np.bincount(rows, weights=weights[column.flatten().to_numpy()], minlength=len(at)) + base
-            score = 1 / (1 + np.exp(-np.clip(z, -40, 40)))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(score)], names=["doc_id", "score"])
+                [batch.column(0), pa.array(model.scores(batch.column(1)))], names=["doc_id", "score"])
 
     scored = voted.select("doc_id", "hits").mapInArrow(run, "doc_id long, score double")
     return scored.select("doc_id", held_out().alias("held_out"), "score",
                          (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def clean_documents(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The documents that are not predicted toxic, all their columns. Rows
+    are judged by their own text, so null or repeated ids need no join."""
+    model, _ = train(docs, labels, sample_rows)
+    schema = docs.schema
+    text_at = docs.columns.index("text")
+
+    def run(batches):
+        vote = Voting(model.stems, model.mined)
+        for batch in batches:
+            hits = pa.array([vote(t or "")[0] for t in batch.column(text_at).to_pylist()],
+                            pa.list_(pa.int32()))
+            yield batch.filter(pa.array(model.scores(hits) < 0.5))
+
+    return docs.mapInArrow(run, schema)
