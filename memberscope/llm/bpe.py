@@ -57,10 +57,14 @@ def byte_symbols() -> tuple[str, ...]:
     return tuple(chr(b) if b in shown else chr(256 + hidden.index(b)) for b in range(256))
 
 
+@cache
+def _translation() -> dict[int, str]:
+    return dict(enumerate(byte_symbols()))
+
+
 def symbols(piece: str) -> str:
     """The piece's UTF-8 bytes as one symbol character each."""
-    table = byte_symbols()
-    return "".join([table[b] for b in piece.encode("utf-8")])
+    return piece.encode("utf-8").decode("latin-1").translate(_translation())
 
 
 def merge_by_heap(parts: list[str], ranks: dict[tuple[str, str], int]) -> tuple[list[str], int]:
@@ -108,7 +112,7 @@ class ChunkedPieces:
 
     def __init__(self, vocab: Vocabulary, of_piece, combine, special, limit: int = 250_000):
         self.vocab, self.combine, self.special = vocab, combine, special
-        self.pieces = Memo(of_piece, limit)
+        self.pieces = Memo(of_piece, limit // 3)
         self.chunks = Memo(self._chunk, limit)
 
     def _chunk(self, chunk: str):

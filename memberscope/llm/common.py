@@ -63,7 +63,7 @@ class Memo(dict):
     entries still in use move over, so frequent keys stay cached and memory
     never exceeds two generations."""
 
-    def __init__(self, compute: Callable, limit: int = 250_000):
+    def __init__(self, compute: Callable, limit: int = 100_000):
         super().__init__()
         self._compute, self._limit, self._old = compute, limit, {}
 

@@ -39,7 +39,7 @@ from memberscope.llm.common import ship, text_or_empty
 from memberscope.session import scratch_path
 
 #: Text bytes per file: a file is read back as one value, so it stays small.
-FILE_TEXT_BYTES = 32 << 20
+FILE_TEXT_BYTES = 16 << 20
 END_BYTE = b"\n"
 HEAD = struct.Struct("<QI")
 KEY = struct.Struct("<Bq")

@@ -46,7 +46,7 @@ class WordBpe:
         self.strings = {i: t for t, i in self.vocab.ids.items()}
         self.strings |= {i: s for s, i in self.vocab.specials.items()}
         self.inside = self._pairs_inside_tokens()
-        self.fragments = Memo(self._fragment, limit)
+        self.fragments = Memo(self._fragment, limit // 3)
         self.chunks = Memo(self._chunk, limit)
 
     def _pairs_inside_tokens(self) -> set[str]:
