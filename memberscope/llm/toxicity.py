@@ -89,7 +89,7 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPL
     sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
 
     def signatures(batches):
-        memo = Memo(stems_of)
+        memo = Memo(stems_of, 40_000)
         for batch in batches:
             least = [min((zlib.crc32(s.encode()) for s in _text_stems(t, memo)), default=-1)
                      for t in batch.column(1).to_pylist()]
@@ -109,7 +109,7 @@ def mine_stems(sample: DataFrame, size: int = STEMS) -> list[str]:
     """Stems most indicative of toxic texts, best first (at most ``size``)."""
 
     def run(batches):
-        memo = Memo(stems_of)
+        memo = Memo(stems_of, 40_000)
         for batch in batches:
             seen: dict[str, list[int]] = {"": [0, 0]}  # the texts themselves
             for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
