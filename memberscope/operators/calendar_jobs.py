@@ -9,17 +9,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from memberscope.functions import calendar as cal
-from memberscope.sources.tables import spread
 
 
 def normalize_dates(df: DataFrame, col: str, patterns=cal.DATE_PATTERNS,
                     prefix: str | None = None) -> DataFrame:
     """Text in mixed formats → ``<p>_ts`` (timestamp), ``<p>_style`` (the
     pattern that parsed it) and ``<p>_valid``. Parsing is strict: the whole
-    text must fit the pattern. Parsing is CPU work per row, so a coarse
-    input is first spread over all task slots (``spread``)."""
+    text must fit the pattern. A projection: no exchange."""
     p = prefix or col
-    out = spread(df).withColumn(f"{p}_ts", cal.parse_any(col, patterns))
+    out = df.withColumn(f"{p}_ts", cal.parse_any(col, patterns))
     if cal.signatures_unique(tuple(patterns)):
         # The style is the layout's pattern wherever the parse succeeded:
         # no second round of parsing.

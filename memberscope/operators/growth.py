@@ -128,7 +128,8 @@ def growth_from_rollup(rollup: DataFrame, as_of, days: int = 7) -> DataFrame:
         F.sum("regCount").over(_running()).cast("bigint").alias("memberCount"),
         F.sum("orders").over(_running()).cast("bigint").alias("orderCount"),
         F.sum("gmv_day").over(_running()).cast(MONEY_TOTAL).alias("gmv"))
-    shown = run.where((F.col("d") >= F.lit(start_day)) &
+    last_day = day_start(as_of).date()
+    shown = run.where((F.col("d") >= F.lit(start_day)) & (F.col("d") <= F.lit(last_day)) &
                       (F.col("reg_rows") > 0) & (F.col("order_rows") > 0))
     return sorted_days(shown.select(day_text("d").alias("day"), "regCount",
                                     "memberCount", "orderCount", "gmv"), "day")

@@ -30,7 +30,6 @@ from memberscope.sources.views import register_views
 
 AS_OF = "2024-01-30"
 FREE_COUPON_ID = 1
-PRIORITY_SENTINEL = "4-NOT SPECIFIED"
 PHONE_SENTINEL = "null"
 # The shared tables' codes for the tag catalogue (sex = market segment,
 # channel = nation key).
@@ -101,8 +100,7 @@ def member_channel(spark, sf):
 
 
 def member_subscription(spark, sf):
-    return distributions.sentinel_counts(Tables(spark, sf).orders,
-                                         "o_orderpriority", PRIORITY_SENTINEL)
+    return distributions.sentinel_counts(Domain(spark, sf).member_plain, "mp_open_id")
 
 
 def member_heat(spark, sf):
@@ -333,7 +331,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "member_channel": member_channel,
     "member_subscription": member_subscription,
     "member_heat": member_heat,
-    "member_overview": member_overview,
     "member_overview_json": member_overview_json,
     "conversion_funnel": conversion_funnel,
     "conversion_funnel_constants": conversion_funnel_constants,

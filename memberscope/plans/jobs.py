@@ -17,6 +17,7 @@ from __future__ import annotations
 import argparse
 import os
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,22 +56,32 @@ def refresh_rollup(spark: SparkSession, member: DataFrame, order: DataFrame,
 
     Days from ``since`` on are recomputed from the raw tables (their scans
     are bounded by ``since``) and replace their own partitions only (dynamic
-    partition overwrite); older days are kept. Without ``since``, or when the
-    table does not exist yet, every day is computed. Re-running a refresh
-    gives the same table. Returns the stored rollup."""
-    exists = _exists(spark, path)
-    part = growth.daily_rollup(member, order, since=since if exists else None, **cols)
+    partition overwrite); older days are kept. Where the stored table ends
+    before ``since`` (missed runs), the refresh starts at its last day, so no
+    day is skipped. Without ``since``, or when the table does not exist yet,
+    every day is computed. Re-running a refresh gives the same table. Returns
+    the stored rollup."""
+    last = _last_day(spark, path)
+    if last is None:
+        since = None
+    elif since is not None:
+        since = min(str(since), str(last))
+    part = growth.daily_rollup(member, order, since=since, **cols)
     (part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("d").parquet(path))
     return spark.read.parquet(path)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def _last_day(spark: SparkSession, path: str):
+    """The last stored day, None where no table is there yet (any other
+    failure to read is an error)."""
     try:
-        spark.read.parquet(path).schema
-        return True
-    except Exception:  # no table there yet
-        return False
+        stored = spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
+    return stored.agg(F.max("d")).first()[0]
 
 
 def growth_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,

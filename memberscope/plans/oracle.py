@@ -307,9 +307,10 @@ FROM customer GROUP BY c_mktsegment""",
 SELECT c_nationkey AS memberChannel, count(c_custkey) AS channelCount
 FROM customer GROUP BY c_nationkey""",
         "member_subscription": f"""
-SELECT CAST(count_if(o_orderpriority <> '{C.PRIORITY_SENTINEL}') AS BIGINT) AS subCount,
-       CAST(count_if(o_orderpriority = '{C.PRIORITY_SENTINEL}') AS BIGINT) AS unSubCount
-FROM orders""",
+WITH {MEMBER}
+SELECT CAST(count_if(mp_open_id <> 'null') AS BIGINT) AS subCount,
+       CAST(count_if(mp_open_id = 'null') AS BIGINT) AS unSubCount
+FROM member""",
         "member_heat": f"""
 WITH {COUPON_MEMBER},
 rc AS (SELECT CAST(count_if(c_name = 'null') AS BIGINT) AS reg,

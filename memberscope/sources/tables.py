@@ -35,7 +35,6 @@ search lines       documents.text split into lines
 
 from __future__ import annotations
 
-import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -45,53 +44,18 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders",
           "benchmark", "labels", "conversations")
 
 
-# Loaded tables, per session: loading lists the files and reads a footer on
-# the driver (slow on object stores), so a table is loaded once per session
-# and its DataFrame reused. Only metadata is kept, never data.
-_LOADED: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, source: str, name: str,
-               reuse: bool = True) -> DataFrame:
-    """One table, from a folder of ``<name>.parquet`` files or from the
-    catalog (metastore) when ``source`` is a database name, e.g. ``"shop"``
-    reads ``shop.<name>`` with ``spark.table``.
-
-    With ``reuse`` the loaded DataFrame is kept for the session; call
-    ``forget_tables()`` after the files change."""
-    key = (spark.sparkContext.applicationId, id(spark), source, name)
-    if reuse and key in _LOADED:
-        return _LOADED[key]
-    if "/" in source or "://" in source or os.path.isdir(source):
-        df = spark.read.parquet(os.path.join(source, f"{name}.parquet"))
-    else:
-        df = spark.table(f"{source}.{name}")
-    if reuse:
-        _LOADED[key] = df
-    return df
-
-
-def forget_tables() -> None:
-    """Drop the loaded-table cache (the next read lists the files again)."""
-    _LOADED.clear()
-
-
-def spread(df: DataFrame) -> DataFrame:
-    """Spread rows over all task slots when the input is too coarse.
-
-    A scan has as many tasks as its file splits. When that is fewer than the
-    cluster's task slots (a few large files, or a single row group), the
-    CPU-heavy per-row work that follows would run on a few cores; a
-    round-robin repartition spreads it. On a large input (many splits) this
-    is a no-op, so no shuffle is added at scale. Decided at planning time
-    from the scan's partition count; nothing is executed.
-    """
-    if df.isStreaming:  # a stream's micro-batches are planned per trigger
-        return df
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < slots:
-        return df.repartition(slots)
-    return df
+               kind: str = "folder") -> DataFrame:
+    """One table: ``<source>/<name>.parquet`` for ``kind="folder"``, or
+    ``<source>.<name>`` of the catalog (metastore) for ``kind="catalog"``.
+
+    Files are listed on every call, so a long-lived session sees appended
+    files; ``Tables`` keeps what it has loaded for the length of one query."""
+    if kind == "folder":
+        return spark.read.parquet(f"{source.rstrip('/')}/{name}.parquet")
+    if kind == "catalog":
+        return spark.table(f"{source}.{name}")
+    raise ValueError(f"kind must be 'folder' or 'catalog', not {kind!r}")
 
 
 class Tables:

@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberscope.sources.tables import spread
 
 # A line ends at \r\n, \n or \r, as in Hadoop's line reader.
 LINE_BREAK = r"\r\n|\n|\r"
@@ -36,8 +35,7 @@ def text_lines(df: DataFrame, text_col: str = "text") -> DataFrame:
     """Every line of every text in ``df`` as a row ``line``.
 
     ``explode`` keeps the lines of a document in the task that read it, so a
-    long document costs one task's CPU but never a shuffle of its lines. A
-    coarse input is first spread over all task slots (``spread``).
+    long document costs one task's CPU but never a shuffle of its lines.
     """
-    texts = spread(df.select(text_col).where(F.col(text_col).isNotNull()))
+    texts = df.select(text_col).where(F.col(text_col).isNotNull())
     return texts.select(F.explode(split_lines(F.col(text_col))).alias("line"))

@@ -1,6 +1,8 @@
 """Consistency relations of the products on the shared tables (the
 reference's published results obey the same relations)."""
 
+import json
+
 import pytest
 
 import __spark_entry__ as entry
@@ -23,10 +25,11 @@ def test_distributions_sum_to_members(spark, members):
     assert sum(r["channelCount"] for r in _rows(spark, "member_channel")) == members
 
 
-def test_sentinel_split_covers_every_row(spark):
-    orders = spark.read.parquet(f"{SF_MID}/orders.parquet").count()
+def test_sentinel_split_covers_every_member(spark, members):
     r = _rows(spark, "member_subscription")[0]
-    assert r["subCount"] + r["unSubCount"] == orders  # no real NULLs there
+    assert r["subCount"] + r["unSubCount"] == members  # no real NULLs there
+    overview = json.loads(_rows(spark, "member_overview_json")[0]["value"])
+    assert overview["memberMpSubs"] == [r.asDict()]
 
 
 def test_heat_partitions_members(spark, members):

@@ -8,9 +8,10 @@ import io
 import pytest
 
 import __spark_entry__ as entry
+from memberscope.plans import catalog, oracle  # noqa: E402
 from conftest import SF_SMALL
 
-QUERIES = entry.queries()
+QUERIES = dict(catalog.QUERIES)  # the llm package has its own tests
 
 
 def _plan(df, mode=None) -> str:
@@ -42,7 +43,7 @@ def test_time_window_reaches_the_scan(spark, key):
 
 @pytest.mark.parametrize("key,columns", [
     ("member_sex", {"c_custkey", "c_mktsegment"}),
-    ("member_subscription", {"o_orderpriority"}),
+    ("member_subscription", {"c_name", "c_acctbal"}),
     ("hot_words", {"text"}),
     ("reg_two_weeks", {"event_id", "ts", "event_type"}),
 ])

@@ -59,7 +59,7 @@ def test_tables_from_the_catalog(spark):
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {db}")
     try:
         spark.sql(f"CREATE OR REPLACE VIEW {db}.customer AS SELECT * FROM parquet.`{SF_SMALL}/customer.parquet`")
-        a = read_table(spark, db, "customer")
+        a = read_table(spark, db, "customer", kind="catalog")
         b = read_table(spark, SF_SMALL, "customer")
         assert sorted(rows(a)) == sorted(rows(b))
     finally:
@@ -94,6 +94,35 @@ def test_growth_job_keeps_a_rollup_refreshed_by_day(spark, tmp_path):
     assert got == want
 
 
+def test_rollup_refresh_after_a_gap_skips_no_day(spark, tmp_path):
+    from memberscope.plans import jobs
+    from memberscope.sources.tables import Domain
+    d = Domain(spark, SF_SMALL)
+    path = str(tmp_path / "rollup")
+    jobs.refresh_rollup(spark, d.registration.where("create_time < '2024-01-05'"),
+                        d.purchase.where("create_time < '2024-01-05'"), path)
+    stored = jobs.refresh_rollup(spark, d.registration, d.purchase, path, since="2024-01-23")
+    full = growth.daily_rollup(d.registration, d.purchase)
+    cols = ["d", "reg_rows", "regCount", "order_rows", "orders", "gmv_day"]
+    assert sorted(rows(stored, *cols)) == sorted(rows(full, *cols))
+
+
+def test_growth_line_stops_at_as_of(spark):
+    from memberscope.sources.tables import Domain
+    d = Domain(spark, SF_SMALL)
+    line = rows(growth.growth_daily(d.registration, d.purchase, "2024-01-15"), "day")
+    assert line and max(line)[0] <= "2024-01-15"
+
+
+def test_appended_files_are_read(spark, tmp_path):
+    from memberscope.sources.tables import read_table
+    path = str(tmp_path / "t.parquet")
+    spark.range(10).write.parquet(path)
+    assert read_table(spark, str(tmp_path), "t").count() == 10
+    spark.range(10).write.mode("append").parquet(path)
+    assert read_table(spark, str(tmp_path), "t").count() == 20
+
+
 def test_write_table_to_catalog_and_partitioned(spark, tmp_path):
     from memberscope.sources import sinks
     df = spark.createDataFrame([(1, "2024-01-01"), (2, "2024-01-02"), (3, "2024-01-02")],
