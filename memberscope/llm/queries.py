@@ -138,7 +138,7 @@ judged AS (
                    AND starts_with(k.path, '/fr/') THEN 'org/fr/'
               WHEN (k.host = 'net' OR ends_with(k.host, '.net'))
                    AND starts_with(k.path, '/') THEN 'net/' END AS rule,
-         post - 1.2816 * sqrt(post * (1 - post) / (size + 1)) > 0.3 AS blocked
+         post - 1.2816 * sqrt(post * (1 - post) / (size + 1)) > 0.3 AND (SELECT sum(n) FROM named) > 0 AS blocked
   FROM k JOIN h1 USING (host))
 SELECT page_id, host, path, rule,
        CASE WHEN rule IN ('net/', 'example.com/de/') THEN 'block'

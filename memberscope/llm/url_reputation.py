@@ -100,7 +100,7 @@ def host_reputation(hosts: DataFrame, limit: float = LIMIT, z: float = Z) -> Dat
     mean, size = F.col("post"), F.col("n") + m
     lower = mean - z * F.sqrt(mean * (1 - mean) / (size + 1))
     return hosts.select("host", mean.alias("mean"), lower.alias("lower"),
-                        (lower > limit).alias("blocked"))
+                        ((lower > limit) & F.lit(total.n > 0)).alias("blocked"))
 
 
 def judge_urls(pages: DataFrame, outcomes: DataFrame, key: Column, rules=RULES,
