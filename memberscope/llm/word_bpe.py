@@ -2,7 +2,7 @@
 
 A pair of adjacent bytes that occurs inside no vocabulary token can never be
 merged over, so every such pair marks a certain cut. A word is cut there, the
-fragments are encoded independently (heap merging, cached per worker), and
+fragments are encoded independently (heap merging; words are cached per worker), and
 their ids are concatenated; only the last fragment carries the end-of-word
 suffix. Before that, as the vocabulary file prescribes: special strings are
 taken out of the raw text, the rest is put in NFC, white space separates
@@ -41,12 +41,12 @@ class WordBpe:
     """Encoder and decoder of one vocabulary; values are pairs (ids as
     little-endian 32-bit integers, token strings joined by a space)."""
 
-    def __init__(self, path: str, limit: int = 200_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.vocab = bpe.vocabulary(path)
         self.strings = {i: t for t, i in self.vocab.ids.items()}
         self.strings |= {i: s for s, i in self.vocab.specials.items()}
         self.inside = self._pairs_inside_tokens()
-        self.fragments = Memo(self._fragment, limit // 3)
+        self.words = Memo(self._word, limit)
         self.chunks = Memo(self._chunk, limit)
 
     def _pairs_inside_tokens(self) -> set[str]:
@@ -65,8 +65,7 @@ class WordBpe:
         out.append(word[start:])
         return out
 
-    def _fragment(self, key: tuple[str, bool]) -> list[int]:
-        fragment, last = key
+    def _fragment(self, fragment: str, last: bool) -> list[int]:
         parts = list(fragment)
         if last:
             parts[-1] += self.vocab.suffix
@@ -75,13 +74,15 @@ class WordBpe:
 
     def _word(self, word: str) -> list[int]:
         *head, tail = self.cut(bpe.symbols(word))
-        ids = [i for f in head for i in self.fragments[(f, False)]]
-        return ids + self.fragments[(tail, True)]
+        ids = [i for f in head for i in self._fragment(f, False)]
+        return ids + self._fragment(tail, True)
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
         # per character: no special form of sigma at the end of a word
         low = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
-        return self._value([i for w in WORDS.findall(low) for i in self._word(w)])
+        if low.isalpha():  # one word
+            return self._value(self.words[low])
+        return self._value([i for w in WORDS.findall(low) for i in self.words[w]])
 
     def _value(self, ids: list[int]) -> tuple[bytes, str]:
         return struct.pack(f"<{len(ids)}I", *ids), " ".join([self.strings[i] for i in ids])
