@@ -14,12 +14,15 @@ from __future__ import annotations
 
 import datetime as _dt
 import json
+import re
 from collections import OrderedDict
 from dataclasses import dataclass
+from decimal import Decimal, InvalidOperation
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DataType, StringType, StructType
+from pyspark.sql.types import (ArrayType, DataType, DateType, IntegralType, NumericType, StringType,
+                               StructType, TimestampNTZType, TimestampType)
 
 from memberscope.functions.calendar import as_date
 
@@ -79,6 +82,38 @@ def rules_from_json(text: str) -> list[Rule]:
     return [as_rule(item) for item in items]
 
 
+NUMBER_RANGE = re.compile(r"\s*(-?\d+(?:\.\d+)?)\s*-\s*(-?\d+(?:\.\d+)?)\s*")
+DAY_RANGE = re.compile(r"\s*(\d{4}-\d\d-\d\d)\s*-\s*(\d{4}-\d\d-\d\d)\s*")
+
+
+def range_bounds(value: str) -> tuple[str, str]:
+    """The two bounds of ``lo-hi``: numbers (either may be negative), days
+    (yyyy-MM-dd), or texts without a hyphen."""
+    m = NUMBER_RANGE.fullmatch(value) or DAY_RANGE.fullmatch(value)
+    if m:
+        return m.group(1), m.group(2)
+    parts = [p.strip() for p in value.split("-")]
+    if len(parts) != 2 or not all(parts):
+        raise ValueError(f"not a range: {value!r}")
+    return parts[0], parts[1]
+
+
+def _bound(value: str, dt: DataType) -> Column:
+    """A range bound as a literal; one that the column's type cannot hold
+    would select nobody without a word, so it is an error."""
+    try:
+        if isinstance(dt, IntegralType):
+            int(value)
+        elif isinstance(dt, NumericType):
+            if not Decimal(value).is_finite():
+                raise ValueError
+        elif isinstance(dt, (DateType, TimestampType, TimestampNTZType)):
+            _dt.datetime.fromisoformat(value)
+    except (ValueError, InvalidOperation):
+        raise ValueError(f"{value!r} is no bound for a {dt.simpleString()} column") from None
+    return _typed(value, dt)
+
+
 def _typed(value: str, dt: DataType) -> Column:
     """``value`` as a literal of the column's type (NULL if it cannot be)."""
     if isinstance(dt, StringType):
@@ -115,12 +150,11 @@ def compile_rule(rule, schema: StructType, keep_null: bool = True) -> Column:
         miss = ~F.coalesce(hit, F.lit(False))
         return miss if keep_null else (miss & c.isNotNull())
     if r.type == "rangeGte":
-        v = _typed(r.value, elem)
+        v = _bound(r.value.strip(), elem)
         if is_array:
             return F.exists(c, lambda x: x >= v)
         return c >= v
-    lo, hi = r.value.split("-", 1)
-    vlo, vhi = _typed(lo.strip(), elem), _typed(hi.strip(), elem)
+    vlo, vhi = (_bound(v, elem) for v in range_bounds(r.value))
     if is_array:
         return F.exists(c, lambda x: (x >= vlo) & (x <= vhi))
     return (c >= vlo) & (c <= vhi)

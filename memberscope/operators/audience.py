@@ -12,7 +12,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from memberscope.functions.calendar import as_date, sorted_days
+from memberscope.functions.calendar import (as_date, day_key, day_start, sorted_days,
+                                            ts_literal)
 from memberscope.functions.rules import (COUPON_EXPIRY_DAYS, COUPON_VALID_DAYS,
                                          RECENT_DAYS, as_rule, compile_rule,
                                          compile_rules)
@@ -101,3 +102,27 @@ def coupon_expiry(coupon_times: DataFrame, as_of,
     return coupon_day_buckets(days, "memberId", "couponDay", as_of,
                               valid_days, ks, unique_member_days=True,
                               expiring=expiring)
+
+
+def coupon_expiry_from_grants(coupon_member: DataFrame, as_of, free_id: int = 1,
+                              valid_days: int = COUPON_VALID_DAYS,
+                              ks=COUPON_EXPIRY_DAYS, expiring: bool = False) -> DataFrame:
+    """A23 straight from the holdings, for use without a written tag table.
+
+    Only the buckets' grant days are read: their half-open ranges are plain
+    comparisons on ``create_time``, which reach the scan, so the work is that
+    of ``len(ks)`` days however long the history is. The days of a member are
+    not gathered; (member, day) is reduced map-side before the shuffle.
+    """
+    sign = 1 if expiring else -1
+    ts = F.col("create_time")
+    wanted = F.lit(False)
+    for k in ks:
+        start = day_start(as_of, -valid_days + sign * k)
+        lo = ts_literal(coupon_member, "create_time", start)
+        hi = ts_literal(coupon_member, "create_time", day_start(start, 1))
+        wanted = wanted | ((ts >= lo) & (ts < hi))
+    grants = coupon_member.where(wanted & (F.col("coupon_id") != F.lit(free_id))).select(
+        "member_id", day_key("create_time").alias("couponDay")).distinct()
+    return coupon_day_buckets(grants, "member_id", "couponDay", as_of, valid_days, ks,
+                              unique_member_days=True, expiring=expiring)

@@ -64,15 +64,26 @@ def tag_order_behavior(order: DataFrame, order_item: DataFrame,
 
     ``parity=True`` keeps the reference's row-level form: orders are
     left-joined to their lines before counting, so count and money are
-    multiplied by the number of lines of each order.
+    multiplied by the number of lines of each order. The lines are counted
+    per order first, so no raw line meets an order and an order with a third
+    of all lines stays one row of the join.
     """
     if parity:
-        j = order.join(order_item, "order_id", "left")
-        return (j.groupBy(F.col("member_id").alias("memberId"))
-                .agg(F.count("order_id").alias("orderCount"),
+        counted = order_item.groupBy("order_id").agg(
+            F.collect_set("commodity_id").alias("goods"), F.count(F.lit(1)).alias("n"))
+        # an order without lines is one row of the left join
+        n = F.coalesce("n", F.lit(1))
+        flat = order.join(counted, "order_id", "left").select(
+            "member_id", "order_id", "create_time", n.alias("n"),
+            (money("pay_price") * n.cast("decimal(18,0)")).alias("amount"),
+            F.posexplode_outer("goods").alias("pos", "good"))
+        first = F.col("pos").isNull() | (F.col("pos") == 0)   # one row per order
+        times = F.sum(F.when(first & F.col("order_id").isNotNull(), F.col("n")))
+        return (flat.groupBy(F.col("member_id").alias("memberId"))
+                .agg(F.coalesce(times, F.lit(0)).alias("orderCount"),
                      day_text(F.max("create_time")).alias("orderTime"),
-                     F.sum(money("pay_price")).cast(MONEY_TOTAL).alias("orderMoney"),
-                     F.sort_array(F.collect_set("commodity_id")).alias("favGoods")))
+                     F.sum(F.when(first, F.col("amount"))).cast(MONEY_TOTAL).alias("orderMoney"),
+                     F.sort_array(F.collect_set("good")).alias("favGoods")))
 
     per_member = (order.groupBy(F.col("member_id").alias("memberId"))
                   .agg(F.count("order_id").alias("orderCount"),

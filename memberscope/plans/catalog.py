@@ -122,7 +122,7 @@ def member_overview_json(spark, sf):
 
 def conversion_funnel(spark, sf):
     d = Domain(spark, sf)
-    return funnel.conversion_funnel(d.order, d.coupon_member,
+    return funnel.conversion_funnel(d.order, d.coupon_bought,
                                     behaviour=d.t.events)
 
 
@@ -130,7 +130,7 @@ def conversion_funnel_constants(spark, sf):
     """A6 as the reference reports it: no behaviour table, so the first three
     stages are its constants; the last three are computed."""
     d = Domain(spark, sf)
-    return funnel.conversion_funnel(d.order, d.coupon_member)
+    return funnel.conversion_funnel(d.order, d.coupon_bought)
 
 
 # ---------------------------------------------------------------- A7–A10
@@ -216,7 +216,7 @@ def tag_coupon_times(spark, sf):
 
 def tag_charge_money(spark, sf):
     d = Domain(spark, sf)
-    return _text_arrays(tags.tag_charge_money(d.coupon_member, d.coupon))
+    return _text_arrays(tags.tag_charge_money(d.coupon_granted, d.coupon))
 
 
 def tag_over_time(spark, sf):
@@ -260,9 +260,21 @@ def free_coupon_reminder(spark, sf):
     return audience.free_coupon_reminder(free, AS_OF)
 
 
+def free_coupon_expiring(spark, sf):
+    """A22, the other reading: free coupons that expire in k days."""
+    free = tags.tag_free_coupon(Domain(spark, sf).coupon_member, FREE_COUPON_ID)
+    return audience.free_coupon_reminder(free, AS_OF, expiring=True)
+
+
 def coupon_expiry(spark, sf):
-    times = tags.tag_coupon_times(Domain(spark, sf).coupon_member, FREE_COUPON_ID)
-    return audience.coupon_expiry(times, AS_OF)
+    return audience.coupon_expiry_from_grants(Domain(spark, sf).coupon_member, AS_OF,
+                                              FREE_COUPON_ID)
+
+
+def coupon_expiring(spark, sf):
+    """A23, the other reading: grants that expire in k days."""
+    return audience.coupon_expiry_from_grants(Domain(spark, sf).coupon_member, AS_OF,
+                                              FREE_COUPON_ID, expiring=True)
 
 
 # ---------------------------------------------------------------- D1–D4
@@ -359,7 +371,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audience_select_goods": audience_select_goods,
     "tag_facets": tag_facets,
     "free_coupon_reminder": free_coupon_reminder,
+    "free_coupon_expiring": free_coupon_expiring,
     "coupon_expiry": coupon_expiry,
+    "coupon_expiring": coupon_expiring,
     "normalize_dates": normalize_dates,
     "calendar_features": calendar_features,
     "shift_dates": shift_dates,

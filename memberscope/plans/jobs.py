@@ -149,6 +149,13 @@ def usertag_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
         _write(audience.coupon_expiry(
             published.select("memberId", F.coalesce("couponTimes", F.array())
                              .alias("couponTimes")), as_of), out, "coupon_expiry"),
+        _write(audience.free_coupon_reminder(
+            published.select("memberId", "freeCouponTime"), as_of, expiring=True), out,
+            "free_coupon_expiring"),
+        _write(audience.coupon_expiry(
+            published.select("memberId", F.coalesce("couponTimes", F.array())
+                             .alias("couponTimes")), as_of, expiring=True), out,
+            "coupon_expiring"),
     ]
 
 

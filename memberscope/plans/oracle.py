@@ -234,14 +234,15 @@ LEFT JOIN c cur ON cur.d = s.d
 LEFT JOIN c prev ON prev.d = CAST(s.d - INTERVAL 7 DAY AS DATE)"""
 
 
-def _buckets(source: str, day_expr: str, ks) -> str:
+def _buckets(source: str, day_expr: str, ks, sign: int = 1) -> str:
+    """``sign`` 1: expired k days ago; -1: expires in k days."""
     ks_sql = ", ".join(f"({k})" for k in ks)
     return f"""
 WITH {COUPON_MEMBER},
 src AS ({source}),
-b AS (SELECT CAST(date_diff('day', CAST({day_expr} AS DATE), {_d(0)}) - 8 AS INTEGER) AS k, m FROM src)
-SELECT ks.k, strftime(CAST({_d(0)} - INTERVAL (ks.k + 8) DAY AS DATE), '%Y-%m-%d') AS day,
-       ks.k AS days_from_expiry, CAST(count(DISTINCT b.m) AS BIGINT) AS members
+b AS (SELECT CAST(date_diff('day', CAST({day_expr} AS DATE), {_d(0)}) - 8 AS INTEGER) * {sign} AS k, m FROM src)
+SELECT ks.k, strftime(CAST({_d(0)} - INTERVAL (ks.k * {sign} + 8) DAY AS DATE), '%Y-%m-%d') AS day,
+       ks.k * {sign} AS days_from_expiry, CAST(count(DISTINCT b.m) AS BIGINT) AS members
 FROM (VALUES {ks_sql}) ks(k) LEFT JOIN b ON b.k = ks.k
 GROUP BY ks.k"""
 
@@ -376,7 +377,9 @@ FROM ob LEFT JOIN ot ON ob.memberId = ot.memberId""",
         "audience_select_goods": tags_ + f"\nSELECT {TAG_TEXT_COLS} FROM tags WHERE {rules_sql(C.AUDIENCE_GOODS_RULES)}",
         "tag_facets": _facets(),
         "free_coupon_reminder": _buckets(free, "t", range(1, 8)),
+        "free_coupon_expiring": _buckets(free, "t", range(1, 8), -1),
         "coupon_expiry": _buckets(other, "t", (1, 3, 5, 7)),
+        "coupon_expiring": _buckets(other, "t", (1, 3, 5, 7), -1),
         "normalize_dates": _normalize(),
         "calendar_features": f"""
 SELECT o_orderkey, CAST(year(o_orderdate) AS INTEGER) AS year,

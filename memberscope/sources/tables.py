@@ -229,6 +229,18 @@ class Domain:
     def coupon_member(self) -> DataFrame:
         return coupon_members(self.t.events)
 
+    @property
+    def coupon_bought(self) -> DataFrame:
+        """Holdings of channel 1, filtered on the stored column so that the
+        filter reaches the scan."""
+        return coupon_members(self.t.events.where(F.col("event_type") == "purchase"))
+
+    @property
+    def coupon_granted(self) -> DataFrame:
+        """Holdings of every other channel."""
+        return coupon_members(self.t.events.where(
+            (F.col("event_type") != "purchase") | F.col("event_type").isNull()))
+
     @property
     def coupon(self) -> DataFrame:
         return coupons(self.t.part)

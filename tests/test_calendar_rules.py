@@ -5,12 +5,13 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows
 from memberscope.functions import calendar as cal
 from memberscope.functions.rules import (Rule, compile_rules, coupon_day_rule,
                                          recent_rule, standard_rules)
-from memberscope.operators import audience, calendar_jobs
+from memberscope.operators import audience, calendar_jobs, tags
 from memberscope.sources import sinks
 
 T = dt.datetime
@@ -93,6 +94,36 @@ def test_rule_types(tags_df):
     assert sel([Rule("", "overTime", "3600", "rangeGte")]) == [2]
 
 
+def test_range_bounds(tags_df):
+    def sel(name, value, kind="rangeBoth"):
+        return _ids(audience.audience_select(tags_df, [Rule("", name, value, kind)]))
+    assert sel("regTime", "2024-01-20-2024-01-28") == [2]
+    assert sel("overTime", "-5-1000") == [1] and sel("overTime", "-10--5") == []
+    assert sel("orderMoney", "59.99 - 60.00") == [1]
+    for name, value, kind in (("orderCount", "two", "rangeGte"), ("orderMoney", "a-b", "rangeBoth"),
+                              ("overTime", "5", "rangeBoth"), ("overTime", "1-2-3", "rangeBoth"),
+                              ("orderCount", "1.5", "rangeGte")):
+        with pytest.raises(ValueError):
+            sel(name, value, kind)
+
+
+def test_coupon_expiry_from_grants(spark):
+    grants = spark.createDataFrame(
+        [(1, 2, "2024-01-21 23:59:59"), (1, 3, "2024-01-21 00:00:00"), (2, 2, "2024-01-21 10:00:00"),
+         (2, 1, "2024-01-19 10:00:00"), (3, 2, "2024-01-19 10:00:00"), (3, 2, "2024-01-22 00:00:00"),
+         (None, 2, "2024-01-15 00:00:00"), (4, None, "2024-01-15 00:00:00"), (4, 2, None),
+         (5, 2, "2024-01-27 08:00:00")],
+        "member_id long, coupon_id long, create_time string").withColumn(
+        "create_time", F.col("create_time").cast("timestamp_ntz"))
+    times = tags.tag_coupon_times(grants, 1)
+    for expiring in (False, True):
+        got = rows(audience.coupon_expiry_from_grants(grants, "2024-01-30", 1, expiring=expiring))
+        assert got == rows(audience.coupon_expiry(times, "2024-01-30", expiring=expiring))
+    assert [r[3] for r in rows(audience.coupon_expiry_from_grants(grants, "2024-01-30"))] == [2, 1, 0, 0]
+    assert rows(audience.coupon_expiry_from_grants(grants, "2024-01-30", expiring=True))[2] == (
+        5, "2024-01-27", -5, 1)
+
+
 def test_rules_or_within_field_and_between_fields(tags_df):
     rs = [Rule("", "sex", "1", "match"), Rule("", "sex", "2", "match"),
           Rule("", "feedBack", "1", "match")]

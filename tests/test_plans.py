@@ -41,6 +41,15 @@ def test_time_window_reaches_the_scan(spark, key):
     assert any("GreaterThanOrEqual(ts" in ln and "LessThan(ts" in ln for ln in pushed)
 
 
+@pytest.mark.parametrize("key,wanted", [
+    ("coupon_expiry", "GreaterThanOrEqual(ts"), ("coupon_expiring", "GreaterThanOrEqual(ts"),
+    ("conversion_funnel_constants", "EqualTo(event_type,purchase)"),
+    ("tag_charge_money", "EqualTo(event_type,purchase)")])
+def test_coupon_filters_reach_the_scan(spark, key, wanted):
+    plan = _plan(QUERIES[key](spark, SF_SMALL), "formatted")
+    assert any(wanted in ln for ln in plan.splitlines() if "PushedFilters" in ln)
+
+
 @pytest.mark.parametrize("key,columns", [
     ("member_sex", {"c_custkey", "c_mktsegment"}),
     ("member_subscription", {"c_name", "c_acctbal"}),
