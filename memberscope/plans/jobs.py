@@ -16,18 +16,20 @@ from __future__ import annotations
 
 import argparse
 import os
+import uuid
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from memberscope.functions.calendar import day_start
+from memberscope.functions.rules import Rule, standard_rules
 from memberscope.operators import (audience, distributions, funnel, growth,
                                    hotwords, tags)
 from memberscope.plans import catalog as C
 from memberscope.session import build_session, scratch_path
 from memberscope.sources import sinks
-from memberscope.sources.tables import Domain, Tables
+from memberscope.sources.tables import Domain, MemberTables, Tables
 from memberscope.sources.text import read_lines, text_lines
 
 
@@ -37,16 +39,30 @@ def _write(df: DataFrame, out: str, name: str, fmt: str = "json") -> str:
     return path
 
 
-def member_job(spark: SparkSession, sf: str, out: str, **_) -> list[str]:
-    d = Domain(spark, sf)
+def views(spark: SparkSession, source: str, tables: str = "shared", kind: str = "folder"):
+    """The views a job reads: over the shared tables of a folder, or, with
+    ``tables="member"``, over the ``t_*`` tables of a folder or (with
+    ``kind="catalog"``) of a catalog database."""
+    if tables == "member":
+        return MemberTables(spark, source, kind)
+    if tables != "shared" or kind != "folder":
+        raise ValueError(f"no views over tables={tables!r}, kind={kind!r}")
+    return Domain(spark, source)
+
+
+def member_job(spark: SparkSession, sf: str, out: str, tables: str = "shared",
+               kind: str = "folder", **_) -> list[str]:
+    d = views(spark, sf, tables, kind)
     overview = distributions.member_overview(d.member_plain, d.order,
                                              d.coupon_member, sentinel=C.PHONE_SENTINEL)
     return [_write(overview, out, "member_overview")]
 
 
-def conversion_job(spark: SparkSession, sf: str, out: str, **_) -> list[str]:
-    d = Domain(spark, sf)
-    f = funnel.conversion_funnel(d.order, d.coupon_member, behaviour=d.t.events)
+def conversion_job(spark: SparkSession, sf: str, out: str, tables: str = "shared",
+                   kind: str = "folder", **_) -> list[str]:
+    d = views(spark, sf, tables, kind)
+    f = funnel.conversion_funnel(d.order, d.coupon_bought, behaviour=d.behaviour,
+                                 done_status=d.done_status)
     return [_write(f, out, "conversion_funnel")]
 
 
@@ -85,11 +101,12 @@ def _last_day(spark: SparkSession, path: str):
 
 
 def growth_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
-               rollup_path: str | None = None, days: int = 7, **_) -> list[str]:
+               rollup_path: str | None = None, days: int = 7, tables: str = "shared",
+               kind: str = "folder", **_) -> list[str]:
     """The growth line. With ``rollup_path`` the per-day rollup is kept
     there: only the days of the window are recomputed, and the line is read
     from the stored rollup instead of the raw history."""
-    d = Domain(spark, sf)
+    d = views(spark, sf, tables, kind)
     if rollup_path:
         since = day_start(as_of, -days).date()
         rollup = refresh_rollup(spark, d.registration, d.purchase, rollup_path, since)
@@ -100,8 +117,8 @@ def growth_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
 
 
 def wow_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
-            **_) -> list[str]:
-    d = Domain(spark, sf)
+            tables: str = "shared", kind: str = "folder", **_) -> list[str]:
+    d = views(spark, sf, tables, kind)
     reg, buy = d.registration, d.purchase
     return [
         _write(growth.last_weeks_counts(reg, "create_time", "id", as_of, 2,
@@ -128,21 +145,28 @@ def hotword_job(spark: SparkSession, sf: str, out: str, lines_path: str | None =
 
 def usertag_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
                 tag_path: str | None = None, tag_format: str = "parquet",
+                tables: str = "shared", kind: str = "folder", rules: list | None = None,
                 **_) -> list[str]:
-    """Publish the tag table (B6), then the audience products built on it."""
-    d = Domain(spark, sf)
+    """Publish the tag table (B6), then the audience products built on it.
+    ``rules`` is the audience selection (default: a sample one)."""
+    d = views(spark, sf, tables, kind)
+    if tables == "member":
+        rules = rules or [Rule("ordered again", "orderCount", "2", "rangeGte")]
+        facets = standard_rules(as_of)
+    else:
+        rules, facets = rules or C.AUDIENCE_RULES, C.tag_rules()
     t = tags.member_tags(d.member, d.order, d.order_item, d.coupon_member,
                          d.coupon, d.delivery, d.feedback, free_id=C.FREE_COUPON_ID,
                          order_line=d.order_line)
-    tag_path = tag_path or scratch_path(spark, "member_tags")
+    tag_path = tag_path or scratch_path(spark, f"member_tags-{uuid.uuid4().hex}")
     sinks.write_table(t, tag_path, fmt=tag_format)
-    published = spark.read.format(tag_format).load(tag_path)
-    selected = audience.audience_select(published, C.AUDIENCE_RULES)
+    published = spark.read.schema(t.schema).format(tag_format).load(tag_path)
+    selected = audience.audience_select(published, rules)
     member_txt = os.path.join(out, "member_txt")
     sinks.write_member_text(selected, member_txt)
     return [
         tag_path, member_txt,
-        _write(audience.tag_facets(published, C.tag_rules()), out, "tag_facets"),
+        _write(audience.tag_facets(published, facets), out, "tag_facets"),
         _write(audience.free_coupon_reminder(
             published.select("memberId", "freeCouponTime"), as_of), out,
             "free_coupon_reminder"),
@@ -173,7 +197,12 @@ def main(argv=None) -> None:
     p = argparse.ArgumentParser(prog="memberscope.plans.jobs")
     p.add_argument("job", choices=sorted(JOBS))
     p.add_argument("--sf-dir", required=True,
-                   help="folder of <table>.parquet files, or a catalog database name")
+                   help="folder of <table>.parquet files, or (--kind catalog) a database")
+    p.add_argument("--tables", choices=("shared", "member"), default="shared",
+                   help="the shared tables, or member-analytics tables (t_member, …)")
+    p.add_argument("--kind", choices=("folder", "catalog"), default="folder",
+                   help="where member-analytics tables are")
+    p.add_argument("--hive", action="store_true", help="use the Hive metastore as catalog")
     p.add_argument("--out", required=True, help="folder for the outputs (overwritten)")
     p.add_argument("--as-of", default=C.AS_OF, help="the report day, yyyy-MM-dd")
     p.add_argument("--lines-path", help="hotword: text files of tab-separated lines")
@@ -185,10 +214,11 @@ def main(argv=None) -> None:
     p.add_argument("--show", action="store_true",
                    help="print the first rows of every output (B9)")
     a = p.parse_args(argv)
-    spark = build_session(a.master)
+    spark = build_session(a.master, extra={
+        "spark.sql.catalogImplementation": "hive"} if a.hive else None)
     for path in JOBS[a.job](spark, a.sf_dir, a.out, as_of=a.as_of,
                             lines_path=a.lines_path, tag_path=a.tag_path,
-                            rollup_path=a.rollup_path):
+                            rollup_path=a.rollup_path, tables=a.tables, kind=a.kind):
         print(path)
         if a.show:
             _show(spark, path)

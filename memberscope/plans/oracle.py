@@ -26,9 +26,10 @@ def _ts(days: int) -> str:
 
 K = "CAST(json_extract_string(props, '$.k') AS INTEGER)"
 
+PHONE = "CASE WHEN c_acctbal >= 9000 THEN 'null' ELSE c_name END"
 MEMBER = f"""
 member AS (
-  SELECT c_custkey AS id, c_name AS phone, c_mktsegment AS sex,
+  SELECT c_custkey AS id, {PHONE} AS phone, c_mktsegment AS sex,
          c_nationkey AS member_channel,
          CASE WHEN c_acctbal < 0 THEN 'null' ELSE c_name END AS mp_open_id,
          c_nationkey AS address_default_id, r.create_time
@@ -314,8 +315,8 @@ SELECT CAST(count_if(mp_open_id <> 'null') AS BIGINT) AS subCount,
 FROM member""",
         "member_heat": f"""
 WITH {COUPON_MEMBER},
-rc AS (SELECT CAST(count_if(c_name = 'null') AS BIGINT) AS reg,
-              CAST(count_if(c_name <> 'null') AS BIGINT) AS complete FROM customer),
+rc AS (SELECT CAST(count_if({PHONE} = 'null') AS BIGINT) AS reg,
+              CAST(count_if({PHONE} <> 'null') AS BIGINT) AS complete FROM customer),
 oa AS (SELECT CAST(count_if(n = 1) AS BIGINT) AS "order",
               CAST(count_if(n >= 2) AS BIGINT) AS orderAgain
        FROM (SELECT o_custkey, count(o_orderkey) AS n FROM orders GROUP BY o_custkey)),

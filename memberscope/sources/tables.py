@@ -9,7 +9,9 @@ the Parquet scan.
 
 Domain view        built from
 -----------------  ------------------------------------------------------------
-member             customer: id=c_custkey, phone=c_name, sex=c_mktsegment,
+member             customer: id=c_custkey, sex=c_mktsegment,
+                   phone='null' (registered only) when c_acctbal >= 9000,
+                   else c_name,
                    member_channel=c_nationkey, address_default_id=c_nationkey,
                    mp_open_id='null' (not subscribed) when c_acctbal < 0,
                    else c_name
@@ -84,7 +86,8 @@ def members(customer: DataFrame) -> DataFrame:
     """t_member without the registration time (see ``member_reg_times``)."""
     return customer.select(
         F.col("c_custkey").alias("id"),
-        F.col("c_name").alias("phone"),
+        F.when(F.col("c_acctbal") >= 9000, F.lit("null"))
+         .otherwise(F.col("c_name")).alias("phone"),
         F.col("c_mktsegment").alias("sex"),
         F.col("c_nationkey").alias("member_channel"),
         F.when(F.col("c_acctbal") < 0, F.lit("null"))
@@ -194,6 +197,9 @@ def feedback(events: DataFrame) -> DataFrame:
 class Domain:
     """All domain views of one data folder, built lazily."""
 
+    #: The status of a completed order.
+    done_status = "F"
+
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.t = Tables(spark, sf_dir)
 
@@ -205,6 +211,10 @@ class Domain:
     def member_plain(self) -> DataFrame:
         return members(self.t.customer)
 
+    @property
+    def behaviour(self) -> DataFrame:
+        return self.t.events
+
     @property
     def registration(self) -> DataFrame:
         return registrations(self.t.events)
@@ -252,3 +262,62 @@ class Domain:
     @property
     def feedback(self) -> DataFrame:
         return feedback(self.t.events)
+
+
+class MemberTables:
+    """The same views over member-analytics tables that exist under their own
+    names (``t_member``, ``t_order``, ``t_order_commodity``,
+    ``t_coupon_member``, ``t_coupon``, ``t_delivery``, ``t_feedback``): tables
+    of a catalog database, or ``<folder>/<name>.parquet``.
+
+    Growth and weeks read members and orders; there is no behaviour table, and
+    deliveries are a table of their own (no order lines with arrivals)."""
+
+    done_status = 2
+    behaviour = None
+    order_line = None
+
+    def __init__(self, spark: SparkSession, source: str, kind: str = "catalog"):
+        self.spark, self.source, self.kind = spark, source, kind
+        self._cache: dict[str, DataFrame] = {}
+
+    def _table(self, name: str) -> DataFrame:
+        if name not in self._cache:
+            self._cache[name] = read_table(self.spark, self.source, name, self.kind)
+        return self._cache[name]
+
+    @property
+    def member(self) -> DataFrame:
+        return self._table("t_member")
+
+    member_plain = registration = member
+
+    @property
+    def order(self) -> DataFrame:
+        return self._table("t_order")
+
+    purchase = order
+
+    @property
+    def order_item(self) -> DataFrame:
+        return self._table("t_order_commodity")
+
+    @property
+    def coupon_member(self) -> DataFrame:
+        return self._table("t_coupon_member")
+
+    @property
+    def coupon_bought(self) -> DataFrame:
+        return self.coupon_member.where("coupon_channel = 1")
+
+    @property
+    def coupon(self) -> DataFrame:
+        return self._table("t_coupon")
+
+    @property
+    def delivery(self) -> DataFrame:
+        return self._table("t_delivery")
+
+    @property
+    def feedback(self) -> DataFrame:
+        return self._table("t_feedback")

@@ -1,9 +1,12 @@
 """Sources: text files (B2), domain views for SQL (B1, B4), parameterized SQL
 (B5)."""
 
+import pytest
+from pyspark.sql import functions as F
+
 from conftest import SF_SMALL, rows
 from memberscope.operators import distributions, growth, hotwords
-from memberscope.plans import sql
+from memberscope.plans import jobs, sql
 from memberscope.sources.tables import Domain
 from memberscope.sources.text import read_lines
 from memberscope.sources.views import VIEWS, register_views
@@ -41,11 +44,12 @@ def test_jobs_write_every_product(spark, tmp_path):
     written = []
     for name, job in jobs.JOBS.items():
         written += job(spark, SF_SMALL, out, tag_path=str(tmp_path / "tags"))
-    assert len(written) == 13
+    assert len(written) == 15
     tags_back = spark.read.parquet(str(tmp_path / "tags"))
     assert tags_back.count() == 150
     ov = spark.read.json(f"{out}/member_overview").collect()
-    assert len(ov) == 1 and ov[0]["memberHeat"]["complete"] == 150
+    heat = ov[0]["memberHeat"]
+    assert len(ov) == 1 and heat["reg"] > 0 and heat["reg"] + heat["complete"] == 150
     assert spark.read.json(f"{out}/growth_daily").count() == 8
     assert spark.read.json(f"{out}/hot_words").count() == 10
     assert spark.read.json(f"{out}/tag_facets").count() == len(catalog.tag_rules())
@@ -140,3 +144,48 @@ def test_write_table_to_catalog_and_partitioned(spark, tmp_path):
     assert back.count() == 3
     assert sorted(str(r[0]) for r in back.select("d").distinct().collect()) == \
         ["2024-01-01", "2024-01-02"]
+
+
+def test_jobs_over_member_tables(spark, tmp_path):
+    """Every job runs on t_* tables, with deliveries a table of their own."""
+    def table(name, rows, schema, *times):
+        df = spark.createDataFrame(rows, schema)
+        for c in times:
+            df = df.withColumn(c, F.col(c).cast("timestamp_ntz"))
+        df.write.parquet(str(tmp_path / f"{name}.parquet"))
+
+    table("t_member", [(1, "p1", 1, 1, "o1", -1, "2024-01-25 08:00:00"),
+                       (2, "null", 2, 5, "null", 3, "2024-01-29 09:00:00")],
+          "id long, phone string, sex int, member_channel int, mp_open_id string, "
+          "address_default_id int, create_time string", "create_time")
+    table("t_order", [(10, 1, 2, 5.0, 4.0, "2024-01-25 10:00:00"), (11, 1, 2, 6.0, 6.0, "2024-01-29 10:00:00"),
+                      (12, 2, 1, 7.0, 7.0, "2024-01-29 11:00:00")],
+          "order_id long, member_id long, order_status int, origin_price double, pay_price double, "
+          "create_time string", "create_time")
+    table("t_order_commodity", [(10, 3), (10, 4), (11, 3)], "order_id long, commodity_id int")
+    table("t_coupon_member", [(1, 1, 2, "2024-01-21 00:00:00"), (1, 2, 1, "2024-01-21 00:00:00"),
+                              (2, 2, 2, "2024-01-23 00:00:00")],
+          "member_id long, coupon_id int, coupon_channel int, create_time string", "create_time")
+    table("t_coupon", [(1, 10.0), (2, 20.0)], "id int, coupon_price double")
+    table("t_delivery", [(1, "2024-01-25 10:00:00", "2024-01-25 10:30:00")],
+          "member_id long, pick_time string, arrive_time string", "pick_time", "arrive_time")
+    table("t_feedback", [(1, 2, 4)], "id long, member_id long, feedback_type int")
+
+    source, out = str(tmp_path), str(tmp_path / "out")
+    args = {"as_of": "2024-01-30", "tables": "member", "kind": "folder"}
+    for name in ("member", "conversion", "growth", "wow"):
+        for path in jobs.JOBS[name](spark, source, out, **args):
+            spark.read.json(path).count()
+    funnel = spark.read.json(out + "/conversion_funnel").first()
+    assert (funnel.present, funnel.order, funnel.orderAgain, funnel.chargeCoupon) == (1000, 1, 1, 1)
+    line = {r.day: (r.memberCount, r.orderCount) for r in spark.read.json(out + "/growth_daily").collect()}
+    assert line == {"2024-01-25": (1, 1), "2024-01-29": (2, 3)}
+    for fmt in ("parquet", "json"):
+        paths = jobs.JOBS["usertag"](spark, source, out, tag_path=str(tmp_path / fmt), tag_format=fmt, **args)
+        tag = {r.memberId: r for r in spark.read.format(fmt).load(paths[0]).collect()}
+        assert (tag[1].orderCount, tag[1].overTime, tag[1].favGoods) == (2, 1800, [3, 4])
+        assert tag[2].feedBack == 4 and spark.read.text(paths[1]).count() == 1
+        soon = {r.k: r.members for r in spark.read.json(out + "/coupon_expiring").collect()}
+        assert soon == {1: 1, 3: 0, 5: 0, 7: 0}
+    with pytest.raises(ValueError):
+        jobs.views(spark, source, kind="catalog")
