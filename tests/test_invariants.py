@@ -29,7 +29,7 @@ def test_sentinel_split_covers_every_member(spark, members):
     r = _rows(spark, "member_subscription")[0]
     assert r["subCount"] + r["unSubCount"] == members  # no real NULLs there
     overview = json.loads(_rows(spark, "member_overview_json")[0]["value"])
-    assert overview["memberMpSubs"] == [r.asDict()]
+    assert overview["memberMpSubs"] == [r]
 
 
 def test_heat_partitions_members(spark, members):
