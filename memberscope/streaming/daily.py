@@ -34,11 +34,13 @@ def read_stream(spark: SparkSession, path: str, schema: StructType,
 
 
 def stream_daily_counts(records: DataFrame, ts: str, id_col: str,
-                        count_name: str = "count",
-                        lateness: str = "1 day") -> DataFrame:
+                        count_name: str = "count", *,
+                        lateness: str) -> DataFrame:
     """Streaming ``day, count_name``: ``count(id)`` per calendar day of
-    ``ts``. ``lateness`` bounds how late a record may arrive and how long a
-    day's state is kept."""
+    ``ts``. ``lateness`` (as ``"2 days"``; no default, because later records
+    are dropped and then missing against the batch count) bounds how late a
+    record may arrive and how long a day's state is kept; the query's progress
+    reports the dropped rows (``numRowsDroppedByWatermark``)."""
     # Event time must be TIMESTAMP for a watermark. A wall-clock
     # TIMESTAMP_NTZ is taken as UTC (whatever the session zone), windows are
     # UTC days, and each is labelled with its UTC date: the same days as the

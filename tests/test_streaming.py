@@ -15,7 +15,8 @@ from memberscope.streaming.daily import (read_stream, start_daily_counts,
 def test_stream_daily_counts_match_batch(spark):
     events = read_table(spark, SF_SMALL, "events")
     stream = read_stream(spark, SF_SMALL, events.schema, file_glob="events.parquet")
-    counts = stream_daily_counts(registrations(stream), "create_time", "id", "regCount")
+    counts = stream_daily_counts(registrations(stream), "create_time", "id", "regCount",
+                                 lateness="1 day")
     # A fresh name per run: a query name is also its checkpoint, which a
     # restarted query resumes from.
     name = f"reg_daily_{uuid.uuid4().hex[:8]}"
@@ -34,7 +35,7 @@ def test_stream_checkpoint_is_under_shared_folder(spark):
     events = read_table(spark, SF_SMALL, "events")
     stream = read_stream(spark, SF_SMALL, events.schema, file_glob="events.parquet")
     counts = stream_daily_counts(stream.where(F.col("event_type") == "purchase"),
-                                 "ts", "event_id", "orderCount")
+                                 "ts", "event_id", "orderCount", lateness="1 day")
     name = f"order_daily_{uuid.uuid4().hex[:8]}"
     q = start_daily_counts(counts, name, sink="memory")
     try:
