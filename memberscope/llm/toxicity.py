@@ -3,7 +3,8 @@
 1. *Stems.* The first four to eight letters of each word are its stems (they
    reach inflected forms never seen before). Stems that mark toxic texts
    are mined from a bounded sample of labelled training rows
-   (``sample_rows``), of which copies (equal min-hash of the stems) count once.
+   (``sample_rows``), of which copies (equal stem sets, by a digest of the
+   whole set) count once.
 2. *Voters.* Three fixed lexicons, ``MINED_VOTERS`` mined lexicons, and
    patterns (several hits, density, second person, exclamation) vote on every
    document in one pass over the whole texts; known training labels are one
@@ -30,8 +31,8 @@ both kinds) the fixed lexicons alone vote; an empty table gives no rows; only
 
 from __future__ import annotations
 
-import zlib
 from dataclasses import dataclass
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -84,25 +85,28 @@ def _text_stems(text: str, memo: Memo) -> set[str]:
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """text and toxic (0/1) of at most ``sample_rows`` labelled training
-    rows, copies left out: one row per label and min-hash of the stems."""
+    rows, copies left out: one row per label and digest of the stem set."""
     train = labels.where(~held_out() & F.col("toxic").isNotNull()).select("doc_id", "toxic")
     sample = train.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
 
     def signatures(batches):
         memo = Memo(stems_of, 40_000)
         for batch in batches:
-            least = [min((zlib.crc32(s.encode()) for s in _text_stems(t, memo)), default=-1)
-                     for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(least, pa.int64())],
-                                             names=["doc_id", "text", "toxic", "least"])
+            digests = [blake2b("\n".join(sorted(_text_stems(t, memo))).encode(), digest_size=16).digest()
+                       for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(digests, pa.binary())],
+                                             names=["row", "text", "toxic", "digest"])
 
     # the sample's ids have a fixed bound, so they can be broadcast
-    texts = docs.join(F.broadcast(sample), "doc_id").select("doc_id", "text", F.when(
-        F.col("toxic") == 1, 1).otherwise(0).cast("int").alias("toxic"))
+    texts = docs.join(F.broadcast(sample), "doc_id").select(
+        F.monotonically_increasing_id().alias("row"), "text",
+        F.when(F.col("toxic") == 1, 1).otherwise(0).cast("int").alias("toxic"))
     signed = scratch_table(docs.sparkSession, texts.mapInArrow(
-        signatures, "doc_id long, text string, toxic int, least long"), "toxicity-sample")
-    single = signed.groupBy("least", "toxic").agg(F.min("doc_id").alias("doc_id"))
-    return signed.join(F.broadcast(single.select("doc_id")), "doc_id").select("text", "toxic")
+        signatures, "row long, text string, toxic int, digest binary"), "toxicity-sample")
+    # an id may repeat with other texts, so the rows are bounded again
+    single = signed.groupBy("digest", "toxic").agg(F.min("row").alias("row")).orderBy(
+        "digest", "toxic").limit(sample_rows)
+    return signed.join(F.broadcast(single.select("row")), "row").select("text", "toxic")
 
 
 def mine_stems(sample: DataFrame, size: int = STEMS) -> list[str]:

@@ -254,6 +254,19 @@ def test_toxicity_held_out_accuracy(spark, odd_docs):
     assert toxicity.toxicity(odd_docs.limit(0), none).count() == 0
 
 
+def test_toxicity_sample_drops_only_copies(spark):
+    rows = [(i, f"shared opening words {chr(97 + i // 26) * 6}{chr(97 + i % 26) * 3} own") for i in range(200)]
+    rows += [(1000 + i, t + " own shared") for i, t in rows]  # the same stem sets
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = docs.selectExpr("doc_id", "cast(doc_id % 2 as int) as toxic")
+    kept = sorted((r.toxic, frozenset(r.text.split())) for r in toxicity.labelled_sample(
+        docs, labels).collect())
+    train = [(i, t) for i, t in rows if zlib.crc32(str(i).encode()) % 5]
+    want = {(i % 2, frozenset(t.split())) for i, t in train}
+    assert len(kept) == len(want) and set(kept) == want
+    assert toxicity.labelled_sample(docs, labels, 50).count() <= 50
+
+
 @pytest.mark.parametrize("name", sorted(queries.ORACLE_SQL))
 def test_query_matches_duckdb(spark, name):
     con = duckdb.connect()
