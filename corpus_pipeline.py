@@ -15,8 +15,9 @@ from memberscope.llm.common import read, scratch_table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the quality rules, without frequent lines."""
-    return line_quality.clean_documents(docs)
+    """Documents that pass the quality rules, without frequent lines (limits
+    that do not rise with the host)."""
+    return line_quality.clean_documents(docs, long_docs=line_quality.LONG_DOCS)
 
 
 def nontoxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -4,7 +4,9 @@ Lines are normalised (white space trimmed, lower case) and hashed; the
 documents that hold a line are counted per host (``source``), each document
 once. A line held by more than max(``min_docs``, ``share`` of the host's
 documents) is removed from all of them but the first (smallest doc_id), so
-the words of a shared line stay in the corpus once. A document is depleted
+the words of a shared line stay in the corpus once. With ``long_docs`` the
+limits are absolute and do not rise with the host: a line goes above
+``min_docs`` documents, one of more than 50 words above ``long_docs``. A document is depleted
 and rejected where removal takes more than half of its words, or leaves fewer
 than ten. Base rules come first: fewer than ten words, or more than a fifth
 of the words inside five-word windows that repeat within the text.
@@ -31,6 +33,7 @@ from pyspark.sql import functions as F
 from memberscope.llm.common import scratch_table
 
 MIN_DOCS, SHARE = 20, 0.02
+LONG_WORDS, LONG_DOCS = 50, 4
 DEPLETED = 0.5
 MIN_WORDS = 10
 BLANK = r"[\x20\x09-\x0D]+"
@@ -94,9 +97,24 @@ def host(source: str = "source") -> Column:
     return F.coalesce(F.col(source).cast("string"), F.lit(""))
 
 
-def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+def absolute_lines(docs: DataFrame, min_docs: int, long_docs: int) -> DataFrame:
+    """host, line, first: lines held by more than ``min_docs`` documents of
+    the host, long ones by more than ``long_docs``, whatever its size."""
+    lines = docs.select("doc_id", host().alias("host"), F.explode(F.array_distinct(F.transform(
+        lines_with_words(F.col("text")), lambda line: F.struct(
+            line_hash(line).alias("line"), (F.size(words_of(line)) > LONG_WORDS).alias("long"))))).alias("x"))
+    limit = F.when(F.col("long"), long_docs).otherwise(min_docs)
+    return lines.select("doc_id", "host", "x.*").groupBy("host", "line", "long").agg(
+        F.count("*").alias("n"), F.min("doc_id").alias("first")).where(F.col("n") > limit)
+
+
+def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE,
+                   long_docs: int | None = None) -> DataFrame:
     """host, line, first: lines above their host's limit and the smallest
     doc_id that holds each. A written table."""
+    if long_docs is not None:
+        found = absolute_lines(docs, min_docs, long_docs).select("host", "line", "first")
+        return scratch_table(docs.sparkSession, found, "frequent-lines")
     lines = docs.select("doc_id", host().alias("host"), F.explode(F.array_distinct(F.transform(
         lines_with_words(F.col("text")), line_hash))).alias("line"))
     counted = lines.groupBy("host", "line").agg(
@@ -106,10 +124,11 @@ def frequent_lines(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHA
     return scratch_table(docs.sparkSession, above.select("host", "line", "first"), "frequent-lines")
 
 
-def _removal(docs: DataFrame, keep: Column, min_docs: int, share: float) -> DataFrame:
+def _removal(docs: DataFrame, keep: Column, min_docs: int, share: float,
+             long_docs: int | None = None) -> DataFrame:
     """keep (a struct of what the caller needs) and removed (words, lines)
     per row of docs."""
-    frequent = frequent_lines(docs, min_docs, share)
+    frequent = frequent_lines(docs, min_docs, share, long_docs)
     lines = F.transform(lines_with_words(F.coalesce(F.col("text"), F.lit(""))), lambda line: F.struct(
         line_hash(line).alias("line"), F.size(words_of(line)).alias("words")))
     rows = docs.select(F.monotonically_increasing_id().alias("row"), "doc_id",
@@ -142,7 +161,8 @@ def line_quality(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE
     return out.select("keep.doc_id", "keep.base.*", kept(base, F.col("words")).alias("kept"))
 
 
-def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE) -> DataFrame:
+def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SHARE,
+                    long_docs: int | None = None) -> DataFrame:
     """The documents that stay, all their columns, with frequent lines taken
     out of ``text`` (and ``n_chars`` following it where there is one)."""
     columns = docs.columns
@@ -150,7 +170,7 @@ def clean_documents(docs: DataFrame, min_docs: int = MIN_DOCS, share: float = SH
     inner = docs.select(F.col("doc_id").alias("doc_id"), F.col("text").alias("text"),
                         F.col("source").alias("source"), whole.alias("_doc"))
     keep = F.struct("base", "_doc")
-    out = _removal(base_features(inner), keep, min_docs, share).where(
+    out = _removal(base_features(inner), keep, min_docs, share, long_docs).where(
         kept(F.col("keep.base"), F.col("words")))
     text = F.when(F.size("lines") == 0, F.col("keep._doc.text")).otherwise(F.array_join(F.filter(
         F.split("keep._doc.text", "\n"),
