@@ -1,8 +1,11 @@
 """Secret scans (operator 10): candidates judged by a random forest, native
 Spark (SQL functions and the JVM forest of ``pyspark.ml``).
 
-A candidate is a run of at least 16 key characters (letters, digits, + / _ =
--) with a digit in it. Splitting the text at the candidates gives their
+A candidate is a run of at least 16 key characters (letters, digits, + / _ -)
+with a digit in it, or, as a value after a credential word (``FOR_WORDS``) and
+an assignment or after "bearer", any run of at least six. '=' belongs to a
+candidate as trailing padding only, so ``name=value`` gives the value, with
+the name before it. Splitting the text at the candidates gives their
 positions and neighbouring words at once. The forest sees the candidate's
 length and character mix, transitions between character classes, common
 letter pairs, coverage by dictionary words, whether it lies on a path, and
@@ -11,7 +14,8 @@ candidate, after, label) and removes false positives: digests, identifiers,
 paths, placeholders.
 
 ``labelled_findings`` makes the default training table from templates with
-Spark expressions: ``n`` rows, a documented bound, seeded. Users pass their own.
+Spark expressions: ``n`` texts, a documented bound, seeded, scanned by
+``candidates`` like any other. Users pass their own.
 
 Scanning is one narrow pass; a document without candidates costs one regular
 expression. Redaction groups the findings of a document again by a row
@@ -33,8 +37,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-KEY = "[A-Za-z0-9+/_=-]"
-CANDIDATE = rf"(?<!{KEY})(?=[A-Za-z+/_=-]*+[0-9]){KEY}{{16,}}+"
+from memberscope.llm.common import scratch_table
+
 NEAR = 48
 THRESHOLD = 0.5
 MASK = "[SECRET]"
@@ -56,6 +60,15 @@ DICTIONARY = ("access", "account", "action", "admin", "build", "cache", "change"
               "secret", "server", "service", "session", "size", "source", "state", "status", "string",
               "system", "table", "test", "text", "time", "timeout", "token", "type", "update", "user",
               "value", "version", "view", "word", "your")
+#: Key characters; what stands between a name and its value; values of
+#: credential words (the cheap look behind comes first).
+KEY = "[A-Za-z0-9+/_-]"
+ASSIGN = r"[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}[\"']?"
+CREDENTIAL = (rf"(?<=[:=>\s\"'])(?={KEY}{{6}})(?<=(?i:{'|'.join(FOR_WORDS)})[A-Za-z0-9_-]{{0,16}}{ASSIGN}"
+              rf"|(?i:bearer|authorization{ASSIGN}[a-z]{{5,8}})\s{{1,3}})"
+              rf"(?!(?i:bearer|basic|digest)\s){KEY}{{6,}}+")
+CANDIDATE = (rf"(?<!{KEY})(?:(?=[A-Za-z+/_-]*+[0-9]){KEY}{{16,}}+|{CREDENTIAL})"
+             rf"(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?")
 COMMON_PAIRS = ("th", "he", "in", "er", "an", "re", "on", "at", "en", "nd", "ti", "es", "or", "te", "of",
                 "ed", "is", "it", "al", "ar", "st", "to", "nt", "ng", "se", "ha", "as", "ou", "io", "le")
 
@@ -74,9 +87,13 @@ def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
                        lambda a, n: F.array_append(a, F.coalesce(F.element_at(
                            F.when(F.size(a) > 0, a), -1), F.lit(0)) + n))
     step = step.withColumn("_e", ends)
+    piece = lambda k: F.get(F.col("_p"), k)
+    # a name that is a candidate itself still stands before its value
+    before = lambda k: F.when((k > 0) & piece(k).rlike(f"^{ASSIGN}$"), F.concat(
+        F.get(F.col("_m"), k - 1), piece(k))).otherwise(piece(k))
     found = F.transform("_m", lambda m, k: F.struct(
         k.alias("k"), (F.get(F.col("_e"), k) - F.length(m)).cast("long").alias("start"),
-        m.alias("candidate"), F.right(F.get(F.col("_p"), k), F.lit(NEAR)).alias("before"),
+        m.alias("candidate"), F.right(before(k), F.lit(NEAR)).alias("before"),
         F.left(F.get(F.col("_p"), k + 1), F.lit(NEAR)).alias("after")))
     return step.withColumn("found", F.when(F.size("_m") > 0, found)).drop("_m", "_p", "_n", "_e")
 
@@ -129,13 +146,15 @@ def with_features(found: DataFrame) -> DataFrame:
 
 
 def labelled_findings(spark: SparkSession, n: int = FINDINGS, seed: int = 1) -> DataFrame:
-    """before, candidate, after, label: ``n`` findings from templates."""
+    """before, candidate, after, label: the findings of ``n`` texts made from
+    templates, as ``candidates`` yields them."""
     key = F.concat_ws("-", F.col("id"), F.lit(seed))
     hexes = F.sha2(key, 256)
     mixed = F.translate(F.base64(F.unhex(F.sha2(F.concat(key, F.lit("m")), 256))), "+/=", "xY7")
     b64 = F.translate(F.base64(F.unhex(F.sha2(F.concat(key, F.lit("b")), 256))), "=", "")
     word = lambda k: F.get(F.array(*map(F.lit, DICTIONARY)), F.pmod(
         F.xxhash64("id", F.lit(seed), F.lit(k)), F.lit(len(DICTIONARY))).cast("int"))
+    letters = F.translate(mixed, "0123456789", "QwErTyUiOp")
     number = lambda size: F.substring(F.lpad(F.abs(F.xxhash64("id")).cast("string"), 20, "7"), 1, size)
     cut = lambda c, size: F.substring(c, 1, size)
     uuid = F.concat_ws("-", cut(hexes, 8), F.substring(hexes, 9, 4), F.substring(hexes, 13, 4),
@@ -149,6 +168,10 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS, seed: int = 1) ->
         ("Authorization: Bearer ", mixed, ""), ("export AUTH_TOKEN=", F.concat(F.lit("ghp_"), cut(mixed, 36)), ""),
         ("private access ", cut(b64, 43), " "), ('key "', cut(mixed, 28), '"'),
         ("login with ", cut(mixed, 20), " now"),
+        ('password = "', cut(mixed, 11), '"'), ("passwd: ", cut(mixed, 9), " "),
+        ('secret = "', cut(letters, 24), '"'), ("token=", cut(letters, 20), "&"),
+        ("export DB_PASSWORD=", cut(mixed, 14), " "), ("Authorization: Bearer ", cut(letters, 30), ""),
+        ("pwd=", F.concat(F.initcap(word(1)), number(3)), " "), ("api_key=", F.concat(cut(b64, 42), F.lit("==")), " "),
     ]
     false = [
         ("commit ", cut(hexes, 40), " by"), ("sha256:", hexes, " "), ("md5 ", cut(hexes, 32), ""),
@@ -163,15 +186,27 @@ def labelled_findings(spark: SparkSession, n: int = FINDINGS, seed: int = 1) ->
         ("version ", F.concat(word(1), F.lit("-2024-01-"), number(2), F.lit("-final")), ""),
         ("line ", F.concat(F.repeat(F.lit("-"), 18), number(1)), ""),
         ("link to ", F.concat(F.lit("/images/"), cut(hexes, 24)), ".png"),
+        ("password: ", word(1), " "), ("token = ", F.concat_ws("_", word(1), word(2)), ""),
+        ("secret = ", F.concat(word(1), F.initcap(word(2))), "()"), ("auth: ", F.concat_ws("/", word(1), word(2)), " "),
+        ('password = "', F.repeat(F.lit("x"), 10), '"'), ('token: "', F.lit("changeme"), '"'),
     ]
     as_struct = lambda rows, label: [F.struct(
         F.concat(word(7), F.lit(" "), word(8), F.lit(" " + b)).alias("before"),
-        c.alias("candidate"), F.concat(F.lit(a + " "), word(9)).alias("after"),
+        c.alias("value"), F.concat(F.lit(a + " "), word(9)).alias("after"),
         F.lit(label).alias("label")) for b, c, a in rows]
     pick = lambda rows: F.get(F.array(*rows), F.pmod(
         F.xxhash64("id", F.lit("t")), F.lit(len(rows))).cast("int"))
     chosen = F.when(F.col("id") % 2 == 0, pick(as_struct(true, 1.0))).otherwise(pick(as_struct(false, 0.0)))
-    return spark.range(0, n, 1, 2).select(chosen.alias("x")).select("x.*")
+    # written, so that the templates' expressions are not repeated per use
+    made = scratch_table(spark, spark.range(0, n, 1, 2).select(chosen.alias("x")), "secret-templates")
+    texts = made.select(
+        F.concat("x.before", "x.value", "x.after").alias("text"), F.length("x.before").alias("start"),
+        F.length("x.value").alias("length"), "x.label")
+    # what a scan finds where the template's value stands
+    found = candidates(texts).select("start", "length", "label", F.explode("found").alias("x"))
+    return scratch_table(spark, found.where((F.col("x.start") < F.col("start") + F.col("length")) & (
+        F.col("x.start") + F.length("x.candidate") > F.col("start"))).select(
+        "x.before", "x.candidate", "x.after", "label"), "secret-findings")
 
 
 def train(labelled: DataFrame, trees: int = 40, depth: int = 8, seed: int = 1) -> PipelineModel:

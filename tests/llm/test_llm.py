@@ -241,6 +241,25 @@ def test_secrets_found_and_masked(spark, odd_docs):
     assert secret_scan.scan(odd_docs.limit(0)).count() == 0
 
 
+def test_secrets_in_assignments(spark):
+    key, mixed = "04dbebab91ab85687d33eeaaf9ac699e", "aB3xK9mQ2vL7pR4tY8wN6zC1sD5fG0hJ7kE2"
+    cases = [('password = "{}"', "Tr0ub4dor3x"), ('secret = "{}"', "abcdefghijKLMNOPqrstuvwx"),
+             ("see apikey={}&x=1", key), ("password={} ", mixed[:18]),
+             ("export AUTH_TOKEN={}", "ghp_" + mixed), ("AUTH_TOKEN_PROD_EU_1={}", "ghp_" + mixed),
+             ("api_key={}", mixed + "q=="), ("Authorization: Bearer {} ", "QwErabcXyZtyUiKlMnopRsTvWx")]
+    rows = [(i, t.format(v)) for i, (t, v) in enumerate(cases)]
+    rows += [(100, "password: please enter it again"), (101, f"commit={key}{key[:8]} by someone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = secret_scan.scan(docs).collect()
+    for i, (t, v) in enumerate(cases):
+        at = [(r.start, r.length, r.is_secret) for r in found if r.doc_id == i and r.is_secret]
+        assert at == [(t.index("{"), len(v), True)], (t, at)
+    assert not any(r.is_secret for r in found if r.doc_id >= 100)
+    assert any(r.doc_id == 101 and r.start == 7 for r in found)
+    masked = {r.doc_id: r.text for r in secret_scan.redact(docs).collect()}
+    assert masked == dict(rows) | {i: t.format("[SECRET]") for i, (t, _) in enumerate(cases)}
+
+
 def test_toxicity_held_out_accuracy(spark, odd_docs):
     sf = "/root/testdata/sf0.1"
     labels = read(spark, sf, "labels")
