@@ -6,9 +6,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberscope.llm import (jaccard_join, line_quality, packing, secret_scan, token_counts,
-                             token_files, topk_search, toxicity, url_reputation, word_bpe)
+from memberscope.llm import (conversation_repair, jaccard_join, line_quality, packing, secret_scan,
+                             token_counts, token_files, topk_search, toxicity, url_reputation, word_bpe)
 from memberscope.llm.common import read
+from memberscope.llm.oracle_sql import REPAIR_SQL
 
 
 def op1_pack_ffd(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,9 +76,16 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(read(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every conversation, damaged as the contract says and repaired."""
+    turns = conversation_repair.damage(read(spark, sf_dir, "conversations"))
+    return conversation_repair.repair_summary(turns)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pack_ffd, op2_topk_inner, op3_token_counts, op4_token_files, op5_url_reputation,
-    op6_toxicity, op7_line_frequency, op8_word_bpe, op9_jaccard_join, op10_secret_scan)}
+    op6_toxicity, op7_line_frequency, op8_word_bpe, op9_jaccard_join, op10_secret_scan,
+    op11_conversation_repair)}
 
 #: DuckDB SQL of the operators that SQL expresses.
 URL_SQL = r"""
@@ -209,4 +217,4 @@ FROM base
 """
 
 ORACLE_SQL = {"op2_topk_inner": TOPK_SQL, "op5_url_reputation": URL_SQL,
-              "op7_line_frequency": LINES_SQL}
+              "op7_line_frequency": LINES_SQL, "op11_conversation_repair": REPAIR_SQL}
