@@ -76,3 +76,37 @@ SELECT e.conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank
        sha256(substr(best.t, 2)) AS repaired_sha256
 FROM ends e LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM e.conv_id
 """
+
+#: Operator 12.
+SEARCH_SQL = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+  FROM documents WHERE text IS NOT NULL),
+n AS (SELECT rid, doc_id, CAST(len(terms) AS BIGINT) AS n FROM d WHERE len(terms) > 0),
+total AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM n),
+items AS (
+  SELECT row_number() OVER () AS q, item_id, list_distinct(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS terms
+  FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)),
+wanted AS (SELECT q, unnest(terms) AS term FROM items),
+tf AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(terms) AS term FROM d)
+  WHERE term IN (SELECT term FROM wanted) GROUP BY rid, term),
+w AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / (2 * df + 1))) AS BIGINT) AS w
+  FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), total),
+m AS (SELECT rid, doc_id, 100 - 50 + (50 * n * docs) // terms AS m FROM n, total),
+gain AS (
+  SELECT tf.rid, m.doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * m)) AS g
+  FROM tf JOIN m USING (rid) JOIN w USING (term)),
+scored AS (
+  SELECT q, rid, any_value(doc_id) AS doc_id, CAST(sum(g) AS BIGINT) AS score
+  FROM wanted JOIN gain USING (term) GROUP BY q, rid HAVING sum(g) > 0),
+ranked AS (
+  SELECT q, doc_id, score,
+         row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS FIRST) AS r FROM scored)
+SELECT item_id, CAST(r AS INTEGER) AS rank, doc_id, score FROM ranked JOIN items USING (q) WHERE r <= 50
+"""

@@ -6,10 +6,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberscope.llm import (conversation_repair, jaccard_join, line_quality, packing, secret_scan,
-                             token_counts, token_files, topk_search, toxicity, url_reputation, word_bpe)
+from memberscope.llm import (conversation_repair, jaccard_join, lexical_search, line_quality, packing,
+                             pii, secret_scan, token_counts, token_files, topk_search, toxicity,
+                             url_reputation, word_bpe)
 from memberscope.llm.common import read
-from memberscope.llm.oracle_sql import REPAIR_SQL
+from memberscope.llm.oracle_sql import REPAIR_SQL, SEARCH_SQL
 
 
 def op1_pack_ffd(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,10 +83,20 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.repair_summary(turns)
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 50 best documents of every benchmark item."""
+    return lexical_search.search(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op13_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all texts: the base patterns' and the field's spans."""
+    return pii.find(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_pack_ffd, op2_topk_inner, op3_token_counts, op4_token_files, op5_url_reputation,
     op6_toxicity, op7_line_frequency, op8_word_bpe, op9_jaccard_join, op10_secret_scan,
-    op11_conversation_repair)}
+    op11_conversation_repair, op12_lexical_search, op13_pii)}
 
 #: DuckDB SQL of the operators that SQL expresses.
 URL_SQL = r"""
@@ -217,4 +228,5 @@ FROM base
 """
 
 ORACLE_SQL = {"op2_topk_inner": TOPK_SQL, "op5_url_reputation": URL_SQL,
-              "op7_line_frequency": LINES_SQL, "op11_conversation_repair": REPAIR_SQL}
+              "op7_line_frequency": LINES_SQL, "op11_conversation_repair": REPAIR_SQL,
+              "op12_lexical_search": SEARCH_SQL}
