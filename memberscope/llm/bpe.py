@@ -15,6 +15,7 @@ from functools import cache
 
 import public_tokenizers
 import regex
+from tokenizers import Tokenizer
 
 from memberscope.llm.common import Memo
 
@@ -23,6 +24,7 @@ class Vocabulary:
     """Ranks, ids and special strings of one vocabulary file."""
 
     def __init__(self, path: str):
+        self.path = path
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -48,6 +50,12 @@ def vocabulary(path: str) -> Vocabulary:
     return Vocabulary(path)
 
 
+@cache
+def library(path: str) -> Tokenizer:
+    """The library's tokenizer of the file, one per worker process."""
+    return Tokenizer.from_file(path)
+
+
 @cache
 def byte_symbols() -> tuple[str, ...]:
     """The printable character that stands for each byte: printable Latin-1
@@ -101,6 +109,14 @@ PIECES = regex.compile(public_tokenizers.PATTERN.replace(r"[^\s\p{L}\p{N}]", r"[
                        .replace(r"\s", r"\p{White_Space}").replace(r"\S", r"\P{White_Space}"))
 
 
+#: Letters, digits and marks on whose class every Unicode version agrees:
+#: ASCII, Latin, Cyrillic, kana, ideographs and Hangul syllables. A text with
+#: any other character is split by the library itself.
+AGREED = r"\x21-\x7E\xA1-\xAC\xAE-\u01BA\u0400-\u045F\u3041-\u3096\u30A1-\u30FA\u4E00-\u9FA5\uAC00-\uD7A3"
+PLAIN = regex.compile(f"[{AGREED}]*+")
+PLAIN_TEXT = regex.compile(rf"[{AGREED}\x20\t\n\r]*+")
+
+
 class _Spacing(Exception):
     """A chunk with white space at an end: the cut at spaces is not valid."""
 
@@ -116,16 +132,23 @@ class ChunkedPieces:
         self.chunks = Memo(self._chunk, limit)
 
     def _chunk(self, chunk: str):
+        if not PLAIN.fullmatch(chunk):
+            if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+                raise _Spacing
+            return self._plain(" " + chunk)
         word = chunk.rstrip(",.;:!?")
         if word.isalpha():  # the pattern's commonest case: a word, then marks
             if len(word) == len(chunk):
                 return self.pieces[" " + chunk]
             return self.combine((self.pieces[" " + word], self.pieces[chunk[len(word):]]))
-        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+        if not chunk:
             raise _Spacing
         return self._plain(" " + chunk)
 
     def _plain(self, text: str):
+        if not PLAIN_TEXT.fullmatch(text):
+            found = library(self.vocab.path).pre_tokenizer.pre_tokenize_str(text)
+            return self.combine([self.pieces[text[a:b]] for _, (a, b) in found])
         return self.combine(map(self.pieces.__getitem__, PIECES.findall(text)))
 
     def _segment(self, text: str):

@@ -15,6 +15,8 @@ from pyspark.sql import functions as F
 from memberscope.session import scratch_path
 
 ARROW_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+#: Spark's own default, which a session that was never told otherwise shows.
+ARROW_DEFAULT = "10000"
 PACKAGE_ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 
 
@@ -27,9 +29,9 @@ def ship(spark: SparkSession) -> None:
     """Send this package to the executors once per application, as
     ``--py-files`` would, so that Python workers can import it wherever they
     start; and keep Arrow batches of long texts small, unless the cluster's
-    configuration sizes them."""
+    configuration or the session sizes them (results do not depend on it)."""
     sc = spark.sparkContext
-    if not sc.getConf().contains(ARROW_ROWS):
+    if not sc.getConf().contains(ARROW_ROWS) and spark.conf.get(ARROW_ROWS) == ARROW_DEFAULT:
         spark.conf.set(ARROW_ROWS, "1000")
     if getattr(sc, "_memberscope_shipped", False):
         return
@@ -57,11 +59,16 @@ def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col).cast("string"), F.lit(""))
 
 
+#: Keys longer than this are worked out each time: they rarely come back.
+LONG_KEY = 128
+
+
 class Memo(dict):
     """A bounded cache of ``compute(key)``: two generations of at most
-    ``limit`` entries each. A full generation becomes the old one, from which
-    entries still in use move over, so frequent keys stay cached and memory
-    never exceeds two generations."""
+    ``limit`` entries each, and of keys of at most ``LONG_KEY`` characters. A
+    full generation becomes the old one, from which entries still in use move
+    over, so frequent keys stay cached and memory never exceeds two
+    generations of short entries."""
 
     def __init__(self, compute: Callable, limit: int = 100_000):
         super().__init__()
@@ -71,6 +78,8 @@ class Memo(dict):
         value = self._old.get(key)
         if value is None:
             value = self._compute(key)
+            if len(key) > LONG_KEY:
+                return value
         if len(self) >= self._limit:
             self._old = dict(self)
             self.clear()

@@ -141,7 +141,7 @@ def _removal(docs: DataFrame, keep: Column, min_docs: int, share: float,
     gone = F.col("first").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("first"))
     joined = each.join(frequent, ["host", "line"], "left")
     return joined.groupBy("row").agg(
-        F.max("keep").alias("keep"),
+        F.any_value("keep", True).alias("keep"),  # maps have no order
         F.coalesce(F.sum(F.when(gone, F.col("words"))), F.lit(0)).alias("words"),
         F.collect_set(F.when(gone, F.col("line"))).alias("lines"))
 

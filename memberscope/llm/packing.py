@@ -6,12 +6,12 @@ themselves. Remainders are packed by first-fit decreasing: each, longest
 first, goes to the first open sequence with room, found in O(log n) by a
 tournament tree whose nodes hold the largest free capacity below them.
 Documents are dealt to groups of about ``group_docs`` by a seeded hash of
-their id and content, so a group is a bounded random sample: its lengths
-pack well, groups run independently, and no source or copy group meets in
-one. Only ids, lengths and checksums are shuffled, never texts.
+their id, content and row number, so a group is a bounded random sample: its
+lengths pack well, groups run independently, and no source, copy group or set
+of equal rows meets in one. Only ids, lengths and checksums are shuffled, never texts.
 
 Edge cases: a null or empty text is the end id alone; null doc ids are
-allowed (the content hash spreads them); repeated rows are packed each; ties
+allowed; repeated rows are packed each, spread over groups; ties
 in length are ordered by doc_id, then content; an empty table gives no rows;
 only ``doc_id`` and ``text`` are read, so other columns cannot clash.
 """
@@ -82,9 +82,9 @@ def document_pieces(docs: DataFrame, capacity: int = CAPACITY, vocab: str | None
     """doc_id, doc_tokens, doc_crc and the crc32 of each ``capacity``-sized
     piece of the document's ids (unsigned, of little-endian 32-bit ids)."""
     ship(docs.sparkSession)
-    path = vocab or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches):
+        path = vocab or public_tokenizers.path("byte_bpe_50k.json")  # where the worker has it
         encode, dtype = token_ids.encoder(path), token_ids.id_dtype(path)
         for batch in batches:
             n, whole, crcs = [], [], []
@@ -127,7 +127,8 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, group_docs: int = GROUP_DOCS
     """One row per piece: which ids of which document lie where."""
     groups = max(1, math.ceil(docs.count() / group_docs))
     pieces = document_pieces(docs, capacity, vocab).withColumn(
-        "group", F.pmod(F.xxhash64("doc_id", "doc_crc", "doc_tokens", F.lit(seed)), F.lit(groups)))
+        "group", F.pmod(F.xxhash64("doc_id", "doc_crc", "doc_tokens", F.monotonically_increasing_id(),
+                                   F.lit(seed)), F.lit(groups)))
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
         # ids keep their type when some are null
@@ -143,9 +144,9 @@ def packed_sequences(docs: DataFrame, layout: DataFrame, capacity: int = CAPACIT
     32-bit, unpadded), doc_ids in order. ``doc_id`` must be unique here. A
     sequence gathers at most ``capacity`` ids."""
     ship(docs.sparkSession)
-    path = vocab or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches):
+        path = vocab or public_tokenizers.path("byte_bpe_50k.json")  # where the worker has it
         encode, dtype = token_ids.encoder(path), token_ids.id_dtype(path)
         for batch in batches:
             docs_, starts, ids_ = [], [], []

@@ -168,16 +168,18 @@ FROM judged
 
 TOPK_SQL = """
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  SELECT row_number() OVER () AS rid, vec_id,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 s AS (
-  SELECT q.vec_id AS query_id, c.vec_id,
-         CAST(list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2])) AS BIGINT) AS score
-  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id)
+  SELECT q.rid, q.vec_id AS query_id, c.vec_id,
+         CAST(coalesce(list_sum(list_transform(list_zip(q.v, c.v),
+           lambda p: coalesce(p[1], 0) * coalesce(p[2], 0))), 0) AS BIGINT) AS score
+  FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.rid <> q.rid)
 SELECT query_id, CAST(r AS INTEGER) AS rank, vec_id, score FROM (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS r FROM s)
+  SELECT *, row_number() OVER (PARTITION BY rid ORDER BY score DESC, vec_id) AS r FROM s)
 WHERE r <= 5
 """
 

@@ -253,7 +253,7 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, threshold: float
     each = rows.select("row", "doc", F.explode("found").alias("x")).select(
         "row", F.when(F.col("x.k") == 0, F.col("doc")).alias("doc"), "x.*")
     judged = score(each, model).groupBy("row").agg(
-        F.max("doc").alias("doc"), F.sort_array(F.collect_list(F.struct(
+        F.any_value("doc", True).alias("doc"), F.sort_array(F.collect_list(F.struct(
             "k", (F.col("score") >= threshold).alias("secret"), "candidate"))).alias("f"))
     judged = judged.withColumn("_p", F.split("doc.text", CANDIDATE, -1))
     text = F.concat(F.get(F.col("_p"), 0), F.array_join(F.transform("f", lambda x, k: F.concat(

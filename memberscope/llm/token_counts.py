@@ -39,10 +39,9 @@ def counter(path: str) -> bpe.ChunkedPieces:
 def token_counts(docs: DataFrame, limit: int = LIMIT, vocab: str | None = None) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (n_tokens > limit) per row."""
     ship(docs.sparkSession)
-    path = vocab or public_tokenizers.path("byte_bpe_50k.json")
 
     def run(batches):
-        count = counter(path)
+        count = counter(vocab or public_tokenizers.path("byte_bpe_50k.json"))  # where the worker has it
         for batch in batches:
             texts = batch.column(1).to_pylist()
             n = [count(t) for t in texts]

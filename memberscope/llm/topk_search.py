@@ -5,7 +5,7 @@ Components are turned into integers floor(scale * x). One distributed pass
 sums the d x d Gram matrix of all vectors; its eigenvectors (the right
 singular vectors of the table) rotate vectors so that the first coordinates
 carry most of the length. Queries are worked through in bounded blocks: a
-block (``query_block`` vectors, a documented bound) is sent to the tasks and
+block (about ``query_block`` vectors) is sent to the tasks and
 every task scans its own candidates by descending length, in slices:
 
 * a query whose own length times the slice's greatest length lies below its
@@ -16,17 +16,19 @@ every task scans its own candidates by descending length, in slices:
   that reach the k-th best are scored, in exact integer arithmetic.
 
 Thresholds start from the longest vectors of the table (``seed_rows``, a
-bound), so tasks prune from their first slice. Each task returns at most k
-rows per query (more only on ties, which are cut by vec_id), and a window
-over those picks the final k. Bounds are widened by a rounding allowance;
-every score is exact, so results do not depend on the pruning.
+bound), which Spark scores first, so tasks prune from their first slice. Each
+task returns at most k rows per query, and a window over those picks the
+final k. A block's hits are a written table, so the driver holds one block of
+queries at a time. Bounds are widened by a rounding allowance; every score is
+exact, so results do not depend on the pruning.
 
 Edge cases: null vectors, vectors with a null or non-finite component, and
-rows without vec_id take no part; vectors of other lengths are compared over
-the longest dimension, missing components counting 0; rows that repeat a
-vec_id count once (the smallest vector in array order); equal scores go to the
-smaller vec_id; with fewer than k candidates all are returned; an empty
-table gives no rows. Integer sums must fit 63 bits.
+rows without vec_id take no part; an empty vector scores 0 with every other;
+vectors of other lengths are compared over the longest dimension, missing
+components counting 0; rows that repeat a vec_id are queries and candidates
+of their own (also for each other); equal scores go to the smaller vec_id;
+with fewer than k candidates all are returned; an empty table gives no rows.
+Integer sums must fit 63 bits.
 """
 
 from __future__ import annotations
@@ -38,9 +40,10 @@ from pyspark.sql import functions as F
 
 from memberscope.llm.common import scratch_table, ship
 
-HITS = "query_id long, vec_id long, score long"
+HITS = "query long, query_id long, vec_id long, score long"
 QUERY_BLOCK = 16_384
 SEED_ROWS = 2_048
+SEED_PARTS = 8
 SLICE = 2_048
 #: Sums of products below this are exact in double arithmetic.
 EXACT = float(1 << 53)
@@ -48,7 +51,8 @@ EXACT = float(1 << 53)
 
 def integer_vectors(table: DataFrame, scale: int = 256, id_col: str = "vec_id",
                     vec_col: str = "embedding") -> DataFrame:
-    """vec_id, v (array of integers), sq (squared length) of usable rows."""
+    """vec_id, v (array of integers), row (a number of its own), sq (squared
+    length) of usable rows."""
     x = F.col("x")
     usable = F.col("vec_id").isNotNull() & F.col("x").isNotNull() & F.forall(
         "x", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < F.lit(float("inf"))))
@@ -56,7 +60,7 @@ def integer_vectors(table: DataFrame, scale: int = 256, id_col: str = "vec_id",
                          F.col(vec_col).cast("array<double>").alias("x"))
             .where(usable)
             .select("vec_id", F.transform(x, lambda c: F.floor(c * scale).cast("long")).alias("v"))
-            .groupBy("vec_id").agg(F.min("v").alias("v"))
+            .withColumn("row", F.monotonically_increasing_id())
             .withColumn("sq", F.aggregate("v", F.lit(0.0), lambda a, c: a + c.cast("double") * c)))
 
 
@@ -106,14 +110,15 @@ def rotation(g: np.ndarray) -> tuple[np.ndarray, int]:
 class BlockSearch:
     """Best k of the candidates seen so far for each query of one block."""
 
-    def __init__(self, ids, queries, rotated, head, floor, k):
-        self.ids, self.q, self.head, self.k = ids, queries, head, k
+    def __init__(self, block, rotated, head, floor, k):
+        self.rows, self.ids, queries = block
+        self.q, self.head, self.k = queries, head, k
         self.rq = queries.astype(float) @ rotated
         self.rotated = rotated
         self.norm = np.sqrt((self.rq ** 2).sum(1))
         self.rest = np.sqrt((self.rq[:, head:] ** 2).sum(1))
-        self.score = np.full((len(ids), k), np.iinfo(np.int64).min)
-        self.who = np.full((len(ids), k), np.iinfo(np.int64).max)
+        self.score = np.full((len(self.ids), k), np.iinfo(np.int64).min)
+        self.who = np.full((len(self.ids), k), np.iinfo(np.int64).max)
         self.floor = floor
 
     def threshold(self) -> np.ndarray:
@@ -128,7 +133,7 @@ class BlockSearch:
             return (q.astype(float) @ cands.T.astype(float)).astype(np.int64)
         return q @ cands.T
 
-    def scan(self, vec_ids: np.ndarray, cands: np.ndarray, norms: np.ndarray) -> None:
+    def scan(self, numbers: np.ndarray, vec_ids: np.ndarray, cands: np.ndarray, norms: np.ndarray) -> None:
         """One slice of candidates, longest first."""
         limit = self.threshold()
         active = np.flatnonzero(self.norm * norms[0] * (1 + 1e-9) + 1e-6 >= limit)
@@ -144,11 +149,11 @@ class BlockSearch:
             reach = bound + slack >= limit[rows, None]
             cols = np.flatnonzero(reach.any(0))
             if len(cols):
-                self._merge(rows, vec_ids[cols], self.exact(rows, cands[cols]), reach[:, cols])
+                self._merge(rows, numbers[cols], vec_ids[cols], self.exact(rows, cands[cols]), reach[:, cols])
 
-    def _merge(self, rows, vec_ids, scores, reach) -> None:
+    def _merge(self, rows, numbers, vec_ids, scores, reach) -> None:
         low = np.iinfo(np.int64).min
-        own = self.ids[rows][:, None] == vec_ids[None, :]
+        own = self.rows[rows][:, None] == numbers[None, :]
         scores = np.where(reach & ~own, scores, low)
         hit = np.flatnonzero((scores >= self.threshold()[rows][:, None]).any(1))
         if not len(hit):
@@ -166,23 +171,27 @@ class BlockSearch:
     def hits(self):
         i, c = np.nonzero((self.score > np.iinfo(np.int64).min)
                           & (self.score >= self.floor[:, None]))
-        return self.ids[i], self.who[i, c], self.score[i, c]
+        return self.rows[i], self.ids[i], self.who[i, c], self.score[i, c]
 
 
-def _search_block(vectors: DataFrame, ids, queries, rotated, head, floor, k, dim) -> DataFrame:
+def _search_block(vectors: DataFrame, block, rotated, head, floor, k, dim) -> DataFrame:
     def run(batches):
-        search = BlockSearch(ids, queries, rotated, head, floor, k)
+        search = BlockSearch(block, rotated, head, floor, k)
         for batch in batches:  # in falling order of length within the partition
-            m, vec = _matrix(batch.column(1), dim), batch.column(0).to_numpy()
-            norms = np.sqrt(batch.column(2).to_numpy())
+            m, row, vec = _matrix(batch.column(2), dim), batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            norms = np.sqrt(batch.column(3).to_numpy())
             for at in range(0, len(vec), SLICE):
                 part = slice(at, at + SLICE)
-                search.scan(vec[part], m[part], norms[part])
-        q, w, s = search.hits()
-        yield pa.RecordBatch.from_arrays([pa.array(q), pa.array(w), pa.array(s)],
-                                         names=["query_id", "vec_id", "score"])
+                search.scan(row[part], vec[part], m[part], norms[part])
+        yield pa.RecordBatch.from_arrays([pa.array(c) for c in search.hits()],
+                                         names=["query", "query_id", "vec_id", "score"])
 
-    return vectors.select("vec_id", "v", "sq").mapInArrow(run, HITS)
+    return vectors.select("row", "vec_id", "v", "sq").mapInArrow(run, HITS)
+
+
+def _best(hits: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
 
 
 def topk_inner_products(table: DataFrame, k: int = 5, every: int = 50, scale: int = 256,
@@ -200,34 +209,30 @@ def topk_inner_products(table: DataFrame, k: int = 5, every: int = 50, scale: in
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score long")
     dim = max(found.d, 1)
     rotated, head = rotation(gram(vectors, dim))
-    longest = vectors.orderBy(F.desc("sq"), "vec_id").limit(SEED_ROWS).collect()
-
-    def dense(rows):
-        out = np.zeros((len(rows), dim), np.int64)
-        for i, r in enumerate(rows):
-            out[i, :len(r.v)] = r.v
-        return out
-
-    seed_ids, seeds = np.array([r.vec_id for r in longest]), dense(longest)
+    seeds = scratch_table(spark, vectors.orderBy(F.desc("sq"), "row").limit(SEED_ROWS), "topk-seeds")
+    seeds = seeds.repartition(SEED_PARTS, "row").sortWithinPartitions(F.desc("sq"))
     blocks = -(-found.n // query_block)
-    block_of = F.pmod(F.xxhash64("vec_id"), F.lit(blocks))
+    block_of = F.pmod(F.xxhash64("row"), F.lit(blocks))
     # scans read files of sorted rows; sorting again keeps the order whatever
     # way the reader splits or joins files
     candidates = vectors.sortWithinPartitions(F.desc("sq"))
     hits = None
-    for b in range(blocks):  # about query_block rows each
-        rows = vectors.where(is_query & (block_of == b)).select("vec_id", "v").collect()
+    for b in range(blocks):
+        rows = vectors.where(is_query & (block_of == b)).select("row", "vec_id", "v").collect()
         if not rows:
             continue
-        ids, queries = np.array([r.vec_id for r in rows]), dense(rows)
-        floor = np.full(len(ids), np.iinfo(np.int64).min)
-        first = BlockSearch(ids, queries, rotated, head, floor.astype(float), k)
-        for at in range(0, len(seed_ids), 256):
-            part = slice(at, at + 256)
-            first.scan(seed_ids[part], seeds[part], np.sqrt((seeds[part].astype(float) ** 2).sum(1)))
-        floor = first.score[:, -1].astype(float)
-        part = _search_block(candidates, ids, queries, rotated, head, floor, k, dim)
+        queries = np.zeros((len(rows), dim), np.int64)
+        for i, r in enumerate(rows):
+            queries[i, :len(r.v)] = r.v
+        block = np.array([r.row for r in rows]), np.array([r.vec_id for r in rows]), queries
+        place = {r.row: i for i, r in enumerate(rows)}
+        del rows
+        floor = np.full(len(queries), float(np.iinfo(np.int64).min))
+        first = _search_block(seeds, block, rotated, head, floor, k, dim)
+        for r in _best(first, k).where(F.col("rank") == k).select("query", "score").collect():
+            # one row per query of the block; doubles round, so a step below
+            floor[place[r.query]] = np.nextafter(float(r.score), -np.inf)
+        part = scratch_table(spark, _best(_search_block(
+            candidates, block, rotated, head, floor, k, dim), k), "topk-hits")
         hits = part if hits is None else hits.unionByName(part)
-    best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    return (hits.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
-            .select("query_id", "rank", "vec_id", "score"))
+    return hits.select("query_id", "rank", "vec_id", "score")

@@ -300,9 +300,10 @@ def fit_linear(hits: list[list[int]], target: np.ndarray, size: int, rounds: int
     b = np.log((target.sum() + 0.5) / (n - target.sum() + 0.5))
     w[size] = b
     for step in range(1, rounds + 1):
-        z = np.bincount(rows, weights=w[cols], minlength=len(hits)) + w[size]
+        # a count of nothing is of integers even with weights
+        z = np.bincount(rows, weights=w[cols], minlength=len(hits)).astype(float) + w[size]
         error = 1 / (1 + np.exp(-np.clip(z, -40, 40))) - target
-        grad = np.bincount(cols, weights=error[rows], minlength=size + 1)
+        grad = np.bincount(cols, weights=error[rows], minlength=size + 1).astype(float)
         grad[:size] += l2 * w[:size]
         grad[size] = error.sum()
         grad /= n

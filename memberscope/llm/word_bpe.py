@@ -7,7 +7,9 @@ their ids are concatenated; only the last fragment carries the end-of-word
 suffix. Before that, as the vocabulary file prescribes: special strings are
 taken out of the raw text, the rest is put in NFC, white space separates
 words, words are lower-cased character by character and split by the file's
-pattern. The file has no decoder, so decoding joins token strings by a space.
+pattern; chunks with characters on which Unicode versions differ go through
+the library's own normaliser and splitter. The file has no decoder, so
+decoding joins token strings by a space.
 
 Edge cases: a null or empty text has no tokens (hashes of zero bytes); a text
 of white space only likewise; special strings inside texts become their ids;
@@ -19,7 +21,6 @@ from __future__ import annotations
 
 import hashlib
 import struct
-import unicodedata
 from functools import cache
 
 import public_tokenizers
@@ -47,6 +48,7 @@ class WordBpe:
         self.strings |= {i: s for s, i in self.vocab.specials.items()}
         self.inside = self._pairs_inside_tokens()
         self.words = Memo(self._word, limit)
+        self.library = bpe.library(path)
         self.chunks = Memo(self._chunk, limit)
 
     def _pairs_inside_tokens(self) -> set[str]:
@@ -73,13 +75,18 @@ class WordBpe:
         return [self.vocab.ids[s] for s in merged]
 
     def _word(self, word: str) -> list[int]:
-        *head, tail = self.cut(bpe.symbols(word))
+        return self._symbols(bpe.symbols(word))
+
+    def _symbols(self, word: str) -> list[int]:
+        *head, tail = self.cut(word)
         ids = [i for f in head for i in self._fragment(f, False)]
         return ids + self._fragment(tail, True)
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        # per character: no special form of sigma at the end of a word
-        low = unicodedata.normalize("NFC", chunk).replace("Σ", "σ").lower()
+        if not bpe.PLAIN.fullmatch(chunk):  # Unicode versions differ: the library's counts
+            shown = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))
+            return self._value([i for w, _ in shown for i in self._symbols(w)])
+        low = chunk.lower()
         if low.isalpha():  # one word
             return self._value(self.words[low])
         return self._value([i for w in WORDS.findall(low) for i in self.words[w]])
@@ -114,10 +121,9 @@ def _path(vocab: str | None) -> str:
 def encode(docs: DataFrame, vocab: str | None = None) -> DataFrame:
     """doc_id, ids (binary, little-endian 32-bit), decoded text per row."""
     ship(docs.sparkSession)
-    path = _path(vocab)
 
     def run(batches):
-        code = codec(path)
+        code = codec(_path(vocab))
         for batch in batches:
             pairs = [code(t) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -132,13 +138,12 @@ def encode_digest(docs: DataFrame, vocab: str | None = None) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 per row. The hashes are
     taken in the workers, so ids and decoded texts do not travel back."""
     ship(docs.sparkSession)
-    path = _path(vocab)
 
     def sha(data: bytes) -> str:
         return hashlib.sha256(data).hexdigest()
 
     def run(batches):
-        code = codec(path)
+        code = codec(_path(vocab))
         for batch in batches:
             n, ids, decoded = [], [], []
             for t in batch.column(1).to_pylist():
