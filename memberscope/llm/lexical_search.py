@@ -14,9 +14,10 @@ level (and a few that do not), so
 
 is an upper bound of the document's score. Documents whose bound lies below
 the k-th best exact score found so far are provably excluded; all others are
-scored exactly from their term counts. The documents with the best bounds go
-first, which raises that score quickly. A task returns at most k documents
-per query; a window over those picks the final k.
+scored exactly from their term counts. The k-th best scores among
+``SEED_DOCS`` documents are the first such limits (any documents give valid
+ones), so tasks exclude from their first block on. A task returns at most k
+documents per query; a window over those picks the final k.
 
 Signature sizes follow the documents (``BITS`` bits per entry, so about one
 slice bit in a thousand is wrong for any length), blocks hold at most
@@ -60,6 +61,8 @@ BLOCK_DOCS = 1_024
 BLOCK_CELLS = 1 << 23
 #: Queries whose bounds are worked out together, and terms per product.
 TOGETHER, TERMS = 64, 2_048
+#: Documents scored first, for the limits that tasks start from.
+SEED_DOCS, SEED_PARTS = 4_096, 8
 #: A-Z become a-z; other ASCII but digits and a-z become blanks.
 FOLD = bytes(c + 32 if 65 <= c <= 90 else c if c >= 128 or chr(c).isalnum() else 32 for c in range(256))
 NO_ID = -(1 << 63)
@@ -141,16 +144,20 @@ class Block:
 
     def __init__(self, bits: int):
         self.bits, self.cells = bits, 0
-        self.ids, self.counts, self.lengths, self.peaks = [], [], [], []
+        self.ids, self.lengths, self.peaks = [], [], []
         self.hashes, self.columns = [], []
+        self.terms, self.counts, self.places = [], [], []  # query terms: number, count, document
 
-    def add(self, doc_id: int, length: int, counts: dict[bytes, int], hashes: list[int]) -> None:
+    def add(self, doc_id: int, length: int, peak: int, counts: dict[int, int], hashes: list[int]) -> None:
+        """``counts`` of the query terms, by number; ``hashes`` of all entries."""
         self.columns.append(len(hashes))
         self.hashes.append(np.array(hashes, np.uint64))
+        self.terms.extend(counts)
+        self.counts.extend(counts.values())
+        self.places.append(len(counts))
         self.ids.append(doc_id)
         self.lengths.append(length)
-        self.peaks.append(max(counts.values()))
-        self.counts.append(counts)
+        self.peaks.append(peak)
         self.cells += self.bits
 
     def full(self) -> bool:
@@ -176,8 +183,8 @@ def slices(signature: np.ndarray, hashes: np.ndarray, docs: int) -> np.ndarray:
 class Search:
     """The best ``k`` documents of each query among the blocks seen."""
 
-    def __init__(self, queries: Queries, k: int):
-        self.q, self.k = queries, k
+    def __init__(self, queries: Queries, k: int, floors: list[int] | None = None):
+        self.q, self.k, self.floors = queries, k, floors or [0] * len(queries.items)
         names = list(queries.terms)
         self.entry = [np.array([_hash((t, level)) for t in names], np.uint64) for level in LEVELS]
         self.names = names
@@ -206,22 +213,25 @@ class Search:
             total += level * gain
         return total * (1 + 1e-12)
 
-    def score(self, item: int, block: Block, column: int, norm: int) -> int:
-        counts, total = block.counts[column], 0
+    def scores(self, rows: dict[int, np.ndarray], item: int, columns: np.ndarray, norm: np.ndarray) -> np.ndarray:
+        """Exact scores of the documents in ``columns``; ``rows`` holds the
+        counts per term (one number per document)."""
+        total = np.zeros(len(columns), np.int64)
         for t in self.q.items[item]:
-            tf = counts.get(self.names[t])
-            if tf:
-                total += int(self.q.weights[t]) * gain_of(tf, norm)
+            if t in rows:
+                total += int(self.q.weights[t]) * gain_of(rows[t][columns], norm[columns])
         return total
 
     def floor(self, item: int) -> int:
         """The score a document must reach (0: it must lie above)."""
         best = self.best[item]
-        return -best[-1][0] if len(best) == self.k else 0
+        return max(self.floors[item], -best[-1][0] if len(best) == self.k else 0)
 
-    def take(self, item: int, block: Block, columns, norms) -> None:
-        found = [(-s, block.ids[c]) for c in columns if (s := self.score(item, block, c, norms[c])) > 0]
+    def take(self, item: int, block: Block, columns: np.ndarray, rows, norm) -> None:
         self.scored += len(columns)
+        limit = max(self.floor(item), 1)
+        found = [(-s, block.ids[c]) for s, c in zip(
+            self.scores(rows, item, columns, norm).tolist(), columns.tolist()) if s >= limit]
         if found:
             self.best[item] = sorted(self.best[item] + found)[:self.k]
 
@@ -230,38 +240,66 @@ class Search:
             return
         signature = block.signature()
         norms = [length_norm(n, self.q.docs, self.q.total) for n in block.lengths]
-        norm, peak = np.array(norms, object), np.array(block.peaks, object)
+        norm, peak = np.array(norms, np.int64), np.array(block.peaks, np.int64)
         # a count at level l is below the next level's, and at most the peak
         tops = [np.minimum(peak, after - 1) for after in LEVELS[1:]] + [peak]
         reach = [gain_of(top, norm).astype(float) for top in tops]
         gains = [reach[0]] + [np.maximum(b - a, 0) for a, b in zip(reach, reach[1:])]
+        # counts by term: a row per term that some document of the block has
+        term, count = np.array(block.terms, np.int64), np.array(block.counts, np.int64)
+        place = np.repeat(np.arange(len(block.ids)), block.places)
+        order = np.argsort(term, kind="stable")
+        starts = np.flatnonzero(np.diff(term[order], prepend=-1))
+        spans = {int(term[order[a]]): order[a:b] for a, b in zip(starts, [*starts[1:], len(order)])}
+        rows = _Rows(spans, place, count, len(block.ids))
         for members, used, weights in self.groups:
             if not len(used):
                 continue
             bound = self.bounds(block, signature, used, weights, gains)
             for row, item in enumerate(members):
                 line = bound[row]
-                floor = self.floor(item)
-                left = np.flatnonzero(line >= max(floor, 1e-9))
+                left = np.flatnonzero(line >= max(self.floor(item), 1e-9))
                 if len(left) > self.k:  # the most promising first
-                    order = left[np.argpartition(-line[left], self.k - 1)]
-                    self.take(item, block, order[:self.k].tolist(), norms)
-                    rest = order[self.k:]
+                    ranked = left[np.argpartition(-line[left], self.k - 1)]
+                    self.take(item, block, ranked[:self.k], rows, norm)
+                    rest = ranked[self.k:]
                     left = rest[line[rest] >= max(self.floor(item), 1e-9)]
-                self.take(item, block, left.tolist(), norms)
+                self.take(item, block, left, rows, norm)
                 self.excluded += len(line)
+            rows.clear()
+
+
+class _Rows(dict):
+    """Counts per document of one term, made when asked for."""
+
+    def __init__(self, spans, place, count, docs):
+        super().__init__()
+        self.spans, self.place, self.count, self.docs = spans, place, count, docs
+
+    def __contains__(self, term):
+        return term in self.spans
+
+    def __missing__(self, term):
+        out = np.zeros(self.docs, np.int64)
+        at = self.spans[term]
+        out[self.place[at]] = self.count[at]
+        if len(self) < TERMS:
+            self[term] = out
+        return out
 
 
 def _bits_for(entries: int) -> int:
     return 1 << max(7, (entries * BITS - 1).bit_length())
 
 
-def search_block(docs: DataFrame, queries: Queries, k: int = K) -> DataFrame:
-    """query, doc_id, score: at most k rows per query and task."""
+def search_block(docs: DataFrame, queries: Queries, k: int = K, floors: list[int] | None = None) -> DataFrame:
+    """query, doc_id, score: at most k rows per query and task, none below
+    the query's ``floors``."""
 
     def run(batches):
-        search, open_blocks, hashed = Search(queries, k), {}, Memo(_hash, 200_000)
-        known = frozenset(queries.terms)
+        search, open_blocks, hashed = Search(queries, k, floors), {}, Memo(_hash, 200_000)
+        numbers = queries.terms
+        known = frozenset(numbers)
         for batch in batches:
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 words = terms_of(text)
@@ -272,9 +310,8 @@ def search_block(docs: DataFrame, queries: Queries, k: int = K) -> DataFrame:
                            for t, tf in counts.items() if tf >= level]
                 bits = _bits_for(len(entries))
                 block = open_blocks.setdefault(bits, Block(bits))
-                block.add(NO_ID if doc_id is None else doc_id, len(words),
-                          {t: counts[t] for t in known.intersection(counts)} or {b"": 1}, entries)
-                block.peaks[-1] = max(counts.values())
+                block.add(NO_ID if doc_id is None else doc_id, len(words), max(counts.values()),
+                          {numbers[t]: counts[t] for t in known.intersection(counts)}, entries)
                 if block.full():
                     search.scan(block)
                     open_blocks[bits] = Block(bits)
@@ -287,6 +324,11 @@ def search_block(docs: DataFrame, queries: Queries, k: int = K) -> DataFrame:
     return _text_schema(docs).mapInArrow(run, "query long, doc_id long, score long")
 
 
+def _best(hits: DataFrame, k: int) -> DataFrame:
+    order = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
+    return hits.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+
+
 def search(docs: DataFrame, items: DataFrame, k: int = K, query_block: int = QUERY_BLOCK,
            query_bytes: int = QUERY_BYTES) -> DataFrame:
     """item_id, rank, doc_id, score: the k best documents of every item.
@@ -309,9 +351,11 @@ def search(docs: DataFrame, items: DataFrame, k: int = K, query_block: int = QUE
         queries = count_terms(docs, Queries(terms, wanted)) if terms else None
         if queries is None or not queries.docs:
             continue
-        best = Window.partitionBy("query").orderBy(F.desc("score"), F.asc_nulls_first("doc_id"))
-        top = search_block(docs, queries, k).withColumn("rank", F.row_number().over(best)).where(
-            F.col("rank") <= k)
+        floors = [0] * len(rows)
+        seeds = docs.select("doc_id", "text").limit(SEED_DOCS).repartition(SEED_PARTS)
+        for r in _best(search_block(seeds, queries, k), k).where(F.col("rank") == k).collect():
+            floors[r["query"]] = r["score"]  # one row per query of the block
+        top = _best(search_block(docs, queries, k, floors), k)
         names = spark.createDataFrame([(i, r.item_id) for i, r in enumerate(rows)], T.StructType(
             [T.StructField("query", T.LongType()), T.StructField("item_id", id_type)]))
         hits = scratch_table(spark, top.join(names, "query").select(

@@ -74,8 +74,10 @@ def test_bounds_hold_and_exclude():
     block, pairs = ls.Block(4096), 0
     for i, words in docs[:1000]:
         counts = Counter(words)
-        block.add(i, len(words), counts, [ls._hash((t, lv)) for lv in ls.LEVELS
-                                          for t, c in counts.items() if c >= lv])
+        block.add(i, len(words), max(counts.values()), {terms[t]: c for t, c in counts.items() if t in terms},
+                  [ls._hash((t, lv)) for lv in ls.LEVELS for t, c in counts.items() if c >= lv])
+    held = [Counter(words) for _, words in docs[:1000]]
+    names = {i: t for t, i in terms.items()}
     norms = [ls.length_norm(x, n, total) for x in block.lengths]
     reach = [np.array([ls.gain_of(min(p, after - 1), m) for p, m in zip(block.peaks, norms)], float)
              for after in (2, 4, 1 << 40)]
@@ -84,7 +86,9 @@ def test_bounds_hold_and_exclude():
         bound = search.bounds(block, block.signature(), used, weights, gains)
         for row, item in enumerate(members):
             for c in range(len(block.ids)):
-                assert bound[row, c] >= search.score(item, block, c, norms[c])
+                exact = sum(int(q.weights[t]) * ls.gain_of(held[c][names[t]], norms[c])
+                            for t in wanted[item] if held[c][names[t]])
+                assert bound[row, c] >= exact
                 pairs += 1
     search.scan(block)
     assert search.scored < pairs / 4
