@@ -98,9 +98,9 @@ def range_bounds(value: str) -> tuple[str, str]:
     return parts[0], parts[1]
 
 
-def _bound(value: str, dt: DataType) -> Column:
-    """A range bound as a literal; one that the column's type cannot hold
-    would select nobody without a word, so it is an error."""
+def check_bound(value: str, dt: DataType) -> None:
+    """A bound that the column's type cannot hold would select nobody without
+    a word, so it is an error."""
     try:
         if isinstance(dt, IntegralType):
             int(value)
@@ -111,10 +111,15 @@ def _bound(value: str, dt: DataType) -> Column:
             _dt.datetime.fromisoformat(value)
     except (ValueError, InvalidOperation):
         raise ValueError(f"{value!r} is no bound for a {dt.simpleString()} column") from None
-    return _typed(value, dt)
 
 
-def _typed(value: str, dt: DataType) -> Column:
+def _bound(value: str, dt: DataType) -> Column:
+    """A checked range bound as a literal."""
+    check_bound(value, dt)
+    return typed_literal(value, dt)
+
+
+def typed_literal(value: str, dt: DataType) -> Column:
     """``value`` as a literal of the column's type (NULL if it cannot be)."""
     if isinstance(dt, StringType):
         return F.lit(value)
@@ -141,7 +146,7 @@ def compile_rule(rule, schema: StructType, keep_null: bool = True) -> Column:
     if r.type == "exists":
         return (c.isNotNull() & (F.size(c) > 0)) if is_array else c.isNotNull()
     if r.type in ("match", "notMatch"):
-        v = _typed(r.value, elem)
+        v = typed_literal(r.value, elem)
         hit = F.array_contains(c, v) if is_array else (c == v)
         if r.type == "match":
             return hit
@@ -195,32 +200,36 @@ def coupon_day_rule(name: str, k: int, as_of,
 
 
 def standard_rules(as_of, sex_codes=SEX_CODES, channel_codes=CHANNEL_CODES,
-                   sub_sentinel: str = "null") -> list[Rule]:
-    """Every rule of the tag page, with relative days computed from ``as_of``.
+                   sub_sentinel: str = "null", reg_as_of=None, order_as_of=None,
+                   incomplete: str = "-1", charge_ranges=MONEY_RANGES,
+                   order_ranges=MONEY_RANGES, thresholds=OVERTIME_THRESHOLDS) -> list[Rule]:
+    """Every rule of the tag page, with relative days computed from ``as_of``
+    (registrations and orders from days of their own where given).
 
     ``sex_codes`` / ``channel_codes`` are (value, label) pairs, so a table
-    with other codes can reuse the catalogue.
+    with other codes can reuse the catalogue; so are the code of an
+    incomplete profile, the money ranges and the delivery thresholds.
     """
     rules = [Rule(lbl, "sex", str(v), "match") for v, lbl in sex_codes]
     rules += [Rule(lbl, "channel", str(v), "match") for v, lbl in channel_codes]
     rules += [
         Rule("registered", "regTime", "", "exists"),
-        Rule("profile incomplete", "address", "-1", "match"),
+        Rule("profile incomplete", "address", incomplete, "match"),
         Rule("free coupon granted", "freeCouponTime", "", "exists"),
         Rule("ordered once", "orderCount", "1", "match"),
         Rule("ordered again", "orderCount", "2", "rangeGte"),
         Rule("subscribed", "subOpenId", sub_sentinel, "notMatch"),
         Rule("not subscribed", "subOpenId", sub_sentinel, "match"),
     ]
-    rules += [recent_rule("regTime", k, as_of) for k in RECENT_DAYS]
-    rules += [recent_rule("orderTime", k, as_of) for k in RECENT_DAYS]
+    rules += [recent_rule("regTime", k, reg_as_of or as_of) for k in RECENT_DAYS]
+    rules += [recent_rule("orderTime", k, order_as_of or as_of) for k in RECENT_DAYS]
     rules += [coupon_day_rule("freeCouponTime", k, as_of) for k in RECENT_DAYS]
     rules += [coupon_day_rule("couponTimes", k, as_of) for k in COUPON_EXPIRY_DAYS]
-    rules += [Rule(v, "chargeMoney", v, "rangeBoth") for v in MONEY_RANGES]
-    rules += [Rule(v, "orderMoney", v, "rangeBoth") for v in MONEY_RANGES]
+    rules += [Rule(v, "chargeMoney", v, "rangeBoth") for v in charge_ranges]
+    rules += [Rule(v, "orderMoney", v, "rangeBoth") for v in order_ranges]
     rules += [Rule(f"{grp} {g}", "favGoods", str(g), "match")
               for grp, ids in GOODS_GROUPS for g in ids]
     rules += [Rule(f">= {t}s", "overTime", str(t), "rangeGte")
-              for t in OVERTIME_THRESHOLDS]
+              for t in thresholds]
     rules += [Rule(lbl, "feedBack", str(v), "match") for v, lbl in FEEDBACK_TYPES]
     return rules

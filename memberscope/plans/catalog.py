@@ -13,6 +13,7 @@ their events cover 2024-01-01 … 2024-01-30.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,11 +21,14 @@ from pyspark.sql import functions as F
 
 from memberscope.functions.calendar import day_start, wall_clock_text
 from memberscope.functions.rules import Rule, standard_rules
-from memberscope.operators import (audience, calendar_jobs, distributions,
-                                   funnel, growth, hotwords, tags)
-from memberscope.plans import sql
+from memberscope.operators import (audience, bitmap_index, calendar_jobs, distributions,
+                                   funnel, growth, hotwords, membership, tags)
+from memberscope.operators import goods_chunks as goods
+from memberscope.plans import refresh, sql
+from memberscope.session import scratch_path
 from memberscope.sources import sinks
-from memberscope.sources.tables import Domain, Tables
+from memberscope.sources.ledger import Ledger
+from memberscope.sources.tables import Domain, LoadedTables, Tables, read_table
 from memberscope.sources.text import text_lines
 from memberscope.sources.views import register_views
 
@@ -55,6 +59,19 @@ AUDIENCE_GOODS_RULES = (
     Rule("subscribed", "subOpenId", "null", "notMatch"),
 )
 
+AUDIENCE_INDEX_RULES = (
+    Rule("ordered often", "orderCount", "9", "rangeGte"),
+    Rule("spent", "orderMoney", "1500000-2600000", "rangeBoth"),
+    Rule("lately", "orderTime", "2001-03-01", "rangeGte"),
+    Rule("subscribed", "subOpenId", "null", "notMatch"),
+)
+
+CHUNK_RULES = (
+    Rule("good 1", "favGoods", "1", "match"),
+    Rule("good 2", "favGoods", "2", "match"),
+    Rule("goods 10 to 12", "favGoods", "10-12", "rangeBoth"),
+)
+
 
 def _ints_text(c: str):
     return F.array_join(F.transform(F.col(c), lambda x: x.cast("string")), ",")
@@ -89,6 +106,18 @@ def tag_rules() -> list[Rule]:
                           sub_sentinel=PHONE_SENTINEL)
 
 
+def fitted_rules() -> list[Rule]:
+    """The same catalogue with days and ranges of the shared tables' own:
+    their registrations fill January 2024, their orders end in August 2001."""
+    return standard_rules(
+        AS_OF, sex_codes=[(s, s.lower()) for s in SEGMENTS],
+        channel_codes=[(n, f"nation {n}") for n in NATIONS], sub_sentinel=PHONE_SENTINEL,
+        reg_as_of="2024-01-09", order_as_of="2001-08-01", incomplete="3",
+        charge_ranges=("10000-20000", "20000-22500", "22500-24000", "24000-26500", "26500-40000"),
+        order_ranges=("10000-1500000", "1500000-2000000", "2000000-2500000", "2500000-3000000", "3000000-9000000"),
+        thresholds=(0, 9_000_000, 18_000_000, 36_000_000))
+
+
 # ---------------------------------------------------------------- A1–A6
 
 def member_sex(spark, sf):
@@ -255,6 +284,143 @@ def tag_facets(spark, sf):
     return audience.tag_facets(_tag_table(spark, sf), tag_rules())
 
 
+def _tag_index(spark, sf) -> bitmap_index.TagIndex:
+    """The tag table's bitmap index, built below the checkpoint folder."""
+    path = scratch_path(spark, f"tag-index-{uuid.uuid4().hex}")
+    sinks.write_table(_tag_table(spark, sf), f"{path}-tags")
+    return bitmap_index.build(spark.read.parquet(f"{path}-tags"), path)
+
+
+def audience_index_select(spark, sf):
+    """A20 from the bitmap index: members of the first audience."""
+    return _tag_index(spark, sf).select(AUDIENCE_RULES)
+
+
+def audience_index_goods(spark, sf):
+    """A20 from the bitmap index: members of the second audience who also
+    spent between two bounds and ordered lately."""
+    return _tag_index(spark, sf).select(AUDIENCE_INDEX_RULES)
+
+
+def tag_index_facets(spark, sf):
+    """A21 from the bitmap index, over the fitted catalogue."""
+    return _tag_index(spark, sf).facets(fitted_rules())
+
+
+def audience_rules(spark, sf) -> DataFrame:
+    """A rule table in the schema of ``operators.membership``: an audience per
+    part (its buyers, narrowed by sex, orders or money), per supplier
+    (members of its nation by coupons) and per region (nearly everyone)."""
+    t = Tables(spark, sf)
+    k, text = F.col("k"), lambda c: c.cast("string")
+    segment = lambda i: F.get(F.array(*map(F.lit, SEGMENTS)), (i % len(SEGMENTS)).cast("int"))
+
+    def rule(when, name, kind, value):
+        return F.when(when, F.struct(F.lit(name).alias("name"), value.alias("value"), F.lit(kind).alias("type")))
+
+    every = F.lit(True)
+    number = lambda low, step, by: text(low + step * (k % by))
+    parts = t.part.select(F.col("p_partkey").alias("k")).select(k.alias("audienceId"), F.explode(F.array(
+        rule(every, "favGoods", "match", text(k)), rule(k % 5 == 0, "favGoods", "match", text(k + 1)),
+        rule(k % 4 == 0, "sex", "match", segment(k)), rule(k % 4 == 0, "sex", "match", segment(k + 2)),
+        rule(k % 4 == 1, "orderCount", "rangeGte", number(6, 1, 8)),
+        rule(k % 4 == 2, "orderMoney", "rangeBoth", F.concat(
+            number(1_000_000, 200_000, 7), F.lit("-"), number(2_600_000, 300_000, 5))),
+        rule(k % 4 == 3, "orderTime", "rangeGte", F.concat(F.lit("2001-0"), number(1, 1, 7), F.lit("-01"))),
+        rule(k % 3 == 0, "subOpenId", "notMatch", F.lit(PHONE_SENTINEL)))).alias("r"))
+    suppliers = t.supplier.select(F.col("s_suppkey").alias("k"), "s_nationkey").select(
+        (-k).alias("audienceId"), F.explode(F.array(
+            rule(every, "channel", "match", text(F.col("s_nationkey"))),
+            rule(every, "chargeMoney", "rangeBoth", F.concat(
+                number(16_000, 1_000, 9), F.lit("-"), number(24_000, 1_500, 6))),
+            rule(k % 2 == 0, "regTime", "exists", F.lit("")),
+            rule(k % 3 == 0, "couponTimes", "match", F.concat(F.lit("2024-01-1"), number(0, 1, 10))),
+            rule(k % 7 == 0, "freeCouponTime", "rangeBoth", F.lit("2024-01-05-2024-01-20")))).alias("r"))
+    regions = t.region.select(F.col("r_regionkey").cast("bigint").alias("k")).select(
+        (k + 1_000_000_000_000).alias("audienceId"), F.explode(F.array(
+            rule(every, "subOpenId", "notMatch", F.lit(PHONE_SENTINEL)), rule(every, "sex", "notMatch", segment(k)),
+            rule(k == 4, "sex", "notMatch", segment(k + 1)))).alias("r"))
+    rules = parts.unionByName(suppliers).unionByName(regions)
+    return rules.where("r is not null").select("audienceId", "r.*")
+
+
+def audience_membership(spark, sf):
+    """A20 for all stored audiences at once."""
+    table = scratch_path(spark, f"tags-{uuid.uuid4().hex}")
+    sinks.write_table(_tag_table(spark, sf).drop("phone"), table)
+    return membership.membership(spark.read.parquet(table), audience_rules(spark, sf))
+
+
+def goods_chunks(spark, sf):
+    """Distinct goods per member in ordered chunks of eight."""
+    d = Domain(spark, sf)
+    return _text_arrays(goods.goods_chunks(goods.member_goods(d.order, d.order_item), chunk=8))
+
+
+def audience_goods_chunks(spark, sf):
+    """A20 by rules over chunks: members who bought good 1 or 2, or a good
+    from 10 to 12."""
+    d = Domain(spark, sf)
+    chunks = goods.goods_chunks(goods.member_goods(d.order, d.order_item), chunk=8)
+    return goods.select_by_goods(d.member_plain.select(F.col("id").alias("memberId")), chunks, CHUNK_RULES)
+
+
+class _Staged:
+    """The shared tables as sets of files that change: ``first`` holds most
+    rows and some that will be withdrawn, ``second`` the same files without
+    those, and files of late rows."""
+
+    def __init__(self, spark, sf, names):
+        self.spark, self.base = spark, scratch_path(spark, f"staged-{uuid.uuid4().hex}")
+        self.first, self.second = {}, {}
+        for name, key in names.items():
+            t = read_table(spark, sf, name)
+            late = F.coalesce(F.pmod(F.xxhash64(key, F.lit("late")), F.lit(9)) == 0, F.lit(False))
+            wrong = t.where(F.pmod(F.xxhash64(key, F.lit("wrong")), F.lit(40)) == 0)
+            wrong = wrong.withColumns({c: F.col(c) - F.expr("INTERVAL 400 DAYS") for c, ty in wrong.dtypes
+                                       if ty.startswith("timestamp")})
+            if name == "customer":
+                wrong = wrong.withColumn(key, -F.col(key))
+            for part, rows in (("early", t.where(~late)), ("late", t.where(late)), ("wrong", wrong)):
+                rows.write.parquet(f"{self.base}/{name}/{part}")
+            at = lambda *parts, n=name: spark.read.schema(t.schema).parquet(
+                *[f"{self.base}/{n}/{p}" for p in parts])
+            self.first[name], self.second[name] = at("early", "wrong"), at("early", "late")
+
+
+def growth_daily_ledger(spark, sf):
+    """A7 from a stored rollup that was refreshed through the file ledger
+    after late rows came in and wrong ones were withdrawn."""
+    staged = _Staged(spark, sf, {"events": "event_id"})
+    path = scratch_path(spark, f"rollup-{uuid.uuid4().hex}")
+    book = Ledger(spark, f"{path}-ledger")
+    for tables in (staged.first, staged.second):
+        d = Domain(spark, tables=LoadedTables(**tables))
+        rollup = refresh.refresh_growth(d.registration, d.purchase, book, path, {
+            "events": (tables["events"], "ts")})
+    return _text_arrays(growth.growth_from_rollup(rollup, AS_OF, days=20))
+
+
+#: What the ledger notes of each shared table, and what that key is.
+TAG_SOURCES = {"customer": ("c_custkey", "member"), "orders": ("o_custkey", "member"),
+               "lineitem": ("l_orderkey", "order"), "events": ("user_id", "member"),
+               "part": ("p_partkey", "coupon")}
+
+
+def member_tags_incremental(spark, sf):
+    """A19 refreshed through the file ledger: built over the first state of
+    the tables, then brought to the second by the touched members alone."""
+    staged = _Staged(spark, sf, {"customer": "c_custkey", "orders": "o_orderkey", "lineitem": "l_orderkey",
+                                 "events": "event_id", "part": "p_partkey"})
+    path = scratch_path(spark, f"member-tags-{uuid.uuid4().hex}")
+    book = Ledger(spark, f"{path}-ledger")
+    for tables in (staged.first, staged.second):
+        d = Domain(spark, tables=LoadedTables(**tables))
+        out = refresh.refresh_tags(d, book, path, {
+            n: (tables[n], key, what) for n, (key, what) in TAG_SOURCES.items()}, FREE_COUPON_ID)
+    return _text_arrays(out)
+
+
 def free_coupon_reminder(spark, sf):
     free = tags.tag_free_coupon(Domain(spark, sf).coupon_member, FREE_COUPON_ID)
     return audience.free_coupon_reminder(free, AS_OF)
@@ -370,6 +536,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audience_select": audience_select,
     "audience_select_goods": audience_select_goods,
     "tag_facets": tag_facets,
+    "audience_index_select": audience_index_select,
+    "audience_index_goods": audience_index_goods,
+    "tag_index_facets": tag_index_facets,
+    "audience_membership": audience_membership,
+    "goods_chunks": goods_chunks,
+    "audience_goods_chunks": audience_goods_chunks,
+    "growth_daily_ledger": growth_daily_ledger,
+    "member_tags_incremental": member_tags_incremental,
     "free_coupon_reminder": free_coupon_reminder,
     "free_coupon_expiring": free_coupon_expiring,
     "coupon_expiry": coupon_expiry,

@@ -163,9 +163,9 @@ def rules_sql(rules) -> str:
     return " AND ".join("(" + " OR ".join(g) + ")" for g in groups.values()) or "true"
 
 
-def _growth(parity: bool) -> str:
-    start = _ts(7)
-    pre = _d(8)
+def _growth(parity: bool, days: int = 7) -> str:
+    start = _ts(days)
+    pre = _d(days + 1)
     if parity:
         return f"""
 WITH m AS (
@@ -248,15 +248,76 @@ FROM (VALUES {ks_sql}) ks(k) LEFT JOIN b ON b.k = ks.k
 GROUP BY ks.k"""
 
 
-def _facets() -> str:
+def _facets(rules=None) -> str:
     parts = []
-    for r in C.tag_rules():
+    for r in rules or C.tag_rules():
         esc = [x.replace("'", "''") for x in (r.label, r.name, r.value, r.type)]
         parts.append(f"SELECT '{esc[0]}' AS label, '{esc[1]}' AS name, '{esc[2]}' AS value, "
                      f"'{esc[3]}' AS type, CAST(count_if({rule_sql(r)}) AS BIGINT) AS members FROM tags")
     return _tag_ctes() + "\n" + "\nUNION ALL\n".join(parts)
 
 
+def _rule_table() -> str:
+    seg = ", ".join(f"'{s}'" for s in C.SEGMENTS)
+    n = len(C.SEGMENTS)
+    return f"""
+rule_table AS (
+  WITH p AS (SELECT p_partkey AS k FROM part),
+  s AS (SELECT s_suppkey AS k, s_nationkey AS nation FROM supplier),
+  r AS (SELECT CAST(r_regionkey AS BIGINT) AS k FROM region)
+  SELECT k AS audienceId, 'favGoods' AS name, CAST(k AS VARCHAR) AS value, 'match' AS type FROM p
+  UNION ALL SELECT k, 'favGoods', CAST(k + 1 AS VARCHAR), 'match' FROM p WHERE k % 5 = 0
+  UNION ALL SELECT k, 'sex', [{seg}][k % {n} + 1], 'match' FROM p WHERE k % 4 = 0
+  UNION ALL SELECT k, 'sex', [{seg}][(k + 2) % {n} + 1], 'match' FROM p WHERE k % 4 = 0
+  UNION ALL SELECT k, 'orderCount', CAST(6 + k % 8 AS VARCHAR), 'rangeGte' FROM p WHERE k % 4 = 1
+  UNION ALL SELECT k, 'orderMoney', (1000000 + 200000 * (k % 7)) || '-' || (2600000 + 300000 * (k % 5)), 'rangeBoth'
+    FROM p WHERE k % 4 = 2
+  UNION ALL SELECT k, 'orderTime', '2001-0' || (1 + k % 7) || '-01', 'rangeGte' FROM p WHERE k % 4 = 3
+  UNION ALL SELECT k, 'subOpenId', 'null', 'notMatch' FROM p WHERE k % 3 = 0
+  UNION ALL SELECT -k, 'channel', CAST(nation AS VARCHAR), 'match' FROM s
+  UNION ALL SELECT -k, 'chargeMoney', (16000 + 1000 * (k % 9)) || '-' || (24000 + 1500 * (k % 6)), 'rangeBoth' FROM s
+  UNION ALL SELECT -k, 'regTime', '', 'exists' FROM s WHERE k % 2 = 0
+  UNION ALL SELECT -k, 'couponTimes', '2024-01-1' || (k % 10), 'match' FROM s WHERE k % 3 = 0
+  UNION ALL SELECT -k, 'freeCouponTime', '2024-01-05-2024-01-20', 'rangeBoth' FROM s WHERE k % 7 = 0
+  UNION ALL SELECT k + 1000000000000, 'subOpenId', 'null', 'notMatch' FROM r
+  UNION ALL SELECT k + 1000000000000, 'sex', [{seg}][k % {n} + 1], 'notMatch' FROM r
+  UNION ALL SELECT k + 1000000000000, 'sex', [{seg}][(k + 1) % {n} + 1], 'notMatch' FROM r WHERE k = 4)"""
+
+
+def _membership() -> str:
+    """Every rule tried on every member."""
+    lo, hi = "TRY_CAST(split_part(value, '-', 1) AS DOUBLE)", "TRY_CAST(split_part(value, '-', 2) AS DOUBLE)"
+    return _tag_ctes() + "," + _rule_table() + f""",
+tried AS (
+  SELECT audienceId, memberId, name, coalesce(CASE
+    WHEN name = 'favGoods' THEN list_contains(favGoods, CAST(value AS BIGINT))
+    WHEN name = 'couponTimes' THEN list_contains(couponTimes, value)
+    WHEN name = 'channel' THEN channel = CAST(value AS INTEGER)
+    WHEN name = 'orderCount' THEN orderCount >= CAST(value AS BIGINT)
+    WHEN name = 'orderMoney' THEN orderMoney BETWEEN {lo} AND {hi}
+    WHEN name = 'chargeMoney' THEN chargeMoney BETWEEN {lo} AND {hi}
+    WHEN name = 'orderTime' THEN orderTime >= value
+    WHEN name = 'regTime' THEN regTime IS NOT NULL
+    WHEN name = 'freeCouponTime' THEN freeCouponTime BETWEEN left(value, 10) AND right(value, 10)
+    WHEN name = 'sex' AND type = 'match' THEN sex = value
+    WHEN name = 'sex' THEN NOT coalesce(sex = value, false)
+    WHEN name = 'subOpenId' THEN NOT coalesce(subOpenId = value, false) END, false) AS ok
+  FROM rule_table, tags)
+SELECT audienceId, memberId FROM (
+  SELECT audienceId, memberId, name, bool_or(ok) AS ok FROM tried GROUP BY ALL)
+GROUP BY audienceId, memberId HAVING bool_and(ok)"""
+
+
+CHUNKS = """
+WITH g AS (
+  SELECT DISTINCT o.o_custkey AS memberId, l.l_partkey AS good
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey WHERE l.l_partkey IS NOT NULL),
+n AS (SELECT *, (row_number() OVER (PARTITION BY memberId ORDER BY good) - 1) // 8 AS chunk FROM g)
+SELECT memberId, CAST(chunk AS BIGINT) AS chunk,
+       string_agg(CAST(good AS VARCHAR), ',' ORDER BY good) AS goods
+FROM n GROUP BY memberId, chunk"""
+
+
 def _date_patterns_sql() -> list[tuple[str, str]]:
     """Spark pattern → DuckDB strptime format, same order."""
     from memberscope.functions.calendar import DATE_PATTERNS
@@ -377,6 +438,16 @@ FROM ob LEFT JOIN ot ON ob.memberId = ot.memberId""",
         "audience_select": tags_ + f"\nSELECT {TAG_TEXT_COLS} FROM tags WHERE {rules_sql(C.AUDIENCE_RULES)}",
         "audience_select_goods": tags_ + f"\nSELECT {TAG_TEXT_COLS} FROM tags WHERE {rules_sql(C.AUDIENCE_GOODS_RULES)}",
         "tag_facets": _facets(),
+        "audience_index_select": tags_ + f"\nSELECT memberId FROM tags WHERE {rules_sql(C.AUDIENCE_RULES)}",
+        "audience_index_goods": tags_ + f"\nSELECT memberId FROM tags WHERE {rules_sql(C.AUDIENCE_INDEX_RULES)}",
+        "tag_index_facets": _facets(C.fitted_rules()),
+        "audience_membership": _membership(),
+        "goods_chunks": CHUNKS,
+        "audience_goods_chunks": tags_ + """
+SELECT memberId FROM tags
+WHERE len(list_filter(favGoods, lambda x: x IN (1, 2) OR x BETWEEN 10 AND 12)) > 0""",
+        "growth_daily_ledger": _growth(False, 20),
+        "member_tags_incremental": tags_ + f"\nSELECT {TAG_TEXT_COLS} FROM tags",
         "free_coupon_reminder": _buckets(free, "t", range(1, 8)),
         "free_coupon_expiring": _buckets(free, "t", range(1, 8), -1),
         "coupon_expiry": _buckets(other, "t", (1, 3, 5, 7)),

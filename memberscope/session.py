@@ -9,8 +9,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every product relies on, applied to the session only where the
 # cluster's configuration does not set them. AQE re-plans joins at runtime
@@ -104,3 +105,12 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path below the shared checkpoint folder for a written intermediate."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def stored_table(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """``df`` written below the shared checkpoint folder and read again: a
+    table that any executor can reach, with its lineage cut and its size
+    known to the planner."""
+    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

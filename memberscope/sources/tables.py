@@ -76,6 +76,13 @@ class Tables:
         return self._cache[name]
 
 
+class LoadedTables:
+    """The shared tables as given frames."""
+
+    def __init__(self, **frames: DataFrame):
+        self.__dict__.update(frames)
+
+
 def _prop_k():
     return F.get_json_object("props", "$.k").cast("int")
 
@@ -200,8 +207,10 @@ class Domain:
     #: The status of a completed order.
     done_status = "F"
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
-        self.t = Tables(spark, sf_dir)
+    def __init__(self, spark: SparkSession, sf_dir: str | None = None, tables=None):
+        """Over the tables of a folder, or over ``tables`` with the shared
+        tables as attributes."""
+        self.t = tables if tables is not None else Tables(spark, sf_dir)
 
     @property
     def member(self) -> DataFrame:
