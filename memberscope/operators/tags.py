@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from memberscope.functions.calendar import day_text
 from memberscope.functions.money import MONEY_TOTAL, money
+from memberscope.operators.hot_keys import isolated_join
 from memberscope.operators.joins import lookup_join
 
 TAG_COLUMNS = ("memberId", "phone", "sex", "channel", "subOpenId", "address",
@@ -176,7 +177,8 @@ def tag_coupon_times(coupon_member: DataFrame, free_id: int = 1) -> DataFrame:
 
 def tag_charge_money(coupon_member: DataFrame, coupon: DataFrame,
                      channel_pred: Column | None = None,
-                     share: float = 0.5, salt_buckets: int = 0) -> DataFrame:
+                     share: float = 0.5, salt_buckets: int = 0,
+                     hot_share: float | None = None) -> DataFrame:
     """``memberId, chargeMoney``: sum of ``coupon_price * share`` over the
     member's coupons with ``coupon_channel != 1`` (default predicate).
 
@@ -186,14 +188,17 @@ def tag_charge_money(coupon_member: DataFrame, coupon: DataFrame,
     under the broadcast threshold and keeps a sort-merge join (with skewed
     partitions split) when it is not; ``salt_buckets`` salts the join
     instead (``operators.joins.lookup_join``) for a coupon held by very many
-    members.
+    members; ``hot_share`` salts only the coupons that more than this share of
+    the distinct holdings have (``operators.hot_keys``).
     """
     pred = channel_pred if channel_pred is not None else (F.col("coupon_channel") != 1)
     held = (coupon_member.where(pred)
             .groupBy("member_id", "coupon_id").agg(F.count(F.lit(1)).alias("n")))
-    priced = lookup_join(held, coupon.select(F.col("id").alias("coupon_id"),
-                                             money("coupon_price").alias("price")),
-                         "coupon_id", salt_by="member_id", salt_buckets=salt_buckets)
+    prices = coupon.select(F.col("id").alias("coupon_id"), money("coupon_price").alias("price"))
+    if hot_share is not None:
+        priced = isolated_join(held, prices, "coupon_id", "member_id", share=hot_share)
+    else:
+        priced = lookup_join(held, prices, "coupon_id", salt_by="member_id", salt_buckets=salt_buckets)
     amount = ((F.col("price") * F.col("n")).cast(MONEY_TOTAL)
               * F.lit(decimal.Decimal(str(share))))
     return (priced.groupBy(F.col("member_id").alias("memberId"))

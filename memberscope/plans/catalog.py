@@ -19,14 +19,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from memberscope.functions.calendar import day_start, wall_clock_text
+from memberscope.functions.calendar import (DATE_PATTERNS, day_start, reformat, shift_text,
+                                            wall_clock_text)
 from memberscope.functions.rules import Rule, standard_rules
 from memberscope.operators import (audience, bitmap_index, calendar_jobs, distributions,
-                                   funnel, growth, hotwords, membership, tags)
+                                   funnel, growth, hotwords, membership, range_members, tags)
 from memberscope.operators import goods_chunks as goods
 from memberscope.plans import refresh, sql
-from memberscope.session import scratch_path
-from memberscope.sources import sinks
+from memberscope.session import scratch_path, stored_table
+from memberscope.sources import document_index, sinks
+from memberscope.sources.bucketed import MemberCatalog
 from memberscope.sources.ledger import Ledger
 from memberscope.sources.tables import Domain, LoadedTables, Tables, read_table
 from memberscope.sources.text import text_lines
@@ -401,6 +403,50 @@ def growth_daily_ledger(spark, sf):
     return _text_arrays(growth.growth_from_rollup(rollup, AS_OF, days=20))
 
 
+def member_tags_bucketed(spark, sf):
+    """A19 from catalog tables bucketed by member: six joins, no exchange."""
+    tables = MemberCatalog(spark, prefix=f"member_{uuid.uuid4().hex}_").write(Domain(spark, sf))
+    return _text_arrays(tables.member_tags(FREE_COUPON_ID))
+
+
+def tag_charge_money_isolated(spark, sf):
+    """A16 with hot coupons found by a sketch and joined apart."""
+    d = Domain(spark, sf)
+    return _text_arrays(tags.tag_charge_money(d.coupon_granted, d.coupon, hot_share=0.005))
+
+
+def day_ranges(spark, sf) -> DataFrame:
+    """A range of days per supplier, in the schema of ``range_members``."""
+    k = F.col("s_suppkey")
+    first = F.date_add(F.lit("2023-12-28").cast("date"), (k % 31).cast("int"))
+    return Tables(spark, sf).supplier.select(
+        k.alias("rangeId"), first.alias("start"), F.date_add(first, (k % 23).cast("int")).alias("end"))
+
+
+def active_members_range(spark, sf):
+    """Distinct active members of many ranges of days, from the dyadic
+    tree of day bitmaps."""
+    events = Tables(spark, sf).events
+    tree = range_members.build(events, "user_id", "ts", scratch_path(spark, f"day-tree-{uuid.uuid4().hex}"))
+    out = range_members.active_members(tree, day_ranges(spark, sf))
+    return out.select("rangeId", F.date_format("start", "yyyy-MM-dd").alias("start"),
+                      F.date_format("end", "yyyy-MM-dd").alias("end"), "members")
+
+
+def tag_index_documents(spark, sf):
+    """The tag table written to a document index (once in part, then
+    whole, then the same again) and read back, as its documents."""
+    path = scratch_path(spark, f"tag-documents-{uuid.uuid4().hex}")
+    table = stored_table(spark, _text_arrays(_tag_table(spark, sf)), "tag-documents-source")
+    document_index.create_index(path)
+    wrong = table.where("memberId % 3 = 0").withColumn("phone", F.lit("old")).withColumn("memberId", F.col("memberId") + F.when(
+        F.col("memberId") % 2 == 0, 10**9).otherwise(0))
+    document_index.write_index(wrong, path, mode="append")
+    for _ in range(2):
+        document_index.write_index(table, path)
+    return document_index.read_index(spark, path, table.schema)
+
+
 #: What the ledger notes of each shared table, and what that key is.
 TAG_SOURCES = {"customer": ("c_custkey", "member"), "orders": ("o_custkey", "member"),
                "lineitem": ("l_orderkey", "order"), "events": ("user_id", "member"),
@@ -469,6 +515,37 @@ def calendar_features(spark, sf):
     return calendar_jobs.calendar_features(o, "o_orderdate").drop("o_orderdate")
 
 
+def any_date_text(orders: DataFrame) -> DataFrame:
+    """Each order's time written in one of all date patterns, by its key;
+    every 24th is no date."""
+    k = F.pmod(F.col("o_orderkey"), F.lit(len(DATE_PATTERNS) + 1))
+    moment = F.timestamp_add("SECOND", (F.col("o_orderkey") * 7919 % 86_400).cast("int"), F.col("o_orderdate"))
+    text = F.concat(F.lit("#"), F.col("o_orderkey").cast("string"))
+    for i, p in enumerate(DATE_PATTERNS):
+        text = F.when(k == i, wall_clock_text(moment, p)).otherwise(text)
+    return orders.select("o_orderkey", text.alias("txt"))
+
+
+def normalize_all_dates(spark, sf):
+    """D1 over all patterns, and the text overloads: each text parsed, named
+    by its pattern and rendered anew."""
+    texts = stored_table(spark, any_date_text(Tables(spark, sf).orders), "date-texts")
+    out = calendar_jobs.normalize_dates(texts, "txt", prefix="d")
+    return out.select("o_orderkey", "txt", "d_style", "d_valid",
+                      reformat("txt", "yyyy/MM/dd HH:mm:ss").alias("d_text"))
+
+
+#: One shift per unit, forward and back.
+TEXT_SHIFTS = (("YEAR", -3), ("MONTH", 13), ("DAY", -40), ("HOUR", 30), ("MINUTE", -95), ("SECOND", 4000))
+
+
+def shift_date_texts(spark, sf):
+    """D3 on texts: every unit, forward and back, in the text's own pattern."""
+    texts = stored_table(spark, any_date_text(Tables(spark, sf).orders), "date-texts")
+    return texts.select("o_orderkey", *[
+        shift_text("txt", unit, n).alias(unit.lower()) for unit, n in TEXT_SHIFTS])
+
+
 def shift_dates(spark, sf):
     o = Tables(spark, sf).orders.select("o_orderkey", "o_orderdate")
     out = calendar_jobs.shift_dates(
@@ -544,6 +621,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audience_goods_chunks": audience_goods_chunks,
     "growth_daily_ledger": growth_daily_ledger,
     "member_tags_incremental": member_tags_incremental,
+    "member_tags_bucketed": member_tags_bucketed,
+    "tag_charge_money_isolated": tag_charge_money_isolated,
+    "active_members_range": active_members_range,
+    "tag_index_documents": tag_index_documents,
+    "normalize_all_dates": normalize_all_dates,
+    "shift_date_texts": shift_date_texts,
     "free_coupon_reminder": free_coupon_reminder,
     "free_coupon_expiring": free_coupon_expiring,
     "coupon_expiry": coupon_expiry,

@@ -332,6 +332,29 @@ def _date_patterns_sql() -> list[tuple[str, str]]:
     return out
 
 
+def _one(f: str) -> str:
+    """A text read in one format; formats without a year read it in 1970."""
+    return f"try_strptime('1970 ' || txt, '%Y {f}')" if "%Y" not in f else f"try_strptime(txt, '{f}')"
+
+
+def _parsed() -> str:
+    return ", ".join(_one(f) for _, f in _date_patterns_sql())
+
+
+def _styles() -> str:
+    return " ".join(f"WHEN {_one(f)} IS NOT NULL THEN '{p}'" for p, f in _date_patterns_sql())
+
+
+def _all_dates() -> str:
+    pats = _date_patterns_sql()
+    cases = " ".join(f"WHEN {i} THEN strftime(t, '{f}')" for i, (_, f) in enumerate(pats))
+    return f"""
+WITH texts AS (
+  SELECT o_orderkey, CASE o_orderkey % {len(pats) + 1} {cases}
+         ELSE '#' || CAST(o_orderkey AS VARCHAR) END AS txt
+  FROM (SELECT o_orderkey, o_orderdate + INTERVAL (o_orderkey * 7919 % 86400) SECOND AS t FROM orders))"""
+
+
 def _normalize() -> str:
     pats = _date_patterns_sql()
     style = " ".join(f"WHEN try_strptime(txt, '{f}') IS NOT NULL THEN '{p}'" for p, f in pats)
@@ -447,6 +470,26 @@ FROM ob LEFT JOIN ot ON ob.memberId = ot.memberId""",
 SELECT memberId FROM tags
 WHERE len(list_filter(favGoods, lambda x: x IN (1, 2) OR x BETWEEN 10 AND 12)) > 0""",
         "growth_daily_ledger": _growth(False, 20),
+        "member_tags_bucketed": tags_ + f"\nSELECT {TAG_TEXT_COLS} FROM tags",
+        "tag_index_documents": tags_ + f"\nSELECT {TAG_TEXT_COLS} FROM tags WHERE memberId IS NOT NULL",
+        "tag_charge_money_isolated": tags_ + "\nSELECT memberId, CAST(chargeMoney AS DOUBLE) AS chargeMoney FROM cm",
+        "active_members_range": """
+WITH r AS (
+  SELECT s_suppkey AS rangeId, CAST(DATE '2023-12-28' + INTERVAL (s_suppkey % 31) DAY AS DATE) AS a,
+         CAST(DATE '2023-12-28' + INTERVAL (s_suppkey % 31 + s_suppkey % 23) DAY AS DATE) AS b FROM supplier)
+SELECT rangeId, strftime(a, '%Y-%m-%d') AS start, strftime(b, '%Y-%m-%d') AS "end",
+       count(DISTINCT user_id) AS members
+FROM r LEFT JOIN events ON ts >= a AND ts < b
+GROUP BY rangeId, a, b""",
+        "normalize_all_dates": _all_dates() + f"""
+SELECT o_orderkey, txt, CASE {_styles()} END AS d_style, coalesce({_parsed()}) IS NOT NULL AS d_valid,
+       strftime(coalesce({_parsed()}), '%Y/%m/%d %H:%M:%S') AS d_text
+FROM texts""",
+        "shift_date_texts": _all_dates() + """
+SELECT o_orderkey, """ + ", ".join(
+            f"""CASE {' '.join(f"WHEN {_one(f)} IS NOT NULL THEN strftime({_one(f)} + INTERVAL ({n}) {unit}, '{f}')"
+                 for _, f in _date_patterns_sql())} END AS {unit.lower()}"""
+            for unit, n in C.TEXT_SHIFTS) + "\nFROM texts",
         "member_tags_incremental": tags_ + f"\nSELECT {TAG_TEXT_COLS} FROM tags",
         "free_coupon_reminder": _buckets(free, "t", range(1, 8)),
         "free_coupon_expiring": _buckets(free, "t", range(1, 8), -1),
