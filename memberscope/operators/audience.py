@@ -92,6 +92,16 @@ def free_coupon_reminder(free_coupon: DataFrame, as_of,
                               expiring=expiring)
 
 
+def stored_free_coupon_reminder(stored: DataFrame, as_of, valid_days: int = COUPON_VALID_DAYS,
+                                ks=RECENT_DAYS, expiring: bool = False) -> DataFrame:
+    """A22 from the stored tag table: only its day column is read, and the
+    buckets' days reach the scan as plain values."""
+    sign = 1 if expiring else -1
+    days = [day_start(as_of, -valid_days + sign * k).date().isoformat() for k in ks]
+    wanted = stored.select("memberId", "freeCouponTime").where(F.col("freeCouponTime").isin(days))
+    return free_coupon_reminder(wanted, as_of, valid_days, ks, expiring)
+
+
 def coupon_expiry(coupon_times: DataFrame, as_of,
                   valid_days: int = COUPON_VALID_DAYS,
                   ks=COUPON_EXPIRY_DAYS, expiring: bool = False) -> DataFrame:

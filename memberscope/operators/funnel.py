@@ -21,7 +21,7 @@ DEFAULT_STAGE_EVENTS = {"present": "view", "click": "click", "addCart": None}
 STAGES = ("present", "click", "addCart")
 
 
-def conversion_funnel(order: DataFrame, coupon_member: DataFrame,
+def conversion_funnel(order: DataFrame, coupon_member: DataFrame | None,
                       behaviour: DataFrame | None = None,
                       stage_events: dict | None = None,
                       stage_constants: dict | None = None,
@@ -30,7 +30,8 @@ def conversion_funnel(order: DataFrame, coupon_member: DataFrame,
                       status: str = "order_status",
                       channel: str = "coupon_channel",
                       behaviour_member: str = "user_id",
-                      behaviour_type: str = "event_type") -> DataFrame:
+                      behaviour_type: str = "event_type",
+                      buy_event: str | None = None) -> DataFrame:
     """One row: ``present, click, addCart, order, orderAgain, chargeCoupon``.
 
     - order: members with at least one completed order;
@@ -40,8 +41,12 @@ def conversion_funnel(order: DataFrame, coupon_member: DataFrame,
 
     The first three stages are distinct members with the mapped behaviour
     event type when ``behaviour`` is given (a stage mapped to ``None`` is
-    NULL: no such event exists), else the constants.
+    NULL: no such event exists), else the constants. With ``buy_event`` the
+    coupon purchases are behaviour events of that type: one scan gives both,
+    and ``coupon_member`` is not read.
     """
+    if buy_event is not None and behaviour is None:
+        raise ValueError("buy_event needs a behaviour table")
     stage_events = {**DEFAULT_STAGE_EVENTS, **(stage_events or {})}
     stage_constants = {**DEFAULT_STAGE_CONSTANTS, **(stage_constants or {})}
 
@@ -50,19 +55,21 @@ def conversion_funnel(order: DataFrame, coupon_member: DataFrame,
         order.where(F.col(status) == F.lit(done_status)).select(
             F.col(member_id).alias("m"), F.lit(1).alias("done_row"),
             F.col(order_id).isNotNull().cast("int").alias("done_n"),
-            zero.alias("buy"), *[zero.alias(s) for s in STAGES]),
-        coupon_member.where(F.col(channel) == F.lit(buy_channel)).select(
+            zero.alias("buy"), *[zero.alias(s) for s in STAGES])]
+    if buy_event is None:
+        parts.append(coupon_member.where(F.col(channel) == F.lit(buy_channel)).select(
             F.col(member_id).alias("m"), zero.alias("done_row"),
             zero.alias("done_n"), F.lit(1).alias("buy"),
-            *[zero.alias(s) for s in STAGES]),
-    ]
+            *[zero.alias(s) for s in STAGES]))
     mapped = {s: e for s, e in stage_events.items() if e is not None}
-    if behaviour is not None and mapped:
+    wanted = [*mapped.values(), *([buy_event] if buy_event is not None else [])]
+    if behaviour is not None and wanted:
         et = F.col(behaviour_type)
+        bought = zero if buy_event is None else (et == F.lit(buy_event)).cast("int")
         parts.append(
-            behaviour.where(et.isin(list(mapped.values()))).select(
+            behaviour.where(et.isin(wanted)).select(
                 F.col(behaviour_member).alias("m"), zero.alias("done_row"),
-                zero.alias("done_n"), zero.alias("buy"),
+                zero.alias("done_n"), bought.alias("buy"),
                 *[(et == F.lit(mapped[s])).cast("int").alias(s) if s in mapped
                   else zero.alias(s) for s in STAGES]))
     flags = parts[0]

@@ -86,24 +86,10 @@ def tag_order_behavior(order: DataFrame, order_item: DataFrame,
                      F.sum(F.when(first, F.col("amount"))).cast(MONEY_TOTAL).alias("orderMoney"),
                      F.sort_array(F.collect_set("good")).alias("favGoods")))
 
-    per_member = (order.groupBy(F.col("member_id").alias("memberId"))
-                  .agg(F.count("order_id").alias("orderCount"),
-                       day_text(F.max("create_time")).alias("orderTime"),
-                       F.sum(money("pay_price")).cast(MONEY_TOTAL).alias("orderMoney")))
-    # Lines are first reduced to one row per order (its distinct goods, a
-    # map-side partial set), so the join with orders is one row to one row:
-    # an order holding a third of all lines cannot skew it.
-    per_order = (order_item.where(F.col("commodity_id").isNotNull())
-                 .groupBy("order_id").agg(F.collect_set("commodity_id").alias("goods")))
-    lines = (per_order.join(order.select("order_id", F.col("member_id").alias("memberId")),
-                            "order_id", "inner")
-             .select("memberId", F.explode("goods").alias("commodity_id")))
-    goods = _collect_distinct_sorted(lines, "memberId", "commodity_id", "favGoods")
-    empty = F.array().cast("array<%s>" % order_item.schema["commodity_id"]
-                           .dataType.simpleString())
-    return (per_member.join(goods, "memberId", "left")
-            .select("memberId", "orderCount", "orderTime", "orderMoney",
-                    F.coalesce("favGoods", empty).alias("favGoods")))
+    # one scan of orders and one of lines, each order meeting its goods once
+    lines = order_item.where(F.col("commodity_id").isNotNull()).select(
+        "order_id", "commodity_id", F.lit(None).cast("timestamp_ntz").alias("arrive_time"))
+    return tag_order_features(order, lines).drop("overTime")
 
 
 # ---------------------------------------------------------------- A13 + A17 in one pass

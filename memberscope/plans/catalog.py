@@ -31,7 +31,7 @@ from memberscope.sources import document_index, sinks
 from memberscope.sources.bucketed import MemberCatalog
 from memberscope.sources.ledger import Ledger
 from memberscope.sources.tables import Domain, LoadedTables, Tables, read_table
-from memberscope.sources.text import text_lines
+from memberscope.sources.text import read_lines, text_lines
 from memberscope.sources.views import register_views
 
 AS_OF = "2024-01-30"
@@ -153,8 +153,8 @@ def member_overview_json(spark, sf):
 
 def conversion_funnel(spark, sf):
     d = Domain(spark, sf)
-    return funnel.conversion_funnel(d.order, d.coupon_bought,
-                                    behaviour=d.t.events)
+    # coupons are bought by purchase events: one scan of the events
+    return funnel.conversion_funnel(d.order, None, behaviour=d.t.events, buy_event="purchase")
 
 
 def conversion_funnel_constants(spark, sf):
@@ -472,6 +472,31 @@ def free_coupon_reminder(spark, sf):
     return audience.free_coupon_reminder(free, AS_OF)
 
 
+def _stored_tags(spark, sf) -> DataFrame:
+    return stored_table(spark, _tag_table(spark, sf), "member-tags")
+
+
+def free_coupon_reminder_stored(spark, sf):
+    """A22 from the stored tag table."""
+    return audience.stored_free_coupon_reminder(_stored_tags(spark, sf), AS_OF)
+
+
+def audience_text_export(spark, sf):
+    """The second index audience written as text, one member a line, and
+    read back."""
+    path = scratch_path(spark, f"member-{uuid.uuid4().hex}.txt")
+    sinks.write_member_text(audience.audience_select(_stored_tags(spark, sf), AUDIENCE_INDEX_RULES), path)
+    return read_lines(spark, path).select(F.col("line").cast("bigint").alias("memberId"))
+
+
+def hot_words_files(spark, sf):
+    """A11 over text files (B2): the documents' lines written as a log, one
+    record a line, and counted from there."""
+    path = scratch_path(spark, f"log-{uuid.uuid4().hex}")
+    text_lines(Tables(spark, sf).documents, "text").select(F.col("line").alias("value")).write.text(path)
+    return hotwords.hot_words(read_lines(spark, path), sep=" ", field=0, k=10)
+
+
 def free_coupon_expiring(spark, sf):
     """A22, the other reading: free coupons that expire in k days."""
     free = tags.tag_free_coupon(Domain(spark, sf).coupon_member, FREE_COUPON_ID)
@@ -625,6 +650,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tag_charge_money_isolated": tag_charge_money_isolated,
     "active_members_range": active_members_range,
     "tag_index_documents": tag_index_documents,
+    "free_coupon_reminder_stored": free_coupon_reminder_stored,
+    "audience_text_export": audience_text_export,
+    "hot_words_files": hot_words_files,
     "normalize_all_dates": normalize_all_dates,
     "shift_date_texts": shift_date_texts,
     "free_coupon_reminder": free_coupon_reminder,

@@ -568,6 +568,9 @@ SELECT coalesce(m.d, o.d) AS d,
        CAST(coalesce(o.orders, 0) AS BIGINT) AS orders,
        CAST(o.gmv_day AS DOUBLE) AS gmv_day
 FROM m FULL JOIN o ON m.d = o.d"""
+    out["free_coupon_reminder_stored"] = out["free_coupon_reminder"]
+    out["audience_text_export"] = out["audience_index_goods"]
+    out["hot_words_files"] = out["hot_words"]
     out["member_sex_sql"] = out["member_sex"]
     out["reg_two_weeks_sql"] = out["reg_two_weeks"]
     out["member_heat_orders_sql"] = """
