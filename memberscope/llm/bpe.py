@@ -132,8 +132,8 @@ class ChunkedPieces:
         self.chunks = Memo(self._chunk, limit)
 
     def _chunk(self, chunk: str):
-        if not PLAIN.fullmatch(chunk):
-            if not chunk or chunk[0].isspace() or chunk[-1].isspace():
+        if not chunk.isascii() and not PLAIN.fullmatch(chunk):
+            if chunk[0].isspace() or chunk[-1].isspace():
                 raise _Spacing
             return self._plain(" " + chunk)
         word = chunk.rstrip(",.;:!?")
@@ -141,12 +141,12 @@ class ChunkedPieces:
             if len(word) == len(chunk):
                 return self.pieces[" " + chunk]
             return self.combine((self.pieces[" " + word], self.pieces[chunk[len(word):]]))
-        if not chunk:
+        if not chunk or chunk[0].isspace() or chunk[-1].isspace():
             raise _Spacing
-        return self._plain(" " + chunk)
+        return self.combine(map(self.pieces.__getitem__, PIECES.findall(" " + chunk)))
 
     def _plain(self, text: str):
-        if not PLAIN_TEXT.fullmatch(text):
+        if not text.isascii() and not PLAIN_TEXT.fullmatch(text):
             found = library(self.vocab.path).pre_tokenizer.pre_tokenize_str(text)
             return self.combine([self.pieces[text[a:b]] for _, (a, b) in found])
         return self.combine(map(self.pieces.__getitem__, PIECES.findall(text)))

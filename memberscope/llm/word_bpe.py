@@ -83,7 +83,7 @@ class WordBpe:
         return ids + self._fragment(tail, True)
 
     def _chunk(self, chunk: str) -> tuple[bytes, str]:
-        if not bpe.PLAIN.fullmatch(chunk):  # Unicode versions differ: the library's counts
+        if not chunk.isascii() and not bpe.PLAIN.fullmatch(chunk):  # Unicode versions differ: the library's counts
             shown = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(chunk))
             return self._value([i for w, _ in shown for i in self._symbols(w)])
         low = chunk.lower()
