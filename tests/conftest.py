@@ -25,3 +25,15 @@ def rows(df, *cols):
     if cols:
         df = df.select(*cols)
     return [tuple(r) for r in df.collect()]
+
+
+_FRAMES = {}
+
+
+def query_frame(spark, key):
+    """The frame of a registered query over the smallest tables, made once: many
+    queries write tables of their own before they return."""
+    from memberscope.plans import catalog
+    if key not in _FRAMES:
+        _FRAMES[key] = catalog.QUERIES[key](spark, SF_SMALL)
+    return _FRAMES[key]

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from memberscope.plans import catalog, oracle  # noqa: E402
-from conftest import SF_SMALL
+from conftest import SF_SMALL, query_frame
 from memberscope.sources.tables import TABLES
 
 QUERIES = dict(catalog.QUERIES)  # the llm package has its own tests
@@ -45,7 +45,7 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_query_matches_oracle(spark, duck, key):
-    df = QUERIES[key](spark, SF_SMALL)
+    df = query_frame(spark, key)
     s_rows = [tuple(r) for r in df.collect()]
     cur = duck.execute(SQL[key])
     d_cols = [c[0] for c in cur.description]
@@ -62,7 +62,7 @@ DUCK_TO_SPARK = {"VARCHAR": "string", "BIGINT": "bigint", "INTEGER": "int",
 @pytest.mark.parametrize("key", sorted(SQL))
 def test_query_types_match_oracle(spark, duck, key):
     """Same column types in both engines (counts BIGINT, money DECIMAL(p,s))."""
-    s = {f.name: f.dataType.simpleString() for f in QUERIES[key](spark, SF_SMALL).schema.fields}
+    s = {f.name: f.dataType.simpleString() for f in query_frame(spark, key).schema.fields}
     rel = duck.sql(SQL[key])
     d = {n: DUCK_TO_SPARK.get(str(t), str(t).lower()) for n, t in zip(rel.columns, rel.types)}
     assert s == d

@@ -9,7 +9,7 @@ import pytest
 
 import __spark_entry__ as entry
 from memberscope.plans import catalog, oracle  # noqa: E402
-from conftest import SF_SMALL
+from conftest import SF_SMALL, query_frame
 
 QUERIES = dict(catalog.QUERIES)  # the llm package has its own tests
 
@@ -23,7 +23,7 @@ def _plan(df, mode=None) -> str:
 
 @pytest.mark.parametrize("key", sorted(QUERIES))
 def test_no_python_and_no_pair_joins(spark, key):
-    plan = _plan(QUERIES[key](spark, SF_SMALL))
+    plan = _plan(query_frame(spark, key))
     for node in ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas",
                  "MapInPandas", "CartesianProduct", "BroadcastNestedLoopJoin"):
         assert node not in plan, node
