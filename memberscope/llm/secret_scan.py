@@ -67,19 +67,35 @@ ASSIGN = r"[\"']?\s{0,3}[:=]{1,2}>?\s{0,3}[\"']?"
 CREDENTIAL = (rf"(?<=[:=>\s\"'])(?={KEY}{{6}})(?<=(?i:{'|'.join(FOR_WORDS)})[A-Za-z0-9_-]{{0,16}}{ASSIGN}"
               rf"|(?i:bearer|authorization{ASSIGN}[a-z]{{5,8}})\s{{1,3}})"
               rf"(?!(?i:bearer|basic|digest)\s){KEY}{{6,}}+")
-CANDIDATE = (rf"(?<!{KEY})(?:(?=[A-Za-z+/_-]*+[0-9]){KEY}{{16,}}+|{CREDENTIAL})"
-             rf"(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?")
+LONG_RUN, PADDING = rf"(?=[A-Za-z+/_-]*+[0-9]){KEY}{{16,}}+", rf"(?:={{1,2}}(?![A-Za-z0-9+/_=-]))?"
+CANDIDATE = rf"(?<!{KEY})(?:{LONG_RUN}|{CREDENTIAL}){PADDING}"
+#: The same where a text names no credential: long runs alone.
+RUN_ONLY = rf"(?<!{KEY}){LONG_RUN}{PADDING}"
 COMMON_PAIRS = ("th", "he", "in", "er", "an", "re", "on", "at", "en", "nd", "ti", "es", "or", "te", "of",
                 "ed", "is", "it", "al", "ar", "st", "to", "nt", "ng", "se", "ha", "as", "ou", "io", "le")
 
 
+def names_credential(text: Column) -> Column:
+    """Whether any credential word occurs: only then the dear look-behinds of
+    CANDIDATE can match."""
+    low, out = F.lower(text), F.lit(False)
+    for word in FOR_WORDS:
+        out = out | F.contains(low, F.lit(word))
+    return out
+
+
+def by_credential(text: Column, make) -> Column:
+    """``make(pattern)`` with the pattern that the text needs."""
+    return F.when(names_credential(text), make(CANDIDATE)).otherwise(make(RUN_ONLY))
+
+
 def candidates(docs: DataFrame, text: str = "text") -> DataFrame:
     """docs with array ``found`` of (k, start, candidate, before, after);
     ``start`` counts characters from 0."""
     t = F.coalesce(F.col(text), F.lit(""))
-    step = docs.withColumn("_m", F.regexp_extract_all(t, F.lit(CANDIDATE), F.lit(0)))
+    step = docs.withColumn("_m", by_credential(t, lambda p: F.regexp_extract_all(t, F.lit(p), F.lit(0))))
     # without a candidate nothing else is worked out
-    step = step.withColumn("_p", F.when(F.size("_m") > 0, F.split(t, CANDIDATE, -1)))
+    step = step.withColumn("_p", F.when(F.size("_m") > 0, by_credential(t, lambda p: F.split(t, p, -1))))
     lengths = F.transform("_m", lambda m, k: F.length(m) + F.length(F.get(F.col("_p"), k)))
     step = step.withColumn("_n", F.when(F.size("_m") > 0, lengths))
     # running sums: the end of each candidate
@@ -246,7 +262,8 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, threshold: float
     spark = docs.sparkSession
     columns = docs.columns
     model = train(labelled if labelled is not None else labelled_findings(spark))
-    has = F.regexp_like(F.coalesce(F.col("text"), F.lit("")), F.lit(CANDIDATE))
+    shown = F.coalesce(F.col("text"), F.lit(""))
+    has = by_credential(shown, lambda p: F.regexp_like(shown, F.lit(p)))
     whole = F.struct(*[F.col(f"`{c}`") for c in columns])
     rows = candidates(docs.where(has).select(
         F.monotonically_increasing_id().alias("row"), F.col("text").alias("text"), whole.alias("doc")))
@@ -255,7 +272,7 @@ def redact(docs: DataFrame, labelled: DataFrame | None = None, threshold: float
     judged = score(each, model).groupBy("row").agg(
         F.any_value("doc", True).alias("doc"), F.sort_array(F.collect_list(F.struct(
             "k", (F.col("score") >= threshold).alias("secret"), "candidate"))).alias("f"))
-    judged = judged.withColumn("_p", F.split("doc.text", CANDIDATE, -1))
+    judged = judged.withColumn("_p", by_credential(F.col("doc.text"), lambda p: F.split("doc.text", p, -1)))
     text = F.concat(F.get(F.col("_p"), 0), F.array_join(F.transform("f", lambda x, k: F.concat(
         F.when(x.secret, F.lit(mask)).otherwise(x.candidate), F.get(F.col("_p"), k + 1))), ""))
     judged = judged.select("doc", text.alias("_text"))
