@@ -27,8 +27,10 @@ from memberscope.functions.rules import Rule, standard_rules
 from memberscope.operators import (audience, distributions, funnel, growth,
                                    hotwords, tags)
 from memberscope.plans import catalog as C
+from memberscope.plans import refresh
 from memberscope.session import build_session, scratch_path
-from memberscope.sources import sinks
+from memberscope.sources import document_index, sinks
+from memberscope.sources.ledger import Ledger
 from memberscope.sources.tables import Domain, MemberTables, Tables
 from memberscope.sources.text import read_lines, text_lines
 
@@ -102,11 +104,18 @@ def _last_day(spark: SparkSession, path: str):
 
 def growth_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
                rollup_path: str | None = None, days: int = 7, tables: str = "shared",
-               kind: str = "folder", **_) -> list[str]:
+               kind: str = "folder", by_files: bool = False, **_) -> list[str]:
     """The growth line. With ``rollup_path`` the per-day rollup is kept
     there: only the days of the window are recomputed, and the line is read
-    from the stored rollup instead of the raw history."""
+    from the stored rollup instead of the raw history. ``by_files`` recomputes
+    the days of new, rewritten and removed files instead, however old (a
+    rollup is kept one way or the other for its whole life)."""
     d = views(spark, sf, tables, kind)
+    if rollup_path and by_files:
+        book = Ledger(spark, f"{rollup_path.rstrip('/')}-ledger")
+        rollup = refresh.refresh_growth(d.registration, d.purchase, book, rollup_path, d.growth_sources)
+        line = growth.growth_from_rollup(rollup, as_of, days)
+        return [rollup_path, _write(line, out, "growth_daily")]
     if rollup_path:
         since = day_start(as_of, -days).date()
         rollup = refresh_rollup(spark, d.registration, d.purchase, rollup_path, since)
@@ -146,9 +155,11 @@ def hotword_job(spark: SparkSession, sf: str, out: str, lines_path: str | None =
 def usertag_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
                 tag_path: str | None = None, tag_format: str = "parquet",
                 tables: str = "shared", kind: str = "folder", rules: list | None = None,
-                **_) -> list[str]:
+                index_path: str | None = None, **_) -> list[str]:
     """Publish the tag table (B6), then the audience products built on it.
-    ``rules`` is the audience selection (default: a sample one)."""
+    ``rules`` is the audience selection (default: a sample one). With
+    ``index_path`` the document index there, which must exist, holds one
+    document per member afterwards."""
     d = views(spark, sf, tables, kind)
     if tables == "member":
         rules = rules or [Rule("ordered again", "orderCount", "2", "rangeGte")]
@@ -161,6 +172,8 @@ def usertag_job(spark: SparkSession, sf: str, out: str, as_of: str = C.AS_OF,
     tag_path = tag_path or scratch_path(spark, f"member_tags-{uuid.uuid4().hex}")
     sinks.write_table(t, tag_path, fmt=tag_format)
     published = spark.read.schema(t.schema).format(tag_format).load(tag_path)
+    if index_path:
+        document_index.write_index(published, index_path)
     selected = audience.audience_select(published, rules)
     member_txt = os.path.join(out, "member_txt")
     sinks.write_member_text(selected, member_txt)
@@ -210,6 +223,10 @@ def main(argv=None) -> None:
                    "(default: below spark.checkpoint.dir)")
     p.add_argument("--rollup-path",
                    help="growth: keep the per-day rollup there, refreshed by day")
+    p.add_argument("--by-files", action="store_true",
+                   help="growth: refresh the days of changed files, however old")
+    p.add_argument("--index-path",
+                   help="usertag: an existing document index to bring up to date")
     p.add_argument("--master")
     p.add_argument("--show", action="store_true",
                    help="print the first rows of every output (B9)")
@@ -218,21 +235,29 @@ def main(argv=None) -> None:
         "spark.sql.catalogImplementation": "hive"} if a.hive else None)
     for path in JOBS[a.job](spark, a.sf_dir, a.out, as_of=a.as_of,
                             lines_path=a.lines_path, tag_path=a.tag_path,
-                            rollup_path=a.rollup_path, tables=a.tables, kind=a.kind):
+                            rollup_path=a.rollup_path, tables=a.tables, kind=a.kind,
+                            by_files=a.by_files, index_path=a.index_path):
         print(path)
         if a.show:
             _show(spark, path)
 
 
+#: Formats of a job's outputs by the suffix of their files.
+FORMATS = {"parquet": "parquet", "json": "json", "txt": "text"}
+
+
 def _show(spark: SparkSession, path: str, n: int = 20) -> None:
-    """Print the first rows of a written output, whatever its format."""
-    # parquet first: a parquet folder read as JSON gives corrupt-record rows
-    for fmt in ("parquet", "json", "text"):
-        try:
-            spark.read.format(fmt).load(path).show(n, truncate=False)
-            return
-        except Exception:  # not this format
-            continue
+    """Print the first rows of a written output, in the format that its files
+    are named after."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option(
+        "pathGlobFilter", "part-*").load(path).select("path").limit(1).collect()
+    if not files:
+        print("(no rows)")
+        return
+    fmt = FORMATS.get(files[0].path.rsplit(".", 1)[-1])
+    if fmt is None:
+        raise ValueError(f"no known format: {files[0].path}")
+    spark.read.format(fmt).load(path).show(n, truncate=False)
 
 
 if __name__ == "__main__":

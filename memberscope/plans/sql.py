@@ -29,8 +29,8 @@ HEAT_ORDERS_SQL = """
           FROM t_order GROUP BY member_id) AS t"""
 
 DAILY_SQL = """
-    SELECT date_format(create_time, 'yyyy-MM-dd') AS day, count({id}) AS {name}
-    FROM {view}
+    SELECT date_format(create_time, 'yyyy-MM-dd') AS day, count(IDENTIFIER(:id)) AS n
+    FROM IDENTIFIER(:view)
     WHERE create_time >= CAST(:start AS TIMESTAMP_NTZ)
       AND create_time < CAST(:end AS TIMESTAMP_NTZ)
     GROUP BY date_format(create_time, 'yyyy-MM-dd')"""
@@ -49,7 +49,6 @@ def daily_counts(spark: SparkSession, view: str, id_col: str, name: str,
     """A8/A9 as SQL: rows per day with ``start <= create_time < end``."""
     if view not in ("t_registration", "t_purchase", "t_member", "t_order"):
         raise ValueError(f"unknown view {view!r}")
-    text = DAILY_SQL.format(view=view, id=id_col, name=name)
-    args = {"start": day_start(start).isoformat(sep=" "),
+    args = {"view": view, "id": id_col, "start": day_start(start).isoformat(sep=" "),
             "end": day_start(end).isoformat(sep=" ")}
-    return spark.sql(text, args=args)
+    return spark.sql(DAILY_SQL, args=args).withColumnRenamed("n", name)

@@ -142,7 +142,7 @@ class DocumentIndex(DataSource):
         path = self.options.get("path")
         if not path:
             raise ValueError("option path is missing")
-        id_field = _settings(path)["id_field"]  # no index, no write
+        id_field = _settings(path)["id_field"]
         if id_field not in schema.fieldNames():
             raise ValueError(f"documents have no field {id_field}")
         return IndexWriter(path, id_field, overwrite)
@@ -152,6 +152,7 @@ def write_index(tags: DataFrame, path: str, mode: str = "overwrite", id_field: s
     """Write one document per member. Rows that share an id would be one
     document, so they are refused; rows without an id are no members."""
     spark = tags.sparkSession
+    _settings(path)  # no index, no write
     # executors get the source with the plan, wherever this package is
     cloudpickle.register_pickle_by_value(sys.modules[__name__])
     spark.dataSource.register(DocumentIndex)

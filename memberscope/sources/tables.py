@@ -216,6 +216,11 @@ class Domain:
     def member(self) -> DataFrame:
         return members_with_reg_time(self.t.customer, self.t.events)
 
+    @property
+    def growth_sources(self) -> dict[str, tuple[DataFrame, str]]:
+        """File tables behind registrations and purchases, with their time."""
+        return {"events": (self.t.events, "ts")}
+
     @property
     def member_plain(self) -> DataFrame:
         return members(self.t.customer)
@@ -301,6 +306,10 @@ class MemberTables:
 
     member_plain = registration = member
 
+    @property
+    def growth_sources(self) -> dict[str, tuple[DataFrame, str]]:
+        return {"t_member": (self.member, "create_time"), "t_order": (self.order, "create_time")}
+
     @property
     def order(self) -> DataFrame:
         return self._table("t_order")
