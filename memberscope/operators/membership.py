@@ -5,22 +5,25 @@ rules of one audience are united per tag and intersected between tags, with
 the meaning of ``functions.rules``. The result is one row per (audience,
 member). No rule set meets a member that cannot belong to it:
 
-1. *Facts.* Members are listed by (tag, value) where a rule asks for that
-   value, and by (tag, bin) with their value for tags that rules give ranges
-   of; bins are cut at quantiles.
+1. *Facts.* Members are listed by (tag, value) where rules ask for values,
+   and by (tag, bin) with their value for tags that rules give ranges of; bins
+   are cut at quantiles.
 2. *Access.* Every audience enters by its most selective tag, by the sizes of
    the lists its rules there would read. Equality rules join lists by (tag,
    value), ranges are spread over the bins they touch and join by (tag, bin),
    the value being compared inside. Audiences of ``exists`` and ``notMatch``
    rules alone enter by everyone, as nearly everyone belongs to them.
-3. *Counted matches.* For the candidates of step 2 all rules are matched the
-   same way, by (audience, tag, value) and (audience, tag, bin); a candidate
-   is a member of the audience when as many tags are satisfied as the audience
-   names. ``notMatch`` counts as satisfied until it is hit.
+3. *Check.* The lists carry the members' values of the tags that audiences
+   name elsewhere, the rules those other tags' rules, so a pair is told where
+   it arises and only true pairs leave the join. A pair can arise twice only
+   for audiences that enter by several rules or by ranges; theirs alone are
+   made distinct.
 
 Every join is an equality join whose rule side is dealt over ``salt`` parts of
 the members, so a value (or audience) that a third of all members has is split
-however large the rule table is.
+however large the rule table is. Rules and lists grow with the tables, and
+dealt rules are ``salt`` times what the planner takes them for, so these joins
+are merge joins: nothing of theirs is broadcast through the driver.
 
 A bound that the tag's type cannot hold selects nobody (``functions.rules``
 refuses it; here one bad row must not stop thousands of audiences), and
@@ -63,7 +66,7 @@ def _by_tag(schema: T.StructType, names, make) -> Column:
 def _place(c: Column, dt: T.DataType) -> Column:
     """A number that sorts like the value: itself, or a day's number."""
     if isinstance(dt, T.NumericType):
-        return c.cast("double")
+        return c.try_cast("double")
     return F.unix_date(F.try_to_timestamp(c, F.lit(DAY)).cast("date")).cast("double")
 
 
@@ -115,68 +118,74 @@ def _dealt(rules: DataFrame, salt: int) -> DataFrame:
     return rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
 
 
-def _within(schema: T.StructType, names) -> Column:
-    """Whether the fact's value (``fact``) lies in the rule's range."""
-    def inside(dt):
-        if isinstance(dt, T.NumericType):
-            v, lo, hi = (F.col(c).try_cast(NUMBER) for c in ("fact", "lo", "hi"))
-        else:
-            v, lo, hi = F.col("fact"), F.col("lo"), F.col("hi")
-        return (v >= lo) & (F.col("hi").isNull() | (v <= hi))
-    return F.coalesce(_by_tag(schema, names, inside), F.lit(False))
+def _within(value: Column, lo: Column, hi: Column) -> Column:
+    """Whether a value lies between a rule's bounds (no upper one: null)."""
+    return (value >= lo) & (hi.isNull() | (value <= hi))
+
+
+def _is_number(dt: T.DataType) -> bool:
+    return isinstance(dt, T.NumericType)
 
 
-class _Facts:
-    """Facts of the tags that rules name, and the rules' side of the joins."""
+class _People:
+    """The typed rules, and one row per member with its values of the tags
+    that rules name: ``v_<tag>`` as text, ``d_<tag>`` as numbers where ranges
+    compare numbers, ``h_<tag>`` whether there is any."""
 
     def __init__(self, tags: DataFrame, rules: DataFrame, bins: int, salt: int):
         self.schema, self.salt = tags.schema, salt
-        names = _tags(tags)
-        self.names = names
-        spark = tags.sparkSession
-        typed = _typed_rules(rules, tags.schema, names).where("valid")
+        self.spark = spark = tags.sparkSession
         kind = F.when(F.col("type").isin("rangeGte", "rangeBoth"), "range").when(
             F.col("type") == "exists", "set").otherwise("eq")
+        typed = _typed_rules(rules, tags.schema, _tags(tags)).where("audienceId is not null").withColumns({
+            "kind": kind, "dlo": F.col("lo").try_cast(NUMBER), "dhi": F.col("hi").try_cast(NUMBER)})
         # each of these is read several times: written tables end the lineage
-        self.rules = stored_table(spark, typed.withColumn("kind", kind).drop("valid"), "audience-rules")
+        self.named = stored_table(spark, typed, "audience-rules")
+        self.rules = self.named.where("valid")
+        self.kinds = {(r.name, r.kind) for r in self.rules.select("name", "kind").distinct().collect()}  # three a tag
+        self.names = [n for n in _tags(tags) if any(k[0] == n for k in self.kinds)]
         # cuts of the tags that can have ranges: at most ``bins`` numbers each
-        arrays = [n for n in names if isinstance(tags.schema[n].dataType, T.ArrayType)]
-        single = [n for n in names if n not in arrays]
+        self.arrays = [n for n in self.names if isinstance(tags.schema[n].dataType, T.ArrayType)]
         shares = [k / bins for k in range(1, bins)]
-        ranged = [n for n in single if n in RANGE_TAGS]
+        ranged = [n for n in self.names if n not in self.arrays and n in RANGE_TAGS]
         row = tags.agg(*[F.percentile_approx(_place(F.col(n), tags.schema[n].dataType), shares, 10_000).alias(n)
                          for n in ranged]).first() if ranged else {}
         self.cuts = {n: sorted(set(row[n] or [])) for n in ranged}
-        struct = "array<struct<name:string,kind:string,fact:string,bin:int>>"
-
-        def fact(n, kind, value, bin_=None):
-            return F.struct(F.lit(n).alias("name"), F.lit(kind).alias("kind"), value.cast("string").alias("fact"),
-                            (F.lit(None) if bin_ is None else bin_).cast("int").alias("bin"))
-
-        def values_of(tag, kind, bin_=None):
-            return lambda x: fact(tag, kind, x, bin_)
-
-        parts = []
-        for n in names:
-            c, dt = F.col(n), tags.schema[n].dataType
-            if n in arrays:
-                value = F.array_distinct(F.filter(c, lambda x: x.isNotNull()))
-                parts.append(F.transform(value, values_of(n, "eq")))
-                parts.append(F.transform(value, values_of(n, "range", F.lit(NO_BIN))))
-                parts.append(F.when(F.size(c) > 0, F.array(fact(n, "set", F.lit("")))))
-            else:
-                made = [fact(n, "set", F.lit("")), fact(n, "eq", c), fact(n, "range", c, self._bin(n, _place(c, dt)))]
-                parts.append(F.when(c.isNotNull(), F.array(*made)))
-        every = F.concat(*[F.coalesce(p.cast(struct), F.array().cast(struct)) for p in parts])
-        # only facts that a rule asks for leave the scan
-        asked = self.rules.select("name", "kind", F.when(F.col("kind") == "eq", F.col("text")).alias("text")).distinct()
-        asked = asked.select("name", "kind", "text").alias("a")
-        facts = tags.where("memberId is not null").select("memberId", F.explode(every).alias("f")).select("memberId", "f.*")
-        same = (facts.name == F.col("a.name")) & (facts.kind == F.col("a.kind")) & F.when(
-            facts.kind == "eq", facts.fact).eqNullSafe(F.col("a.text"))
-        self.facts = stored_table(spark, facts.join(asked, same, "left_semi").withColumn("salt", _salt(salt)),
-                                  "member-facts")
-        self.spread = stored_table(spark, self._spread(), "audience-ranges")
+        # a member with several rows has the values of all of them
+        rows = tags.where("memberId is not null").groupBy("memberId").agg(F.collect_list(
+            F.struct(*self.names) if self.names else F.struct(F.lit(0).alias("_"))).alias("rows"))
+        people = rows.select("memberId", _salt(salt).alias("salt"), *[self._values(n).alias(f"v_{n}") for n in self.names],
+                             *[self._any(n).alias(f"h_{n}") for n in self.names])
+        people = people.withColumns({f"d_{n}": F.transform(f"v_{n}", lambda x: x.try_cast(NUMBER))
+                                     for n in self.names if (n, "range") in self.kinds and self._numeric(n)})
+        self.people = stored_table(spark, people, "member-values")
+        self.audiences = stored_table(spark, self._audiences(), "audiences")
+
+    def _numeric(self, n: str) -> bool:
+        return _is_number(_elem(self.schema, n))
+
+    def _values(self, n: str) -> Column:
+        if n in self.arrays:
+            of = lambda r: F.coalesce(r[n], F.array().cast(self.schema[n].dataType))
+        else:
+            of = lambda r: F.array(r[n])
+        known = F.filter(F.flatten(F.transform("rows", of)), lambda x: x.isNotNull())
+        return F.array_distinct(F.transform(known, lambda x: x.cast("string")))
+
+    def _any(self, n: str) -> Column:
+        held = (lambda r: F.size(r[n]) > 0) if n in self.arrays else (lambda r: r[n].isNotNull())
+        return F.coalesce(F.exists("rows", held), F.lit(False))
+
+    def _audiences(self) -> DataFrame:
+        """audienceId and the rules of each tag, ``c_<tag>`` (null: not
+        named). An invalid rule is lost only where the tag has another one; an
+        audience with a tag of invalid rules alone selects nobody."""
+        rule = F.struct("type", "kind", "text", "lo", "hi", "dlo", "dhi")
+        per_tag = self.named.groupBy("audienceId", "name").agg(
+            F.max("valid").alias("valid"), F.collect_list(F.when(F.col("valid"), rule)).alias("c"))
+        return per_tag.groupBy("audienceId").agg(F.bool_and("valid").alias("valid"), *[
+            F.any_value(F.when(F.col("name") == n, F.col("c")), ignoreNulls=F.lit(True)).alias(f"c_{n}")
+            for n in self.names]).where("valid").drop("valid")
 
     def _bin(self, n: str, place: Column) -> Column:
         cuts = self.cuts.get(n)
@@ -185,8 +194,26 @@ class _Facts:
         return F.when(place.isNull(), NO_BIN).otherwise(F.size(F.filter(
             F.lit(cuts).cast("array<double>"), lambda x: x <= place)))
 
-    def _spread(self) -> DataFrame:
-        """rule, bin: the bins that range rules touch."""
+    def _fact(self, n: str, kind: str):
+        dt = _elem(self.schema, n)
+
+        def fact(x: Column) -> Column:
+            bin_ = F.lit(None) if kind != "range" else F.lit(NO_BIN) if n in self.arrays else self._bin(n, _place(x, dt))
+            number = x.try_cast(NUMBER) if kind == "range" and self._numeric(n) else F.lit(None)
+            return F.struct(F.lit(n).alias("name"), F.lit(kind).alias("kind"), x.alias("fact"),
+                            number.cast(NUMBER).alias("number"), bin_.cast("int").alias("bin"))
+        return fact
+
+    def facts(self, kinds, carry: list[str]) -> DataFrame:
+        """memberId, salt, ``carry``, and the member's facts of ``kinds``:
+        name, kind, fact, number, bin."""
+        parts = [F.transform(f"v_{n}", self._fact(n, kind)) for n, kind in sorted(kinds) if kind != "set"]
+        none = F.array().cast(f"array<struct<name:string,kind:string,fact:string,number:{NUMBER},bin:int>>")
+        return self.people.select("memberId", "salt", *carry, F.explode(F.concat(none, *parts)).alias("f")).select(
+            "memberId", "salt", *carry, "f.*")
+
+    def ranges(self, rules: DataFrame) -> DataFrame:
+        """Range rules, one row per ``bin`` they touch."""
         low, high = F.lit(0), F.lit(0)
         for n, cuts in self.cuts.items():
             here = F.col("name") == n
@@ -195,74 +222,89 @@ class _Facts:
                 self._bin(n, F.col("phi")))).otherwise(high)
         low, high = F.greatest(low, F.lit(0)), F.greatest(high, F.lit(0))
         touched = F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<int>"))
-        return self.rules.where("kind = 'range'").select("rule", F.explode(F.concat(
-            F.array(F.lit(NO_BIN)), touched)).alias("bin"))
-
-    def ranges(self, rules: DataFrame) -> DataFrame:
-        """Range rules, one row per bin they touch."""
-        return rules.where("kind = 'range'").join(self.spread, "rule")
-
-    def hits(self, rules: DataFrame, facts: DataFrame, on: list[str], keep: list[str]) -> DataFrame:
-        """``keep`` columns of facts and rules (each named once) where the
-        fact satisfies the rule or, for notMatch, hits it."""
-        equal = _dealt(rules.where("kind <> 'range'").withColumn(
-            "fact", F.when(F.col("kind") == "set", "").otherwise(F.col("text"))), self.salt)
-        exact = facts.where("kind <> 'range'").drop("bin").join(
-            equal, [*on, "name", "kind", "fact", "salt"]).select(*keep)
-        spread = _dealt(self.ranges(rules), self.salt)
-        near = facts.where("kind = 'range'").join(spread, [*on, "name", "kind", "bin", "salt"]).where(
-            _within(self.schema, self.names)).select(*keep)
-        return exact.unionByName(near)
+        return rules.where("kind = 'range'").withColumn("bin", F.explode(F.concat(F.array(F.lit(NO_BIN)), touched)))
+
+    def needs(self, names) -> list[str]:
+        """The columns that the rules of the given tags read."""
+        made = {"eq": "v", "set": "h"}
+        return sorted({f"{made.get(k) or ('d' if self._numeric(n) else 'v')}_{n}" for n, k in self.kinds if n in names})
+
+    def _meets(self, n: str):
+        kinds = {k for m, k in self.kinds if m == n}
+
+        def meets(r: Column) -> Column:
+            ok = F.lit(False)
+            if "range" in kinds:
+                lo, hi, v = ("dlo", "dhi", f"d_{n}") if self._numeric(n) else ("lo", "hi", f"v_{n}")
+                ok = F.when(r.kind == "range", F.exists(v, lambda x: _within(x, r[lo], r[hi]))).otherwise(ok)
+            if "set" in kinds:
+                ok = F.when(r.kind == "set", F.col(f"h_{n}")).otherwise(ok)
+            if "eq" in kinds:
+                hit = F.coalesce(F.array_contains(f"v_{n}", r.text), F.lit(False))
+                ok = F.when(r.kind == "eq", hit != (r.type == "notMatch")).otherwise(ok)
+            return F.coalesce(ok, F.lit(False))
+        return meets
+
+    def satisfied(self, names) -> Column:
+        """Whether the member satisfies one rule of every given tag's
+        ``c_<tag>``; ``notMatch`` counts until it is hit."""
+        out = F.lit(True)
+        for n in names:
+            out = out & (F.col(f"c_{n}").isNull() | F.exists(f"c_{n}", self._meets(n)))
+        return out
 
 
 def membership(tags: DataFrame, rules: DataFrame, bins: int = BINS, salt: int = SALT) -> DataFrame:
     """``audienceId, memberId`` of every audience's members. ``tags`` holds
     one row per member; columns that no rule names need not be there."""
-    f = _Facts(tags, rules, bins, salt)
+    p = _People(tags, rules, bins, salt)
     wide = F.col("type").isin("exists", "notMatch")
-    # an audience with an invalid rule loses that rule only where the tag has
-    # another one; a tag of invalid rules alone stays unsatisfied
-    named = rules.select("audienceId", "name").distinct()
-    tags_of = named.groupBy("audienceId").agg(F.count("*").alias("tags"))
-    negative = f.rules.where("type = 'notMatch'").groupBy("audienceId", "name").agg(
-        F.count("*").alias("nots"))
-    free = negative.groupBy("audienceId").agg(F.count("*").alias("free"))
-    audiences = tags_of.join(free, "audienceId", "left").select(
-        "audienceId", "tags", F.coalesce("free", F.lit(0)).alias("free"))
-
     # how many members each list holds
-    lists = f.facts.groupBy("name", "kind", F.when(F.col("kind") == "range", F.col("bin").cast("string")).otherwise(
-        F.col("fact")).alias("key")).agg(F.count("*").alias("n"))
-    keyed = f.rules.where(~wide).select("audienceId", "name", "kind", "rule", F.col("text").alias("key"))
-    exact = keyed.where("kind <> 'range'").select("audienceId", "name", "rule", "kind", "key")
-    near = f.ranges(keyed).select("audienceId", "name", "rule", "kind", F.col("bin").cast("string").alias("key"))
-    priced = exact.unionByName(near).join(lists, ["name", "kind", "key"], "left")
+    lists = p.facts(p.kinds, []).groupBy("name", "kind", F.when(
+        F.col("kind") == "range", F.col("bin").cast("string")).otherwise(F.col("fact")).alias("key")).agg(
+        F.count("*").alias("n"))
+    keyed = p.rules.where(~wide)
+    key = ["audienceId", "name", "kind"]
+    exact = keyed.where("kind <> 'range'").select(*key, F.col("text").alias("key"))
+    near = p.ranges(keyed).select(*key, F.col("bin").cast("string").alias("key"))
+    priced = exact.unionByName(near).join(lists.hint("merge"), ["name", "kind", "key"], "left")
     clause = priced.groupBy("audienceId", "name").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cost"))
-    open_tags = f.rules.where(wide).select("audienceId", "name").distinct()
-    best = clause.join(open_tags, ["audienceId", "name"], "left_anti").groupBy("audienceId").agg(
+    open_tags = p.rules.where(wide).select("audienceId", "name").distinct()
+    best = clause.join(open_tags.hint("merge"), ["audienceId", "name"], "left_anti").groupBy("audienceId").agg(
         F.min(F.struct("cost", "name")).alias("x")).select("audienceId", F.col("x.name").alias("entry"))
-
-    by_list = f.rules.join(best, "audienceId").where("name = entry").drop("entry")
-    some = f.hits(by_list, f.facts, [], ["audienceId", "memberId"])
-    everyone = tags.where("memberId is not null").select("memberId").distinct().withColumn("salt", _salt(salt))
+    audiences = stored_table(p.spark, p.audiences.join(best.hint("merge"), "audienceId", "left"), "audience-entries")
+
+    # the entry's own rules are told by the list, the others by the member's values
+    entering = audiences.where("entry is not null")
+    left = {n: F.when(F.col("entry") != n, F.col(f"c_{n}")) for n in p.names}
+    ways = F.size(F.coalesce(*[F.when(F.col("entry") == n, F.col(f"c_{n}")) for n in p.names])) if p.names else F.lit(0)
+    entering = entering.select("audienceId", "entry", ways.alias("ways"), *[c.alias(f"c_{n}") for n, c in left.items()])
+    seen = entering.agg(F.lit(0).alias("_"), *[F.count(f"c_{n}").alias(n) for n in p.names]).first()
+    others = [n for n in p.names if seen[n]]
+    carry = p.needs(others)
+    by_list = p.rules.join(entering.hint("merge"), "audienceId").where("name = entry")
+    by_list = stored_table(p.spark, by_list.drop("rule", "type", "value", "valid", "entry"), "audience-lists")
+    entry_kinds = {(r.name, r.kind) for r in by_list.select("name", "kind").distinct().collect()}  # two a tag
+    facts = p.facts(entry_kinds, carry)
+    pair = ["audienceId", "memberId"]
+    rule_side = ["audienceId", "name", "ways", *[f"c_{n}" for n in others]]
+
+    def by_value(rules):
+        dealt = _dealt(rules.where("kind = 'eq'").select(*rule_side, F.col("text").alias("fact")), salt)
+        return facts.where("kind = 'eq'").drop("kind", "number", "bin").join(
+            dealt.hint("merge"), ["name", "fact", "salt"]).where(p.satisfied(others)).select(*pair)
+
+    numeric = F.col("name").isin([n for n in p.names if p._numeric(n)])
+    inside = F.when(numeric, _within(F.col("number"), F.col("dlo"), F.col("dhi"))).otherwise(
+        _within(F.col("fact"), F.col("lo"), F.col("hi")))
+    spread = _dealt(p.ranges(by_list).select(*rule_side, "bin", "lo", "hi", "dlo", "dhi"), salt)
+    by_bin = facts.where("kind = 'range'").drop("kind").join(spread.hint("merge"), ["name", "bin", "salt"]).where(
+        inside).where(p.satisfied(others)).select(*pair)
+    # one rule of one value meets a member once
+    once = by_value(by_list.where("ways = 1"))
+    more = by_value(by_list.where("ways > 1")).unionByName(by_bin).distinct()
     # audiences that have no list to enter by: their every tag can be had by
     # a member without any hit
-    rest = _dealt(audiences.join(best, "audienceId", "left_anti").select("audienceId"), salt)
-    candidates = some.unionByName(everyone.join(rest, "salt").select("audienceId", "memberId")).distinct()
-    candidates = stored_table(tags.sparkSession, candidates, "audience-candidates")
-
-    facts = f.facts.select("memberId", "name", "kind", "fact", "bin", "salt")
-    mine = candidates.join(facts, "memberId")
-    found = f.hits(f.rules, mine, ["audienceId"], ["audienceId", "memberId", "name", "type", "rule"])
-    per_tag = found.groupBy("audienceId", "memberId", "name").agg(
-        F.count_if(F.col("type") != "notMatch").alias("plus"),
-        F.count_distinct(F.when(F.col("type") == "notMatch", F.col("rule"))).alias("hit"))
-    per_tag = per_tag.join(negative, ["audienceId", "name"], "left")
-    nots = F.coalesce("nots", F.lit(0))
-    matched = per_tag.groupBy("audienceId", "memberId").agg(
-        F.count_if((F.col("plus") > 0) | (F.col("hit") < nots)).alias("matched"),
-        F.count_if(nots > 0).alias("seen"))
-    return (candidates.join(matched, ["audienceId", "memberId"], "left").join(audiences, "audienceId")
-            .where(F.coalesce("matched", F.lit(0)) + F.col("free") - F.coalesce("seen", F.lit(0)) == F.col("tags"))
-            .select("audienceId", "memberId"))
-
+    rest = _dealt(audiences.where("entry is null"), salt)
+    wide_pairs = p.people.join(rest.hint("merge"), "salt").where(p.satisfied(p.names)).select(*pair)
+    return once.unionByName(more).unionByName(wide_pairs)

@@ -47,3 +47,23 @@ def test_no_cross_join(spark, tag_table):
                                   "audienceId long, name string, value string, type string")
     plan = membership.membership(tag_table, table)._jdf.queryExecution().executedPlan().toString()
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_rules_are_not_broadcast(spark, tag_table):
+    # dealt rules are many times their stored size: a broadcast of them fills the driver
+    table = spark.createDataFrame([(1, "sex", "a", "match"), (1, "orderMoney", "10-90", "rangeBoth"), (2, "sex", "b", "notMatch")],
+                                  "audienceId long, name string, value string, type string")
+    plan = membership.membership(tag_table, table)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
+def test_members_with_several_rows_have_the_tags_of_all(spark):
+    tags = spark.createDataFrame([(1, "a", [1, 2], 5), (1, "b", [2], None), (2, "a", None, 9), (None, "a", [1], 5)],
+                                 "memberId long, sex string, favGoods array<long>, orderCount long")
+    table = spark.createDataFrame(
+        [(1, "sex", "a", "match"), (1, "favGoods", "2", "match"), (2, "sex", "b", "match"), (2, "sex", "a", "match"),
+         (3, "sex", "a", "notMatch"), (4, "orderCount", "1-9", "rangeBoth"), (4, "sex", "b", "match"),
+         (5, "favGoods", "1-2", "rangeBoth"), (None, "sex", "a", "match")],
+        "audienceId long, name string, value string, type string")
+    got = sorted(tuple(r) for r in membership.membership(tags, table, bins=4, salt=2).collect())
+    assert got == [(1, 1), (2, 1), (2, 2), (4, 1), (5, 1)]
