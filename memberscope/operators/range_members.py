@@ -72,13 +72,20 @@ def active_members(tree: DataFrame, ranges: DataFrame, levels: int | None = None
     ``salt`` parts of the words, so a large node is split."""
     if levels is None:
         levels = tree.agg(F.coalesce(F.max("level"), F.lit(0))).first()[0]
-    a, b = F.unix_date("start"), F.unix_date("end")
-    asked = ranges.withColumn("_id", F.xxhash64("rangeId", "start", "end")).distinct()
+    # ranges of the same days of the tree share one count, so the work follows
+    # the days and the members however many ranges ask for them
+    span = tree.where("level = 0").agg(F.min("node").alias("a"), F.max("node").alias("b")).first()
+    first, last = (0, 0) if span.a is None else (span.a, span.b + 1)
+    some = F.col("start") < F.col("end")
+    asked = ranges.distinct().withColumns({
+        "_low": F.when(some, F.greatest(F.unix_date("start"), F.lit(first))),
+        "_high": F.when(some, F.least(F.unix_date("end"), F.lit(last)))})
     asked = stored_table(ranges.sparkSession, asked, "day-ranges")
-    wanted = asked.where(a < b).select("_id", F.explode(cover(a, b, levels)).alias("n")).select(
-        "_id", "n.*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("salt"))
+    days = asked.where("_low < _high").select("_low", "_high").distinct()
+    wanted = days.select("_low", "_high", F.explode(cover(F.col("_low"), F.col("_high"), levels)).alias("n")).select(
+        "_low", "_high", "n.*", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))).alias("salt"))
     parts = tree.withColumn("salt", F.pmod("word", F.lit(salt)).cast("int"))
-    words = parts.join(wanted, ["level", "node", "salt"]).groupBy("_id", "word").agg(F.bit_or("bits").alias("bits"))
-    counts = words.groupBy("_id").agg(F.sum(B.size(F.col("bits"))).alias("members"))
-    return asked.join(counts, "_id", "left").select(
+    words = parts.join(wanted, ["level", "node", "salt"]).groupBy("_low", "_high", "word").agg(F.bit_or("bits").alias("bits"))
+    counts = words.groupBy("_low", "_high").agg(F.sum(B.size(F.col("bits"))).alias("members"))
+    return asked.join(counts, ["_low", "_high"], "left").select(
         *ranges.columns, F.coalesce("members", F.lit(0)).alias("members"))

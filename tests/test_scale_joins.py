@@ -146,3 +146,22 @@ def test_a_failed_write_leaves_the_index(spark, tmp_path):
     message = writer.write(iter([good.first()]))
     writer.abort([message, None])            # what a task wrote is taken away
     assert not os.path.exists(os.path.join(path, message.name))
+
+
+def test_ranges_of_the_same_days_share_one_count(spark, tmp_path, monkeypatch):
+    day = datetime.date(2024, 1, 1)
+    events = spark.createDataFrame([(u, datetime.datetime(2024, 1, 1 + u % 5, 3)) for u in range(50)], "u long, ts timestamp_ntz")
+    tree = range_members.build(events, "u", "ts", str(tmp_path / "tree"))
+    at = lambda n: day + datetime.timedelta(days=n)
+    # all days, and more than all: one set of members; no days; unknown days
+    rows = [(i, at(-i % 7), at(5 + i % 9)) for i in range(40)] + [(None, at(1), at(3)), (90, at(3), at(3)), (91, at(8), at(9)),
+                                                               (92, None, at(2)), (93, at(1), None)]
+    covered = []
+    plain = range_members.cover
+    monkeypatch.setattr(range_members, "cover", lambda *a: covered.append(a) or plain(*a))
+    out = range_members.active_members(tree, spark.createDataFrame(rows, "rangeId long, start date, end date"), salt=2)
+    want = {r: sum(1 for u in range(50) if r[1] and r[2] and r[1] <= at(u % 5) < r[2]) for r in rows}
+    assert {(r.rangeId, r.start, r.end): r.members for r in out.collect()} == want
+    assert len(covered) == 1 and "_low" in str(covered[0][0])
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Aggregate [_low" in plan and "_id" not in plan
