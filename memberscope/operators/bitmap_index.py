@@ -84,7 +84,7 @@ def build(tags: DataFrame, path: str, equal=EQUAL_TAGS, ranges=RANGE_TAGS, bins:
     def values_of(tag: str):
         return lambda x: fact(tag, "eq", x)
 
-    single, lists = [fact(EVERYONE, "set", F.lit(""))], []
+    single, lists, bins_of = [fact(EVERYONE, "set", F.lit(""))], [], []
     bin_of = {n: _bin(F.col(n), F.lit(cuts[n]).cast(T.ArrayType(schema[n].dataType)) if cuts[n]
                       else F.array().cast(T.ArrayType(schema[n].dataType))) for n in ranges}
     for n in dict.fromkeys((*equal, *ranges)):
@@ -96,26 +96,30 @@ def build(tags: DataFrame, path: str, equal=EQUAL_TAGS, ranges=RANGE_TAGS, bins:
         elif n in equal:
             single.append(F.when(known, fact(n, "eq", F.col(n))))
         if n in ranges:
-            single.append(F.when(known, fact(n, "bin", bin_of[n])))
-    facts = F.filter(F.array(*single), lambda x: x.isNotNull())
-    if lists:
-        facts = F.concat(facts, *[F.coalesce(x, F.array().cast(
-            "array<struct<tag:string,kind:string,value:string>>")) for x in lists])
+            bins_of.append(F.when(known, fact(n, "bin", bin_of[n])))
+    none = F.array().cast("array<struct<tag:string,kind:string,value:string>>")
+    facts = F.concat(F.filter(F.array(*single), lambda x: x.isNotNull()), *[F.coalesce(x, none) for x in lists])
+    bins_of = F.filter(F.array(*bins_of), lambda x: x.isNotNull()) if bins_of else none
     member = F.col("memberId")
-    words = tags.select(B.word_of(member).alias("word"), B.bit_of(member).alias("bit"),
-                        F.explode(facts).alias("f")).groupBy("f.tag", "f.kind", "f.value", "word").agg(
-        F.bit_or("bit").alias("bits"))
+    # members meet by word before their facts are spread out: a fact is
+    # gathered, sorted and written where it arises
+    placed = tags.withColumns({"_word": B.word_of(member), "_bit": B.bit_of(member)}).repartition("_word")
+
+    def gathered(of: Column) -> DataFrame:
+        spread = placed.select(F.col("_word").alias("word"), F.col("_bit").alias("bit"), F.explode(of).alias("f"))
+        return spread.select("word", "bit", "f.*").groupBy("tag", "kind", "value", "word").agg(F.bit_or("bit").alias("bits"))
+
     # a bin's members become those of the bin and all above: at most ``bins``
     # words of one place meet
-    binned = words.where("kind = 'bin'").groupBy("tag", "word").agg(
+    binned = gathered(bins_of).groupBy("tag", "word").agg(
         F.collect_list(F.struct(F.col("value").cast("int").alias("bin"), "bits")).alias("b"))
     above = binned.select("tag", "word", "b", F.explode(F.array_distinct(F.flatten(F.transform(
         "b", lambda x: F.sequence(F.lit(0), x.bin))))).alias("low"))
     above = above.select("tag", F.lit("ge").alias("kind"), F.col("low").cast("string").alias("value"), "word",
                          F.aggregate(F.filter("b", lambda x: x.bin >= F.col("low")), F.lit(0).cast("long"),
                                      lambda a, x: a.bitwiseOR(x.bits)).alias("bits"))
-    out = words.where("kind <> 'bin'").unionByName(above)
-    (out.repartitionByRange("tag", "kind", "value", "word").sortWithinPartitions("tag", "kind", "value", "word")
+    # every file is sorted, so a scan reads a value's place in each alone
+    (gathered(facts).unionByName(above).sortWithinPartitions("tag", "kind", "value", "word")
      .write.mode("overwrite").partitionBy("tag").parquet(f"{path}/words"))
     entries = [F.when(F.col(n).isNotNull(), F.struct(
         F.lit(n).alias("tag"), bin_of[n].alias("bin"), F.col(n).cast("string").alias("value"))) for n in ranges]

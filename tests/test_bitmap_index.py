@@ -103,3 +103,18 @@ def test_empty_table(spark, tag_table, tmp_path):
     empty = bitmap_index.build(tag_table.limit(0), str(tmp_path / "i"))
     assert empty.select([RULES[0]]).count() == 0 and empty.select([]).count() == 0
     assert {r.members for r in empty.facets(RULES).collect()} == {0}
+
+
+def test_words_are_written_where_their_members_meet(spark, tag_table, tmp_path):
+    key = "spark.sql.adaptive.coalescePartitions.enabled"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "false")
+    try:
+        bitmap_index.build(tag_table, str(tmp_path / "i"), bins=8)
+    finally:
+        spark.conf.set(key, before)
+    words = spark.read.parquet(str(tmp_path / "i" / "words")).select("*", F.input_file_name().alias("file"))
+    rows = words.select("tag", (F.col("kind") == "ge").alias("above"), "word", "file").distinct().collect()
+    assert len({r.file for r in rows}) > 15
+    # all values of a tag have a word in one file: no second exchange dealt them out
+    assert len(rows) == len({r[:3] for r in rows})
