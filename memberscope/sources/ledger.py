@@ -34,8 +34,12 @@ KEYS = "source string, file string, stamp string, key string, version int"
 
 def file_columns() -> list[Column]:
     meta = F.col("_metadata")
-    stamp = F.concat_ws("/", meta.file_modification_time.cast("string"), meta.file_size.cast("string"))
-    return [meta.file_path.alias("file"), stamp.alias("stamp")]
+    return [meta.file_path.alias("file"), meta.file_modification_time.alias("modified"), meta.file_size.alias("bytes")]
+
+
+def stamp() -> Column:
+    """Text is made once per file, not per row."""
+    return F.concat_ws("/", F.col("modified").cast("string"), F.col("bytes").cast("string")).alias("stamp")
 
 
 @dataclass
@@ -78,38 +82,44 @@ class Ledger:
         current = None
         for name, (table, _) in sources.items():
             # only file metadata: no column is read
-            part = table.select(F.lit(name).alias("source"), *file_columns()).distinct()
+            part = table.select(*file_columns()).distinct().select(
+                F.lit(name).alias("source"), "file", stamp(), "modified", "bytes")
             current = part if current is None else current.unionByName(part)
         known = known.where(F.col("source").isin(*sources))
         on = ["source", "file", "stamp"]
         files = current.withColumn("now", F.lit(True)).join(
             known.withColumn("was", F.lit(True)), on, "full").where("now is null or was is null").select(
-            *on, F.col("now").isNotNull().alias("added"))
-        files = self._scratch(files, "files")
-        added = files.where("added")
+            *on, F.col("now").isNotNull().alias("added"), "modified", "bytes")
+        # a file's number stands for its path and stamp until the keys are
+        # recorded: they would outweigh the keys in every exchange
+        numbered = self._scratch(files.withColumn("no", F.monotonically_increasing_id()), "files")
+        files = numbered.select(*on, "added")
+        added = numbered.where("added")
         new_keys = None
         for name, (table, key) in sources.items():
-            of_file = [c.alias(n) for c, n in zip(file_columns(), ("f", "s"))]
+            of_file = [c.alias(n) for c, n in zip(file_columns(), ("f", "m", "b"))]
             rows = table.select(*of_file, key.cast("string").alias("key"))
-            mine = added.where(F.col("source") == name).select("file", "stamp")
-            found = self._of_files(rows, mine).select(
-                F.lit(name).alias("source"), F.col("f").alias("file"), F.col("s").alias("stamp"), "key").distinct()
+            mine = added.where(F.col("source") == name).select("file", "modified", "bytes", "no")
+            found = self._of_files(rows, mine).where("key is not null").select(
+                F.lit(name).alias("source"), "no", "key").distinct()
             new_keys = found if new_keys is None else new_keys.unionByName(found)
-        new_keys = self._scratch(new_keys.where("key is not null"), "keys")
+        new_keys = self._scratch(new_keys, "keys")
         gone = self._read("keys", KEYS).drop("version").join(
             files.where("not added").drop("added"), on, "left_semi")
-        touched = new_keys.unionByName(gone).select("source", "key").distinct()
+        touched = new_keys.select("source", "key").unionByName(gone.select("source", "key")).distinct()
         touched = self._scratch(touched, "touched")
         keys = {name: touched.where(F.col("source") == name).select("key") for name in sources}
-        return Changes(keys, version, files, new_keys)
+        named = new_keys.join(added.select("no", "file", "stamp").hint("broadcast"), "no").select(*on, "key")
+        return Changes(keys, version, files, named)
 
     def _of_files(self, rows: DataFrame, files: DataFrame) -> DataFrame:
-        """The rows of the given files. Up to ``MAX_NAMED`` files are named in
+        """The rows of the given files, with their numbers. Up to ``MAX_NAMED`` files are named in
         the filter, so that the scan opens no other."""
         names = [r.file for r in files.select("file").limit(MAX_NAMED + 1).collect()]
         if len(names) <= MAX_NAMED:
             rows = rows.where(F.col("f").isin(names))
-        return rows.join(files, (F.col("f") == files.file) & (F.col("s") == files.stamp), "left_semi")
+        # one row per file: no row meets two
+        return rows.join(files, (F.col("f") == files.file) & (F.col("m") == files.modified) & (F.col("b") == files.bytes))
 
     def commit(self, changes: Changes) -> None:
         """Record the differences, after the results that follow from them

@@ -112,3 +112,17 @@ def test_only_touched_members_are_rebuilt(spark, staged, tmp_path):
     refresh.refresh_tags(d, book, path, sources(more), buckets=8)
     kept = {str(f) for f in (tmp_path / "tags").rglob("part-*")} & files
     assert 0 < len(files - kept) <= 1 and len(kept) >= 6  # one bucket was written
+
+
+def test_keys_travel_without_their_files_paths(spark, tmp_path, monkeypatch):
+    spark.createDataFrame(list(events(range(60), 1, 5, 1)), SCHEMA).repartition(3).write.parquet(str(tmp_path / "ev"))
+    table = spark.read.schema(SCHEMA).parquet(str(tmp_path / "ev"))
+    book, seen = Ledger(spark, str(tmp_path / "ledger")), {}
+    plain = Ledger._scratch
+    monkeypatch.setattr(Ledger, "_scratch", lambda self, df, name: seen.setdefault(name, df) and plain(self, df, name))
+    changes = book.changes({"events": (table, F.col("user_id"))})
+    assert seen["keys"].columns == ["source", "no", "key"]
+    book.commit(changes)
+    kept = spark.read.parquet(str(tmp_path / "ledger" / "keys"))
+    want = {(r.f, str(r.user_id)) for r in table.select(F.col("_metadata.file_path").alias("f"), "user_id").collect()}
+    assert {(r.file, r.key) for r in kept.collect()} == want and kept.count() == len(want)
