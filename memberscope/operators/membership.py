@@ -11,19 +11,23 @@ member). No rule set meets a member that cannot belong to it:
 2. *Access.* Every audience enters by its most selective tag, by the sizes of
    the lists its rules there would read. Equality rules join lists by (tag,
    value), ranges are spread over the bins they touch and join by (tag, bin),
-   the value being compared inside. Audiences of ``exists`` and ``notMatch``
-   rules alone enter by everyone, as nearly everyone belongs to them.
-3. *Check.* The lists carry the members' values of the tags that audiences
-   name elsewhere, the rules those other tags' rules, so a pair is told where
-   it arises and only true pairs leave the join. A pair can arise twice only
-   for audiences that enter by several rules or by ranges; theirs alone are
-   made distinct.
-
-Every join is an equality join whose rule side is dealt over ``salt`` parts of
-the members, so a value (or audience) that a third of all members has is split
-however large the rule table is. Rules and lists grow with the tables, and
-dealt rules are ``salt`` times what the planner takes them for, so these joins
-are merge joins: nothing of theirs is broadcast through the driver.
+   the value being compared inside.
+3. *Check.* The lists of a tag carry the members' values of the other tags
+   that audiences entering by it name, the rules those tags' rules, so a pair
+   is told where it arises and only true pairs leave the join. A pair can
+   arise twice only for audiences that enter by several rules or by ranges;
+   theirs alone are made distinct.
+4. *Parts.* Pairs of audiences with long lists, or lists that many audiences
+   share, grow with the product of both tables. Those audiences meet parts of
+   the members instead (``member_parts``): in a part every clause is a bit per
+   member, an audience the conjunction of its clauses, and audiences of equal
+   rules share it. So do audiences of ``exists`` and ``notMatch`` rules alone,
+   which nearly everyone belongs to.
+
+Joined lists are short and asked by few, so no key is hot, and rules are not
+multiplied for the join; parts of members and blocks of audiences have a
+bounded size. Rules and lists grow with the tables, so these joins are merge
+joins: nothing of theirs is broadcast through the driver.
 
 A bound that the tag's type cannot hold selects nobody (``functions.rules``
 refuses it; here one bad row must not stop thousands of audiences), and
@@ -32,16 +36,25 @@ refuses it; here one bad row must not stop thousands of audiences), and
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from memberscope.functions.rules import RULE_TYPES
+from memberscope.operators import member_parts
 from memberscope.operators.bitmap_index import RANGE_TAGS
 from memberscope.session import stored_table
 
 BINS = 32
+#: Parts of the members at least.
 SALT = 16
+#: Members that a list may hold for each part; audiences with longer ones meet
+#: the parts.
+SHORT = 20
+#: Audiences that may ask for a list; with more they meet the parts.
+ASKED = 4096
 NUMBER = "decimal(38,6)"
 DAY = "yyyy-MM-dd"
 NUMBERS_TO = r"^\s*(-?\d+(?:\.\d+)?)\s*-\s*(-?\d+(?:\.\d+)?)\s*$"
@@ -110,14 +123,6 @@ def _tags(tags: DataFrame) -> list[str]:
     return [c for c in tags.columns if c != "memberId"]
 
 
-def _salt(n: int) -> Column:
-    return F.pmod(F.xxhash64("memberId"), F.lit(n)).cast("int")
-
-
-def _dealt(rules: DataFrame, salt: int) -> DataFrame:
-    return rules.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
-
-
 def _within(value: Column, lo: Column, hi: Column) -> Column:
     """Whether a value lies between a rule's bounds (no upper one: null)."""
     return (value >= lo) & (hi.isNull() | (value <= hi))
@@ -132,8 +137,8 @@ class _People:
     that rules name: ``v_<tag>`` as text, ``d_<tag>`` as numbers where ranges
     compare numbers, ``h_<tag>`` whether there is any."""
 
-    def __init__(self, tags: DataFrame, rules: DataFrame, bins: int, salt: int):
-        self.schema, self.salt = tags.schema, salt
+    def __init__(self, tags: DataFrame, rules: DataFrame, bins: int):
+        self.schema = tags.schema
         self.spark = spark = tags.sparkSession
         kind = F.when(F.col("type").isin("rangeGte", "rangeBoth"), "range").when(
             F.col("type") == "exists", "set").otherwise("eq")
@@ -153,8 +158,9 @@ class _People:
         self.cuts = {n: sorted(set(row[n] or [])) for n in ranged}
         # a member with several rows has the values of all of them
         rows = tags.where("memberId is not null").groupBy("memberId").agg(F.collect_list(
-            F.struct(*self.names) if self.names else F.struct(F.lit(0).alias("_"))).alias("rows"))
-        people = rows.select("memberId", _salt(salt).alias("salt"), *[self._values(n).alias(f"v_{n}") for n in self.names],
+            F.struct(*map(self._texts, self.names)) if self.names else F.struct(F.lit(0).alias("_"))).alias("rows"))
+        none = F.array(F.lit(None).cast("string"))
+        people = rows.select("memberId", *[F.array_except(self._held(n), none).alias(f"v_{n}") for n in self.names],
                              *[self._any(n).alias(f"h_{n}") for n in self.names])
         people = people.withColumns({f"d_{n}": F.transform(f"v_{n}", lambda x: x.try_cast(NUMBER))
                                      for n in self.names if (n, "range") in self.kinds and self._numeric(n)})
@@ -164,25 +170,26 @@ class _People:
     def _numeric(self, n: str) -> bool:
         return _is_number(_elem(self.schema, n))
 
-    def _values(self, n: str) -> Column:
-        if n in self.arrays:
-            of = lambda r: F.coalesce(r[n], F.array().cast(self.schema[n].dataType))
-        else:
-            of = lambda r: F.array(r[n])
-        known = F.filter(F.flatten(F.transform("rows", of)), lambda x: x.isNotNull())
-        return F.array_distinct(F.transform(known, lambda x: x.cast("string")))
+    def _texts(self, n: str) -> Column:
+        if n not in self.arrays:
+            return F.col(n).cast("string").alias(n)
+        return F.coalesce(F.col(n).cast("array<string>"), F.array().cast("array<string>")).alias(n)
+
+    def _held(self, n: str) -> Column:
+        """The texts of a member's rows, with nulls."""
+        return F.flatten(F.col(f"rows.{n}")) if n in self.arrays else F.col(f"rows.{n}")
 
     def _any(self, n: str) -> Column:
-        held = (lambda r: F.size(r[n]) > 0) if n in self.arrays else (lambda r: r[n].isNotNull())
-        return F.coalesce(F.exists("rows", held), F.lit(False))
+        """Whether there is any (a null in a list is one)."""
+        return F.size(self._held(n) if n in self.arrays else F.array_compact(self._held(n))) > 0
 
     def _audiences(self) -> DataFrame:
         """audienceId and the rules of each tag, ``c_<tag>`` (null: not
         named). An invalid rule is lost only where the tag has another one; an
         audience with a tag of invalid rules alone selects nobody."""
-        rule = F.struct("type", "kind", "text", "lo", "hi", "dlo", "dhi")
+        rule = F.struct("type", "kind", "text", "lo", "hi", "dlo", "dhi", "plo", "phi")
         per_tag = self.named.groupBy("audienceId", "name").agg(
-            F.max("valid").alias("valid"), F.collect_list(F.when(F.col("valid"), rule)).alias("c"))
+            F.max("valid").alias("valid"), F.sort_array(F.collect_list(F.when(F.col("valid"), rule))).alias("c"))
         return per_tag.groupBy("audienceId").agg(F.bool_and("valid").alias("valid"), *[
             F.any_value(F.when(F.col("name") == n, F.col("c")), ignoreNulls=F.lit(True)).alias(f"c_{n}")
             for n in self.names]).where("valid").drop("valid")
@@ -194,23 +201,19 @@ class _People:
         return F.when(place.isNull(), NO_BIN).otherwise(F.size(F.filter(
             F.lit(cuts).cast("array<double>"), lambda x: x <= place)))
 
-    def _fact(self, n: str, kind: str):
-        dt = _elem(self.schema, n)
-
-        def fact(x: Column) -> Column:
-            bin_ = F.lit(None) if kind != "range" else F.lit(NO_BIN) if n in self.arrays else self._bin(n, _place(x, dt))
-            number = x.try_cast(NUMBER) if kind == "range" and self._numeric(n) else F.lit(None)
-            return F.struct(F.lit(n).alias("name"), F.lit(kind).alias("kind"), x.alias("fact"),
-                            number.cast(NUMBER).alias("number"), bin_.cast("int").alias("bin"))
-        return fact
-
-    def facts(self, kinds, carry: list[str]) -> DataFrame:
-        """memberId, salt, ``carry``, and the member's facts of ``kinds``:
-        name, kind, fact, number, bin."""
-        parts = [F.transform(f"v_{n}", self._fact(n, kind)) for n, kind in sorted(kinds) if kind != "set"]
-        none = F.array().cast(f"array<struct<name:string,kind:string,fact:string,number:{NUMBER},bin:int>>")
-        return self.people.select("memberId", "salt", *carry, F.explode(F.concat(none, *parts)).alias("f")).select(
-            "memberId", "salt", *carry, "f.*")
+    def facts(self, kinds, carry: list[Column]) -> DataFrame:
+        """memberId, ``carry``, and the member's facts of ``kinds``: name,
+        kind, fact, number, bin."""
+        out = []
+        for n, kind in sorted(k for k in kinds if k[1] != "set"):
+            fact, ranged = F.col("fact"), kind == "range"
+            bin_ = F.lit(None) if not ranged else F.lit(NO_BIN) if n in self.arrays else self._bin(
+                n, _place(fact, _elem(self.schema, n)))
+            number = fact.try_cast(NUMBER) if ranged and self._numeric(n) else F.lit(None).cast(NUMBER)
+            out.append(self.people.select("memberId", *carry, F.explode(f"v_{n}").alias("fact")).select(
+                "*", F.lit(n).alias("name"), F.lit(kind).alias("kind"),
+                number.alias("number"), bin_.cast("int").alias("bin")))
+        return reduce(DataFrame.unionByName, out)
 
     def ranges(self, rules: DataFrame) -> DataFrame:
         """Range rules, one row per ``bin`` they touch."""
@@ -229,6 +232,20 @@ class _People:
         made = {"eq": "v", "set": "h"}
         return sorted({f"{made.get(k) or ('d' if self._numeric(n) else 'v')}_{n}" for n, k in self.kinds if n in names})
 
+    def carried(self, needs: list[str]) -> list[Column]:
+        """The columns ``needs`` for the lists: one value of tags that are no
+        arrays, and ``many``, all of theirs for members that have several."""
+        plain = [c for c in needs if c[0] != "h" and c[2:] not in self.arrays]
+        several = reduce(Column.__or__, [F.size(c) > 1 for c in plain], F.lit(False))
+        many = [F.when(several, F.struct(*plain)).alias("many")] if plain else []
+        return [F.get(c, F.lit(0)).alias(c) if c in plain else F.col(c) for c in needs] + many
+
+    def _any_value(self, c: str, test) -> Column:
+        """Whether a carried value passes."""
+        if c[2:] in self.arrays:
+            return F.exists(c, test)
+        return F.when(F.col("many").isNull(), test(F.col(c))).otherwise(F.exists(f"many.{c}", test))
+
     def _meets(self, n: str):
         kinds = {k for m, k in self.kinds if m == n}
 
@@ -236,75 +253,104 @@ class _People:
             ok = F.lit(False)
             if "range" in kinds:
                 lo, hi, v = ("dlo", "dhi", f"d_{n}") if self._numeric(n) else ("lo", "hi", f"v_{n}")
-                ok = F.when(r.kind == "range", F.exists(v, lambda x: _within(x, r[lo], r[hi]))).otherwise(ok)
+                ok = F.when(r.kind == "range", self._any_value(v, lambda x: _within(x, r[lo], r[hi]))).otherwise(ok)
             if "set" in kinds:
                 ok = F.when(r.kind == "set", F.col(f"h_{n}")).otherwise(ok)
             if "eq" in kinds:
-                hit = F.coalesce(F.array_contains(f"v_{n}", r.text), F.lit(False))
+                hit = F.coalesce(self._any_value(f"v_{n}", lambda x: x == r.text), F.lit(False))
                 ok = F.when(r.kind == "eq", hit != (r.type == "notMatch")).otherwise(ok)
             return F.coalesce(ok, F.lit(False))
         return meets
 
     def satisfied(self, names) -> Column:
-        """Whether the member satisfies one rule of every given tag's
-        ``c_<tag>``; ``notMatch`` counts until it is hit."""
+        """Whether the member of a list satisfies one rule of every given
+        tag's ``c_<tag>``; ``notMatch`` counts until it is hit."""
         out = F.lit(True)
         for n in names:
-            out = out & (F.col(f"c_{n}").isNull() | F.exists(f"c_{n}", self._meets(n)))
+            c, meets = F.col(f"c_{n}"), self._meets(n)
+            # most tags have one rule
+            out = out & (c.isNull() | meets(F.get(c, F.lit(0))) | ((F.size(c) > 1) & F.exists(c, meets)))
         return out
 
 
-def membership(tags: DataFrame, rules: DataFrame, bins: int = BINS, salt: int = SALT) -> DataFrame:
-    """``audienceId, memberId`` of every audience's members. ``tags`` holds
-    one row per member; columns that no rule names need not be there."""
-    p = _People(tags, rules, bins, salt)
+def _entries(p: _People) -> DataFrame:
+    """The audiences with their ``entry``: the tag whose rules read the
+    shortest lists (null: every tag can be had by a member without any hit),
+    ``cost``, the members in those, and ``asked``, the most audiences that
+    read one of them; ``ways``: how many rules the entry has."""
     wide = F.col("type").isin("exists", "notMatch")
-    # how many members each list holds
-    lists = p.facts(p.kinds, []).groupBy("name", "kind", F.when(
-        F.col("kind") == "range", F.col("bin").cast("string")).otherwise(F.col("fact")).alias("key")).agg(
-        F.count("*").alias("n"))
-    keyed = p.rules.where(~wide)
-    key = ["audienceId", "name", "kind"]
-    exact = keyed.where("kind <> 'range'").select(*key, F.col("text").alias("key"))
-    near = p.ranges(keyed).select(*key, F.col("bin").cast("string").alias("key"))
-    priced = exact.unionByName(near).join(lists.hint("merge"), ["name", "kind", "key"], "left")
-    clause = priced.groupBy("audienceId", "name").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("cost"))
-    open_tags = p.rules.where(wide).select("audienceId", "name").distinct()
-    best = clause.join(open_tags.hint("merge"), ["audienceId", "name"], "left_anti").groupBy("audienceId").agg(
-        F.min(F.struct("cost", "name")).alias("x")).select("audienceId", F.col("x.name").alias("entry"))
-    audiences = stored_table(p.spark, p.audiences.join(best.hint("merge"), "audienceId", "left"), "audience-entries")
-
-    # the entry's own rules are told by the list, the others by the member's values
-    entering = audiences.where("entry is not null")
-    left = {n: F.when(F.col("entry") != n, F.col(f"c_{n}")) for n in p.names}
-    ways = F.size(F.coalesce(*[F.when(F.col("entry") == n, F.col(f"c_{n}")) for n in p.names])) if p.names else F.lit(0)
-    entering = entering.select("audienceId", "entry", ways.alias("ways"), *[c.alias(f"c_{n}") for n, c in left.items()])
-    seen = entering.agg(F.lit(0).alias("_"), *[F.count(f"c_{n}").alias(n) for n in p.names]).first()
-    others = [n for n in p.names if seen[n]]
-    carry = p.needs(others)
-    by_list = p.rules.join(entering.hint("merge"), "audienceId").where("name = entry")
-    by_list = stored_table(p.spark, by_list.drop("rule", "type", "value", "valid", "entry"), "audience-lists")
-    entry_kinds = {(r.name, r.kind) for r in by_list.select("name", "kind").distinct().collect()}  # two a tag
-    facts = p.facts(entry_kinds, carry)
+    listed = {k for k in p.kinds if k[1] != "set"}
+    # lists are only counted here: a number for their key will do
+    at = lambda key: F.xxhash64("name", "kind", key).alias("key")
+    rule = ["audienceId", "name", wide.alias("wide")]
+    read = p.rules.where("kind <> 'range'").select(*rule, F.when(~wide, at("text")).alias("key")).unionByName(
+        p.ranges(p.rules).select(*rule, at(F.col("bin").cast("string"))))
+    if listed:
+        lists = p.facts(listed, []).select(at(F.when(F.col("kind") == "range", F.col("bin").cast("string")).otherwise(
+            F.col("fact")))).groupBy("key").agg(F.count("*").alias("n"))
+        asked = read.where("key is not null").groupBy("key").agg(F.count("*").alias("asked"))
+        read = read.join(lists.join(asked.hint("merge"), "key").hint("merge"), "key", "left")
+    else:
+        read = read.withColumns({"n": F.lit(None).cast("long"), "asked": F.lit(None).cast("long")})
+    clause = read.repartition("audienceId").groupBy("audienceId", "name").agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("cost"), F.coalesce(F.max("asked"), F.lit(0)).alias("asked"),
+        F.bool_or("wide").alias("wide"))
+    best = clause.where("not wide").groupBy("audienceId").agg(F.min(F.struct("cost", "name", "asked")).alias("x"))
+    best = best.select("audienceId", F.col("x.name").alias("entry"), "x.cost", "x.asked")
+    out = p.audiences.join(best.hint("merge"), "audienceId", "left")
+    ways = reduce(lambda w, n: F.when(F.col("entry") == n, F.size(f"c_{n}")).otherwise(w), p.names, F.lit(0))
+    return stored_table(p.spark, out.withColumn("ways", ways), "audience-entries")
+
+
+def _joined(p: _People, entering: DataFrame, n: str, others: list[str], ways: int) -> DataFrame:
+    """The pairs of audiences that enter by tag ``n``, by ``ways`` of its rules
+    at most: its lists tell the tag's own rules, the members' values those of
+    the ``others``."""
     pair = ["audienceId", "memberId"]
-    rule_side = ["audienceId", "name", "ways", *[f"c_{n}" for n in others]]
-
-    def by_value(rules):
-        dealt = _dealt(rules.where("kind = 'eq'").select(*rule_side, F.col("text").alias("fact")), salt)
-        return facts.where("kind = 'eq'").drop("kind", "number", "bin").join(
-            dealt.hint("merge"), ["name", "fact", "salt"]).where(p.satisfied(others)).select(*pair)
-
-    numeric = F.col("name").isin([n for n in p.names if p._numeric(n)])
-    inside = F.when(numeric, _within(F.col("number"), F.col("dlo"), F.col("dhi"))).otherwise(
-        _within(F.col("fact"), F.col("lo"), F.col("hi")))
-    spread = _dealt(p.ranges(by_list).select(*rule_side, "bin", "lo", "hi", "dlo", "dhi"), salt)
-    by_bin = facts.where("kind = 'range'").drop("kind").join(spread.hint("merge"), ["name", "bin", "salt"]).where(
-        inside).where(p.satisfied(others)).select(*pair)
-    # one rule of one value meets a member once
-    once = by_value(by_list.where("ways = 1"))
-    more = by_value(by_list.where("ways > 1")).unionByName(by_bin).distinct()
-    # audiences that have no list to enter by: their every tag can be had by
-    # a member without any hit
-    rest = _dealt(audiences.where("entry is null"), salt)
-    wide_pairs = p.people.join(rest.hint("merge"), "salt").where(p.satisfied(p.names)).select(*pair)
-    return once.unionByName(more).unionByName(wide_pairs)
+    carry = p.carried(p.needs(others))
+    rule_side = ["audienceId", "ways", *[f"c_{m}" for m in others]]
+    rules = entering.select(*rule_side, F.lit(n).alias("name"), F.inline(f"c_{n}"))
+    out, again = [], []
+    if (n, "eq") in p.kinds:
+        asked = rules.where("kind = 'eq'").select(*rule_side, F.col("text").alias("fact"))
+        met = p.facts({(n, "eq")}, carry).drop("name", "kind", "number", "bin").join(
+            asked.hint("merge"), "fact").where(p.satisfied(others)).select(*pair, "ways")
+        if ways > 1:
+            met = stored_table(p.spark, met, f"audience-pairs-{n}")
+            again.append(met.where("ways > 1").select(*pair))
+        # one rule of one value meets a member once
+        out.append(met.where("ways = 1").select(*pair))
+    if (n, "range") in p.kinds:
+        inside = _within(F.col("number"), F.col("dlo"), F.col("dhi")) if p._numeric(n) else _within(
+            F.col("fact"), F.col("lo"), F.col("hi"))
+        # written, as Spark 4.1 prunes columns wrongly where one explode reads another
+        rules = stored_table(p.spark, rules.where("kind = 'range'"), f"audience-ranges-{n}")
+        spread = p.ranges(rules).select(*rule_side, "bin", "lo", "hi", "dlo", "dhi")
+        near = p.facts({(n, "range")}, carry).drop("name", "kind")
+        again.append(near.join(spread.hint("merge"), "bin").where(inside).where(p.satisfied(others)).select(*pair))
+    if again:
+        out.append(reduce(DataFrame.unionByName, again).distinct())
+    return reduce(DataFrame.unionByName, out)
+
+
+def membership(tags: DataFrame, rules: DataFrame, bins: int = BINS, salt: int = SALT, short: int = SHORT) -> DataFrame:
+    """``audienceId, memberId`` of every audience's members. ``tags`` holds
+    one row per member; columns that no rule names need not be there."""
+    p = _People(tags, rules, bins)
+    parts = max(salt, -(-p.people.count() // member_parts.MEMBERS))
+    apart = F.col("entry").isNull() | (F.col("cost") > short * parts) | (F.col("asked") > ASKED)
+    audiences = _entries(p).withColumn("apart", apart)
+    there = audiences.groupBy("entry", "apart").agg(F.count("*").alias("n"), F.max("ways").alias("ways"), *[
+        F.count(f"c_{n}").alias(f"c_{n}") for n in p.names]).collect()  # two a tag
+    out = [_joined(p, audiences.where((F.col("entry") == r.entry) & ~F.col("apart")), r.entry,
+                   [n for n in p.names if n != r.entry and r[f"c_{n}"]], r.ways)
+           for r in sorted((r for r in there if not r.apart), key=lambda r: r.entry)]
+    far = [r for r in there if r.apart]
+    if far:
+        names = [n for n in p.names if any(r[f"c_{n}"] for r in far)]
+        out.append(member_parts.pairs(
+            p.people, audiences.where("apart"), names, {n: p._numeric(n) for n in names},
+            p.needs(names), parts, sum(r.n for r in far)))
+    if not out:
+        return audiences.limit(0).select("audienceId", F.lit(None).cast(tags.schema["memberId"].dataType).alias("memberId"))
+    return reduce(DataFrame.unionByName, out)

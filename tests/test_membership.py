@@ -1,11 +1,13 @@
 """Stored audiences against the compiled rules, one audience at a time."""
 
 import random
+from decimal import Decimal
 
+import pyarrow as pa
 import pytest
 
 from memberscope.functions.rules import Rule, compile_rules
-from memberscope.operators import membership
+from memberscope.operators import member_parts, membership
 from tests.test_bitmap_index import RULES, SCHEMA, tag_rows
 
 
@@ -67,3 +69,33 @@ def test_members_with_several_rows_have_the_tags_of_all(spark):
         "audienceId long, name string, value string, type string")
     got = sorted(tuple(r) for r in membership.membership(tags, table, bins=4, salt=2).collect())
     assert got == [(1, 1), (2, 1), (2, 2), (4, 1), (5, 1)]
+
+
+def test_long_lists_meet_parts_of_the_members(spark, tag_table):
+    # everyone's lists are read once a part, not once an audience
+    rows = [(a, "sex", "ab"[a % 2], "match") for a in range(40)]
+    rows += [(a, "orderMoney", f"{a % 7}-{60 + a % 3}", "rangeBoth") for a in range(40) if a % 4]
+    rows += [(a, "channel", "1", "match") for a in range(40) if a % 5 == 0]
+    rows += [(a, "channel", "2", "match") for a in range(40) if a % 10 == 0] + [(40, "sex", "a", "notMatch")]
+    table = spark.createDataFrame(rows, "audienceId long, name string, value string, type string")
+    apart = membership.membership(tag_table, table, bins=6, salt=3, short=0)
+    plan = apart._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Join" not in plan
+    joined = membership.membership(tag_table, table.where("audienceId < 40"), bins=6, salt=3, short=10**6)
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "MapInArrow" not in plan and "salt" not in plan
+    got = sorted(tuple(r) for r in apart.collect())
+    assert [r for r in got if r[0] < 40] == sorted(tuple(r) for r in joined.collect())
+    assert {r[0] for r in got} > {0, 1, 40} and len(set(got)) == len(got)
+
+
+def test_values_of_a_part():
+    numbers = [[Decimal("1.5"), None], [Decimal("-3")], None, [], [Decimal("1.500001"), Decimal("1.5")], [Decimal(10) ** 31]]
+    held = member_parts._Values(pa.array(numbers, pa.list_(pa.decimal128(38, 6))))
+    at = lambda low, high: sorted(set(held.between(low, high).tolist()))
+    assert at(1_500_000, 1_500_000) == [0, 4] and at(-10**40, None) == [0, 1, 4, 5] and at(5, 1) == []
+    assert at(1_500_001, 10**37) == [4, 5] and member_parts._unscaled("-0.000001") == -1
+    small = member_parts._Values(pa.array(numbers[:-1], pa.list_(pa.decimal128(38, 6))).slice(1))
+    assert sorted(set(small.between(-10**40, 10**40).tolist())) == [0, 3]
+    texts = member_parts._Values(pa.array([["～"], ["\U0001f600", "b"], ["a", None], None]))
+    assert texts.between("b", None).tolist() == [1, 0, 1] and texts.equal("c").tolist() == []
