@@ -215,18 +215,40 @@ class _People:
                 number.alias("number"), bin_.cast("int").alias("bin")))
         return reduce(DataFrame.unionByName, out)
 
-    def ranges(self, rules: DataFrame) -> DataFrame:
-        """Range rules, one row per ``bin`` they touch."""
+    def _ends(self) -> tuple[Column, Column]:
+        """The first and the last bin that a range rule touches."""
         low, high = F.lit(0), F.lit(0)
         for n, cuts in self.cuts.items():
             here = F.col("name") == n
             low = F.when(here, F.when(F.col("plo").isNull(), 0).otherwise(self._bin(n, F.col("plo")))).otherwise(low)
             high = F.when(here, F.when(F.col("phi").isNull(), len(cuts)).otherwise(
                 self._bin(n, F.col("phi")))).otherwise(high)
-        low, high = F.greatest(low, F.lit(0)), F.greatest(high, F.lit(0))
+        return F.greatest(low, F.lit(0)), F.greatest(high, F.lit(0))
+
+    def ranges(self, rules: DataFrame) -> DataFrame:
+        """Range rules, one row per ``bin`` they touch."""
+        low, high = self._ends()
         touched = F.when(low <= high, F.sequence(low, F.greatest(low, high))).otherwise(F.array().cast("array<int>"))
         return rules.where("kind = 'range'").withColumn("bin", F.explode(F.concat(F.array(F.lit(NO_BIN)), touched)))
 
+    def priced_ranges(self, listed) -> DataFrame:
+        """Range rules with ``n``, the members in the bins they touch, and
+        ``asked``, the range rules of their tag."""
+        rules = self.rules.where("kind = 'range'")
+        held = {(r["name"], r["bin"]): r["count"] for r in self.facts(listed, []).groupBy("name", "bin").count().collect()}
+        asked = {r["name"]: r["count"] for r in rules.groupBy("name").count().collect()}  # one a tag
+        low, high = self._ends()
+        n, most = F.lit(0), F.lit(0)
+        for name in sorted(asked):
+            # how many members the bins before each one hold: ``bins`` numbers a tag
+            before = [sum(held.get((name, b), 0) for b in range(k)) for k in range(len(self.cuts.get(name, ())) + 2)]
+            before = F.lit(before).cast("array<bigint>")
+            inside = F.get(before, F.greatest(low, high) + 1) - F.get(before, low)
+            here = F.col("name") == name
+            n = F.when(here, F.when(low <= high, inside).otherwise(0) + held.get((name, NO_BIN), 0)).otherwise(n)
+            most = F.when(here, asked[name]).otherwise(most)
+        return rules.withColumns({"n": n.cast("long"), "asked": most.cast("long")})
+
     def needs(self, names) -> list[str]:
         """The columns that the rules of the given tags read."""
         made = {"eq": "v", "set": "h"}
@@ -279,19 +301,20 @@ def _entries(p: _People) -> DataFrame:
     ``cost``, the members in those, and ``asked``, the most audiences that
     read one of them; ``ways``: how many rules the entry has."""
     wide = F.col("type").isin("exists", "notMatch")
-    listed = {k for k in p.kinds if k[1] != "set"}
-    # lists are only counted here: a number for their key will do
-    at = lambda key: F.xxhash64("name", "kind", key).alias("key")
-    rule = ["audienceId", "name", wide.alias("wide")]
-    read = p.rules.where("kind <> 'range'").select(*rule, F.when(~wide, at("text")).alias("key")).unionByName(
-        p.ranges(p.rules).select(*rule, at(F.col("bin").cast("string"))))
-    if listed:
-        lists = p.facts(listed, []).select(at(F.when(F.col("kind") == "range", F.col("bin").cast("string")).otherwise(
-            F.col("fact")))).groupBy("key").agg(F.count("*").alias("n"))
-        asked = read.where("key is not null").groupBy("key").agg(F.count("*").alias("asked"))
-        read = read.join(lists.join(asked.hint("merge"), "key").hint("merge"), "key", "left")
-    else:
-        read = read.withColumns({"n": F.lit(None).cast("long"), "asked": F.lit(None).cast("long")})
+    cost = ["audienceId", "name", wide.alias("wide")]
+    none = F.lit(None).cast("long")
+    read = p.rules.where(wide).select(*cost, none.alias("n"), none.alias("asked"))
+    exact, near = ({k for k in p.kinds if k[1] == kind} for kind in ("eq", "range"))
+    if exact:
+        # lists are only counted here: a number for their key will do
+        at = lambda key: F.xxhash64("name", key).alias("key")
+        lists = p.facts(exact, []).select(at("fact")).groupBy("key").agg(F.count("*").alias("n"))
+        rules = p.rules.where((F.col("kind") == "eq") & ~wide).select(*cost, at("text"))
+        asked = rules.groupBy("key").agg(F.count("*").alias("asked"))
+        lists = lists.join(asked.hint("merge"), "key")
+        read = read.unionByName(rules.join(lists.hint("merge"), "key", "left").drop("key"))
+    if near:
+        read = read.unionByName(p.priced_ranges(near).select(*cost, "n", "asked"))
     clause = read.repartition("audienceId").groupBy("audienceId", "name").agg(
         F.coalesce(F.sum("n"), F.lit(0)).alias("cost"), F.coalesce(F.max("asked"), F.lit(0)).alias("asked"),
         F.bool_or("wide").alias("wide"))
